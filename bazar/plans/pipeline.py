@@ -5,13 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bazar import schemas
-from bazar.plans import gold, silver
 from bazar.operators.sorting import ordered
+from bazar.plans import gold, silver
 from bazar.sources.csv import read_csv
 from bazar.sources.lake import Lake
 from bazar.sources.sqlite import read_sqlite
@@ -177,31 +179,48 @@ def _attempt(layer: str, name: str, work: Callable[[], None], on_error: str) ->
     return Outcome(layer, name, "ok", "")
 
 
-def run_bronze(lake: Lake, sources: Iterable[CsvTable | SqliteTable], mode: str = "overwrite", on_error: str = "raise") -> list[Outcome]:
+def _run_all(jobs: Iterable[tuple[str, str, Callable[[], None]]], on_error: str, parallel: int) -> list[Outcome]:
+    """Run jobs that do not read each other. Several at once fill the cluster while one has few tasks left."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(lambda job: _attempt(*job, on_error), jobs))
+
+
+def run_bronze(
+    lake: Lake, sources: Iterable[CsvTable | SqliteTable], mode: str = "overwrite", on_error: str = "raise", parallel: int = 1
+) -> list[Outcome]:
     def land(source: CsvTable | SqliteTable) -> None:
         if isinstance(source, CsvTable):
             extract_csv(lake, source.file, source.name, mode, source.schema, source.multi_line)
         else:
             extract_sqlite(lake, source.file, source.table, source.name, mode)
 
-    return [_attempt("bronze", source.name, lambda s=source: land(s), on_error) for source in sources]
+    return _run_all([("bronze", source.name, partial(land, source)) for source in sources], on_error, parallel)
 
 
-def _run_layer(lake: Lake, layer: str, mode: str, on_error: str, parameters: Mapping[str, Mapping[str, Any]]) -> list[Outcome]:
-    return [
-        _attempt(layer, model.name, lambda m=model: run_model(lake, m, mode, **parameters.get(m.name, {})), on_error)
-        for model in MODELS
-        if model.layer == layer
-    ]
+def _run_layer(
+    lake: Lake, layer: str, mode: str, on_error: str, parallel: int, parameters: Mapping[str, Mapping[str, Any]]
+) -> list[Outcome]:
+    models = [model for model in MODELS if model.layer == layer]
+    # models that read their own layer come after all others
+    later = [model for model in models if any(source.startswith(f"{layer}/") for source in model.inputs)]
+    outcomes = []
+    for wave in ([model for model in models if model not in later], later):
+        jobs = [(layer, m.name, partial(run_model, lake, m, mode, **parameters.get(m.name, {}))) for m in wave]
+        outcomes += _run_all(jobs, on_error, parallel)
+    return outcomes
 
 
-def run_silver(lake: Lake, mode: str = "overwrite", on_error: str = "raise", run_at: dt.datetime | None = None) -> list[Outcome]:
-    return _run_layer(lake, "silver", mode, on_error, {"order_reviews": {"run_at": run_at}})
+def run_silver(
+    lake: Lake, mode: str = "overwrite", on_error: str = "raise", parallel: int = 1, run_at: dt.datetime | None = None
+) -> list[Outcome]:
+    return _run_layer(lake, "silver", mode, on_error, parallel, {"order_reviews": {"run_at": run_at}})
 
 
-def run_gold(lake: Lake, mode: str = "overwrite", on_error: str = "raise", **parameters: Mapping[str, Any]) -> list[Outcome]:
+def run_gold(
+    lake: Lake, mode: str = "overwrite", on_error: str = "raise", parallel: int = 1, **parameters: Mapping[str, Any]
+) -> list[Outcome]:
     """``parameters`` are keyword arguments per model name."""
-    return _run_layer(lake, "gold", mode, on_error, parameters)
+    return _run_layer(lake, "gold", mode, on_error, parallel, parameters)
 
 
 def run_pipeline(
@@ -210,6 +229,7 @@ def run_pipeline(
     sources: Iterable[CsvTable | SqliteTable] = (),
     mode: str = "overwrite",
     on_error: str = "raise",
+    parallel: int = 1,
     run_at: dt.datetime | None = None,
 ) -> list[Outcome]:
     """Run one layer, or all three for ``full``.
@@ -221,11 +241,11 @@ def run_pipeline(
         raise ValueError(f"unknown stage {stage!r}")
     outcomes: list[Outcome] = []
     if stage in ("full", "bronze"):
-        outcomes += run_bronze(lake, sources, mode, on_error)
+        outcomes += run_bronze(lake, sources, mode, on_error, parallel)
     if stage in ("full", "silver"):
-        outcomes += run_silver(lake, mode, on_error, run_at)
+        outcomes += run_silver(lake, mode, on_error, parallel, run_at)
     if stage in ("full", "gold"):
-        outcomes += run_gold(lake, mode, on_error)
+        outcomes += run_gold(lake, mode, on_error, parallel)
     return outcomes
 
 

@@ -30,19 +30,17 @@ def is_local(spark: SparkSession) -> bool:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, also set for checkpoints.
 
-    On a local master without that setting a fresh folder is made and used for
-    checkpoints too; a cluster without it is an error, since executors could not
-    read each other's files.
+    On a local master without that setting a fresh folder is made; a cluster without it is
+    an error, since executors could not read each other's files.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bazar-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="bazar-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")

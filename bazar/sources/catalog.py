@@ -9,17 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from bazar.sources.lake import Lake
 
 
-def publish_table(lake: Lake, layer: str, name: str, schema: str = "gold", fmt: str = "parquet") -> str:
-    """Replace ``schema.name`` in the catalog with the lake table."""
+def publish_table(lake: Lake, layer: str, name: str, schema: str = "gold", fmt: str = "parquet", location: str | None = None) -> str:
+    """Replace ``schema.name`` in the catalog with the lake table.
+
+    ``location`` is where a schema that does not exist yet keeps its tables, instead of
+    the warehouse folder.
+    """
     spark = lake.spark
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`" + (f" LOCATION '{location}'" if location else ""))
     lake.read(layer, name).write.format(fmt).mode("overwrite").saveAsTable(f"`{schema}`.`{name}`")
     return f"{schema}.{name}"
 
 
-def publish_layer(lake: Lake, layer: str = "gold", schema: str = "gold", fmt: str = "parquet") -> list[str]:
+def publish_layer(lake: Lake, layer: str = "gold", schema: str = "gold", fmt: str = "parquet", location: str | None = None) -> list[str]:
     """Publish every table folder of a layer."""
-    return [publish_table(lake, layer, name, schema, fmt) for name in lake.tables(layer)]
+    return [publish_table(lake, layer, name, schema, fmt, location) for name in lake.tables(layer)]
 
 
 def register_views(lake: Lake, layers: Iterable[str] = ("bronze", "silver", "gold")) -> list[str]:

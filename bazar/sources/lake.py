@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from bazar.operators.sorting import top_k
 from bazar.sources.describe import describe
 
 STAGING = "__staging"
@@ -57,9 +60,10 @@ class Lake:
         names = [entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory()]
         return sorted(n for n in names if not n.endswith(STAGING) and not n.startswith((".", "_")))
 
-    def preview(self, layer: str, name: str, limit: int = 10) -> DataFrame:
-        """A few rows, whichever come first."""
-        return self.read(layer, name).limit(limit)
+    def preview(self, layer: str, name: str, limit: int = 10, order: Sequence[str] = ()) -> DataFrame:
+        """A few rows: whichever come first, or the first in ``order`` ('-name' descending)."""
+        df = self.read(layer, name)
+        return top_k(df, order, limit) if order else df.limit(limit)
 
     def describe(self, layer: str, name: str) -> DataFrame:
         return describe(self.read(layer, name))
