@@ -1,32 +1,35 @@
 """Column functions: text cleaning, casts and rounding, dates, scoring."""
 
-from bazar.functions.dates import calendar_days, elapsed_days, elapsed_seconds, to_timestamp, whole_days
+from bazar.functions.dates import calendar_days, days_of, elapsed, elapsed_days, seconds_of, to_timestamp, whole_days
 from bazar.functions.numeric import (
-    MONEY,
     as_double,
+    exact_decimal_mean,
     exact_mean,
     exact_sum,
     float_ratio,
     ieee_divide,
     mean_of,
-    money,
+    money_of,
     round_half_away,
+    sum_units,
     text_to_int,
+    units,
     whole,
 )
 from bazar.functions.scoring import Band, ladder, lifetime_label
 from bazar.functions.text import clean_lower, clean_upper, empty_to, lower_or, text_or, upper_or
 
 __all__ = [
-    "MONEY",
     "Band",
     "as_double",
     "calendar_days",
     "clean_lower",
     "clean_upper",
+    "days_of",
+    "elapsed",
     "elapsed_days",
-    "elapsed_seconds",
     "empty_to",
+    "exact_decimal_mean",
     "exact_mean",
     "exact_sum",
     "float_ratio",
@@ -35,11 +38,14 @@ __all__ = [
     "lifetime_label",
     "lower_or",
     "mean_of",
-    "money",
+    "money_of",
     "round_half_away",
+    "seconds_of",
+    "sum_units",
     "text_or",
     "text_to_int",
     "to_timestamp",
+    "units",
     "upper_or",
     "whole",
     "whole_days",

@@ -19,15 +19,23 @@ def calendar_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     return F.datediff(_col(end), _col(start)).cast("bigint")
 
 
-def elapsed_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Exact seconds to the microsecond, as decimal, so that they can be summed exactly."""
-    # the interval type has no direct arithmetic to a number other than this pair of casts
-    return (_col(end) - _col(start)).cast("interval second").cast("decimal(18,6)")
+def elapsed(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """The interval between two timestamps. Intervals can be summed, exactly."""
+    return _col(end) - _col(start)
+
+
+def seconds_of(interval: ColumnOrName) -> Column:
+    """Exact seconds to the microsecond, as decimal."""
+    return _col(interval).cast("interval second").cast("decimal(18,6)")
+
+
+def days_of(seconds: ColumnOrName) -> Column:
+    return _col(seconds).cast("double") / F.lit(SECONDS_PER_DAY)
 
 
 def elapsed_days(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Fractional days: 23:00 to 01:00 the next day is 0.083."""
-    return elapsed_seconds(start, end).cast("double") / F.lit(SECONDS_PER_DAY)
+    return days_of(seconds_of(elapsed(start, end)))
 
 
 def whole_days(start: ColumnOrName, end: ColumnOrName) -> Column:

@@ -1,8 +1,8 @@
 """Casts, exact sums and rounding.
 
 Sums of doubles depend on the order rows arrive in, and that order changes with every
-shuffle and every retried task. Money is therefore summed as decimal and turned into a
-double once, at the end: the same rows always give the same bits.
+shuffle and every retried task. Money is therefore summed in whole units of 1/10000 and
+turned into a double once, at the end: the same rows always give the same bits.
 """
 
 from __future__ import annotations
@@ -13,17 +13,36 @@ from pyspark.sql.types import DecimalType
 
 from bazar.functions.text import ColumnOrName, _col
 
-MONEY = DecimalType(18, 4)
 COORDINATE = DecimalType(24, 15)
-WHOLE = DecimalType(20, 0)
+WHOLE = DecimalType(38, 0)
 
+UNITS_PER_MONEY = 10000.0
 
-def money(c: ColumnOrName) -> Column:
-    return _col(c).cast(MONEY)
+# A sum of units is kept as two sums, of the upper bits and of the lower 20. Both are plain
+# 64-bit additions, many times faster than decimal ones, and neither can run over before
+# some 10^13 rows.
+LOW_BITS = 20
+LOW_MASK = (1 << LOW_BITS) - 1
+
+
+def units(c: ColumnOrName) -> Column:
+    """Money as whole units."""
+    return F.rint(as_double(c) * F.lit(UNITS_PER_MONEY)).cast("bigint")
+
+
+def sum_units(c: ColumnOrName) -> Column:
+    """Aggregate: sum of whole units, as decimal; wide enough for any table."""
+    high, low = F.shiftright(_col(c), LOW_BITS), _col(c).bitwiseAND(F.lit(LOW_MASK))
+    return whole(F.sum(high)) * F.lit(1 << LOW_BITS).cast(WHOLE) + whole(F.sum(low))
+
+
+def money_of(c: ColumnOrName) -> Column:
+    """A sum of units as a double amount."""
+    return as_double(c) / F.lit(UNITS_PER_MONEY)
 
 
 def whole(c: ColumnOrName) -> Column:
-    """A count as decimal, for exact products with decimal sums."""
+    """A count as decimal, for products that may outgrow 64 bits."""
     return _col(c).cast(WHOLE)
 
 
@@ -31,13 +50,18 @@ def as_double(c: ColumnOrName) -> Column:
     return _col(c).cast("double")
 
 
-def exact_sum(c: ColumnOrName, dtype: DecimalType = MONEY) -> Column:
-    """Aggregate: order-independent sum, returned as double."""
-    return as_double(F.sum(_col(c).cast(dtype)))
+def exact_sum(c: ColumnOrName) -> Column:
+    """Aggregate: order-independent sum of money, as double."""
+    return money_of(sum_units(units(c)))
+
+
+def exact_mean(c: ColumnOrName) -> Column:
+    """Aggregate: order-independent mean of the non-NULL amounts."""
+    return mean_of(exact_sum(c), F.count(_col(c)))
 
 
-def exact_mean(c: ColumnOrName, dtype: DecimalType = MONEY) -> Column:
-    """Aggregate: order-independent mean of the non-NULL values."""
+def exact_decimal_mean(c: ColumnOrName, dtype: DecimalType) -> Column:
+    """Aggregate: the same for values that need more decimals than money."""
     return mean_of(F.sum(_col(c).cast(dtype)), F.count(_col(c)))
 
 

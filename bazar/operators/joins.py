@@ -5,19 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Below this many scanned bytes one task can take a third of the rows without harm.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+from bazar.operators.sizes import is_small
 
 # A key is hot from 1/HOT_SHARE of all rows, so there are never more than HOT_SHARE of them.
 HOT_SHARE = 1000
 
 
-def scanned_bytes(df: DataFrame) -> int:
-    """Bytes of all leaf scans, from the statistics Spark already has at planning time."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def left_join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join to a table with one row per key, keeping NULL keys out of the shuffle.
 
@@ -27,7 +20,7 @@ def left_join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return keyed.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left", small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Attach ``lookup`` (one row per key) to every row.
 
     Small inputs are joined as they are. Otherwise the keys holding at least 1/1000 of the
@@ -35,7 +28,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     shuffle join in which no key is hot any more. Every row is in exactly one of the parts,
     so the result is that of the plain join.
     """
-    if scanned_bytes(rows) <= small_bytes:
+    if is_small(rows):
         return rows.join(lookup, key, how)
     keyed = rows.filter(F.col(key).isNotNull())
     sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
@@ -49,13 +42,13 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     return joined
 
 
-def left_join_split(left: DataFrame, right: DataFrame, key: str, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join of two detail tables where the right side may hold the hot key.
 
     A left outer join can only split its left side at run time. An inner join can split
     both, so the large form is the inner join plus the left rows without a match.
     """
-    if scanned_bytes(left) + scanned_bytes(right) <= small_bytes:
+    if is_small(left, right):
         return left.join(right, key, "left")
     keyed = left.filter(F.col(key).isNotNull())
     matched = keyed.join(right, key, "inner")

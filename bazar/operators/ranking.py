@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazar.operators.joins import SMALL_INPUT_BYTES, scanned_bytes
+from bazar.operators.sizes import is_small
 from bazar.session import scratch_root
 
 # At most this many range partitions, hence rows in the offset table.
@@ -40,14 +40,13 @@ def global_row_number(
     tie: Sequence[str],
     name: str,
     sized_by: DataFrame | None = None,
-    small_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Row number by ``value`` descending; ``tie`` must make the order unique.
 
     ``sized_by`` names an input with at least as many rows as ``df``, for the size check.
     """
     order = [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]]
-    if scanned_bytes(df if sized_by is None else sized_by) <= small_bytes:
+    if is_small(df if sized_by is None else sized_by):
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     ranged = _ranges(df, value, tie)
     offsets = _with_rows_before(ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")))
@@ -66,7 +65,6 @@ def global_rank(
     tie: Sequence[str],
     name: str,
     sized_by: DataFrame | None = None,
-    small_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """``RANK() OVER (ORDER BY value DESC)``: ties share a rank and leave gaps.
 
@@ -75,7 +73,7 @@ def global_rank(
     smallest position any range reports for them.
     """
     order = F.col(value).desc_nulls_last()
-    if scanned_bytes(df if sized_by is None else sized_by) <= small_bytes:
+    if is_small(df if sized_by is None else sized_by):
         return df.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
     ranged = _ranges(df, value, tie)
     ranked = ranged.withColumn("__inside", F.rank().over(Window.partitionBy("__range").orderBy(order)).cast("bigint"))

@@ -10,22 +10,67 @@ a few rows in the map tasks, before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazar.functions.numeric import sum_units, whole
+from bazar.functions.text import ColumnOrName, _col
+from bazar.operators.sizes import is_small
 
-def collapse(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column] | None = None, copies: str = "copies") -> DataFrame:
-    """One row per ``keys`` with the number of rows it stands for and optional measures."""
-    aggregates = [F.count(F.lit(1)).alias(copies)]
-    aggregates += [c.alias(name) for name, c in (measures or {}).items()]
-    return df.groupBy(*keys).agg(*aggregates)
+Measures = Mapping[str, Column]
+
+
+def collapse(
+    df: DataFrame,
+    keys: Sequence[str],
+    sums: Measures | None = None,
+    units: Measures | None = None,
+    least: Measures | None = None,
+    greatest: Measures | None = None,
+    copies: str = "copies",
+) -> DataFrame:
+    """One row per ``keys`` with the number of rows it stands for, and measures.
+
+    ``sums`` are counts, ``units`` money in whole units.
+    """
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(copies),
+        *[F.sum(c).alias(name) for name, c in (sums or {}).items()],
+        *[sum_units(c).alias(name) for name, c in (units or {}).items()],
+        *[F.min(c).alias(name) for name, c in (least or {}).items()],
+        *[F.max(c).alias(name) for name, c in (greatest or {}).items()],
+    )
+
+
+def join_side(
+    df: DataFrame,
+    keys: Sequence[str],
+    sums: Measures | None = None,
+    units: Measures | None = None,
+    least: Measures | None = None,
+    greatest: Measures | None = None,
+    copies: str = "copies",
+) -> DataFrame:
+    """One side of a join on the first key, for a result that only sums over it.
+
+    A large input is collapsed, which costs a shuffle and bounds what one key can bring
+    to a task. In a small one no key can weigh much: its rows pass as they are, one copy
+    each, and the weighted sums after the join come out the same.
+    """
+    if not is_small(df):
+        return collapse(df, keys, sums, units, least, greatest, copies)
+    measures = {**(sums or {}), **(units or {}), **(least or {}), **(greatest or {})}
+    return df.select(*keys, F.lit(1).alias(copies), *[c.alias(name) for name, c in measures.items()])
 
 
 def stack_by_key(
     key: str,
     parts: Sequence[DataFrame],
     sums: Sequence[str],
+    units: Sequence[str] = (),
     least: Sequence[str] = (),
     greatest: Sequence[str] = (),
 ) -> DataFrame:
@@ -40,6 +85,17 @@ def stack_by_key(
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     return stacked.groupBy(key).agg(
         *[F.sum(c).alias(c) for c in sums],
+        *[sum_units(c).alias(c) for c in units],
         *[F.min(c).alias(c) for c in least],
         *[F.max(c).alias(c) for c in greatest],
     )
+
+
+def sum_product(*factors: ColumnOrName) -> Column:
+    """Aggregate: sum of a product of counts."""
+    return F.sum(reduce(mul, [_col(f) for f in factors]))
+
+
+def money_product(amount: ColumnOrName, *counts: ColumnOrName) -> Column:
+    """Aggregate: sum of units times counts, in decimal since fan-out may outgrow 64 bits."""
+    return F.sum(whole(amount) * whole(reduce(mul, [_col(c) for c in counts])))

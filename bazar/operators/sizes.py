@@ -1,0 +1,22 @@
+"""Input sizes, as far as Spark knows them when it plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Below this many scanned bytes one task can take a third of the rows without harm.
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+SETTING = "bazar.smallInputBytes"
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of all leaf scans, from the file listing behind the plan; reads no data."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def is_small(*inputs: DataFrame) -> bool:
+    """Whether the inputs together stay within the session's ``bazar.smallInputBytes``."""
+    limit = int(inputs[0].sparkSession.conf.get(SETTING, str(SMALL_INPUT_BYTES)))
+    return sum(scanned_bytes(df) for df in inputs) <= limit

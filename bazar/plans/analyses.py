@@ -8,18 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from bazar.functions import exact_mean, exact_sum, mean_of, round_half_away, whole
-from bazar.operators import collapse, stack_by_key, top_k
+from bazar.functions import exact_decimal_mean, exact_mean, exact_sum, mean_of, money_of, round_half_away
+from bazar.operators import join_side, money_product, stack_by_key, sum_product, top_k
 from bazar.plans.gold import (
     CANCELLED,
     REGION,
-    _late_orders,
+    _flag,
+    _known,
     _line_value,
-    _lines_per_order_and_seller,
+    _mean_money,
     _order_copies,
     _payment_groups,
     _seller_places,
-    _sum_product,
+    late_rows_per_seller,
 )
 
 # A mean is no money amount: it keeps ten decimals when averaged again.
@@ -41,8 +42,8 @@ def region_tickets(segments: DataFrame, k: int | None = 10, with_spent: bool = F
     """Customers, mean ticket and mean orders per zip, best ticket first."""
     measures = [
         F.count_distinct("customer_id").alias("num_customers"),
-        exact_mean("avg_ticket", TICKET).alias("region_avg_ticket"),
-        mean_of(F.sum("total_orders"), F.count("total_orders")).alias("region_avg_orders"),
+        exact_decimal_mean("avg_ticket", TICKET).alias("region_avg_ticket"),
+        F.avg("total_orders").alias("region_avg_orders"),
     ]
     if with_spent:
         measures.append(exact_sum("total_spent").alias("region_total_spent"))
@@ -57,20 +58,20 @@ def region_customers(aggregated_customers: DataFrame) -> DataFrame:
 
 def payment_types(payments: DataFrame, orders: DataFrame, canceled_status: str = CANCELLED) -> DataFrame:
     """Payments per type, counted as payment rows and without the items."""
-    per_order = stack_by_key("order_id", [_order_copies(orders, canceled_status)], sums=("orders", "canceled"))
+    per_order = stack_by_key("order_id", [_order_copies(_known(orders, "order_id"), canceled_status)], sums=("orders", "canceled"))
     return (
         _payment_groups(payments)
         .join(per_order, "order_id")
         .groupBy("payment_type")
         .agg(
-            _sum_product("paid", whole("orders")).alias("paid"),
-            _sum_product("paid_rows", "orders").alias("paid_rows"),
-            _sum_product("payments", "orders").alias("total_orders"),
-            _sum_product("payments", "canceled").alias("cancelled_orders"),
+            money_product("paid", "orders").alias("paid"),
+            sum_product("paid_rows", "orders").alias("paid_rows"),
+            sum_product("payments", "orders").alias("total_orders"),
+            sum_product("payments", "canceled").alias("cancelled_orders"),
         )
         .select(
             "payment_type",
-            mean_of("paid", "paid_rows").alias("avg_payment_value"),
+            mean_of(money_of("paid"), "paid_rows").alias("avg_payment_value"),
             "total_orders",
             "cancelled_orders",
             mean_of("cancelled_orders", "total_orders").alias("cancellation_rate"),
@@ -83,28 +84,34 @@ def payment_types_by_seller_mean(
 ) -> DataFrame:
     """Payment types as the mean over sellers: rounded per seller first, then averaged."""
     value = _line_value()
-    per_order = stack_by_key("order_id", [_order_copies(orders, canceled_status)], sums=("orders", "canceled"))
-    lines = _lines_per_order_and_seller(items, {"value": F.sum(value), "valued": F.count(value)})
+    per_order = stack_by_key("order_id", [_order_copies(_known(orders, "order_id"), canceled_status)], sums=("orders", "canceled"))
+    lines = join_side(
+        _known(items, "order_id", "seller_id"),
+        ["order_id", "seller_id"],
+        sums={"valued": _flag(value.isNotNull())},
+        units={"value": value},
+        copies="lines",
+    )
     per_seller = (
         _payment_groups(payments)
         .join(per_order, "order_id")
         .join(lines, "order_id")
         .groupBy("payment_type", "seller_id")
         .agg(
-            _sum_product("paid", whole(F.col("orders") * F.col("lines"))).alias("paid"),
-            _sum_product("paid_rows", "orders", "lines").alias("paid_rows"),
-            _sum_product("payments", "orders", "lines").alias("rows"),
-            _sum_product("payments", "canceled", "lines").alias("canceled_rows"),
-            _sum_product("value", whole(F.col("payments") * F.col("orders"))).alias("value"),
-            _sum_product("valued", "payments", "orders").alias("valued"),
+            money_product("paid", "orders", "lines").alias("paid"),
+            sum_product("paid_rows", "orders", "lines").alias("paid_rows"),
+            sum_product("payments", "orders", "lines").alias("rows"),
+            sum_product("payments", "canceled", "lines").alias("canceled_rows"),
+            money_product("value", "payments", "orders").alias("value"),
+            sum_product("valued", "payments", "orders").alias("valued"),
         )
     )
     rounded = _seller_places(sellers).join(per_seller, "seller_id").select(
         "payment_type",
-        round_half_away(mean_of("paid", "paid_rows"), 2).alias("avg_payment_value"),
+        _mean_money("paid", "paid_rows").alias("avg_payment_value"),
         (F.col("rows") * F.col("places")).alias("rows"),
         (F.col("canceled_rows") * F.col("places")).alias("canceled_rows"),
-        round_half_away(mean_of("value", "valued"), 2).alias("avg_order_value"),
+        _mean_money("value", "valued").alias("avg_order_value"),
     )
     return rounded.groupBy("payment_type").agg(
         round_half_away(exact_mean("avg_payment_value"), 2).alias("avg_payment_value"),
@@ -119,7 +126,7 @@ def delayed_orders_per_seller(orders: DataFrame, items: DataFrame, sellers: Data
     """Item rows and late item rows of sellers late at least once."""
     return (
         _seller_places(sellers)
-        .join(_late_orders(orders, items), "seller_id")
+        .join(late_rows_per_seller(orders, items), "seller_id")
         .select(
             "seller_id",
             "seller_city",

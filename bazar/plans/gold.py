@@ -19,17 +19,29 @@ from bazar.functions import (
     Band,
     as_double,
     calendar_days,
-    elapsed_seconds,
+    days_of,
+    elapsed,
     float_ratio,
     ieee_divide,
     ladder,
     mean_of,
-    money,
+    money_of,
     round_half_away,
+    seconds_of,
+    units,
     whole,
 )
-from bazar.functions.dates import SECONDS_PER_DAY
-from bazar.operators import collapse, global_rank, left_join_unique, lookup_join, stack_by_key
+from bazar.functions.text import ColumnOrName
+from bazar.operators import (
+    collapse,
+    global_rank,
+    join_side,
+    left_join_unique,
+    lookup_join,
+    money_product,
+    stack_by_key,
+    sum_product,
+)
 
 # The two spellings of the canceled status the models look for.
 CANCELED = "canceled"
@@ -66,11 +78,13 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def _sum_product(*factors: Column | str) -> Column:
-    product = F.col(factors[0]) if isinstance(factors[0], str) else factors[0]
-    for factor in factors[1:]:
-        product = product * (F.col(factor) if isinstance(factor, str) else factor)
-    return F.sum(product)
+def _known(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows an inner join on these columns can match."""
+    return df.dropna(subset=list(columns))
+
+
+def _mean_money(total: ColumnOrName, n: ColumnOrName, digits: int = 2) -> Column:
+    return round_half_away(mean_of(money_of(total), n), digits)
 
 
 def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFrame, canceled_status: str, by: str) -> DataFrame:
@@ -79,8 +93,7 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
     Orders and reviews are stacked into one row per order, joined once to the item counts
     per (order, seller), and aggregated once by seller.
     """
-    delivered, estimated = "order_delivered_customer_date", "order_estimated_delivery_date"
-    late_by = elapsed_seconds(estimated, delivered)
+    late_by = elapsed("order_estimated_delivery_date", "order_delivered_customer_date")
     per_order = stack_by_key(
         "order_id",
         [
@@ -88,7 +101,7 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
                 "order_id",
                 F.lit(1).alias("orders"),
                 _flag(F.col("order_status") == canceled_status).alias("canceled"),
-                late_by.alias("late_seconds"),
+                late_by.alias("late_by"),
                 _flag(late_by.isNotNull()).alias("timed"),
                 F.col("order_purchase_timestamp").alias("first_purchase"),
                 F.col("order_purchase_timestamp").alias("last_purchase"),
@@ -99,43 +112,42 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
                 _flag(F.col("review_score").isin(*NEGATIVE_SCORES)).alias("negatives"),
             ),
         ],
-        sums=("orders", "canceled", "late_seconds", "timed", "reviews", "negatives"),
+        sums=("orders", "canceled", "late_by", "timed", "reviews", "negatives"),
         least=("first_purchase",),
         greatest=("last_purchase",),
     )
-    lines = collapse(items.filter(F.col("order_id").isNotNull()), ["order_id", by], copies="lines")
+    lines = join_side(_known(items, "order_id"), ["order_id", by], copies="lines")
     totals = (
         lines.join(per_order, "order_id")
         .groupBy(by)
         .agg(
-            _sum_product("lines", "orders").alias("total_orders"),
-            _sum_product("lines", "canceled").alias("canceled_orders"),
-            _sum_product("lines", "reviews").alias("total_reviews"),
-            _sum_product("lines", "negatives").alias("negative_reviews"),
-            _sum_product("late_seconds", whole("lines")).alias("late_seconds"),
-            _sum_product("lines", "timed").alias("timed"),
+            sum_product("lines", "orders").alias("total_orders"),
+            sum_product("lines", "canceled").alias("canceled_orders"),
+            sum_product("lines", "reviews").alias("total_reviews"),
+            sum_product("lines", "negatives").alias("negative_reviews"),
+            F.sum(seconds_of("late_by") * whole("lines")).alias("late_seconds"),
+            sum_product("lines", "timed").alias("timed"),
             F.min("first_purchase").alias("first_purchase"),
             F.max("last_purchase").alias("last_purchase"),
         )
         .filter(F.col("total_orders") > 0)
     )
 
-    def known(c: str) -> Column:
+    def matched(c: str) -> Column:
         # a NULL seller has order totals but finds no partner for anything else
         return F.when(F.col(by).isNotNull(), F.col(c))
 
+    lifetime = days_of(seconds_of(elapsed(matched("first_purchase"), matched("last_purchase"))))
     return totals.select(
         by,
         "total_orders",
         "canceled_orders",
-        round_half_away(F.col("canceled_orders") / F.col("total_orders"), 4).alias("cancellation_rate"),
-        known("total_reviews").alias("total_reviews"),
-        known("negative_reviews").alias("negative_reviews"),
-        round_half_away(mean_of(known("negative_reviews"), "total_reviews"), 4).alias("negative_review_rate"),
-        round_half_away(mean_of(known("late_seconds"), "timed") / F.lit(SECONDS_PER_DAY), 2).alias("avg_delivery_delay"),
-        F.bround(as_double(elapsed_seconds(known("first_purchase"), known("last_purchase"))) / F.lit(SECONDS_PER_DAY), 0)
-        .cast("int")
-        .alias("seller_lifetime_days"),
+        round_half_away(mean_of("canceled_orders", "total_orders"), 4).alias("cancellation_rate"),
+        matched("total_reviews").alias("total_reviews"),
+        matched("negative_reviews").alias("negative_reviews"),
+        round_half_away(mean_of(matched("negative_reviews"), "total_reviews"), 4).alias("negative_review_rate"),
+        round_half_away(days_of(mean_of(matched("late_seconds"), "timed")), 2).alias("avg_delivery_delay"),
+        F.bround(lifetime, 0).cast("int").alias("seller_lifetime_days"),
     )
 
 
@@ -173,88 +185,84 @@ def agg_sellers_cancellation_rate_v2(
 
 def _sales_per_product(items: DataFrame) -> DataFrame:
     """One row per product; joins on product_id after this meet no hot key."""
-    return items.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count("order_id").alias("sold"),
-        F.sum(money("price")).alias("revenue"),
-        F.count("price").alias("priced"),
-        F.sum(money("freight_value")).alias("freight"),
-        F.count("freight_value").alias("freighted"),
+    return collapse(
+        _known(items, "product_id"),
+        ["product_id"],
+        sums={"sold": _flag(F.col("order_id").isNotNull()), "priced": _flag(F.col("price").isNotNull()), "freighted": _flag(F.col("freight_value").isNotNull())},
+        units={"revenue": units("price"), "freight": units("freight_value")},
+        copies="lines",
     )
 
 
+def _weight() -> dict[str, Column]:
+    return {"weight": F.col("product_weight_g"), "weighed": _flag(F.col("product_weight_g").isNotNull())}
+
+
 def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """Revenue, freight and weight per category that has a translation."""
-    described = collapse(
-        products.filter(F.col("product_id").isNotNull() & F.col("product_category").isNotNull()),
-        ["product_id", "product_category"],
-        {"weight": F.sum("product_weight_g"), "weighed": F.count("product_weight_g")},
-    )
+    described = join_side(_known(products, "product_id", "product_category"), ["product_id", "product_category"], sums=_weight())
     per_category = (
         described.join(_sales_per_product(items), "product_id")
         .groupBy(F.col("product_category").alias("product_category_name"))
         .agg(
-            _sum_product("revenue", whole("copies")).alias("revenue"),
-            _sum_product("sold", "copies").alias("sold"),
-            _sum_product("priced", "copies").alias("priced"),
-            _sum_product("freight", whole("copies")).alias("freight"),
-            _sum_product("freighted", "copies").alias("freighted"),
-            _sum_product("weight", "lines").alias("weight"),
-            _sum_product("weighed", "lines").alias("weighed"),
+            money_product("revenue", "copies").alias("revenue"),
+            sum_product("sold", "copies").alias("sold"),
+            sum_product("priced", "copies").alias("priced"),
+            money_product("freight", "copies").alias("freight"),
+            sum_product("freighted", "copies").alias("freighted"),
+            sum_product("weight", "lines").alias("weight"),
+            sum_product("weighed", "lines").alias("weighed"),
         )
     )
     names = collapse(translation, ["product_category_name"], copies="names")
     return per_category.join(names, "product_category_name").select(
         "product_category_name",
-        as_double(F.col("revenue") * whole("names")).alias("total_revenue"),
+        money_of(F.col("revenue") * whole("names")).alias("total_revenue"),
         (F.col("sold") * F.col("names")).alias("total_quantity_sold"),
-        round_half_away(mean_of("revenue", "priced"), 2).alias("average_price_per_item"),
-        round_half_away(mean_of("freight", "freighted"), 2).alias("average_freight"),
+        _mean_money("revenue", "priced").alias("average_price_per_item"),
+        _mean_money("freight", "freighted").alias("average_freight"),
         round_half_away(mean_of("weight", "weighed"), 2).alias("average_product_weight_per_category"),
     )
 
 
-def _customer_orders(orders: DataFrame) -> DataFrame:
-    return collapse(
-        orders,
-        ["order_id", "customer_id"],
-        {"first_purchase": F.min("order_purchase_timestamp"), "last_purchase": F.max("order_purchase_timestamp")},
-    )
+def _customer_orders(orders: DataFrame, dated: bool = False) -> DataFrame:
+    bought = F.col("order_purchase_timestamp")
+    dates = {"least": {"first_purchase": bought}, "greatest": {"last_purchase": bought}} if dated else {}
+    return join_side(_known(orders, "customer_id"), ["order_id", "customer_id"], **dates)
 
 
 def geo_sales(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
     """Revenue and item rows per city."""
-    basket = items.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.sum(money("price")).alias("revenue"), F.count(F.lit(1)).alias("lines"))
+    basket = collapse(_known(items, "order_id"), ["order_id"], units={"revenue": units("price")}, copies="lines")
     per_customer = (
         _customer_orders(orders)
-        .filter(F.col("customer_id").isNotNull())
         .join(basket, "order_id")
         .groupBy("customer_id")
-        .agg(_sum_product("revenue", whole("copies")).alias("revenue"), _sum_product("lines", "copies").alias("lines"))
+        .agg(money_product("revenue", "copies").alias("revenue"), sum_product("lines", "copies").alias("lines"))
     )
-    homes = collapse(customers.filter(F.col("customer_id").isNotNull()), ["customer_id", "customer_city", "customer_state"], copies="homes")
+    homes = join_side(_known(customers, "customer_id"), ["customer_id", "customer_city", "customer_state"], copies="homes")
     return (
         homes.join(per_customer, "customer_id")
         .groupBy("customer_city", "customer_state")
         .agg(
-            as_double(_sum_product("revenue", whole("homes"))).alias("total_revenue"),
-            _sum_product("lines", "homes").alias("total_orders"),
+            money_of(money_product("revenue", "homes")).alias("total_revenue"),
+            sum_product("lines", "homes").alias("total_orders"),
         )
     )
 
 
 def _paid_per_order(payments: DataFrame) -> DataFrame:
-    return payments.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.sum(money("payment_value")).alias("paid"))
+    return collapse(_known(payments, "order_id"), ["order_id"], units={"paid": units("payment_value")}).drop("copies")
 
 
 def gold_customers_segmented(orders: DataFrame, payments: DataFrame, aggregated_customers: DataFrame) -> DataFrame:
     """Orders, spending and ticket per customer; customers without orders are kept."""
     per_customer = (
-        left_join_unique(_customer_orders(orders).filter(F.col("customer_id").isNotNull()), _paid_per_order(payments), "order_id")
+        left_join_unique(_customer_orders(orders, dated=True), _paid_per_order(payments), "order_id")
         .groupBy("customer_id")
         .agg(
             F.sum(F.when(F.col("order_id").isNotNull(), F.col("copies")).otherwise(F.lit(0))).alias("total_orders"),
-            _sum_product("paid", whole("copies")).alias("spent"),
+            money_product("paid", "copies").alias("spent"),
             F.sum(F.when(F.col("paid").isNotNull(), F.col("copies"))).alias("paid_orders"),
             F.min("first_purchase").alias("first_order_date"),
             F.max("last_purchase").alias("last_order_date"),
@@ -266,8 +274,8 @@ def gold_customers_segmented(orders: DataFrame, payments: DataFrame, aggregated_
         "avg_latitude",
         "avg_longitude",
         "total_orders",
-        as_double("spent").alias("total_spent"),
-        mean_of("spent", "paid_orders").alias("avg_ticket"),
+        money_of("spent").alias("total_spent"),
+        mean_of(money_of("spent"), "paid_orders").alias("avg_ticket"),
         "first_order_date",
         "last_order_date",
     )
@@ -275,9 +283,10 @@ def gold_customers_segmented(orders: DataFrame, payments: DataFrame, aggregated_
 
 def _payment_groups(payments: DataFrame) -> DataFrame:
     return collapse(
-        payments.filter(F.col("order_id").isNotNull()),
+        _known(payments, "order_id"),
         ["order_id", "payment_type"],
-        {"paid": F.sum(money("payment_value")), "paid_rows": F.count("payment_value")},
+        sums={"paid_rows": _flag(F.col("payment_value").isNotNull())},
+        units={"paid": units("payment_value")},
         copies="payments",
     )
 
@@ -287,7 +296,7 @@ def _order_copies(orders: DataFrame, canceled_status: str) -> DataFrame:
 
 
 def _line_value() -> Column:
-    return money("price") + money("freight_value")
+    return units("price") + units("freight_value")
 
 
 def gold_payment_performance(payments: DataFrame, orders: DataFrame, items: DataFrame, canceled_status: str = CANCELLED) -> DataFrame:
@@ -296,57 +305,53 @@ def gold_payment_performance(payments: DataFrame, orders: DataFrame, items: Data
     per_order = stack_by_key(
         "order_id",
         [
-            _order_copies(orders, canceled_status),
-            items.select("order_id", F.lit(1).alias("lines"), value.alias("value"), _flag(value.isNotNull()).alias("valued")),
+            _order_copies(_known(orders, "order_id"), canceled_status),
+            _known(items, "order_id").select("order_id", F.lit(1).alias("lines"), value.alias("value"), _flag(value.isNotNull()).alias("valued")),
         ],
-        sums=("orders", "canceled", "lines", "value", "valued"),
+        sums=("orders", "canceled", "lines", "valued"),
+        units=("value",),
     ).filter((F.col("orders") > 0) & (F.col("lines") > 0))
-    weight = F.col("orders") * F.col("lines")
     return (
         _payment_groups(payments)
         .join(per_order, "order_id")
         .groupBy("payment_type")
         .agg(
-            _sum_product("paid", whole(weight)).alias("paid"),
-            _sum_product("paid_rows", weight).alias("paid_rows"),
+            money_product("paid", "orders", "lines").alias("paid"),
+            sum_product("paid_rows", "orders", "lines").alias("paid_rows"),
             # the payment groups are unique per order and type, so rows are distinct orders
             F.count(F.lit(1)).alias("total_orders"),
-            _sum_product("payments", "canceled", "lines").alias("cancelled_orders"),
-            _sum_product("value", whole(F.col("payments") * F.col("orders"))).alias("value"),
-            _sum_product("valued", "payments", "orders").alias("valued"),
+            sum_product("payments", "canceled", "lines").alias("cancelled_orders"),
+            money_product("value", "payments", "orders").alias("value"),
+            sum_product("valued", "payments", "orders").alias("valued"),
         )
         .select(
             "payment_type",
-            round_half_away(mean_of("paid", "paid_rows"), 2).alias("avg_payment_value"),
+            _mean_money("paid", "paid_rows").alias("avg_payment_value"),
             "total_orders",
             "cancelled_orders",
             mean_of("cancelled_orders", "total_orders").alias("cancellation_rate"),
-            round_half_away(mean_of("value", "valued"), 2).alias("avg_order_value"),
+            _mean_money("value", "valued").alias("avg_order_value"),
         )
     )
 
 
 def gold_product_inventory_priority(products: DataFrame, items: DataFrame) -> DataFrame:
     """Sales per product and their rank over all products."""
-    listed = collapse(products.filter(F.col("product_id").isNotNull()), ["product_id", "product_category"])
+    listed = collapse(_known(products, "product_id"), ["product_id", "product_category"])
     totals = listed.join(_sales_per_product(items), "product_id").select(
         "product_id",
         "product_category",
-        as_double(F.col("revenue") * whole("copies")).alias("total_sales"),
+        money_of(F.col("revenue") * whole("copies")).alias("total_sales"),
         (F.col("sold") * F.col("copies")).alias("sales_count"),
-        round_half_away(ieee_divide("revenue", "sold"), 2).alias("avg_price_per_sale"),
+        round_half_away(ieee_divide(money_of("revenue"), "sold"), 2).alias("avg_price_per_sale"),
     )
     return global_rank(totals, "total_sales", ["product_id", "product_category"], "sales_priority", sized_by=products)
 
 
 def gold_product_profitability_analysis(items: DataFrame, products: DataFrame, critical_percent: float = 30.0) -> DataFrame:
     """Mean price and freight per product; freight from 30 % of the price is critical."""
-    listed = collapse(
-        products.filter(F.col("product_id").isNotNull()),
-        ["product_id", "product_category"],
-        {"weight": F.sum("product_weight_g"), "weighed": F.count("product_weight_g")},
-    )
-    price, freight = mean_of("revenue", "priced"), mean_of("freight", "freighted")
+    listed = collapse(_known(products, "product_id"), ["product_id", "product_category"], sums=_weight())
+    price, freight = mean_of(money_of("revenue"), "priced"), mean_of(money_of("freight"), "freighted")
     percent = ieee_divide(freight, price) * F.lit(100.0)
     return listed.join(_sales_per_product(items), "product_id").select(
         "product_id",
@@ -363,58 +368,60 @@ def gold_product_profitability_analysis(items: DataFrame, products: DataFrame, c
 def gold_qualified_leads_priority(leads: DataFrame) -> DataFrame:
     """Every lead with the size of its origin and how that compares to the mean origin."""
     origins = leads.groupBy("came_from").agg(F.count("mql_id").alias("total_leads"))
-    mean_size = origins.agg(mean_of(F.sum("total_leads"), F.count(F.lit(1))).alias("mean_size")).scalar()
-    compared = origins.select(
-        "came_from",
-        "total_leads",
-        F.when(F.col("total_leads") > mean_size, F.lit("high")).when(F.col("total_leads") == mean_size, F.lit("median")).otherwise(F.lit("low")).alias("priority"),
-    )
-    return lookup_join(leads, compared, "came_from", "inner").select(
+    mean_size = origins.agg(F.avg("total_leads").alias("mean_size")).scalar()
+    size = F.col("total_leads")
+    priority = F.when(size > mean_size, F.lit("high")).when(size == mean_size, F.lit("median")).otherwise(F.lit("low"))
+    return lookup_join(leads, origins.withColumn("priority", priority), "came_from", "inner").select(
         "mql_id", "first_contact_date", "landing_page_id", "came_from", "total_leads", "priority"
     )
 
 
 def _seller_places(sellers: DataFrame) -> DataFrame:
-    return collapse(sellers.filter(F.col("seller_id").isNotNull()), ["seller_id", "seller_city", "seller_state"], copies="places")
+    return collapse(_known(sellers, "seller_id"), ["seller_id", "seller_city", "seller_state"], copies="places")
 
 
-def _lines_per_order_and_seller(items: DataFrame, measures: dict[str, Column] | None = None) -> DataFrame:
-    known = items.filter(F.col("order_id").isNotNull() & F.col("seller_id").isNotNull())
-    return collapse(known, ["order_id", "seller_id"], measures, copies="lines")
+def _order_sellers(items: DataFrame) -> DataFrame:
+    return join_side(_known(items, "order_id", "seller_id"), ["order_id", "seller_id"], copies="lines")
 
 
 def gold_sellers_order_reviews_score(sellers: DataFrame, items: DataFrame, order_reviews: DataFrame, below: float = 3.0) -> DataFrame:
     """Sellers whose mean review, weighted by item rows, is below 3."""
-    per_order = order_reviews.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(F.sum("review_score").alias("score"), F.count("review_score").alias("scored"))
+    given = F.col("review_score")
+    per_order = collapse(_known(order_reviews, "order_id"), ["order_id"], sums={"score": given, "scored": _flag(given.isNotNull())})
     score = mean_of("score", "scored")
     poor = (
-        _lines_per_order_and_seller(items)
+        _order_sellers(items)
         .join(per_order, "order_id")
         .groupBy("seller_id")
-        .agg(_sum_product("score", "lines").alias("score"), _sum_product("scored", "lines").alias("scored"))
+        .agg(sum_product("score", "lines").alias("score"), sum_product("scored", "lines").alias("scored"))
         .filter(score < F.lit(below))
     )
-    return _seller_places(sellers).join(poor, "seller_id").select("seller_id", "seller_city", "seller_state", round_half_away(score, 2).alias("avg_score_review"))
+    return (
+        _seller_places(sellers)
+        .join(poor, "seller_id")
+        .select("seller_id", "seller_city", "seller_state", round_half_away(score, 2).alias("avg_score_review"))
+    )
 
 
-def _late_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
+def late_rows_per_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Item rows, late item rows and days late per seller, for sellers late at least once."""
     delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     late = delivered > estimated
-    per_order = orders.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.sum(_flag(late)).alias("late"),
-        F.sum(F.when(late, calendar_days(estimated, delivered)).otherwise(F.lit(0))).alias("late_days"),
-        F.max(F.when(late, delivered)).alias("last_late"),
+    per_order = collapse(
+        _known(orders, "order_id"),
+        ["order_id"],
+        sums={"late": _flag(late), "late_days": F.when(late, calendar_days(estimated, delivered)).otherwise(F.lit(0))},
+        greatest={"last_late": F.when(late, delivered)},
+        copies="orders",
     )
     return (
-        _lines_per_order_and_seller(items)
+        _order_sellers(items)
         .join(per_order, "order_id")
         .groupBy("seller_id")
         .agg(
-            _sum_product("lines", "orders").alias("orders"),
-            _sum_product("lines", "late").alias("late"),
-            _sum_product("lines", "late_days").alias("late_days"),
+            sum_product("lines", "orders").alias("orders"),
+            sum_product("lines", "late").alias("late"),
+            sum_product("lines", "late_days").alias("late_days"),
             F.max("last_late").alias("last_late"),
         )
         .filter(F.col("late") > 0)
@@ -425,7 +432,7 @@ def gold_sellers_shipment_metrics(orders: DataFrame, items: DataFrame, sellers:
     """Delays per seller; the mean counts punctual rows as 0 days."""
     return (
         _seller_places(sellers)
-        .join(_late_orders(orders, items), "seller_id")
+        .join(late_rows_per_seller(orders, items), "seller_id")
         .select(
             "seller_id",
             "seller_city",
@@ -446,14 +453,18 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
     is the payment sum times the item rows, and item rows add up over the sellers.
     """
     people = aggregated_customers.groupBy(*REGION).agg(F.count_distinct("customer_unique_id").alias("total_customers"))
-    homes = aggregated_customers.select("customer_id", *REGION)
-    placed = _customer_orders(orders).select("order_id", "customer_id", "copies").join(homes, "customer_id")
-    lines = collapse(items.filter(F.col("order_id").isNotNull()), ["order_id", "seller_id"], copies="lines")
-    keyed = placed.filter(F.col("order_id").isNotNull()).join(lines, "order_id", "left").join(_paid_per_order(payments), "order_id", "left")
-    traded = keyed.groupBy(*REGION).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("seller_id").alias("distinct_sellers"),
-        _sum_product("paid", whole(F.col("copies") * F.coalesce("lines", F.lit(1)))).alias("sales"),
+    homes = _known(aggregated_customers, "customer_id").select("customer_id", *REGION)
+    placed = _known(_customer_orders(orders), "order_id").join(homes, "customer_id")
+    sold = join_side(_known(items, "order_id"), ["order_id", "seller_id"], copies="lines")
+    traded = (
+        placed.join(_paid_per_order(payments), "order_id", "left")
+        .join(sold, "order_id", "left")
+        .groupBy(*REGION)
+        .agg(
+            F.count_distinct("order_id").alias("total_orders"),
+            F.count_distinct("seller_id").alias("distinct_sellers"),
+            money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
+        )
     )
     # both parts group by the same columns; stacking them also matches NULL regions
     both = people.unionByName(traded, allowMissingColumns=True).groupBy(*REGION)
@@ -461,41 +472,40 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
         F.sum("total_customers").alias("total_customers"),
         F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
         F.coalesce(F.sum("distinct_sellers"), F.lit(0)).alias("distinct_sellers"),
-        as_double(F.sum("sales")).alias("total_sales_value"),
+        money_of(F.sum("sales")).alias("total_sales_value"),
     )
-    ratio = round_half_away(float_ratio("total_orders", F.when(F.col("distinct_sellers") != 0, F.col("distinct_sellers"))), 2)
+    ratio = round_half_away(float_ratio("total_orders", F.nullif("distinct_sellers", F.lit(0))), 2)
     return merged.withColumn("demand_supply_ratio", ratio.cast("float"))
 
 
-def _category_sales(items: DataFrame, products: DataFrame) -> DataFrame:
-    listed = collapse(products.filter(F.col("product_id").isNotNull()), ["product_id", "product_category"])
+def sales_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue, item rows and mean price per category."""
     return (
-        listed.join(_sales_per_product(items), "product_id")
+        join_side(_known(products, "product_id"), ["product_id", "product_category"])
+        .join(_sales_per_product(items), "product_id")
         .groupBy("product_category")
         .agg(
-            _sum_product("revenue", whole("copies")).alias("revenue"),
-            _sum_product("sold", "copies").alias("sold"),
-            _sum_product("priced", "copies").alias("priced"),
+            money_product("revenue", "copies").alias("revenue"),
+            sum_product("sold", "copies").alias("sold"),
+            sum_product("priced", "copies").alias("priced"),
+        )
+        .select(
+            "product_category",
+            round_half_away(money_of("revenue"), 2).alias("total_revenue"),
+            F.col("sold").alias("total_quantity_sold"),
+            _mean_money("revenue", "priced").alias("average_price_per_item"),
         )
-    )
-
-
-def sales_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Revenue, item rows and mean price per category."""
-    return _category_sales(items, products).select(
-        "product_category",
-        round_half_away("revenue", 2).alias("total_revenue"),
-        F.col("sold").alias("total_quantity_sold"),
-        round_half_away(mean_of("revenue", "priced"), 2).alias("average_price_per_item"),
     )
 
 
 def seller_performance(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """Revenue and item rows per seller."""
-    sold = items.filter(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(F.sum(money("price")).alias("revenue"), F.count("order_id").alias("sold"))
-    listed = collapse(sellers.filter(F.col("seller_id").isNotNull()), ["seller_id"])
+    sold = collapse(
+        _known(items, "seller_id"), ["seller_id"], sums={"sold": _flag(F.col("order_id").isNotNull())}, units={"revenue": units("price")}, copies="lines"
+    )
+    listed = collapse(_known(sellers, "seller_id"), ["seller_id"])
     return listed.join(sold, "seller_id").select(
         "seller_id",
-        as_double(F.col("revenue") * whole("copies")).alias("total_revenue"),
+        money_of(F.col("revenue") * whole("copies")).alias("total_revenue"),
         (F.col("sold") * F.col("copies")).alias("total_sales"),
     )

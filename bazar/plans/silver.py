@@ -16,8 +16,8 @@ from bazar.functions import (
     clean_lower,
     clean_upper,
     empty_to,
+    exact_decimal_mean,
     lower_or,
-    mean_of,
     text_or,
     text_to_int,
     to_timestamp,
@@ -196,8 +196,8 @@ def aggregated_customers(customers: DataFrame, geolocation: DataFrame) -> DataFr
     geolocation rows, so the mean is the same and the fan-out never exists.
     """
     per_zip = geolocation.groupBy(F.col("geolocation_cep").alias("customer_cep")).agg(
-        mean_of(F.sum(F.col("geolocation_lat").cast(COORDINATE)), F.count("geolocation_lat")).alias("avg_latitude"),
-        mean_of(F.sum(F.col("geolocation_lng").cast(COORDINATE)), F.count("geolocation_lng")).alias("avg_longitude"),
+        exact_decimal_mean("geolocation_lat", COORDINATE).alias("avg_latitude"),
+        exact_decimal_mean("geolocation_lng", COORDINATE).alias("avg_longitude"),
     )
     people = customers.select("customer_id", "customer_unique_id", "customer_cep", "customer_city", "customer_state").distinct()
     return lookup_join(people, per_zip, "customer_cep").select(*people.columns, "avg_latitude", "avg_longitude")

@@ -11,7 +11,6 @@ from pyspark.sql import SparkSession
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even when the split costs one more exchange later on
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from bazar import schemas
 from bazar.functions import (
     Band,
-    as_double,
     calendar_days,
     clean_lower,
     clean_upper,
@@ -26,12 +25,12 @@ from bazar.functions import (
     ladder,
     lifetime_label,
     lower_or,
-    money,
+    money_of,
     round_half_away,
     text_or,
     text_to_int,
+    units,
     upper_or,
-    whole,
     whole_days,
 )
 from bazar.operators import (
@@ -42,10 +41,12 @@ from bazar.operators import (
     left_join_split,
     left_join_unique,
     lookup_join,
+    money_product,
     null_counts,
     row_counts,
     rows_where,
     stack_by_key,
+    sum_product,
     top_k,
 )
 from bazar.plans import analyses, gold, silver
@@ -363,7 +364,7 @@ def _(t: TestTables) -> DataFrame:
     return t.raw("lineitem").select("l_orderkey", "l_linenumber", lifetime_label(days).alias("label"))
 
 
-# Operators. ``small_bytes=0`` takes the form meant for large inputs.
+# Operators.
 
 
 @register(
@@ -444,17 +445,18 @@ def _(t: TestTables) -> DataFrame:
         "o_orderkey",
         [
             t.raw("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.lit(1).alias("lines")),
-            t.raw("events").select(F.col("user_id").alias("o_orderkey"), F.lit(1).alias("events"), money("value").alias("paid")),
+            t.raw("events").select(F.col("user_id").alias("o_orderkey"), F.lit(1).alias("events"), units("value").alias("paid")),
         ],
-        sums=("lines", "events", "paid"),
+        sums=("lines", "events"),
+        units=("paid",),
     )
     placed = collapse(t.raw("orders"), ["o_orderkey", "o_custkey"])
     lines, events = F.coalesce("lines", F.lit(0)), F.coalesce("events", F.lit(0))
     line_rows, event_rows = F.greatest(lines, F.lit(1)), F.greatest(events, F.lit(1))
     return left_join_unique(placed, counted, "o_orderkey").groupBy("o_custkey").agg(
-        F.sum(F.col("copies") * line_rows * event_rows).alias("joined_rows"),
-        F.sum(F.col("copies") * lines * event_rows).alias("lines"),
-        as_double(F.sum(F.col("paid") * whole(F.col("copies") * line_rows))).alias("paid"),
+        sum_product("copies", line_rows, event_rows).alias("joined_rows"),
+        sum_product("copies", lines, event_rows).alias("lines"),
+        money_of(money_product("paid", "copies", line_rows)).alias("paid"),
     )
 
 
@@ -464,7 +466,7 @@ def _(t: TestTables) -> DataFrame:
 )
 def _(t: TestTables) -> DataFrame:
     events = t.raw("events").select("event_id", "user_id")
-    return lookup_join(events, events.groupBy("user_id").agg(F.count(F.lit(1)).alias("seen")), "user_id", "inner", small_bytes=0)
+    return lookup_join(events, events.groupBy("user_id").agg(F.count(F.lit(1)).alias("seen")), "user_id", "inner")
 
 
 @register(
@@ -473,7 +475,7 @@ def _(t: TestTables) -> DataFrame:
 )
 def _(t: TestTables) -> DataFrame:
     lines = t.raw("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey", "l_quantity")
-    return left_join_split(t.raw("orders").select("o_orderkey", "o_custkey"), lines, "o_orderkey", small_bytes=0)
+    return left_join_split(t.raw("orders").select("o_orderkey", "o_custkey"), lines, "o_orderkey")
 
 
 @register(
@@ -489,7 +491,7 @@ def _(t: TestTables) -> DataFrame:
 @register("win_global_rank", "select l_orderkey, l_linenumber, l_partkey, l_quantity, rank() over (order by l_quantity desc) as place from lineitem")
 def _(t: TestTables) -> DataFrame:
     lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return global_rank(lines, "l_quantity", ["l_orderkey", "l_linenumber", "l_partkey"], "place", small_bytes=0)
+    return global_rank(lines, "l_quantity", ["l_orderkey", "l_linenumber", "l_partkey"], "place")
 
 
 @register(
@@ -497,7 +499,7 @@ def _(t: TestTables) -> DataFrame:
     "select o_orderkey, o_orderpriority, row_number() over (order by o_orderpriority desc, o_orderkey) as place from orders",
 )
 def _(t: TestTables) -> DataFrame:
-    return global_row_number(t.raw("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"], "place", small_bytes=0)
+    return global_row_number(t.raw("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"], "place")
 
 
 @register(
