@@ -12,7 +12,7 @@ SETTING = "bazar.smallInputBytes"
 
 def scanned_bytes(df: DataFrame) -> int:
     """Bytes of all leaf scans, from the file listing behind the plan; reads no data."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 

@@ -455,20 +455,20 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
     people = aggregated_customers.groupBy(*REGION).agg(F.count_distinct("customer_unique_id").alias("total_customers"))
     homes = _known(aggregated_customers, "customer_id").select("customer_id", *REGION)
     placed = _known(_customer_orders(orders), "order_id").join(homes, "customer_id")
+    demand = placed.groupBy(*REGION).agg(F.count_distinct("order_id").alias("total_orders"))
     sold = join_side(_known(items, "order_id"), ["order_id", "seller_id"], copies="lines")
-    traded = (
+    # one row per region and seller, so that sellers are counted without a distinct
+    supply = (
         placed.join(_paid_per_order(payments), "order_id", "left")
         .join(sold, "order_id", "left")
+        .groupBy(*REGION, "seller_id")
+        .agg(money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"))
         .groupBy(*REGION)
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("seller_id").alias("distinct_sellers"),
-            money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
-        )
+        .agg(F.count("seller_id").alias("distinct_sellers"), F.sum("sales").alias("sales"))
     )
-    # both parts group by the same columns; stacking them also matches NULL regions
-    both = people.unionByName(traded, allowMissingColumns=True).groupBy(*REGION)
-    merged = both.agg(
+    # the parts group by the same columns; stacking them also matches NULL regions
+    parts = people.unionByName(demand, allowMissingColumns=True).unionByName(supply, allowMissingColumns=True)
+    merged = parts.groupBy(*REGION).agg(
         F.sum("total_customers").alias("total_customers"),
         F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
         F.coalesce(F.sum("distinct_sellers"), F.lit(0)).alias("distinct_sellers"),

@@ -12,7 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazar.plans.pipeline import ALIASES, BY_NAME
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TEST_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 RUN_AT = dt.datetime(2024, 6, 1, 12, 30)
 
@@ -53,7 +65,7 @@ BRONZE: dict[str, tuple[str, tuple[str, ...]]] = {
             "cast(l_suppkey as string) as seller_id",
             "l_shipdate as shipping_limit_date",
             "l_extendedprice as price",
-            "cast(cast(l_extendedprice as decimal(18, 2)) * cast(l_tax as decimal(4, 2)) as double) as freight_value",
+            "l_extendedprice * l_tax as freight_value",
         ),
     ),
     "payments_bronze": (
@@ -159,7 +171,7 @@ class TestTables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TEST_TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def bronze(self, name: str) -> DataFrame:
         source, columns = BRONZE[name]
