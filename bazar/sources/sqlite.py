@@ -68,9 +68,8 @@ class RowidRange(InputPartition):
 
 
 class SqliteReader(DataSourceReader):
-    def __init__(self, options: dict[str, str], schema: StructType) -> None:
-        self.path, self.table, self.schema = options["path"], options["table"], schema
-        self.parts = max(1, int(options.get("numPartitions", "8")))
+    def __init__(self, path: str, table: str, parts: int, schema: StructType) -> None:
+        self.path, self.table, self.parts, self.schema = path, table, max(1, parts), schema
 
     def partitions(self) -> list[RowidRange]:
         """Equal rowid ranges; finding their ends is two index lookups per file."""
@@ -84,7 +83,9 @@ class SqliteReader(DataSourceReader):
             ranges += [RowidRange(path, start, min(start + step - 1, last)) for start in range(first, last + 1, step)]
         return ranges
 
-    def read(self, partition: RowidRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: RowidRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # an empty table has no ranges
+            return
         types = [ARROW_TYPES[field.dataType] for field in self.schema.fields]
         names = ", ".join(_quoted(field.name) for field in self.schema.fields)
         con = _open(partition.path)
@@ -125,7 +126,8 @@ class SqliteDataSource(DataSource):
         return StructType([StructField(name, _column_type(declared)) for _, name, declared, *_ in columns])
 
     def reader(self, schema: StructType) -> SqliteReader:
-        return SqliteReader(dict(self.options), schema)
+        parts = int(self.options.get("numPartitions", "8"))
+        return SqliteReader(self.options["path"], self.options["table"], parts, schema)
 
 
 def read_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 8) -> DataFrame:
