@@ -10,6 +10,8 @@ Models return unsorted tables. ``ORDER`` holds the order each is read in.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -80,7 +82,7 @@ def _flag(condition: Column) -> Column:
 
 def _known(df: DataFrame, *columns: str) -> DataFrame:
     """Rows an inner join on these columns can match."""
-    return df.dropna(subset=list(columns))
+    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
 
 
 def _mean_money(total: ColumnOrName, n: ColumnOrName, digits: int = 2) -> Column:

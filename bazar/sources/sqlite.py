@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import sqlite3
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import BinaryType, DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
@@ -132,5 +134,7 @@ class SqliteDataSource(DataSource):
 
 def read_sqlite(spark: SparkSession, path: str, table: str, partitions: int = 8) -> DataFrame:
     """All columns of one table, read by ``partitions`` tasks per file."""
+    # send the reader along with the job: workers need not have this package installed
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(SqliteDataSource)
     return spark.read.format("sqlite").option("table", table).option("numPartitions", partitions).load(path)

@@ -6,6 +6,7 @@ import os
 import sqlite3
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -642,10 +643,10 @@ _STORED = [*((f"bronze/{name}") for name in BRONZE), *(f"{m.layer}/{m.name}" for
 )
 def _(t: TestTables) -> DataFrame:
     lake = _lake(t)
-    for name in BRONZE:
-        lake.write(t[f"bronze/{name}"], "bronze", name)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(lambda name: lake.write(t[f"bronze/{name}"], "bronze", name), BRONZE))
     outcomes = [Outcome("bronze", name, "ok", "") for name in lake.tables("bronze")]
-    outcomes += run_pipeline(lake, "silver", run_at=RUN_AT, parallel=4) + run_pipeline(lake, "gold", parallel=4)
+    outcomes += run_pipeline(lake, "silver", run_at=RUN_AT, parallel=8) + run_pipeline(lake, "gold", parallel=8)
     counts = row_counts({f"{o.layer}/{o.table_name}": lake.read(o.layer, o.table_name) for o in outcomes})
     statuses = outcome_table(t.spark, outcomes).withColumn("path", F.concat_ws("/", "layer", "table_name"))
     return statuses.join(counts.withColumnRenamed("table_name", "path"), "path").select("layer", "table_name", "status", "total_rows")
