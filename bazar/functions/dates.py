@@ -30,7 +30,7 @@ def seconds_of(interval: ColumnOrName) -> Column:
 
 
 def days_of(seconds: ColumnOrName) -> Column:
-    return _col(seconds).cast("double") / F.lit(SECONDS_PER_DAY)
+    return _col(seconds).cast("double") / SECONDS_PER_DAY
 
 
 def elapsed_days(start: ColumnOrName, end: ColumnOrName) -> Column:

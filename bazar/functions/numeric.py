@@ -27,18 +27,18 @@ LOW_MASK = (1 << LOW_BITS) - 1
 
 def units(c: ColumnOrName) -> Column:
     """Money as whole units."""
-    return F.rint(as_double(c) * F.lit(UNITS_PER_MONEY)).cast("bigint")
+    return F.rint(as_double(c) * UNITS_PER_MONEY).cast("bigint")
 
 
 def sum_units(c: ColumnOrName) -> Column:
     """Aggregate: sum of whole units, as decimal; wide enough for any table."""
-    high, low = F.shiftright(_col(c), LOW_BITS), _col(c).bitwiseAND(F.lit(LOW_MASK))
+    high, low = F.shiftright(_col(c), LOW_BITS), _col(c).bitwiseAND(LOW_MASK)
     return whole(F.sum(high)) * F.lit(1 << LOW_BITS).cast(WHOLE) + whole(F.sum(low))
 
 
 def money_of(c: ColumnOrName) -> Column:
     """A sum of units as a double amount."""
-    return as_double(c) / F.lit(UNITS_PER_MONEY)
+    return as_double(c) / UNITS_PER_MONEY
 
 
 def whole(c: ColumnOrName) -> Column:
@@ -77,7 +77,7 @@ def round_half_away(c: ColumnOrName, digits: int) -> Column:
     1.0 here.
     """
     scale = float(10**digits)
-    return F.round(as_double(c) * F.lit(scale), 0) / F.lit(scale)
+    return F.round(as_double(c) * scale, 0) / scale
 
 
 def text_to_int(c: ColumnOrName, strict: bool = True) -> Column:
@@ -98,6 +98,6 @@ def ieee_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
     """Double division where x/0 is an infinity and 0/0 is NaN instead of an error."""
     a, b = as_double(a), as_double(b)
     by_zero = (
-        F.when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf"))).when(a.isNotNull(), F.lit(float("nan")))
+        F.when(a > 0, float("inf")).when(a < 0, float("-inf")).when(a.isNotNull(), float("nan"))
     )
     return F.when(b == 0, by_zero).otherwise(F.try_divide(a, b))

@@ -21,10 +21,11 @@ class Band(NamedTuple):
 def ladder(metric: ColumnOrName, bands: Sequence[Band], otherwise: int | str) -> Column:
     """First band reached, highest first. A NULL metric reaches none of them."""
     steps = sorted(bands, key=lambda band: band.at_least, reverse=True)
-    result = F.when(_col(metric) >= F.lit(steps[0].at_least), F.lit(steps[0].result))
+    metric = _col(metric)
+    result = F.when(metric >= steps[0].at_least, steps[0].result)
     for band in steps[1:]:
-        result = result.when(_col(metric) >= F.lit(band.at_least), F.lit(band.result))
-    return result.otherwise(F.lit(otherwise))
+        result = result.when(metric >= band.at_least, band.result)
+    return result.otherwise(otherwise)
 
 
 # Seller lifetime labels, in days.
@@ -36,5 +37,5 @@ def lifetime_label(days: ColumnOrName) -> Column:
     """BEGINNER below 30 days, NEWBIE up to 180, EXPERT above; NULL stays NULL."""
     days = _col(days)
     return (
-        F.when(days < BEGINNER_BELOW, F.lit("BEGINNER")).when(days <= NEWBIE_UP_TO, F.lit("NEWBIE")).when(days.isNotNull(), F.lit("EXPERT"))
+        F.when(days < BEGINNER_BELOW, "BEGINNER").when(days <= NEWBIE_UP_TO, "NEWBIE").when(days.isNotNull(), "EXPERT")
     )

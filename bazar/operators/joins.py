@@ -33,7 +33,7 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left")
     keyed = rows.filter(F.col(key).isNotNull())
     sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
     total = sizes.agg(F.sum("__n").alias("__total")).scalar()
-    hot = sizes.filter(F.col("__n") * F.lit(HOT_SHARE) >= total).select(key)
+    hot = sizes.filter(F.col("__n") * HOT_SHARE >= total).select(key)
     on_hot = keyed.join(F.broadcast(hot.join(lookup, key, how)), key, "inner")
     on_rest = keyed.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how)
     joined = on_hot.unionByName(on_rest)

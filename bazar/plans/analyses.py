@@ -34,7 +34,7 @@ def high_risk_sellers(rates: DataFrame, cancellation: float = 0.1, negative: flo
 
 def worst_sellers(rates: DataFrame, k: int = 5, cancellation_weight: float = 2.0, tie: Sequence[str] = ("seller_id",)) -> DataFrame:
     """Top ``k`` by cancellations, weighted, plus negative reviews."""
-    weighted = F.col("cancellation_rate") * F.lit(cancellation_weight) + F.col("negative_review_rate")
+    weighted = F.col("cancellation_rate") * cancellation_weight + F.col("negative_review_rate")
     return top_k(rates, [weighted, *tie], k)
 
 

@@ -77,7 +77,7 @@ class RiskThresholds(NamedTuple):
 
 
 def _flag(condition: Column) -> Column:
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+    return F.when(condition, 1).otherwise(0)
 
 
 def _known(df: DataFrame, *columns: str) -> DataFrame:
@@ -263,7 +263,7 @@ def gold_customers_segmented(orders: DataFrame, payments: DataFrame, aggregated_
         left_join_unique(_customer_orders(orders, dated=True), _paid_per_order(payments), "order_id")
         .groupBy("customer_id")
         .agg(
-            F.sum(F.when(F.col("order_id").isNotNull(), F.col("copies")).otherwise(F.lit(0))).alias("total_orders"),
+            F.sum(F.when(F.col("order_id").isNotNull(), F.col("copies")).otherwise(0)).alias("total_orders"),
             money_product("paid", "copies").alias("spent"),
             F.sum(F.when(F.col("paid").isNotNull(), F.col("copies"))).alias("paid_orders"),
             F.min("first_purchase").alias("first_order_date"),
@@ -354,7 +354,7 @@ def gold_product_profitability_analysis(items: DataFrame, products: DataFrame, c
     """Mean price and freight per product; freight from 30 % of the price is critical."""
     listed = collapse(_known(products, "product_id"), ["product_id", "product_category"], sums=_weight())
     price, freight = mean_of(money_of("revenue"), "priced"), mean_of(money_of("freight"), "freighted")
-    percent = ieee_divide(freight, price) * F.lit(100.0)
+    percent = ieee_divide(freight, price) * 100.0
     return listed.join(_sales_per_product(items), "product_id").select(
         "product_id",
         "product_category",
@@ -363,7 +363,7 @@ def gold_product_profitability_analysis(items: DataFrame, products: DataFrame, c
         (F.col("sold") * F.col("copies")).alias("total_sales"),
         mean_of("weight", "weighed").alias("avg_weight"),
         round_half_away(percent, 2).alias("freight_pct_price"),
-        F.coalesce(percent >= F.lit(critical_percent), F.lit(False)).alias("critical_product"),
+        F.coalesce(percent >= critical_percent, F.lit(False)).alias("critical_product"),
     )
 
 
@@ -372,7 +372,7 @@ def gold_qualified_leads_priority(leads: DataFrame) -> DataFrame:
     origins = leads.groupBy("came_from").agg(F.count("mql_id").alias("total_leads"))
     mean_size = origins.agg(F.avg("total_leads").alias("mean_size")).scalar()
     size = F.col("total_leads")
-    priority = F.when(size > mean_size, F.lit("high")).when(size == mean_size, F.lit("median")).otherwise(F.lit("low"))
+    priority = F.when(size > mean_size, "high").when(size == mean_size, "median").otherwise("low")
     return lookup_join(leads, origins.withColumn("priority", priority), "came_from", "inner").select(
         "mql_id", "first_contact_date", "landing_page_id", "came_from", "total_leads", "priority"
     )
@@ -396,7 +396,7 @@ def gold_sellers_order_reviews_score(sellers: DataFrame, items: DataFrame, order
         .join(per_order, "order_id")
         .groupBy("seller_id")
         .agg(sum_product("score", "lines").alias("score"), sum_product("scored", "lines").alias("scored"))
-        .filter(score < F.lit(below))
+        .filter(score < below)
     )
     return (
         _seller_places(sellers)
@@ -412,7 +412,7 @@ def late_rows_per_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
     per_order = collapse(
         _known(orders, "order_id"),
         ["order_id"],
-        sums={"late": _flag(late), "late_days": F.when(late, calendar_days(estimated, delivered)).otherwise(F.lit(0))},
+        sums={"late": _flag(late), "late_days": F.when(late, calendar_days(estimated, delivered)).otherwise(0)},
         greatest={"last_late": F.when(late, delivered)},
         copies="orders",
     )
@@ -441,7 +441,7 @@ def gold_sellers_shipment_metrics(orders: DataFrame, items: DataFrame, sellers:
             "seller_state",
             (F.col("orders") * F.col("places")).alias("total_orders"),
             (F.col("late") * F.col("places")).alias("delayed_orders"),
-            round_half_away(as_double("late") * F.lit(100.0) / as_double("orders"), 2).alias("delayed_rate_percent"),
+            round_half_away(as_double("late") * 100.0 / as_double("orders"), 2).alias("delayed_rate_percent"),
             round_half_away(mean_of("late_days", "orders"), 2).alias("avg_delay_days"),
             F.col("last_late").alias("last_order_delayed"),
         )

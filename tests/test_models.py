@@ -66,7 +66,7 @@ def dirty(seed: int) -> dict[str, list[tuple]]:
     }
 
 
-@pytest.fixture(scope="module", params=[1, 2, 3])
+@pytest.fixture(scope="module", params=[1, 2])
 def tables(request, spark, tmp_path_factory):
     """The same tables for Spark and for SQL."""
     root, con, frames = tmp_path_factory.mktemp("dirty"), duckdb.connect(), {}
