@@ -14,7 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join partition even when the split costs one more exchange later on
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # hash instead of sort where every partition of a side turns out to fit in memory
+    # hash instead of sort where every partition of a side turns out small; such a table does
+    # not spill, so lower this and the advisory partition size below some 2 GB per core
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # broadcast decisions compare memory, not compressed file bytes
     "spark.sql.sources.fileCompressionFactor": "4.0",

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from bazar.operators.sorting import top_k
 from bazar.sources.describe import describe
 
-STAGING = "__staging"
+# beside a table while it is replaced
+STAGING, PREVIOUS = "__staging", "__previous"
 
 
 class Lake:
@@ -17,7 +18,8 @@ class Lake:
 
     A transactional format replaces a table in one commit. For plain files, an overwrite
     writes the new table beside the old one first: a failing job leaves the old table, and
-    a table may be rebuilt from itself.
+    a table may be rebuilt from itself. The swap is two renames, so readers need to wait
+    for it, and a driver lost in between leaves the old table as ``name__previous``.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet") -> None:
@@ -40,12 +42,16 @@ class Lake:
         if mode != "overwrite" or self.fmt == "delta":
             df.write.format(self.fmt).mode(mode).save(target)
             return
-        staged = target + STAGING
-        df.write.format(self.fmt).mode("overwrite").save(staged)
+        df.write.format(self.fmt).mode("overwrite").save(target + STAGING)
         fs, path = self._fs()
-        fs.delete(path(target), True)
-        if not fs.rename(path(staged), path(target)):
-            raise OSError(f"could not move {staged} to {target}")
+        current, staged, previous = path(target), path(target + STAGING), path(target + PREVIOUS)
+        fs.delete(previous, True)
+        if fs.exists(current) and not fs.rename(current, previous):
+            raise OSError(f"could not move {current} aside")
+        if not fs.rename(staged, current):
+            fs.rename(previous, current)
+            raise OSError(f"could not move {staged} to {current}")
+        fs.delete(previous, True)
 
     def exists(self, layer: str, name: str) -> bool:
         fs, path = self._fs()
@@ -58,7 +64,7 @@ class Lake:
         if not fs.exists(folder):
             return []
         names = [entry.getPath().getName() for entry in fs.listStatus(folder) if entry.isDirectory()]
-        return sorted(n for n in names if not n.endswith(STAGING) and not n.startswith((".", "_")))
+        return sorted(n for n in names if not n.endswith((STAGING, PREVIOUS)) and not n.startswith((".", "_")))
 
     def preview(self, layer: str, name: str, limit: int = 10, order: Sequence[str] = ()) -> DataFrame:
         """A few rows: whichever come first, or the first in ``order`` ('-name' descending)."""
