@@ -80,3 +80,10 @@ def test_silver_models_do_not_shuffle(spark, folder):
     narrow = ("order_items_silver", "payments_silver", "order_reviews", "orders_only_delivered_silver", "products_silver", "leads_closed_silver")
     for name in narrow:
         assert "Exchange" not in plan(TestTables(spark, folder)[f"silver/{name}"])
+
+
+@pytest.mark.parametrize("name, scans, shuffles", [("gd_agg_sellers_cancellation_rate_v2", 1, 3), ("gd_agg_sellers_cancellation_rate_v2_at_scale", 1, 4)])
+def test_risk_score_reads_items_once(spark, folder, name, scans, shuffles):
+    text = plan(QUERIES[name](spark, folder))
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", text)) == scans
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= shuffles
