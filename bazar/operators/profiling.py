@@ -17,7 +17,8 @@ def null_counts(df: DataFrame, columns: Sequence[str] | Mapping[str, str]) -> Da
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``table_name, total_rows`` for every table given."""
-    counted = [df.agg(F.count(F.lit(1)).alias("total_rows")).select(F.lit(name).alias("table_name"), "total_rows") for name, df in tables.items()]
+    n = F.count(F.lit(1)).alias("total_rows")
+    counted = [df.agg(n).select(F.lit(name).alias("table_name"), "total_rows") for name, df in tables.items()]
     return reduce(DataFrame.unionByName, counted)
 
 

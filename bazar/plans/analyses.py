@@ -13,7 +13,7 @@ from bazar.operators import join_side, money_product, stack_by_key, sum_product,
 from bazar.plans.gold import (
     CANCELLED,
     REGION,
-    _flag,
+    _filled,
     _known,
     _line_value,
     _mean_money,
@@ -88,7 +88,7 @@ def payment_types_by_seller_mean(
     lines = join_side(
         _known(items, "order_id", "seller_id"),
         ["order_id", "seller_id"],
-        sums={"valued": _flag(value.isNotNull())},
+        sums={"valued": _filled(value)},
         units={"value": value},
         copies="lines",
     )

@@ -33,7 +33,7 @@ from bazar.functions import (
     units,
     whole,
 )
-from bazar.functions.text import ColumnOrName
+from bazar.functions.text import ColumnOrName, _col
 from bazar.operators import (
     collapse,
     global_rank,
@@ -80,6 +80,11 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
+def _filled(c: ColumnOrName) -> Column:
+    """1 per value a COUNT or AVG would see."""
+    return _flag(_col(c).isNotNull())
+
+
 def _known(df: DataFrame, *columns: str) -> DataFrame:
     """Rows an inner join on these columns can match."""
     return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
@@ -104,7 +109,7 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
                 F.lit(1).alias("orders"),
                 _flag(F.col("order_status") == canceled_status).alias("canceled"),
                 late_by.alias("late_by"),
-                _flag(late_by.isNotNull()).alias("timed"),
+                _filled(late_by).alias("timed"),
                 F.col("order_purchase_timestamp").alias("first_purchase"),
                 F.col("order_purchase_timestamp").alias("last_purchase"),
             ),
@@ -190,14 +195,14 @@ def _sales_per_product(items: DataFrame) -> DataFrame:
     return collapse(
         _known(items, "product_id"),
         ["product_id"],
-        sums={"sold": _flag(F.col("order_id").isNotNull()), "priced": _flag(F.col("price").isNotNull()), "freighted": _flag(F.col("freight_value").isNotNull())},
+        sums={"sold": _filled("order_id"), "priced": _filled("price"), "freighted": _filled("freight_value")},
         units={"revenue": units("price"), "freight": units("freight_value")},
         copies="lines",
     )
 
 
 def _weight() -> dict[str, Column]:
-    return {"weight": F.col("product_weight_g"), "weighed": _flag(F.col("product_weight_g").isNotNull())}
+    return {"weight": F.col("product_weight_g"), "weighed": _filled("product_weight_g")}
 
 
 def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -287,7 +292,7 @@ def _payment_groups(payments: DataFrame) -> DataFrame:
     return collapse(
         _known(payments, "order_id"),
         ["order_id", "payment_type"],
-        sums={"paid_rows": _flag(F.col("payment_value").isNotNull())},
+        sums={"paid_rows": _filled("payment_value")},
         units={"paid": units("payment_value")},
         copies="payments",
     )
@@ -308,7 +313,9 @@ def gold_payment_performance(payments: DataFrame, orders: DataFrame, items: Data
         "order_id",
         [
             _order_copies(_known(orders, "order_id"), canceled_status),
-            _known(items, "order_id").select("order_id", F.lit(1).alias("lines"), value.alias("value"), _flag(value.isNotNull()).alias("valued")),
+            _known(items, "order_id").select(
+                "order_id", F.lit(1).alias("lines"), value.alias("value"), _filled(value).alias("valued")
+            ),
         ],
         sums=("orders", "canceled", "lines", "valued"),
         units=("value",),
@@ -389,7 +396,7 @@ def _order_sellers(items: DataFrame) -> DataFrame:
 def gold_sellers_order_reviews_score(sellers: DataFrame, items: DataFrame, order_reviews: DataFrame, below: float = 3.0) -> DataFrame:
     """Sellers whose mean review, weighted by item rows, is below 3."""
     given = F.col("review_score")
-    per_order = collapse(_known(order_reviews, "order_id"), ["order_id"], sums={"score": given, "scored": _flag(given.isNotNull())})
+    per_order = collapse(_known(order_reviews, "order_id"), ["order_id"], sums={"score": given, "scored": _filled(given)})
     score = mean_of("score", "scored")
     poor = (
         _order_sellers(items)
@@ -503,7 +510,11 @@ def sales_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
 def seller_performance(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """Revenue and item rows per seller."""
     sold = collapse(
-        _known(items, "seller_id"), ["seller_id"], sums={"sold": _flag(F.col("order_id").isNotNull())}, units={"revenue": units("price")}, copies="lines"
+        _known(items, "seller_id"),
+        ["seller_id"],
+        sums={"sold": _filled("order_id")},
+        units={"revenue": units("price")},
+        copies="lines",
     )
     listed = collapse(_known(sellers, "seller_id"), ["seller_id"])
     return listed.join(sold, "seller_id").select(
