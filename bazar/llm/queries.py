@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazar.llm import decontaminate, mixing, quality_rules, token_counts
+from bazar.llm import decontaminate, html_text, mixing, quality_rules, token_counts, toxicity
 from bazar.llm.tables import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,19 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(ids, 256).alias("items_sha256"),
         (F.size("hit_words") > 0).alias("contaminated"),
     )
+
+
+@register("op9_html_extraction")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    return html_text.extract(pages, html_text.fit(pages), keep=["page_id", "url"])
+
+
+@register("op5_toxicity")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "toxic").filter(fold != 0)
+    network = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, network, keep=["doc_id"])
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
