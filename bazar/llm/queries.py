@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazar.llm import decontaminate, html_text, mixing, quality_rules, token_counts, toxicity
+from bazar.llm import decontaminate, html_text, mixing, quality_rules, substring_dedup, token_counts, toxicity
 from bazar.llm.tables import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,3 +142,25 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     network = toxicity.fit(docs, labels)
     scored = toxicity.score(docs, network, keep=["doc_id"])
     return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register(
+    "op1_substring_dedup",
+    rf"""
+    with docs as (select doc_id, {WORDS_SQL} as words from documents),
+    starts as (select doc_id, words, unnest(generate_series(1, len(words) - 19)) as i from docs where len(words) >= 20),
+    later as (
+        select doc_id, i from (
+            select doc_id, i, row_number() over (partition by array_to_string(words[i:i + 19], ' ') order by doc_id, i) as nth from starts)
+        where nth > 1),
+    gone as (select distinct doc_id, unnest(generate_series(i, i + 19)) as p from later),
+    flat as (select doc_id, unnest(words) as word, unnest(generate_series(1, len(words))) as p from docs where len(words) > 0),
+    kept as (
+        select flat.doc_id, string_agg(word, ' ' order by flat.p) as body, count(*) as n
+        from flat left join gone on flat.doc_id = gone.doc_id and flat.p = gone.p where gone.p is null group by flat.doc_id)
+    select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(body, '')) as kept_sha256
+    from docs left join kept using (doc_id)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    done = substring_dedup.substring_dedup(table(spark, folder, "documents", "doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
