@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazar.llm import decontaminate, html_text, mixing, quality_rules, substring_dedup, token_counts, toxicity
+from bazar.llm import decontaminate, html_text, mixing, quality_rules, simhash, substring_dedup, token_counts, toxicity
 from bazar.llm.tables import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     done = substring_dedup.substring_dedup(table(spark, folder, "documents", "doc_id", "text"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op3_simhash")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    done = simhash.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
+    return done.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
