@@ -143,22 +143,25 @@ def bit_payload(flags: np.ndarray) -> bytes:
 
 @dataclass(frozen=True)
 class Sketch:
-    """A count-min sketch of ``DEPTH`` rows whose counters stop at two, spread over slices.
+    """A count-min sketch of ``DEPTH`` rows, spread over slices.
 
-    The sketch of a chunk is sparse: its cells, sorted, and which of them it counted twice. Slices add the sketches of all chunks up in an
-    array of their range of cells. As counters only ever count too much, a key that occurs twice is never missed.
+    The sketch of a chunk is sparse: its cells, sorted, and their counts where above one, up to 255. Slices add the sketches of all chunks up
+    in an array of their range of cells. Counters only ever count too much where it matters: a key that occurs twice is never missed.
+    ``often`` is the count from which on a key is called hot; as counts of a chunk stop at 255, only keys of several chunks can be.
     """
 
     bits: int
     slices: int
+    often: int = 0
 
     DEPTH = 2
     SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+    HOT_TAG = 4
 
     @classmethod
-    def for_keys(cls, keys: int, slices: int, load: int = 8) -> Sketch:
+    def for_keys(cls, keys: int, slices: int, load: int = 8, often: int = 0) -> Sketch:
         """About ``load`` cells per key and row."""
-        return cls(min(60, max(16, math.ceil(math.log2(max(1, keys) * load)))), slices)
+        return cls(min(60, max(16, math.ceil(math.log2(max(1, keys) * load)))), slices, often)
 
     def cells(self, keys: np.ndarray, row: int) -> np.ndarray:
         return mix(keys ^ np.uint64(self.SEEDS[row])) >> np.uint64(64 - self.bits)
@@ -170,29 +173,40 @@ class Sketch:
         edges = self.edges()
         for row in range(self.DEPTH):
             cells, counts = np.unique(self.cells(keys, row), return_counts=True)
+            many = counts > 1
+            counts = np.minimum(counts, 255).astype(np.uint8)
             cuts = np.searchsorted(cells, edges)
             for s in range(self.slices):
                 lo, hi = cuts[s], cuts[s + 1]
                 if hi > lo:
-                    yield s, chunk, row, pack((cells[lo:hi] - edges[s]).astype(np.uint32), np.packbits(counts[lo:hi] > 1))
+                    yield s, chunk, row, pack((cells[lo:hi] - edges[s]).astype(np.uint32), np.packbits(many[lo:hi]), counts[lo:hi][many[lo:hi]])
 
     def reply(self, asked: list[Message]) -> Iterator[Message]:
         edges = self.edges()
         for row in range(self.DEPTH):
-            mine = [(chunk, *unpack(payload, np.uint32, np.uint8)) for _, chunk, tag, payload in asked if tag == row]
+            mine = [(chunk, *unpack(payload, np.uint32, np.uint8, np.uint8)) for _, chunk, tag, payload in asked if tag == row]
             if not mine:
                 continue
             s = asked[0][0]
-            total = np.zeros(int(edges[s + 1] - edges[s]), np.uint8)
-            for _, cells, many in mine:
-                total[cells] = np.minimum(2, total[cells] + 1 + np.unpackbits(many, count=len(cells)))
-            for chunk, cells, _ in mine:
+            total = np.zeros(int(edges[s + 1] - edges[s]), np.uint32)
+            for _, cells, many, counts in mine:
+                total[cells] += 1
+                total[cells[np.unpackbits(many, count=len(cells)).astype(bool)]] += counts - np.uint8(1)
+            for chunk, cells, _, _ in mine:
                 yield s, chunk, row, bit_payload(total[cells] > 1)
+                if self.often:
+                    yield s, chunk, self.HOT_TAG + row, bit_payload(total[cells] >= self.often)
 
-    def repeated(self, answers: dict[int, list[bytes]], keys: np.ndarray) -> np.ndarray:
-        """Which of the keys are estimated to occur twice, from the answers under the tags of the rows."""
+    def _both(self, answers: dict[int, list[bytes]], keys: np.ndarray, tag: int) -> np.ndarray:
         flags = np.ones(len(keys), bool)
         for row in range(self.DEPTH):
             cells, place = np.unique(self.cells(keys, row), return_inverse=True)
-            flags &= bits_of(answers.get(row, []), len(cells))[place]
+            flags &= bits_of(answers.get(tag + row, []), len(cells))[place]
         return flags
+
+    def repeated(self, answers: dict[int, list[bytes]], keys: np.ndarray) -> np.ndarray:
+        """Which of the keys are estimated to occur twice, from the answers under the tags of the rows."""
+        return self._both(answers, keys, 0)
+
+    def hot(self, answers: dict[int, list[bytes]], keys: np.ndarray) -> np.ndarray:
+        return self._both(answers, keys, self.HOT_TAG)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazar.llm import decontaminate, html_text, mixing, quality_rules, simhash, substring_dedup, token_counts, toxicity
+from bazar.llm import decontaminate, html_text, mixing, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
 from bazar.llm.tables import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +170,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     done = simhash.near_duplicates(table(spark, folder, "documents", "doc_id", "text"))
     return done.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register(
+    "op8_suffix_dedup",
+    """
+    with docs as (select doc_id, hex(encode(coalesce("text", ''))) as h from documents),
+    starts as (select doc_id, h, unnest(generate_series(0, length(h) // 2 - 50)) as i from docs where length(h) >= 100),
+    lost as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by substr(h, 2 * i + 1, 100)) as least from starts) where least < doc_id),
+    gone as (select distinct doc_id, unnest(generate_series(i, i + 49)) as p from lost),
+    runs as (select doc_id, count(*) as n from (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from gone) where before is null or before < p - 1 group by doc_id),
+    flat as (select doc_id, h, unnest(generate_series(0, length(h) // 2 - 1)) as p from docs where length(h) > 0),
+    kept as (
+        select flat.doc_id, string_agg(substr(h, 2 * flat.p + 1, 2), '' order by flat.p) as body, count(*) as n
+        from flat left join gone on flat.doc_id = gone.doc_id and flat.p = gone.p where gone.p is null group by flat.doc_id)
+    select doc_id, (length(h) // 2)::bigint as n_bytes, (length(h) // 2 - coalesce(kept.n, 0))::bigint as n_removed, coalesce(runs.n, 0)::bigint as n_spans,
+        sha256(unhex(coalesce(body, ''))) as kept_sha256
+    from docs left join kept using (doc_id) left join runs using (doc_id)""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.suffix_dedup(table(spark, folder, "documents", "doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +23,16 @@ SETTINGS = {
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators are written for and return the same session."""
+    """Apply the settings the operators are written for and return the same session.
+
+    Python workers find this package where the driver found it; on a cluster without that folder, ship it with --py-files.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    environment, home = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, home) if p)
     return spark
 
 
