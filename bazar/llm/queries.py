@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazar.llm import decontaminate, html_text, mixing, quality_rules, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
+from bazar.llm import decontaminate, html_text, mixing, quality_rules, simhash, substring_dedup, suffix_dedup, suffix_tree_lm, token_counts, toxicity
 from bazar.llm.tables import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +191,8 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_dedup.suffix_dedup(table(spark, folder, "documents", "doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@register("op2_suffix_tree_lm")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree_lm.score(table(spark, folder, "documents", "doc_id", "text")).drop("text")

@@ -14,13 +14,14 @@ neighbourhoods. The strings of such anchors are segments of their own: step 2 de
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, StructField, StructType
 
 from bazar.llm import bwt, exchange
 from bazar.llm.tables import stored
@@ -229,3 +230,24 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
     done = exchange.hear(chunks.rows, heard_so_far.unionByName(losses), cut, schema)
     return done.select(*[F.col("row").getField(c).alias(c) for c in kept], *added.names)
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, chars: str | None = "n_chars") -> DataFrame:
+    """The rows with the text that ``suffix_dedup`` leaves, all other columns unchanged.
+
+    What a cut leaves of a split character goes too. ``chars``, if there is such a column, gets the new number of characters. Rows that lose something and
+    have no word left are dropped; those that had none to begin with stay.
+    """
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    done = suffix_dedup(row, "key", "text", length).select("row", "n_removed", "kept_bytes")
+    schema = StructType([done.schema["row"], StructField("changed", BooleanType()), StructField("rest", StringType())])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            changed = [n > 0 for n in batch.column(1).to_pylist()]
+            rest = [b.decode("utf-8", "ignore") if c else None for b, c in zip(batch.column(2).to_pylist(), changed)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(changed), pa.array(rest, pa.string())], names=schema.names)
+
+    cut = done.mapInArrow(decode, schema).filter(~F.col("changed") | F.col("rest").rlike(r"[^\x20\x09-\x0D]"))
+    new = {text: F.col("rest")} | ({chars: F.length("rest").cast(docs.schema[chars].dataType)} if chars in docs.columns else {})
+    return cut.select(*[F.when(F.col("changed"), new[c]).otherwise(F.col("row").getField(c)).alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
