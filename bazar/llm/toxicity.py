@@ -45,6 +45,27 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
+def char_slots(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the character sequences of words, whose bytes stand one after the other, and the bounds of each word's.
+
+    A word gets a border byte on both sides; sequences that run over the border of a short word are left out.
+    """
+    lengths = sizes + 2
+    firsts = np.cumsum(lengths) - lengths
+    padded = np.full(int(lengths.sum()), 0x20, np.uint8)
+    padded[ranges(firsts + 1, sizes)] = text
+    values = byte_values(padded)
+    per_size = [np.maximum(lengths - size + 1, 0) for size in CHAR_SIZES]
+    counts = sum(per_size)
+    bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    slots, at = np.zeros(int(counts.sum()), np.int32), bounds[:-1].copy()
+    for size, n in zip(CHAR_SIZES, per_size):
+        if n.sum():
+            slots[ranges(at, n)] = (window_hashes(values, size)[ranges(firsts, n)] % np.uint64(CHAR_SLOTS)).astype(np.int32)
+        at += n
+    return slots, bounds
+
+
 @dataclass
 class Words:
     """Words of a piece: distinct words, and which of them stands where."""
@@ -57,27 +78,22 @@ class Words:
 
     @classmethod
     def of(cls, data: np.ndarray, offsets: np.ndarray) -> Words:
-        data = LOWER[data]
-        starts, ends, bounds = word_spans(data, offsets)
-        hashes, first, place = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        # sequences with a border byte on both sides; those that run over the border of a short word are left out
-        sizes = ends[first] - starts[first]
-        lengths = sizes + 2
-        firsts = np.cumsum(lengths) - lengths
-        padded = np.full(int(lengths.sum()), 0x20, np.uint8)
-        padded[ranges(firsts + 1, sizes)] = data[ranges(starts[first], sizes)]
-        values = byte_values(padded)
-        owners, slots = [], []
-        for size in CHAR_SIZES:
-            n = np.maximum(lengths - size + 1, 0)
-            if n.sum():
-                slots.append((window_hashes(values, size)[ranges(firsts, n)] % np.uint64(CHAR_SLOTS)).astype(np.int64))
-                owners.append(np.repeat(np.arange(len(n)), n))
-        if not slots:
-            return cls(hashes, place, bounds, np.zeros(0, np.int64), np.zeros(len(hashes) + 1, np.int64))
-        owner = np.concatenate(owners)
-        counts = np.bincount(owner, minlength=len(hashes))
-        return cls(hashes, place, bounds, np.concatenate(slots)[np.argsort(owner, kind="stable")], np.concatenate([[0], np.cumsum(counts)]))
+        hashes, counts, texts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)]
+        places, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for _, _, part, bounds in pieces(data, offsets):
+            part = LOWER[part]
+            starts, ends, firsts = word_spans(part, bounds)
+            distinct, first, place = np.unique(span_hashes(part, starts, ends), return_index=True, return_inverse=True)
+            places.append(place + sum(len(h) for h in hashes))
+            hashes.append(distinct)
+            sizes.append(ends[first] - starts[first])
+            texts.append(part[ranges(starts[first], sizes[-1])])
+            counts.append(np.diff(firsts))
+        hashes, first, merged = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        sizes, text = np.concatenate(sizes), np.concatenate(texts)
+        begin = (np.cumsum(sizes) - sizes)[first]
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return cls(hashes, merged[np.concatenate(places)], bounds, *char_slots(text[ranges(begin, sizes[first])], sizes[first]))
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, first word and length of every window; a row without words has none."""
@@ -115,10 +131,14 @@ class Network:
         """Vector number and mean character vector of every distinct word; number -1 is the zero vector."""
         at = np.minimum(np.searchsorted(self.known, words.hashes), max(0, len(self.known) - 1))
         number = np.where(self.known[at] == words.hashes, at, len(self.known)) if len(self.known) else np.zeros(len(words.hashes), np.int64)
-        sums = np.zeros((len(words.slots) + 1, VECTOR), np.float64)
-        np.cumsum(self.weights["char"][words.slots], axis=0, out=sums[1:], dtype=np.float64)
-        sizes = np.diff(words.slot_bounds)[:, None]
-        return number, ((sums[words.slot_bounds[1:]] - sums[words.slot_bounds[:-1]]) / np.maximum(sizes, 1)).astype(np.float32)
+        sizes = np.diff(words.slot_bounds)
+        chars = np.zeros((len(sizes), VECTOR), np.float32)
+        for lo in range(0, len(sizes), 1 << 15):  # the gathered vectors of some words at a time
+            some = np.flatnonzero(sizes[lo : lo + (1 << 15)]) + lo
+            if len(some):
+                gathered = self.weights["char"][words.slots[words.slot_bounds[some[0]] : words.slot_bounds[some[-1] + 1]]]
+                chars[some] = np.add.reduceat(gathered, words.slot_bounds[some] - words.slot_bounds[some[0]], axis=0) / sizes[some, None]
+        return number, chars
 
     def run(self, gates: dict[str, np.ndarray], place: np.ndarray, there: np.ndarray, trace: dict | None = None) -> np.ndarray:
         """Log odds of windows. ``place`` is (time, window) of distinct words, ``there`` which of them exist."""
@@ -154,7 +174,7 @@ class Network:
         vectors = w["word"][number]
         return {side: vectors @ w[f"word_{side}"] + chars @ w[f"char_{side}"] + w[f"gate_{side}"] for side in "fb"}
 
-    def window_odds(self, words: Words, batch: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    def window_odds(self, words: Words, batch: int = 2048) -> tuple[np.ndarray, np.ndarray]:
         rows, firsts, sizes = words.windows()
         odds = np.zeros(len(rows), np.float32)
         if len(rows):
