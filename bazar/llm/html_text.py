@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from bazar.llm.tables import hash_sample
+
 # What is learned from: so many pages in the order of a hash of their key, none longer than the second bound.
 TRAINING_PAGES = 400
 TRAINING_PAGE_BYTES = 200_000
@@ -279,8 +281,8 @@ def main_text(page: str | None, field: Field) -> str:
 
 def fit(pages: DataFrame, key: str = "page_id", page: str = "html", limit: int = TRAINING_PAGES, longest: int = TRAINING_PAGE_BYTES) -> Field:
     """Train on at most ``limit`` pages of at most ``longest`` bytes, the first by a hash of their key."""
-    sample = pages.filter(F.octet_length(page) <= longest).orderBy(F.xxhash64(key), key, F.xxhash64(page)).select(page).limit(limit)
-    return learn([r[0] for r in sample.collect()])
+    sample = hash_sample(pages.filter(F.octet_length(page) <= longest).select(key, page), key, limit)
+    return learn([r[1] for r in sample.collect()])
 
 
 def extract(pages: DataFrame, field: Field, page: str = "html", keep: Sequence[str] | None = None) -> DataFrame:

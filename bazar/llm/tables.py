@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from bazar.llm.text import flat, pieces
@@ -43,6 +44,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows, the first by a hash of their key; the same rows give the same sample.
+
+    Where there are many more, rows are thinned by the hash to about eight times the limit before they are sorted, so what tasks send to the driver
+    does not grow with their number.
+    """
+    steps = 1 << 30
+    share = min(steps, 8 * limit * steps // max(1, df.count()) + 1)
+    return df.filter(F.pmod(F.hash(key), F.lit(steps)) < share).orderBy(F.xxhash64(key), key).limit(limit)
+
+
 def with_text_columns(
     df: DataFrame,
     text: str,

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
 
-from bazar.llm.tables import with_text_columns
+from bazar.llm.tables import hash_sample, with_text_columns
 from bazar.llm.text import byte_values, flat, pieces, ranges, span_hashes, window_hashes, word_spans
 
 WINDOW, STRIDE = 48, 36
@@ -342,7 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
     Those of them longer than ``longest`` bytes are left out, as are labels other than 0 and 1. The keys are picked before any text is read, so
     what is broadcast and what reaches the driver are bounded by the two parameters.
     """
-    picked = [labels.filter(F.col(label) == y).select(key, F.lit(y).alias("__label")).distinct().orderBy(F.xxhash64(key), key).limit(sample) for y in (0, 1)]
+    picked = [hash_sample(labels.filter(F.col(label) == y).select(key, F.lit(y).alias("__label")), key, sample).distinct() for y in (0, 1)]
     found = docs.select(key, F.col(text).alias("__text")).join(F.broadcast(picked[0].unionByName(picked[1])), key)
     found = found.filter(F.coalesce(F.octet_length("__text"), F.lit(0)) <= longest).dropDuplicates([key, "__label"])
     rows = sorted(((r["__label"], zlib.crc32(str(r[key]).encode()), str(r[key]), r["__text"]) for r in found.collect()), key=lambda r: r[:3])
