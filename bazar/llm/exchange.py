@@ -143,7 +143,7 @@ def bit_payload(flags: np.ndarray) -> bytes:
 
 @dataclass(frozen=True)
 class Sketch:
-    """A count-min sketch of ``DEPTH`` rows, spread over slices.
+    """A count-min sketch of ``depth`` rows, spread over slices.
 
     The sketch of a chunk is sparse: its cells, sorted, and their counts where above one, up to 255. Slices add the sketches of all chunks up
     in an array of their range of cells. Counters only ever count too much where it matters: a key that occurs twice is never missed.
@@ -153,15 +153,17 @@ class Sketch:
     bits: int
     slices: int
     often: int = 0
+    depth: int = 2
 
-    DEPTH = 2
-    SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+    SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
     HOT_TAG = 4
+    # sorted cells are sent as these lower bits, two bytes each, and the number of cells per value of the upper ones
+    LOW_BITS = 15
 
     @classmethod
-    def for_keys(cls, keys: int, slices: int, load: int = 8, often: int = 0) -> Sketch:
-        """About ``load`` cells per key and row."""
-        return cls(min(60, max(16, math.ceil(math.log2(max(1, keys) * load)))), slices, often)
+    def for_keys(cls, keys: int, slices: int, load: int = 8, often: int = 0, depth: int = 2) -> Sketch:
+        """At least ``load`` cells per key and row."""
+        return cls(min(60, max(16, math.ceil(math.log2(max(1, keys) * load)))), slices, often, depth)
 
     def cells(self, keys: np.ndarray, row: int) -> np.ndarray:
         return mix(keys ^ np.uint64(self.SEEDS[row])) >> np.uint64(64 - self.bits)
@@ -169,9 +171,16 @@ class Sketch:
     def edges(self) -> np.ndarray:
         return np.array([-(-(s << self.bits) // self.slices) for s in range(self.slices + 1)], np.uint64)
 
+    def _packed(self, cells: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        blocks = np.bincount((cells >> np.uint64(self.LOW_BITS)).astype(np.int64), minlength=(width >> self.LOW_BITS) + 1)
+        return blocks.astype(np.uint16), (cells & np.uint64((1 << self.LOW_BITS) - 1)).astype(np.uint16)
+
+    def _unpacked(self, blocks: np.ndarray, low: np.ndarray) -> np.ndarray:
+        return np.repeat(np.arange(len(blocks)) << self.LOW_BITS, blocks) + low
+
     def ask(self, chunk: int, keys: np.ndarray) -> Iterator[Message]:
         edges = self.edges()
-        for row in range(self.DEPTH):
+        for row in range(self.depth):
             cells, counts = np.unique(self.cells(keys, row), return_counts=True)
             many = counts > 1
             counts = np.minimum(counts, 255).astype(np.uint8)
@@ -179,27 +188,37 @@ class Sketch:
             for s in range(self.slices):
                 lo, hi = cuts[s], cuts[s + 1]
                 if hi > lo:
-                    yield s, chunk, row, pack((cells[lo:hi] - edges[s]).astype(np.uint32), np.packbits(many[lo:hi]), counts[lo:hi][many[lo:hi]])
+                    yield s, chunk, row, pack(*self._packed(cells[lo:hi] - edges[s], int(edges[s + 1] - edges[s])), np.packbits(many[lo:hi]), counts[lo:hi][many[lo:hi]])
 
     def reply(self, asked: list[Message]) -> Iterator[Message]:
         edges = self.edges()
-        for row in range(self.DEPTH):
-            mine = [(chunk, *unpack(payload, np.uint32, np.uint8, np.uint8)) for _, chunk, tag, payload in asked if tag == row]
+        enough = max(2, self.often)
+        for row in range(self.depth):
+            mine = [(chunk, payload) for _, chunk, tag, payload in asked if tag == row]
             if not mine:
                 continue
             s = asked[0][0]
-            total = np.zeros(int(edges[s + 1] - edges[s]), np.uint32)
-            for _, cells, many, counts in mine:
-                total[cells] += 1
-                total[cells[np.unpackbits(many, count=len(cells)).astype(bool)]] += counts - np.uint8(1)
-            for chunk, cells, _, _ in mine:
-                yield s, chunk, row, bit_payload(total[cells] > 1)
-                if self.often:
-                    yield s, chunk, self.HOT_TAG + row, bit_payload(total[cells] >= self.often)
+            total = np.zeros(int(edges[s + 1] - edges[s]), np.uint8 if enough < 255 else np.uint32)
+            for turn in (self._add, self._tell):
+                for chunk, payload in mine:
+                    blocks, low, many, counts = unpack(payload, np.uint16, np.uint16, np.uint8, np.uint8)
+                    for tag, answer in turn(total, self._unpacked(blocks, low), many, counts, enough):
+                        yield s, chunk, tag + row, answer
+
+    def _add(self, total: np.ndarray, cells: np.ndarray, many: np.ndarray, counts: np.ndarray, enough: int) -> Iterator:
+        more = np.ones(len(cells), np.uint32)
+        more[np.unpackbits(many, count=len(cells)).astype(bool)] = counts
+        total[cells] = np.minimum(total[cells] + more, enough)
+        return iter(())
+
+    def _tell(self, total: np.ndarray, cells: np.ndarray, many: np.ndarray, counts: np.ndarray, enough: int) -> Iterator:
+        yield 0, bit_payload(total[cells] > 1)
+        if self.often:
+            yield self.HOT_TAG, bit_payload(total[cells] >= enough)
 
     def _both(self, answers: dict[int, list[bytes]], keys: np.ndarray, tag: int) -> np.ndarray:
         flags = np.ones(len(keys), bool)
-        for row in range(self.DEPTH):
+        for row in range(self.depth):
             cells, place = np.unique(self.cells(keys, row), return_inverse=True)
             flags &= bits_of(answers.get(tag + row, []), len(cells))[place]
         return flags

@@ -78,7 +78,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     n = distinct.count()
     chunks = max(1, -(-n // CHUNK_FINGERPRINTS))
     slices = chunks * 4
-    sketch = exchange.Sketch.for_keys(n * len(flips), slices)
+    # variants are many and little each: one row, but with cells to spare
+    sketch = exchange.Sketch.for_keys(n * len(flips), slices, load=16, depth=1)
     rows = distinct.select(F.pmod(F.xxhash64("fingerprint"), F.lit(chunks)).cast("int").alias("chunk"), "fingerprint")
 
     def variants(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +97,13 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         own, all_variants = variants(table)
         at = np.flatnonzero(sketch.repeated(exchange.by_tag(heard), all_variants))
         at = at[np.argsort(all_variants[at], kind="stable")]
-        found, owner = all_variants[at], own[at // len(flips)]
+        found, flip = all_variants[at], (at % len(flips)).astype(np.uint16)
         cuts = exchange.slice_cuts(found, slices)
-        return exchange.messages((s, chunk, VARIANT_TAG, exchange.pack(found[a:b], owner[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
+        return exchange.messages((s, chunk, VARIANT_TAG, exchange.pack(found[a:b], flip[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
 
     def verify(table: pa.Table) -> pa.Table:
-        found, owner = (np.concatenate(c) for c in zip(*(exchange.unpack(m[3], np.uint64, np.uint64) for m in exchange.read(table))))
+        found, flip = (np.concatenate(c) for c in zip(*(exchange.unpack(m[3], np.uint64, np.uint16) for m in exchange.read(table))))
+        owner = found ^ flips[flip]
         order = np.lexsort((owner, found))
         found, owner = found[order], owner[order]
         begin = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
