@@ -16,7 +16,8 @@ import numpy as np
 from bazar.llm.text import ranges
 
 STEP = 5
-_FIRST = 7  # symbols of nine bits that fit one sort key
+# Symbols sorted at once, in at most so many shards: their number and _FIRST symbols of nine bits fit one sort key.
+BATCH, MOST_SHARDS, _FIRST = 1 << 19, 512, 6
 
 
 @dataclass
@@ -29,35 +30,52 @@ class Shard:
     strings: np.ndarray
 
 
-def transform(data: np.ndarray, lengths: np.ndarray) -> Shard:
-    """Transform of the strings that ``data`` holds one after the other, by prefix doubling over the rotations."""
+def transforms(data: np.ndarray, lengths: np.ndarray, shard: np.ndarray) -> list[Shard]:
+    """Transforms of the strings that ``data`` holds one after the other, by prefix doubling over the rotations.
+
+    ``shard`` is the shard of each string, ascending from 0 without gaps. As many shards as make about ``BATCH`` symbols are sorted at once.
+    """
+    out: list[Shard] = []
+    sizes = lengths + 1
+    per_shard = np.bincount(shard, weights=sizes).astype(np.int64) if len(shard) else np.zeros(0, np.int64)
+    strings = np.searchsorted(shard, np.arange(len(per_shard) + 1))
+    from_byte = np.concatenate([[0], np.cumsum(lengths)])
+    lo = 0
+    while lo < len(per_shard):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(per_shard[lo : lo + MOST_SHARDS]), BATCH)))
+        a, b = strings[lo], strings[min(hi, len(per_shard))]
+        out += _transforms(data[from_byte[a] : from_byte[b]], lengths[a:b], shard[a:b] - lo)
+        lo = hi
+    return out
+
+
+def _transforms(data: np.ndarray, lengths: np.ndarray, shard: np.ndarray) -> list[Shard]:
     sizes = lengths + 1
     firsts = np.cumsum(sizes) - sizes
     n = int(sizes.sum())
     symbols = np.zeros(n, np.uint16)
     symbols[ranges(firsts, lengths)] = data.astype(np.uint16) + 1
-    size_at = np.repeat(sizes, sizes)
-    first_at = np.repeat(firsts, sizes)
-    offset = np.arange(n) - first_at
+    owner = np.repeat(np.arange(len(lengths)), sizes)
+    size_at, first_at = sizes[owner], firsts[owner]
     following = np.arange(1, n + 1)
     following[firsts + lengths] = firsts
-    key, at = np.zeros(n, np.uint64), np.arange(n)
+    # shards stay apart as they differ in the highest bits
+    key, at = shard[owner].astype(np.uint64), np.arange(n)
     for _ in range(_FIRST):
         key = (key << np.uint64(9)) | symbols[at]
         at = following[at]
     order = np.argsort(key, kind="stable")
     new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
-    have = _FIRST
+    have, longest = _FIRST, int(sizes.max())
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    longest = int(sizes.max(initial=0))
     while have < longest:
         single = new & np.append(new[1:], True)
         open_places = np.flatnonzero(~single)
         if not len(open_places):
             break
         some = order[open_places]
-        ahead = rank[first_at[some] + (offset[some] + have) % size_at[some]]
+        ahead = rank[first_at[some] + (some - first_at[some] + have) % size_at[some]]
         key = rank[some].astype(np.uint64) << np.uint64(32) | ahead.astype(np.uint64)
         within = np.argsort(key, kind="stable")
         order[open_places] = some[within]
@@ -65,10 +83,19 @@ def transform(data: np.ndarray, lengths: np.ndarray) -> Shard:
         new[open_places] = np.concatenate([[True], key[1:] != key[:-1]])
         rank[order[open_places]] = open_places[np.maximum.accumulate(np.where(new[open_places], np.arange(len(open_places)), 0))]
         have *= 2
-    before = np.where(offset[order] == 0, first_at[order] + size_at[order] - 1, order - 1)
+    before = np.where(order == first_at[order], first_at[order] + size_at[order] - 1, order - 1)
     out = symbols[before]
-    owner = np.repeat(np.arange(len(lengths)), sizes)
-    return Shard((out - (out > 0)).astype(np.uint8), np.flatnonzero(out == 0), owner[order[: len(lengths)]])
+    found: list[Shard] = []
+    begin = 0
+    counts = np.bincount(shard)
+    first_string = 0
+    for strings, total in zip(counts, np.bincount(shard, weights=sizes).astype(np.int64)):
+        own = out[begin : begin + total]
+        # rotations that begin with a terminator come first, one per string
+        found.append(Shard((own - (own > 0)).astype(np.uint8), np.flatnonzero(own == 0), owner[order[begin : begin + strings]] - first_string))
+        begin += total
+        first_string += strings
+    return found
 
 
 @dataclass
@@ -83,17 +110,20 @@ class Texts:
 
 def invert(shards: list[Shard]) -> Texts:
     """The strings of all shards, in their sorted order within each, and the sorted suffixes of each shard."""
-    total = sum(len(s.symbols) for s in shards)
+    sizes = np.array([len(s.symbols) for s in shards], np.int64)
+    bases = np.cumsum(sizes) - sizes
+    total = int(sizes.sum())
+    symbol = np.zeros(total, np.uint16)
+    if total:
+        symbol += np.concatenate([s.symbols for s in shards])
+        symbol += 1
+        symbol[np.concatenate([s.ends.astype(np.int64) + base for s, base in zip(shards, bases)])] = 0
+    # the rotation one symbol longer: stable by symbol within each shard
+    order = np.argsort(symbol, kind="stable")
+    order = order[_in_buckets(np.repeat(np.arange(len(shards)), sizes)[order])]
     back = np.empty(total, np.int64)
-    symbol = np.empty(total, np.uint16)
-    starts, base = [], 0
-    for s in shards:
-        own = s.symbols.astype(np.uint16) + 1
-        own[s.ends] = 0
-        back[base + np.argsort(own, kind="stable")] = base + np.arange(len(own))
-        symbol[base : base + len(own)] = own
-        starts.append(base + np.arange(len(s.ends)))
-        base += len(own)
+    back[order] = np.arange(total)
+    starts = [base + np.arange(len(s.ends)) for s, base in zip(shards, bases)]
     at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     # from every terminator backwards to the start of its string, all strings at once
     count = len(at)

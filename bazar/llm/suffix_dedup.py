@@ -32,6 +32,7 @@ LENGTH = 50
 HOT_ANCHOR = 2000
 # Bytes of text whose byte hashes are held at once.
 PIECE = 1 << 18
+SLICES_PER_CHUNK = 4
 SEGMENT_TAG, STRING_TAG = 8, 9
 
 
@@ -126,7 +127,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     added = StructType([StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept_bytes", BinaryType())])
     kept = [c for c in docs.columns if c not in added.names]
     chunks = exchange.chunked(docs, key, text, carry=kept)
-    plain, slices = chunks.rows.drop("row"), chunks.count
+    # a merge needs some hundred bytes of memory per byte of its shards
+    plain, slices = chunks.rows.drop("row"), chunks.count * SLICES_PER_CHUNK
     sketch = exchange.Sketch.for_keys(chunks.size // (length // 4) + 1, slices, often=HOT_ANCHOR)
 
     def count(chunk: int, table: pa.Table):
@@ -163,14 +165,14 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         data = Bytes.of(exchange.in_order(table), length)
         own = Segments.of(data, sketch, length, answers)
         mine, cuts = own.sent(exchange.bits_of(answers.get(SEGMENT_TAG, []), len(own.first)), slices)
-        out = []
-        for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if b > a:
-                some = mine[a:b]
-                sizes = own.counts[some] + length - 1
-                shard = bwt.transform(data.data[ranges(own.starts[some], sizes)], sizes)
-                out.append((s, chunk, STRING_TAG, exchange.pack(shard.symbols, shard.ends.astype(np.uint32), shard.strings.astype(np.uint32), data.owners(own.starts[some]))))
-        return exchange.messages(out)
+        sizes = own.counts[mine] + length - 1
+        used = np.flatnonzero(np.diff(cuts))
+        shard = np.repeat(np.arange(len(used)), np.diff(cuts)[used])
+        made = bwt.transforms(data.data[ranges(own.starts[mine], sizes)], sizes, shard)
+        owner = data.owners(own.starts[mine])
+        return exchange.messages(
+            (int(s), chunk, STRING_TAG, exchange.pack(x.symbols, x.ends.astype(np.uint32), x.strings.astype(np.uint32), owner[cuts[s] : cuts[s + 1]])) for s, x in zip(used, made)
+        )
 
     def merge(asked: list[exchange.Message]):
         parts = [exchange.unpack(payload, np.uint8, np.uint32, np.uint32, np.int64) for _, _, _, payload in asked]
