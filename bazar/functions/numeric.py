@@ -18,22 +18,18 @@ WHOLE = DecimalType(38, 0)
 
 UNITS_PER_MONEY = 10000.0
 
-# A sum of units is kept as two sums, of the upper bits and of the lower 20. Both are plain
-# 64-bit additions, many times faster than decimal ones, and neither can run over before
-# some 10^13 rows.
-LOW_BITS = 20
-LOW_MASK = (1 << LOW_BITS) - 1
-
 
 def units(c: ColumnOrName) -> Column:
-    """Money as whole units."""
-    return F.rint(as_double(c) * UNITS_PER_MONEY).cast("bigint")
+    """Money as whole units, in decimal, which holds any amount up to 1e33.
+
+    Infinities, NaN and larger amounts are no money: they become NULL and are left out of sums.
+    """
+    return F.rint(as_double(c) * UNITS_PER_MONEY).try_cast(WHOLE)
 
 
 def sum_units(c: ColumnOrName) -> Column:
-    """Aggregate: sum of whole units, as decimal; wide enough for any table."""
-    high, low = F.shiftright(_col(c), LOW_BITS), _col(c).bitwiseAND(LOW_MASK)
-    return whole(F.sum(high)) * F.lit(1 << LOW_BITS).cast(WHOLE) + whole(F.sum(low))
+    """Aggregate: sum of whole units."""
+    return F.sum(whole(c))
 
 
 def money_of(c: ColumnOrName) -> Column:

@@ -3,17 +3,15 @@
 from bazar.operators.joins import left_join_split, left_join_unique, lookup_join
 from bazar.operators.profiling import distinct_values, null_counts, row_counts, rows_where
 from bazar.operators.ranking import global_rank, global_row_number
-from bazar.operators.reduce import collapse, join_side, money_product, stack_by_key, sum_product
-from bazar.operators.sizes import is_small, scanned_bytes
+from bazar.operators.reduce import collapse, count_product, money_product, stack_by_key, sum_product
 from bazar.operators.sorting import ordered, top_k
 
 __all__ = [
     "collapse",
+    "count_product",
     "distinct_values",
     "global_rank",
     "global_row_number",
-    "is_small",
-    "join_side",
     "left_join_split",
     "left_join_unique",
     "lookup_join",
@@ -22,7 +20,6 @@ __all__ = [
     "ordered",
     "row_counts",
     "rows_where",
-    "scanned_bytes",
     "stack_by_key",
     "sum_product",
     "top_k",

@@ -2,55 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazar.operators.sizes import is_small
+# The most frequent keys are spread, so many of them; that includes every key with 1/HOT_KEYS of the rows.
+HOT_KEYS = 1000
 
-# A key is hot from 1/HOT_SHARE of all rows, so there are never more than HOT_SHARE of them.
-HOT_SHARE = 1000
+
+def _bucket(df: DataFrame, columns: list[str]) -> Column:
+    """A number below the count of shuffle partitions, from the content of the row."""
+    buckets = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
 def left_join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join to a table with one row per key, keeping NULL keys out of the shuffle.
+    """Left join to a table with one row per key, spreading NULL keys over all tasks.
 
-    NULL matches nothing, but a left join would still send every such row to one task.
+    NULL matches nothing, but a plain left join would send every such row to one task.
     """
-    keyed = left.filter(F.col(key).isNotNull()).join(right, key, "left")
-    return keyed.unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+    spread = F.when(F.col(key).isNull(), _bucket(left, left.columns)).otherwise(0)
+    return left.withColumn("__spread", spread).join(right.withColumn("__spread", F.lit(0)), [key, "__spread"], "left").drop("__spread")
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Attach ``lookup`` (one row per key) to every row.
+    """Attach ``lookup`` (one row per key) to every row with one shuffle join on (key, salt).
 
-    Small inputs are joined as they are. Otherwise the keys holding at least 1/1000 of the
-    rows, 1000 at most by that definition, are joined by broadcast, and all other keys by a
-    shuffle join in which no key is hot any more. Every row is in exactly one of the parts,
-    so the result is that of the plain join.
+    The salt is zero but for the rows of the ``HOT_KEYS`` most frequent keys and of NULL, which are spread over all tasks by
+    their content; the lookup rows of those keys are repeated once per salt. The frequent keys come from one
+    aggregate, so ``rows`` is read twice in all.
     """
-    if is_small(rows):
-        return rows.join(lookup, key, how)
-    keyed = rows.filter(F.col(key).isNotNull())
-    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = sizes.agg(F.sum("__n").alias("__total")).scalar()
-    hot = sizes.filter(F.col("__n") * HOT_SHARE >= total).select(key)
-    on_hot = keyed.join(F.broadcast(hot.join(lookup, key, how)), key, "inner")
-    on_rest = keyed.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how)
-    joined = on_hot.unionByName(on_rest)
-    if how == "left":
-        joined = joined.unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
-    return joined
+    hot = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = hot.orderBy(F.desc("__n"), key).limit(HOT_KEYS).select(F.col(key).alias("__hot"))
+    salts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    salted = salted.withColumn("__salt", F.when(F.col(key).isNull() | F.col("__hot").isNotNull(), _bucket(rows, rows.columns)).otherwise(0)).drop("__hot")
+    repeated = lookup.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    copies = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = repeated.withColumn("__salt", F.explode(copies)).drop("__hot")
+    return salted.join(repeated, [key, "__salt"], how).drop("__salt")
 
 
 def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join of two detail tables where the right side may hold the hot key.
+    """Left join of two detail tables where either side may hold a hot key.
 
-    A left outer join can only split its left side at run time. An inner join can split
-    both, so the large form is the inner join plus the left rows without a match.
+    A left outer join can only split its left side at run time. An inner join can split both, so this is the
+    inner join plus the left rows without a match, which a lookup of the right side's keys finds.
     """
-    if is_small(left, right):
-        return left.join(right, key, "left")
-    keyed = left.filter(F.col(key).isNotNull())
-    matched = keyed.join(right, key, "inner")
-    unmatched = keyed.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True).unionByName(left.filter(F.col(key).isNull()), allowMissingColumns=True)
+    matched = left.join(right, key, "inner")
+    keys = right.select(key).distinct().withColumn("__known", F.lit(True))
+    unmatched = lookup_join(left, keys, key).filter(F.col("__known").isNull()).drop("__known")
+    return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -1,99 +1,99 @@
-"""Ranks over a whole table without sorting it in one task."""
+"""Ranks over a whole table without sorting it in one task.
+
+Rows are dealt into ranges of the order, each sorted by itself, and shifted by the rows of the ranges before. The
+bounds of the ranges are a bounded sample, taken by a hash and picked in a scalar subquery of the same plan, so the
+range of a row is a plain expression: nothing is stored, every retried task sees the same split, and no job runs
+while the query is built.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazar.operators.sizes import is_small
-from bazar.session import scratch_root
-
-# At most this many range partitions, hence rows in the offset table.
-MAX_RANGES = 4096
-
-
-def _ranges(df: DataFrame, value: str, tie: Sequence[str]) -> DataFrame:
-    """Range-partition by (value descending, tie) and pin the partition number.
-
-    The checkpoint is what fixes it: both readers below, and every retried task, see the
-    same split. The tie columns let a value shared by a third of all rows span several
-    partitions.
-    """
-    spark = df.sparkSession
-    scratch_root(spark)
-    n = max(1, min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    ranged = df.repartitionByRange(n, F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie])
-    return ranged.withColumn("__range", F.spark_partition_id()).checkpoint()
-
-
-def _with_rows_before(per_range: DataFrame) -> DataFrame:
-    """Running total over the ranges: MAX_RANGES rows at most, so one task is enough."""
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    return per_range.withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-
-
-def global_row_number(
-    df: DataFrame,
-    value: str,
-    tie: Sequence[str],
-    name: str,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
-    """Row number by ``value`` descending; ``tie`` must make the order unique.
-
-    ``sized_by`` names an input with at least as many rows as ``df``, for the size check.
-    """
+from bazar.operators.joins import lookup_join
+
+# Sampled rows per range; ranges are as many as shuffle partitions.
+SAMPLED = 16
+
+
+def _precedes(a: Column, b: Column, width: int) -> Column:
+    """Whether struct ``a`` comes before ``b``: first field descending, the others ascending, NULL last."""
+    before = F.lit(False)
+    for i in reversed(range(width)):
+        x, y = a.getField(f"c{i}"), b.getField(f"c{i}")
+        smaller = x > y if i == 0 else x < y
+        before = F.when(x.eqNullSafe(y), before).otherwise(F.coalesce(smaller, y.isNull()))
+    return before
+
+
+def _in_ranges(df: DataFrame, value: str, tie: Sequence[str]) -> DataFrame:
+    """Add ``__range``: ranges follow the order by value descending, then ``tie``."""
+    columns = [value, *tie]
+    ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    most = SAMPLED * ranges
+    place = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    keys = df.select(place.alias("place"), F.xxhash64(*columns).alias("at"))
+    total = df.agg(F.count(F.lit(1)).alias("n"))
+    # thinned to a few times the sample before it is sorted
+    steps = 1 << 30
+    share = total.select(F.least(F.lit(float(steps)), 8.0 * most * steps / F.greatest(F.col("n"), F.lit(1)) + 1).cast("bigint").alias("share")).scalar()
+    sample = keys.filter(F.pmod("at", F.lit(steps)) < share).orderBy("at").limit(most)
+    order = lambda a, b: F.when(_precedes(a, b, len(columns)), -1).when(_precedes(b, a, len(columns)), 1).otherwise(0)
+    ordered = sample.agg(F.array_sort(F.collect_list("place"), order).alias("sample"))
+    every = F.greatest(F.floor(F.size("sample") / ranges), F.lit(1)).cast("int")
+    # filter instead of sequence, which cannot be empty
+    bounds = ordered.select(F.filter("sample", lambda _, i: (i % every == 0) & (i > 0)).alias("bounds")).scalar()
+    known = df.withColumn("__bounds", bounds).withColumn("__place", place)
+    # binary search for the number of bounds that do not come after the row
+    halvings = F.sequence(F.lit(0), F.lit(most.bit_length()))
+    start = F.struct(F.lit(0).alias("lo"), F.size("__bounds").alias("hi"))
+
+    def halve(state: Column, _: Column) -> Column:
+        lo, hi = state.getField("lo"), state.getField("hi")
+        middle = F.floor((lo + hi) / 2).cast("int")
+        after = _precedes(F.col("__place"), F.get("__bounds", middle), len(columns))
+        narrowed = F.when(after, F.struct(lo.alias("lo"), middle.alias("hi"))).otherwise(F.struct((middle + 1).alias("lo"), hi.alias("hi")))
+        return F.when(lo < hi, narrowed).otherwise(state)
+
+    return known.withColumn("__range", F.aggregate(halvings, start, halve).getField("lo")).drop("__bounds", "__place")
+
+
+def _before(ranged: DataFrame, weight: Column) -> DataFrame:
+    """Weight of all earlier ranges per range: a row for each range, so one task is enough for the running total."""
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = ranged.groupBy("__range").agg(F.sum(weight).alias("__weight"))
+    return per_range.select("__range", F.coalesce(F.sum("__weight").over(earlier), F.lit(0)).alias("__before"))
+
+
+def global_row_number(df: DataFrame, value: str, tie: Sequence[str], name: str) -> DataFrame:
+    """Row number by ``value`` descending; ``tie`` must make the order unique. Ties may span ranges."""
     order = [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]]
-    if is_small(df if sized_by is None else sized_by):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    ranged = _ranges(df, value, tie)
-    offsets = _with_rows_before(ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")))
+    ranged = _in_ranges(df, value, tie)
     inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
     return (
         ranged.withColumn("__inside", inside)
-        .join(F.broadcast(offsets.select("__range", "__before")), "__range")
+        .join(F.broadcast(_before(ranged, F.lit(1))), "__range")
         .withColumn(name, F.col("__before") + F.col("__inside"))
         .drop("__range", "__before", "__inside")
     )
 
 
-def global_rank(
-    df: DataFrame,
-    value: str,
-    tie: Sequence[str],
-    name: str,
-    sized_by: DataFrame | None = None,
-) -> DataFrame:
+def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """``RANK() OVER (ORDER BY value DESC)``: ties share a rank and leave gaps.
 
-    A rank is the rows before the range plus the rank inside it. Only the first and last
-    value of a range can continue from or into a neighbour; their run starts at the
-    smallest position any range reports for them.
+    The rank of a value is one more than the rows with a greater one, so distinct values are ranked by their counts and
+    looked up by every row. However many rows share a value, it is one row there. NULL comes last.
     """
-    order = F.col(value).desc_nulls_last()
-    if is_small(df if sized_by is None else sized_by):
-        return df.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
-    ranged = _ranges(df, value, tie)
-    ranked = ranged.withColumn("__inside", F.rank().over(Window.partitionBy("__range").orderBy(order)).cast("bigint"))
-    per_range = ranked.groupBy("__range").agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.max(value).alias("__top"),
-        # NULL sorts last, so a range that holds one ends with it
-        F.when(F.count(value) == F.count(F.lit(1)), F.min(value)).alias("__bottom"),
-        F.max("__inside").alias("__bottom_rank"),
-    )
-    offsets = _with_rows_before(per_range)
-    starts = (
-        offsets.select(F.col("__top").alias("__value"), (F.col("__before") + 1).alias("__start"))
-        .unionByName(offsets.select(F.col("__bottom").alias("__value"), (F.col("__before") + F.col("__bottom_rank")).alias("__start")))
-        .groupBy("__value")
-        .agg(F.min("__start").alias("__start"))
-    )
-    return (
-        ranked.join(F.broadcast(offsets.select("__range", "__before")), "__range")
-        .join(F.broadcast(starts), F.col(value).eqNullSafe(F.col("__value")), "left")
-        .withColumn(name, F.coalesce(F.col("__start"), F.col("__before") + F.col("__inside")))
-        .drop("__range", "__before", "__inside", "__value", "__start")
+    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__rows"))
+    ranged = _in_ranges(counts, value, ())
+    earlier = Window.partitionBy("__range").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = (
+        ranged.withColumn("__inside", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+        .join(F.broadcast(_before(ranged, F.col("__rows"))), "__range")
+        .select(value, (F.col("__before") + F.col("__inside") + 1).alias(name))
     )
+    last = counts.agg((F.coalesce(F.sum("__rows"), F.lit(0)) + 1).alias("last")).scalar()
+    return lookup_join(df, ranks, value).withColumn(name, F.coalesce(F.col(name), last)).select(*df.columns, name)

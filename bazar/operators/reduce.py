@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from bazar.functions.numeric import sum_units, whole
 from bazar.functions.text import ColumnOrName, _col
-from bazar.operators.sizes import is_small
 
 Measures = Mapping[str, Column]
 
@@ -34,7 +33,8 @@ def collapse(
 ) -> DataFrame:
     """One row per ``keys`` with the number of rows it stands for, and measures.
 
-    ``sums`` are counts, ``units`` money in whole units.
+    ``sums`` are counts, ``units`` money in whole units. This is also a side of a join on the first key, for a
+    result that only sums over it: whatever one key holds comes to a task as a few rows.
     """
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(copies),
@@ -45,27 +45,6 @@ def collapse(
     )
 
 
-def join_side(
-    df: DataFrame,
-    keys: Sequence[str],
-    sums: Measures | None = None,
-    units: Measures | None = None,
-    least: Measures | None = None,
-    greatest: Measures | None = None,
-    copies: str = "copies",
-) -> DataFrame:
-    """One side of a join on the first key, for a result that only sums over it.
-
-    A large input is collapsed, which costs a shuffle and bounds what one key can bring
-    to a task. In a small one no key can weigh much: its rows pass as they are, one copy
-    each, and the weighted sums after the join come out the same.
-    """
-    if not is_small(df):
-        return collapse(df, keys, sums, units, least, greatest, copies)
-    measures = {**(sums or {}), **(units or {}), **(least or {}), **(greatest or {})}
-    return df.select(*keys, F.lit(1).alias(copies), *[c.alias(name) for name, c in measures.items()])
-
-
 def stack_by_key(
     key: str,
     parts: Sequence[DataFrame],
@@ -92,10 +71,15 @@ def stack_by_key(
 
 
 def sum_product(*factors: ColumnOrName) -> Column:
-    """Aggregate: sum of a product of counts."""
-    return F.sum(reduce(mul, [_col(f) for f in factors]))
+    """Aggregate: sum of a product of counts, as decimal since fan-out may outgrow 64 bits."""
+    return F.sum(reduce(mul, [whole(f) for f in factors]))
+
+
+def count_product(*factors: ColumnOrName) -> Column:
+    """Aggregate: the same as a 64-bit count, like the number of joined rows it stands for."""
+    return sum_product(*factors).cast("bigint")
 
 
 def money_product(amount: ColumnOrName, *counts: ColumnOrName) -> Column:
-    """Aggregate: sum of units times counts, in decimal since fan-out may outgrow 64 bits."""
-    return F.sum(whole(amount) * whole(reduce(mul, [_col(c) for c in counts])))
+    """Aggregate: sum of units times counts, as decimal."""
+    return sum_product(amount, *counts)

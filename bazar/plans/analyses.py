@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from bazar.functions import exact_decimal_mean, exact_mean, exact_sum, mean_of, money_of, round_half_away
-from bazar.operators import join_side, money_product, stack_by_key, sum_product, top_k
+from bazar.operators import collapse, count_product, money_product, stack_by_key, top_k
 from bazar.plans.gold import (
     CANCELLED,
     REGION,
@@ -65,9 +65,9 @@ def payment_types(payments: DataFrame, orders: DataFrame, canceled_status: str =
         .groupBy("payment_type")
         .agg(
             money_product("paid", "orders").alias("paid"),
-            sum_product("paid_rows", "orders").alias("paid_rows"),
-            sum_product("payments", "orders").alias("total_orders"),
-            sum_product("payments", "canceled").alias("cancelled_orders"),
+            count_product("paid_rows", "orders").alias("paid_rows"),
+            count_product("payments", "orders").alias("total_orders"),
+            count_product("payments", "canceled").alias("cancelled_orders"),
         )
         .select(
             "payment_type",
@@ -85,7 +85,7 @@ def payment_types_by_seller_mean(
     """Payment types as the mean over sellers: rounded per seller first, then averaged."""
     value = _line_value()
     per_order = stack_by_key("order_id", [_order_copies(_known(orders, "order_id"), canceled_status)], sums=("orders", "canceled"))
-    lines = join_side(
+    lines = collapse(
         _known(items, "order_id", "seller_id"),
         ["order_id", "seller_id"],
         sums={"valued": _filled(value)},
@@ -99,11 +99,11 @@ def payment_types_by_seller_mean(
         .groupBy("payment_type", "seller_id")
         .agg(
             money_product("paid", "orders", "lines").alias("paid"),
-            sum_product("paid_rows", "orders", "lines").alias("paid_rows"),
-            sum_product("payments", "orders", "lines").alias("rows"),
-            sum_product("payments", "canceled", "lines").alias("canceled_rows"),
+            count_product("paid_rows", "orders", "lines").alias("paid_rows"),
+            count_product("payments", "orders", "lines").alias("rows"),
+            count_product("payments", "canceled", "lines").alias("canceled_rows"),
             money_product("value", "payments", "orders").alias("value"),
-            sum_product("valued", "payments", "orders").alias("valued"),
+            count_product("valued", "payments", "orders").alias("valued"),
         )
     )
     rounded = _seller_places(sellers).join(per_seller, "seller_id").select(

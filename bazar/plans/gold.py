@@ -36,13 +36,12 @@ from bazar.functions import (
 from bazar.functions.text import ColumnOrName, _col
 from bazar.operators import (
     collapse,
+    count_product,
     global_rank,
-    join_side,
     left_join_unique,
     lookup_join,
     money_product,
     stack_by_key,
-    sum_product,
 )
 
 # The two spellings of the canceled status the models look for.
@@ -123,17 +122,17 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
         least=("first_purchase",),
         greatest=("last_purchase",),
     )
-    lines = join_side(_known(items, "order_id"), ["order_id", by], copies="lines")
+    lines = collapse(_known(items, "order_id"), ["order_id", by], copies="lines")
     totals = (
         lines.join(per_order, "order_id")
         .groupBy(by)
         .agg(
-            sum_product("lines", "orders").alias("total_orders"),
-            sum_product("lines", "canceled").alias("canceled_orders"),
-            sum_product("lines", "reviews").alias("total_reviews"),
-            sum_product("lines", "negatives").alias("negative_reviews"),
+            count_product("lines", "orders").alias("total_orders"),
+            count_product("lines", "canceled").alias("canceled_orders"),
+            count_product("lines", "reviews").alias("total_reviews"),
+            count_product("lines", "negatives").alias("negative_reviews"),
             F.sum(seconds_of("late_by") * whole("lines")).alias("late_seconds"),
-            sum_product("lines", "timed").alias("timed"),
+            count_product("lines", "timed").alias("timed"),
             F.min("first_purchase").alias("first_purchase"),
             F.max("last_purchase").alias("last_purchase"),
         )
@@ -207,18 +206,18 @@ def _weight() -> dict[str, Column]:
 
 def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """Revenue, freight and weight per category that has a translation."""
-    described = join_side(_known(products, "product_id", "product_category"), ["product_id", "product_category"], sums=_weight())
+    described = collapse(_known(products, "product_id", "product_category"), ["product_id", "product_category"], sums=_weight())
     per_category = (
         described.join(_sales_per_product(items), "product_id")
         .groupBy(F.col("product_category").alias("product_category_name"))
         .agg(
             money_product("revenue", "copies").alias("revenue"),
-            sum_product("sold", "copies").alias("sold"),
-            sum_product("priced", "copies").alias("priced"),
+            count_product("sold", "copies").alias("sold"),
+            count_product("priced", "copies").alias("priced"),
             money_product("freight", "copies").alias("freight"),
-            sum_product("freighted", "copies").alias("freighted"),
-            sum_product("weight", "lines").alias("weight"),
-            sum_product("weighed", "lines").alias("weighed"),
+            count_product("freighted", "copies").alias("freighted"),
+            count_product("weight", "lines").alias("weight"),
+            count_product("weighed", "lines").alias("weighed"),
         )
     )
     names = collapse(translation, ["product_category_name"], copies="names")
@@ -235,7 +234,7 @@ def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFra
 def _customer_orders(orders: DataFrame, dated: bool = False) -> DataFrame:
     bought = F.col("order_purchase_timestamp")
     dates = {"least": {"first_purchase": bought}, "greatest": {"last_purchase": bought}} if dated else {}
-    return join_side(_known(orders, "customer_id"), ["order_id", "customer_id"], **dates)
+    return collapse(_known(orders, "customer_id"), ["order_id", "customer_id"], **dates)
 
 
 def geo_sales(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
@@ -245,15 +244,15 @@ def geo_sales(orders: DataFrame, items: DataFrame, customers: DataFrame) -> Data
         _customer_orders(orders)
         .join(basket, "order_id")
         .groupBy("customer_id")
-        .agg(money_product("revenue", "copies").alias("revenue"), sum_product("lines", "copies").alias("lines"))
+        .agg(money_product("revenue", "copies").alias("revenue"), count_product("lines", "copies").alias("lines"))
     )
-    homes = join_side(_known(customers, "customer_id"), ["customer_id", "customer_city", "customer_state"], copies="homes")
+    homes = collapse(_known(customers, "customer_id"), ["customer_id", "customer_city", "customer_state"], copies="homes")
     return (
         homes.join(per_customer, "customer_id")
         .groupBy("customer_city", "customer_state")
         .agg(
             money_of(money_product("revenue", "homes")).alias("total_revenue"),
-            sum_product("lines", "homes").alias("total_orders"),
+            count_product("lines", "homes").alias("total_orders"),
         )
     )
 
@@ -326,12 +325,12 @@ def gold_payment_performance(payments: DataFrame, orders: DataFrame, items: Data
         .groupBy("payment_type")
         .agg(
             money_product("paid", "orders", "lines").alias("paid"),
-            sum_product("paid_rows", "orders", "lines").alias("paid_rows"),
+            count_product("paid_rows", "orders", "lines").alias("paid_rows"),
             # the payment groups are unique per order and type, so rows are distinct orders
             F.count(F.lit(1)).alias("total_orders"),
-            sum_product("payments", "canceled", "lines").alias("cancelled_orders"),
+            count_product("payments", "canceled", "lines").alias("cancelled_orders"),
             money_product("value", "payments", "orders").alias("value"),
-            sum_product("valued", "payments", "orders").alias("valued"),
+            count_product("valued", "payments", "orders").alias("valued"),
         )
         .select(
             "payment_type",
@@ -354,7 +353,7 @@ def gold_product_inventory_priority(products: DataFrame, items: DataFrame) -> Da
         (F.col("sold") * F.col("copies")).alias("sales_count"),
         round_half_away(ieee_divide(money_of("revenue"), "sold"), 2).alias("avg_price_per_sale"),
     )
-    return global_rank(totals, "total_sales", ["product_id", "product_category"], "sales_priority", sized_by=products)
+    return global_rank(totals, "total_sales", "sales_priority")
 
 
 def gold_product_profitability_analysis(items: DataFrame, products: DataFrame, critical_percent: float = 30.0) -> DataFrame:
@@ -390,7 +389,7 @@ def _seller_places(sellers: DataFrame) -> DataFrame:
 
 
 def _order_sellers(items: DataFrame) -> DataFrame:
-    return join_side(_known(items, "order_id", "seller_id"), ["order_id", "seller_id"], copies="lines")
+    return collapse(_known(items, "order_id", "seller_id"), ["order_id", "seller_id"], copies="lines")
 
 
 def gold_sellers_order_reviews_score(sellers: DataFrame, items: DataFrame, order_reviews: DataFrame, below: float = 3.0) -> DataFrame:
@@ -402,7 +401,7 @@ def gold_sellers_order_reviews_score(sellers: DataFrame, items: DataFrame, order
         _order_sellers(items)
         .join(per_order, "order_id")
         .groupBy("seller_id")
-        .agg(sum_product("score", "lines").alias("score"), sum_product("scored", "lines").alias("scored"))
+        .agg(count_product("score", "lines").alias("score"), count_product("scored", "lines").alias("scored"))
         .filter(score < below)
     )
     return (
@@ -428,9 +427,9 @@ def late_rows_per_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
         .join(per_order, "order_id")
         .groupBy("seller_id")
         .agg(
-            sum_product("lines", "orders").alias("orders"),
-            sum_product("lines", "late").alias("late"),
-            sum_product("lines", "late_days").alias("late_days"),
+            count_product("lines", "orders").alias("orders"),
+            count_product("lines", "late").alias("late"),
+            count_product("lines", "late_days").alias("late_days"),
             F.max("last_late").alias("last_late"),
         )
         .filter(F.col("late") > 0)
@@ -465,7 +464,7 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
     homes = _known(aggregated_customers, "customer_id").select("customer_id", *REGION)
     placed = _known(_customer_orders(orders), "order_id").join(homes, "customer_id")
     demand = placed.groupBy(*REGION).agg(F.count_distinct("order_id").alias("total_orders"))
-    sold = join_side(_known(items, "order_id"), ["order_id", "seller_id"], copies="lines")
+    sold = collapse(_known(items, "order_id"), ["order_id", "seller_id"], copies="lines")
     # one row per region and seller, so that sellers are counted without a distinct
     supply = (
         placed.join(_paid_per_order(payments), "order_id", "left")
@@ -490,13 +489,13 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
 def sales_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, item rows and mean price per category."""
     return (
-        join_side(_known(products, "product_id"), ["product_id", "product_category"])
+        collapse(_known(products, "product_id"), ["product_id", "product_category"])
         .join(_sales_per_product(items), "product_id")
         .groupBy("product_category")
         .agg(
             money_product("revenue", "copies").alias("revenue"),
-            sum_product("sold", "copies").alias("sold"),
-            sum_product("priced", "copies").alias("priced"),
+            count_product("sold", "copies").alias("sold"),
+            count_product("priced", "copies").alias("priced"),
         )
         .select(
             "product_category",

@@ -47,10 +47,9 @@ from bazar.operators import (
     row_counts,
     rows_where,
     stack_by_key,
-    sum_product,
+    count_product,
     top_k,
 )
-from bazar.operators.sizes import SETTING
 from bazar.plans import analyses, gold, silver
 from bazar.plans.pipeline import MODELS, Outcome, outcome_table, run_pipeline
 from bazar.session import configure, scratch_root
@@ -456,8 +455,8 @@ def _(t: TestTables) -> DataFrame:
     lines, events = F.coalesce("lines", F.lit(0)), F.coalesce("events", F.lit(0))
     line_rows, event_rows = F.greatest(lines, F.lit(1)), F.greatest(events, F.lit(1))
     return left_join_unique(placed, counted, "o_orderkey").groupBy("o_custkey").agg(
-        sum_product("copies", line_rows, event_rows).alias("joined_rows"),
-        sum_product("copies", lines, event_rows).alias("lines"),
+        count_product("copies", line_rows, event_rows).alias("joined_rows"),
+        count_product("copies", lines, event_rows).alias("lines"),
         money_of(money_product("paid", "copies", line_rows)).alias("paid"),
     )
 
@@ -493,7 +492,7 @@ def _(t: TestTables) -> DataFrame:
 @register("win_global_rank", "select l_orderkey, l_linenumber, l_partkey, l_quantity, rank() over (order by l_quantity desc) as place from lineitem")
 def _(t: TestTables) -> DataFrame:
     lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return global_rank(lines, "l_quantity", ["l_orderkey", "l_linenumber", "l_partkey"], "place")
+    return global_rank(lines, "l_quantity", "place")
 
 
 @register(
@@ -651,39 +650,3 @@ def _(t: TestTables) -> DataFrame:
     counts = row_counts({f"{o.layer}/{o.table_name}": lake.read(o.layer, o.table_name) for o in outcomes})
     statuses = outcome_table(t.spark, outcomes).withColumn("path", F.concat_ws("/", "layer", "table_name"))
     return statuses.join(counts.withColumnRenamed("table_name", "path"), "path").select("layer", "table_name", "status", "total_rows")
-
-
-# The same queries in the form meant for large inputs, whatever the size of the test tables.
-
-
-def _in_large_form(query: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        before = spark.conf.get(SETTING, None)
-        spark.conf.set(SETTING, "0")
-        try:
-            return query(spark, folder)
-        finally:
-            if before is None:
-                spark.conf.unset(SETTING)
-            else:
-                spark.conf.set(SETTING, before)
-
-    return run
-
-
-# only those whose plan depends on the size check
-SIZED = [
-    "sv_aggregated_customers",
-    "sv_aggregated_leads",
-    *(name for name in QUERIES if name.startswith("gd_") and name != "gd_seller_performance" and "payment_performance" not in name),
-    "q_payment_v3",
-    "q_delay_v1",
-    "q_region_spent",
-    "join_lookup",
-    "join_left_split",
-    "win_global_rank",
-    "win_row_number",
-]
-
-for _name in SIZED:
-    QUERIES[f"{_name}_at_scale"], ORACLE[f"{_name}_at_scale"] = _in_large_form(QUERIES[_name]), ORACLE[_name]

@@ -9,7 +9,6 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
-from bazar.operators.sizes import SETTING, SMALL_INPUT_BYTES  # noqa: E402
 from bazar.session import configure  # noqa: E402
 
 
@@ -33,14 +32,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture(params=["small", "large"])
-def form(request, spark):
-    """Every operator in the form for small inputs, then in the one for large inputs."""
-    spark.conf.set(SETTING, "0" if request.param == "large" else str(SMALL_INPUT_BYTES))
-    yield request.param
-    spark.conf.set(SETTING, str(SMALL_INPUT_BYTES))
-
-
 @pytest.fixture(scope="session")
 def folder():
     path = Path("/root/testdata/sf0.001")

@@ -66,7 +66,7 @@ def dirty(seed: int) -> dict[str, list[tuple]]:
     }
 
 
-@pytest.fixture(scope="module", params=[1, 2])
+@pytest.fixture(scope="module", params=[1, 2, 3])
 def tables(request, spark, tmp_path_factory):
     """The same tables for Spark and for SQL."""
     root, con, frames = tmp_path_factory.mktemp("dirty"), duckdb.connect(), {}
@@ -105,13 +105,13 @@ GOLD_ON_DIRTY = [m.name for m in MODELS if m.layer == "gold" and m.name not in (
 
 
 @pytest.mark.parametrize("name", GOLD_ON_DIRTY)
-def test_gold_model(tables, form, name):
+def test_gold_model(tables, name):
     frames, con = tables
     check(BY_NAME[name].build(*inputs(frames, BY_NAME[name])), con, GOLD[name])
 
 
 @pytest.mark.parametrize("name", ["gold_customers_segmented", "regional_demand_supply_balance"])
-def test_gold_model_with_coordinates(tables, form, name):
+def test_gold_model_with_coordinates(tables, name):
     frames, con = tables
     df = BY_NAME[name].build(*inputs(frames, BY_NAME[name]))
     if name == "regional_demand_supply_balance":
@@ -119,7 +119,7 @@ def test_gold_model_with_coordinates(tables, form, name):
     check(df.drop("avg_latitude", "avg_longitude"), con, f"select * exclude (avg_latitude, avg_longitude) from ({GOLD[name]})")
 
 
-def test_located_customers(tables, form):
+def test_located_customers(tables):
     frames, con = tables
     ours = {tuple(r)[:5]: tuple(r)[5:] for r in located(frames).collect()}
     sql = SILVER["aggregated_customers_silver"]
@@ -132,20 +132,20 @@ def test_located_customers(tables, form):
             assert (a is None and b is None) or a == pytest.approx(b, abs=1e-12)
 
 
-def test_canceled_spelling_is_a_parameter(tables, form):
+def test_canceled_spelling_is_a_parameter(tables):
     frames, con = tables
     model = BY_NAME["gold_payment_performance"]
     check(model.build(*inputs(frames, model), canceled_status="canceled"), con, payment_performance("canceled"))
 
 
-def test_risk_thresholds_and_entity_are_parameters(tables, form):
+def test_risk_thresholds_and_entity_are_parameters(tables):
     frames, con = tables
     levels = gold.RiskThresholds((0.5, 0.3), (0.6, 0.4), (1.0, -1.0), 20, 8, 6)
     df = gold.agg_sellers_cancellation_rate_v2(*inputs(frames, BY_NAME["agg_sellers_cancellation_rate_v2"]), thresholds=levels, by="product_id")
     check(df, con, risk_score("product_id", (0.5, 0.3), (0.6, 0.4), (1, -1), 20, 8, 6))
 
 
-def test_payment_analyses(tables, form):
+def test_payment_analyses(tables):
     frames, con = tables
     payments, orders, items = frames["payments_silver"], frames["orders_full_data_silver"], frames["order_items_silver"]
     check(
@@ -172,7 +172,7 @@ def test_payment_analyses(tables, form):
     )
 
 
-def test_lead_priority_median(spark, form):
+def test_lead_priority_median(spark):
     data = [(f"m{i}", "l", None, origin) for i, origin in enumerate("aaabbc")]
     got = gold.gold_qualified_leads_priority(spark.createDataFrame(data, SCHEMAS["leads_qualified_silver"]))
     assert {r.came_from: (r.total_leads, r.priority) for r in got.collect()} == {"a": (3, "high"), "b": (2, "median"), "c": (1, "low")}
@@ -185,7 +185,7 @@ def test_free_products_have_an_infinite_freight_share(spark):
     assert got == {"p": (float("inf"), True, 1.0), "q": (30.0, True, 1.0), "r": (29.9, False, None)}
 
 
-def test_risk_edges(spark, form):
+def test_risk_edges(spark):
     """Sellers exactly on the thresholds: 0.2 and 0.1 canceled, 30 days, 5 and 2 days late."""
     start = dt.datetime(2018, 1, 1)
     orders, items = [], []
@@ -226,7 +226,7 @@ def test_review_tables_differ_in_the_missing_score(spark):
     assert kept["r1"].review_creation_date is None
 
 
-def test_results_do_not_depend_on_partitioning(tables, form):
+def test_results_do_not_depend_on_partitioning(tables):
     frames, _ = tables
     model = BY_NAME["agg_sellers_cancellation_rate_v2"]
     first = Counter(map(tuple, model.build(*inputs(frames, model)).collect()))

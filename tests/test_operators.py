@@ -6,13 +6,13 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from bazar.functions import units
+from bazar.functions import sum_units, units
 from bazar.operators import (
     collapse,
+    count_product,
     distinct_values,
     global_rank,
     global_row_number,
-    join_side,
     left_join_split,
     left_join_unique,
     lookup_join,
@@ -21,7 +21,6 @@ from bazar.operators import (
     ordered,
     row_counts,
     rows_where,
-    scanned_bytes,
     stack_by_key,
     sum_product,
     top_k,
@@ -45,7 +44,7 @@ def facts(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_join_with_hot_and_null_keys(spark, facts, form, how):
+def test_lookup_join_with_hot_and_null_keys(spark, facts, how):
     df, data = facts
     lookup = {k: k * 10 for k in range(0, 106, 2)} | {7: 70}
     got = lookup_join(df, spark.createDataFrame(list(lookup.items()), "k bigint, w bigint"), "k", how)
@@ -59,7 +58,7 @@ def test_left_join_unique_keeps_null_keys(spark, facts):
     assert rows(got.select("k", "v", "w")) == Counter((k, v, {7: "hot", 3: "cold"}.get(k)) for k, v in data)
 
 
-def test_left_join_split_with_hot_right_side(spark, form):
+def test_left_join_split_with_hot_right_side(spark):
     left = [(k, i) for i, k in enumerate([*range(60), None, None, 7])]
     right = [(k, i) for i, k in enumerate(hot_keys(900, 2))]
     matches = defaultdict(list)
@@ -70,13 +69,13 @@ def test_left_join_split_with_hot_right_side(spark, form):
     assert rows(got.select("k", "v", "w")) == expected
 
 
-def test_fan_out_is_weighted_not_built(spark, form):
+def test_fan_out_is_weighted_not_built(spark):
     rng = random.Random(3)
     a = [(rng.randrange(20), rng.choice("xyz"), round(rng.uniform(0, 9), 2)) for _ in range(300)]
     b = [(rng.randrange(25),) for _ in range(200)]
-    left = join_side(spark.createDataFrame(a, "k bigint, g string, m double"), ["k", "g"], units={"paid": units("m")}, copies="n")
+    left = collapse(spark.createDataFrame(a, "k bigint, g string, m double"), ["k", "g"], units={"paid": units("m")}, copies="n")
     right = collapse(spark.createDataFrame(b, "k bigint"), ["k"])
-    got = left.join(right, "k").groupBy("g").agg(sum_product("n", "copies"), money_product("paid", "copies"))
+    got = left.join(right, "k").groupBy("g").agg(count_product("n", "copies"), money_product("paid", "copies"))
     expected = defaultdict(lambda: [0, 0])
     for k, g, m in a:
         for (j,) in b:
@@ -98,7 +97,7 @@ def ranked(values):
 
 
 @pytest.mark.parametrize("case", ["ties over several ranges", "all equal", "all null", "distinct", "one row", "empty"])
-def test_global_rank_is_rank(spark, form, case):
+def test_global_rank_is_rank(spark, case):
     rng = random.Random(4)
     values = {
         "ties over several ranges": [rng.choice([5.0, 5.0, 5.0, None, None, rng.uniform(0, 10)]) for _ in range(1500)],
@@ -110,17 +109,17 @@ def test_global_rank_is_rank(spark, form, case):
     }[case]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id bigint, v double").repartition(4)
     expected = ranked(values)
-    got = global_rank(df, "v", ["id"], "place")
+    got = global_rank(df, "v", "place")
     assert dict(got.dtypes)["place"] == "bigint"
     assert rows(got.select("id", "place")) == Counter((i, expected[v]) for i, v in enumerate(values))
 
 
-def test_rank_of_equal_then_lower_values(spark, form):
+def test_rank_of_equal_then_lower_values(spark):
     df = spark.createDataFrame([("a", 9.0), ("b", 9.0), ("c", 1.0)], "id string, v double")
-    assert {r.id: r.place for r in global_rank(df, "v", ["id"], "place").collect()} == {"a": 1, "b": 1, "c": 3}
+    assert {r.id: r.place for r in global_rank(df, "v", "place").collect()} == {"a": 1, "b": 1, "c": 3}
 
 
-def test_global_row_number(spark, form):
+def test_global_row_number(spark):
     rng = random.Random(5)
     data = [(i, rng.choice(["p", "q", "r", None])) for i in range(700)]
     df = spark.createDataFrame(data, "id bigint, g string").repartition(4)
@@ -145,7 +144,59 @@ def test_profiles(spark):
     assert rows_where(df, F.col("b") == 2, limit=1).count() == 1
 
 
-def test_scanned_bytes_reads_the_file_listing(spark, folder):
-    one = spark.read.parquet(f"{folder}/orders.parquet")
-    both = one.join(spark.read.parquet(f"{folder}/lineitem.parquet"), F.col("o_orderkey") == F.col("l_orderkey"))
-    assert 0 < scanned_bytes(one) < scanned_bytes(both) < 10_000_000
+def test_products_of_counts_outgrow_64_bits(spark):
+    big = 5_000_000_000
+    df = spark.createDataFrame([(big, big, 3)], "a bigint, b bigint, u bigint")
+    got = df.agg(sum_product("a", "b").alias("n"), money_product("u", "a", "b").alias("m")).first()
+    assert int(got.n) == big * big and int(got.m) == 3 * big * big
+
+
+def test_money_that_is_none(spark):
+    df = spark.createDataFrame([(1e15,), (float("inf"),), (float("-inf"),), (float("nan"),), (2.5,), (None,)], "x double")
+    assert [None if r[0] is None else int(r[0]) for r in df.select(units("x")).collect()] == [10**19, None, None, None, 25000, None]
+    assert int(df.agg(sum_units(units("x"))).first()[0]) == 10**19 + 25000
+
+
+def planned(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_join_reads_rows_twice(spark, folder):
+    rows_df = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    lookup = spark.read.parquet(f"{folder}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    text = planned(lookup_join(rows_df, lookup, "l_orderkey"))
+    # once for the join, and once for the frequent keys, whose table is broadcast to both sides
+    assert text.count("FileScan parquet [l_orderkey#") <= 3 and text.count("FileScan parquet [o_orderkey#") == 1
+
+
+def test_left_join_unique_reads_each_side_once(spark, folder):
+    left = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    right = spark.read.parquet(f"{folder}/customer.parquet").select("c_custkey", "c_nationkey")
+    text = planned(left_join_unique(left, right, "c_custkey"))
+    assert text.count("FileScan") == 2
+
+
+def test_ranks_store_nothing_and_run_no_job_while_planned(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).cast("double").alias("v")).repartition(4)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "planning")
+    planned_only = [global_rank(df, "v", "place"), global_row_number(df, "v", ["id"], "place")]
+    assert not tracker.getJobIdsForGroup("ranks")
+    assert all(d.count() == 1000 for d in planned_only)
+
+
+def test_hot_key_of_a_tiny_file_is_spread(spark, tmp_path):
+    """A third of the rows on one key, in a file of a few kilobytes: every task of the join gets its share."""
+    spark.range(60000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    lookup = spark.range(60000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(df, lookup, "k").withColumn("task", F.spark_partition_id())
+        sizes = sorted(r["count"] for r in joined.groupBy("task").count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 60000 and sizes[-1] <= 3 * sizes[len(sizes) // 2]

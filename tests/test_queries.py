@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as registered
 from checks.compare import connect, differences
-from checks.queries import ORACLE, QUERIES, SIZED, _in_large_form
+from checks.queries import ORACLE, QUERIES
 from checks.testdata import TestTables
 
 SLOW = {"layers_full"}
@@ -30,21 +30,6 @@ def test_query_agrees_with_sql(spark, folder, con, name):
     assert differences(QUERIES[name](spark, folder), con, ORACLE[name]) == []
 
 
-def test_every_query_with_two_forms_is_registered_in_both(spark, folder):
-    """A plan that changes with the size setting has an ``_at_scale`` twin."""
-    for name, query in QUERIES.items():
-        if name.startswith(("sv_", "gd_", "q_", "join_", "win_")) and not name.endswith("_at_scale"):
-            twin = _in_large_form(query)
-            same = shape(query(spark, folder)) == shape(twin(spark, folder))
-            covered = name in SIZED or name in ("q_high_risk", "q_composite_topk", "q_region_ticket", "q_region_customers", "q_city_filter")
-            assert same or covered, name
-
-
-def shape(df) -> str:
-    """The plan without the ids that differ from run to run."""
-    return re.sub(r"\d+L?", "", df._jdf.queryExecution().optimizedPlan().toString())
-
-
 @pytest.mark.parametrize("name", sorted(SLOW))
 def test_all_layers(spark, folder, con, name):
     assert differences(QUERIES[name](spark, folder), con, ORACLE[name]) == []
@@ -59,9 +44,8 @@ def test_plans_have_no_pairs_and_no_python(spark, folder, name):
     text = plan(QUERIES[name](spark, folder))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert not re.search(r"PythonUDF|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups", text)
-    if name.endswith("_at_scale"):
-        # a whole-table window may only run over the range offsets
-        assert not re.search(r"Window \[rank", text) or "__range" in text
+    # a whole-table window may only run over the ranges
+    assert not re.search(r"Window \[r(ank|ow_number)", text) or "__range" in text
 
 
 def test_filter_reaches_the_scan(spark, folder):
@@ -82,7 +66,7 @@ def test_silver_models_do_not_shuffle(spark, folder):
         assert "Exchange" not in plan(TestTables(spark, folder)[f"silver/{name}"])
 
 
-@pytest.mark.parametrize("name, scans, shuffles", [("gd_agg_sellers_cancellation_rate_v2", 1, 3), ("gd_agg_sellers_cancellation_rate_v2_at_scale", 1, 4)])
+@pytest.mark.parametrize("name, scans, shuffles", [("gd_agg_sellers_cancellation_rate_v2", 1, 4)])
 def test_risk_score_reads_items_once(spark, folder, name, scans, shuffles):
     text = plan(QUERIES[name](spark, folder))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", text)) == scans
