@@ -17,7 +17,9 @@ from bazar.llm.text import ranges
 
 STEP = 5
 # Symbols sorted at once, in at most so many shards: their number and _FIRST symbols of nine bits fit one sort key.
-BATCH, MOST_SHARDS, _FIRST = 1 << 19, 512, 6
+BATCH, MOST_SHARDS, _FIRST = 1 << 18, 512, 6
+# Symbols of eight times STEP bits and a place of so many fit one sort key.
+PLACE_BITS = 24
 
 
 @dataclass
@@ -64,7 +66,7 @@ def _transforms(data: np.ndarray, lengths: np.ndarray, shard: np.ndarray) -> lis
     for _ in range(_FIRST):
         key = (key << np.uint64(9)) | symbols[at]
         at = following[at]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]])
     have, longest = _FIRST, int(sizes.max())
     rank = np.empty(n, np.int64)
@@ -77,7 +79,7 @@ def _transforms(data: np.ndarray, lengths: np.ndarray, shard: np.ndarray) -> lis
         some = order[open_places]
         ahead = rank[first_at[some] + (some - first_at[some] + have) % size_at[some]]
         key = rank[some].astype(np.uint64) << np.uint64(32) | ahead.astype(np.uint64)
-        within = np.argsort(key, kind="stable")
+        within = np.argsort(key)
         order[open_places] = some[within]
         key = key[within]
         new[open_places] = np.concatenate([[True], key[1:] != key[:-1]])
@@ -156,27 +158,37 @@ def _in_buckets(codes: np.ndarray) -> np.ndarray:
     return order
 
 
+def _stable(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of symbols of ``8 * STEP`` bits, and the symbols in it: one sort of symbol and place together."""
+    if len(symbols) >> PLACE_BITS:
+        order = np.argsort(symbols, kind="stable")
+        return order, symbols[order]
+    both = symbols << np.uint64(PLACE_BITS) | np.arange(len(symbols), dtype=np.uint64)
+    both.sort()
+    return (both & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int32), both >> np.uint64(PLACE_BITS)
+
+
 def repeated_intervals(texts: Texts, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes that share their first ``depth`` bytes (a multiple of ``STEP``) with another, and the bounds of the
     intervals of equal ones among them."""
+    if not len(texts.data):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
     sizes = texts.lengths + 1
-    offset = np.arange(len(texts.data)) - np.repeat(texts.firsts, sizes)
-    enough = np.flatnonzero(offset + STEP <= np.repeat(texts.lengths, sizes))
-    packed = np.zeros(len(enough), np.uint64)
-    for i in range(STEP):
-        packed = packed << np.uint64(8) | texts.data[enough + i]
-    code = np.zeros(len(texts.data), np.uint32)
-    code[enough] = np.unique(packed, return_inverse=True)[1]
-    order, block = texts.suffixes, np.zeros(len(texts.suffixes), np.int64)
+    offset = (np.arange(len(texts.data)) - np.repeat(texts.firsts, sizes)).astype(np.int32)
+    ahead = np.append(texts.data, np.zeros(STEP, np.uint8)).astype(np.uint64)
+    step = ahead[:-STEP].copy()
+    for i in range(1, STEP):
+        step = step << np.uint64(8) | ahead[i : i - STEP]
+    order, block = texts.suffixes.astype(np.int32 if len(texts.data) < 1 << 31 else np.int64), np.zeros(len(texts.suffixes), np.int32)
     for _ in range(depth // STEP):
+        # places whose string reaches back far enough hand over to the suffix STEP symbols earlier
         going = offset[order] >= STEP
         order, block = order[going] - STEP, block[going]
-        codes = code[order]
-        place = _in_buckets(codes)
-        order, block, codes = order[place], block[place], codes[place]
+        place, symbols = _stable(step[order])
+        order, block = order[place], block[place]
         new = np.ones(len(order) + 1, bool)
-        new[1:-1] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
-        settled = new[:-1] & new[1:]
-        order, new = order[~settled], new[:-1][~settled]
-        block = np.cumsum(new)
-    return order, np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(order)) if len(order) else np.zeros(1, np.int64)
+        new[1:-1] = (symbols[1:] != symbols[:-1]) | (block[1:] != block[:-1])
+        kept = ~(new[:-1] & new[1:])
+        order, block = order[kept], np.cumsum(new[:-1][kept], dtype=np.int32)
+    begin = np.flatnonzero(np.diff(block, prepend=-1))
+    return order, np.append(begin, len(order))

@@ -32,7 +32,8 @@ LENGTH = 50
 HOT_ANCHOR = 2000
 # Bytes of text whose byte hashes are held at once.
 PIECE = 1 << 18
-SLICES_PER_CHUNK = 4
+CHUNK_BYTES = 4 << 20
+SLICES_PER_CHUNK = 2
 SEGMENT_TAG, STRING_TAG = 8, 9
 
 
@@ -126,7 +127,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     """
     added = StructType([StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept_bytes", BinaryType())])
     kept = [c for c in docs.columns if c not in added.names]
-    chunks = exchange.chunked(docs, key, text, carry=kept)
+    chunks = exchange.chunked(docs, key, text, carry=kept, chunk_bytes=CHUNK_BYTES)
     # a merge needs some hundred bytes of memory per byte of its shards
     plain, slices = chunks.rows.drop("row"), chunks.count * SLICES_PER_CHUNK
     sketch = exchange.Sketch.for_keys(chunks.size // (length // 4) + 1, slices, often=HOT_ANCHOR)
