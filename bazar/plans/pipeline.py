@@ -28,8 +28,8 @@ class CsvTable(NamedTuple):
 
     name: str
     file: str
-    schema: str | None = None
-    multi_line: bool = False
+    schema: str | None
+    multi_line: bool
 
 
 class SqliteTable(NamedTuple):
@@ -134,9 +134,9 @@ def default_sources(folder: str, prefix: str = "", database: str = "leads.sqlite
     ]
 
 
-def extract_csv(lake: Lake, file: str, name: str, mode: str = "overwrite", schema: str | None = None, multi_line: bool = True) -> None:
+def extract_csv(lake: Lake, file: str, name: str, mode: str = "overwrite", schema: str | None = None, *, multi_line: bool) -> None:
     """Land a CSV file as a bronze table."""
-    lake.write(read_csv(lake.spark, file, schema, multi_line), "bronze", name, mode)
+    lake.write(read_csv(lake.spark, file, schema, multi_line=multi_line), "bronze", name, mode)
 
 
 def extract_sqlite(lake: Lake, file: str, table: str, name: str, mode: str = "overwrite") -> None:
@@ -190,7 +190,7 @@ def run_bronze(
 ) -> list[Outcome]:
     def land(source: CsvTable | SqliteTable) -> None:
         if isinstance(source, CsvTable):
-            extract_csv(lake, source.file, source.name, mode, source.schema, source.multi_line)
+            extract_csv(lake, source.file, source.name, mode, source.schema, multi_line=source.multi_line)
         else:
             extract_sqlite(lake, source.file, source.table, source.name, mode)
 

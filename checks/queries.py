@@ -53,7 +53,7 @@ from bazar.operators import (
 from bazar.plans import analyses, gold, silver
 from bazar.plans.pipeline import MODELS, Outcome, outcome_table, run_pipeline
 from bazar.session import configure, scratch_root
-from bazar.sources import Lake, describe_csv, publish_layer, query, read_csv, read_sqlite, register_views
+from bazar.sources import Lake, describe_csv, preview_csv, publish_layer, query, read_csv, read_sqlite, register_views
 from checks.oracle import mean, over_tables, payment_performance, risk_score, total
 from checks.testdata import BRONZE, RUN_AT, TestTables
 
@@ -523,7 +523,7 @@ def _(t: TestTables) -> DataFrame:
     folder = f"{scratch_root(t.spark)}/csv-{uuid.uuid4().hex}"
     exact = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     t["bronze/reviews_bronze"].write.options(header=True, escape='"', **exact).csv(folder)
-    return read_csv(t.spark, folder, schemas.REVIEWS)
+    return read_csv(t.spark, folder, schemas.REVIEWS, multi_line=True)
 
 
 @register(
@@ -535,7 +535,7 @@ def _(t: TestTables) -> DataFrame:
     folder = f"{scratch_root(t.spark)}/csv-{uuid.uuid4().hex}"
     people = t["silver/customers_silver"].withColumn("is_seller", F.lit(False)).withColumn("score", F.lit(1.5) + F.col("customer_id").cast("double"))
     people.write.option("header", True).option("escape", '"').csv(folder)
-    return read_csv(t.spark, folder)
+    return read_csv(t.spark, folder, multi_line=False)
 
 
 @register(
@@ -550,7 +550,15 @@ def _(t: TestTables) -> DataFrame:
 def _(t: TestTables) -> DataFrame:
     folder = f"{scratch_root(t.spark)}/csv-{uuid.uuid4().hex}"
     t["silver/customers_silver"].write.option("header", True).option("escape", '"').csv(folder)
-    return describe_csv(t.spark, folder)
+    return describe_csv(t.spark, folder, multi_line=False)
+
+
+@register("io_preview_csv", "select count(*) as n_rows, 3 as n_columns from (select * from orders limit 10)")
+def _(t: TestTables) -> DataFrame:
+    folder = f"{scratch_root(t.spark)}/csv-{uuid.uuid4().hex}"
+    t.raw("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority").write.option("header", True).option("escape", '"').csv(folder)
+    rows = preview_csv(t.spark, folder, multi_line=False)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(rows.columns)))
 
 
 @register("io_lake_overwrite", "select * from orders_only_delivered_silver")

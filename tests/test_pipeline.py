@@ -217,7 +217,7 @@ def test_sql_over_the_lake(lake, spark):
 def test_append_mode_and_single_model(lake, spark, export, tmp_path):
     own = Lake(spark, str(tmp_path))
     for _ in range(2):
-        extract_csv(own, f"{export}/sellers_dataset.csv", "sellers_bronze", mode="append")
+        extract_csv(own, f"{export}/sellers_dataset.csv", "sellers_bronze", mode="append", multi_line=False)
     run_model(own, "sellers_silver")
     assert own.read("silver", "sellers_silver").count() == 4
     assert dict(own.read("bronze", "sellers_bronze").dtypes)["seller_zip_code_prefix"] == "string"
@@ -226,7 +226,7 @@ def test_append_mode_and_single_model(lake, spark, export, tmp_path):
 def test_failure_stops_or_is_reported(spark, tmp_path):
     own = Lake(spark, str(tmp_path / "lake"))
     own.write(spark.range(2), "bronze", "kept")
-    sources = [CsvTable("kept", str(tmp_path / "absent.csv"), "a int")]
+    sources = [CsvTable("kept", str(tmp_path / "absent.csv"), "a int", False)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         run_pipeline(own, "bronze", sources)
     outcomes = run_pipeline(own, "bronze", sources, on_error="skip")

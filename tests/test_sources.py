@@ -29,7 +29,7 @@ def lake(spark, tmp_path):
 def test_csv_with_line_breaks_quotes_and_bom(spark, tmp_path):
     file = tmp_path / "reviews.csv"
     file.write_bytes('﻿id,text,zip\n1,"first\nsecond ""quoted""",02403\n2,,1\n'.encode())
-    got = read_csv(spark, str(file), "id int, text string, zip string")
+    got = read_csv(spark, str(file), "id int, text string, zip string", multi_line=True)
     assert [tuple(r) for r in got.collect()] == [(1, 'first\nsecond "quoted"', "02403"), (2, None, "1")]
     assert got.columns == ["id", "text", "zip"]
 
@@ -42,7 +42,7 @@ def test_inferred_types_cover_every_value(spark, tmp_path):
         "-7,12,2,FALSE,2018-02-28,2018-01-02 00:00:00,,,2\n"
         "0,7,1e3,true,,,c,,not a number\n"
     )
-    assert dict(read_csv(spark, str(file)).dtypes) == {
+    assert dict(read_csv(spark, str(file), multi_line=False).dtypes) == {
         "n": "bigint",
         "code": "string",
         "x": "double",
@@ -53,7 +53,7 @@ def test_inferred_types_cover_every_value(spark, tmp_path):
         "nothing": "string",
         "late": "string",
     }
-    first = read_csv(spark, str(file)).first()
+    first = read_csv(spark, str(file), multi_line=False).first()
     assert (first.code, first.at, first.flag) == ("02403", dt.datetime(2018, 1, 1, 10), True)
     assert len(TEXT_FORMS) == 5
 
@@ -61,15 +61,43 @@ def test_inferred_types_cover_every_value(spark, tmp_path):
 def test_invalid_dates_and_wide_numbers_stay_text(spark, tmp_path):
     file = tmp_path / "t.csv"
     file.write_text("day,n\n2018-13-01,123456789012345678901\n")
-    assert [f.dataType.simpleString() for f in infer_csv_schema(spark, str(file))] == ["string", "double"]
+    assert [f.dataType.simpleString() for f in infer_csv_schema(spark, str(file), multi_line=False)] == ["string", "double"]
 
 
 def test_csv_preview_and_describe(spark, tmp_path):
     file = tmp_path / "t.csv"
     file.write_text("a,b\n" + "".join(f"{i},x\n" for i in range(30)))
-    assert preview_csv(spark, str(file), 4).count() == 4
-    assert preview_csv(spark, str(file)).count() == 10
-    assert [tuple(r) for r in describe_csv(spark, str(file)).collect()] == [("a", "bigint"), ("b", "string")]
+    assert preview_csv(spark, str(file), 4, multi_line=False).count() == 4
+    assert preview_csv(spark, str(file), multi_line=False).count() == 10
+    assert [tuple(r) for r in describe_csv(spark, str(file), multi_line=False).collect()] == [("a", "bigint"), ("b", "string")]
+
+
+def test_csv_columns_go_by_their_names(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text("b,a\nx,1\ny,2\n")
+    assert [tuple(r) for r in read_csv(spark, str(file), "a int, b string", multi_line=False).collect()] == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="columns"):
+        read_csv(spark, str(file), "a int, c string", multi_line=False)
+
+
+@pytest.mark.parametrize("body", ["a,b\n1,x\nbad,y\n", "a,b\n1,x\n2,y,z\n", 'a,b\n1,"x\ny"\n2,z\n'])
+def test_csv_rows_that_do_not_fit_stop_the_job(spark, tmp_path, body):
+    file = tmp_path / "t.csv"
+    file.write_text(body)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed|FAILED_READ_FILE"):
+        read_csv(spark, str(file), "a int, b string", multi_line=False).collect()
+
+
+def test_large_csv_is_read_by_several_tasks(spark, tmp_path):
+    file = tmp_path / "t.csv"
+    file.write_text("a,b\n" + "1,x\n" * 200_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = read_csv(spark, str(file), "a int, b string", multi_line=False)
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_csv_folder(spark, tmp_path):
