@@ -28,7 +28,7 @@ TRAINING_PAGES = 400
 TRAINING_PAGE_BYTES = 200_000
 EPOCHS = 6
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,7 +62,8 @@ class Block:
 def leaf_blocks(page: str | None) -> list[Block]:
     """Leaf blocks in page order; references are decoded and white space is single spaces.
 
-    A block ends at block-level tags only, so ``br`` and inline tags stay inside. An unclosed comment or tag reaches to the end of the page.
+    A block ends at block-level tags only, so ``br`` and inline tags stay inside. An unclosed comment or tag
+    reaches to the end of the page; a quote in a tag that is not closed counts as any character.
     """
     out: list[Block] = []
     if not page:

@@ -1,0 +1,228 @@
+"""Substring, suffix and near-duplicate removal against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from bazar.llm import bwt, exchange, simhash, substring_dedup, suffix_dedup
+from bazar.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_words(rows, window):
+    """(n_words, n_removed, kept_text) per row, rows in key and text order."""
+    seen, out = set(), []
+    for _, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is None, r[1] or "")):
+        words = WORD.findall(text or "")
+        gone = [False] * len(words)
+        for i in range(len(words) - window + 1):
+            gram = tuple(words[i : i + window])
+            if gram in seen:
+                gone[i : i + window] = [True] * window
+            seen.add(gram)
+        out.append((len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)))
+    return Counter(out)
+
+
+def brute_cuts(rows, length):
+    """(key, (n_bytes, n_removed, n_spans, kept_bytes)) per row."""
+    first, out = {}, []
+    raw = [(-(2**63) if k is None else k, (t or "").encode()) for k, t in rows]
+    for k, b in raw:
+        for i in range(len(b) - length + 1):
+            gram = b[i : i + length]
+            first[gram] = min(first.get(gram, k), k)
+    for k, b in raw:
+        gone, reached = bytearray(len(b)), 0
+        for i in range(len(b) - length + 1):
+            if first[b[i : i + length]] < k:
+                start = max(i, reached)
+                reached = i + length
+                gone[start:reached] = b"\1" * (reached - start)
+        out.append((k, (len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), bytes(x for x, g in zip(b, gone) if not g))))
+    return out
+
+
+def brute_bytes(rows, length):
+    return Counter(cut for _, cut in brute_cuts(rows, length))
+
+
+def shuffled_copies(seed, docs=120):
+    """Documents made of a few shared passages and random words, with exact copies."""
+    rng = random.Random(seed)
+    shared = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(5, 40))) for _ in range(6)]
+    rows = []
+    for i in range(docs):
+        parts = [rng.choice(shared) if rng.random() < 0.5 else " ".join(rng.choice("ijklmnopqr") * rng.randint(1, 4) for _ in range(rng.randint(1, 40))) for _ in range(rng.randint(0, 5))]
+        rows.append((i, rng.choice([" ", "\n", "  "]).join(parts)))
+    return rows + [(docs + i, rows[i % 3][1]) for i in range(40)]
+
+
+@pytest.fixture(autouse=True)
+def many_chunks(monkeypatch):
+    """Small tables in several chunks, as large ones are."""
+    monkeypatch.setattr(exchange, "LEAST_CHUNK_BYTES", 1000)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substring_dedup_is_brute_force(ready, seed):
+    rows = shuffled_copies(seed)
+    for window in (6, 20):
+        got = substring_dedup.substring_dedup(ready.createDataFrame(rows, "doc_id bigint, text string"), window=window)
+        assert Counter((r.n_words, r.n_removed, r.kept_text) for r in got.collect()) == brute_words(rows, window)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_suffix_dedup_is_brute_force(ready, seed, monkeypatch):
+    rows = shuffled_copies(seed)
+    df = ready.createDataFrame(rows, "doc_id bigint, text string")
+    for length, hot in ((20, 2000), (50, 2000), (50, 3)):
+        monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+        got = suffix_dedup.suffix_dedup(df, length=length)
+        assert Counter((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got.collect()) == brute_bytes(rows, length)
+
+
+def test_messy_rows(messy, nothing):
+    rows = [(r.doc_id, r.text) for r in messy.collect()]
+    got = substring_dedup.substring_dedup(messy)
+    assert set(got.columns) == {*messy.columns, "n_removed", "kept_text"}
+    assert Counter((r.n_words, r.n_removed, r.kept_text) for r in got.collect()) == brute_words(rows, 20)
+    got = suffix_dedup.suffix_dedup(messy).collect()
+    assert Counter((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got) == brute_bytes(rows, 50)
+    for run in (substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, simhash.near_duplicates, simhash.one_of_each, suffix_dedup.deduplicated):
+        assert run(nothing).count() == 0
+
+
+def test_deduplicated_documents(messy):
+    got = {(r.doc_id, r.text, r.n_chars) for r in suffix_dedup.deduplicated(messy).collect()}
+    kept = brute_bytes([(r.doc_id, r.text) for r in messy.collect()], 50)
+    texts = Counter(t for _, t, _ in got)
+    assert all(n_removed == 0 or not WORD.search(b.decode("utf-8", "ignore")) or texts[b.decode("utf-8", "ignore")] for _, n_removed, _, b in kept)
+    assert all(c == len(t or "") for i, t, c in got if i is not None)
+    assert (0, None, 0) in got and (1, "", 0) in got
+
+
+def test_transforms_and_their_merge():
+    rng = random.Random(5)
+    for _ in range(60):
+        groups = [list({bytes(rng.choice(b"\0ab") for _ in range(rng.randint(10, 30))) for _ in range(rng.randint(1, 6))}) for _ in range(rng.randint(1, 4))]
+        strings = [s for g in groups for s in g]
+        shard = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+        shards = bwt.transforms(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), shard)
+        for g, s in zip(groups, shards):
+            assert [g[i] for i in s.strings] == sorted(g)
+        texts = bwt.invert(shards)
+        found = [texts.data[f : f + n].tobytes() for f, n in zip(texts.firsts, texts.lengths)]
+        assert found == [s for g in groups for s in sorted(g)]
+        order, bounds = bwt.repeated_intervals(texts, 10)
+        places = defaultdict(list)
+        for f, s in zip(texts.firsts, found):
+            for i in range(len(s) - 9):
+                places[s[i : i + 10]].append(int(f) + i)
+        assert sorted(sorted(order[a:b].tolist()) for a, b in zip(bounds, bounds[1:])) == sorted(sorted(p) for p in places.values() if len(p) > 1)
+
+
+def test_sketch_misses_no_repeated_key():
+    rng = np.random.default_rng(6)
+    keys = [rng.integers(0, 5000, 3000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(5)]
+    sketch = exchange.Sketch.for_keys(15000, 7, often=4)
+    asked = [m for chunk, k in enumerate(keys) for m in sketch.ask(chunk, k)]
+    replies = [m for s in range(7) if (mine := sorted(m for m in asked if m[0] == s)) for m in sketch.reply(mine)]
+    counts = Counter(np.concatenate(keys).tolist())
+    for chunk, k in enumerate(keys):
+        heard = exchange.by_tag(sorted(m for m in replies if m[1] == chunk))
+        repeated, hot = sketch.repeated(heard, k), sketch.hot(heard, k)
+        assert all(repeated[[counts[x] > 1 for x in k.tolist()]]) and all(hot[[counts[x] >= 4 for x in k.tolist()]])
+        assert repeated.mean() < 0.05 + np.mean([counts[x] > 1 for x in k.tolist()])
+
+
+def brute_fingerprint(text, size=4):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+    ones = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            ones[b] += h >> b & 1
+    value = sum(1 << b for b in range(64) if 2 * ones[b] > len(shingles))
+    return value - (value >> 63 << 64)
+
+
+def brute_components(prints, radius=4):
+    """Smallest key reachable for every (key, fingerprint) of a list."""
+    values = np.array([f for _, f in prints], np.int64).view(np.uint64)
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in zip(*np.nonzero(np.triu(np.bitwise_count(values[:, None] ^ values) <= radius, 1))):
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    least = defaultdict(list)
+    for i, (k, _) in enumerate(prints):
+        if k is not None:
+            least[find(i)].append(k)
+    return [min(least[find(i)], default=None) for i in range(len(prints))]
+
+
+def test_simhash_is_brute_force(ready, messy):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(60)]
+    base = [[rng.choice(words) for _ in range(200)] for _ in range(12)]
+    rows = []
+    for i in range(150):
+        text = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 30])):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((i * 3, " ".join(text)))
+    for df in (ready.createDataFrame(rows, "doc_id bigint, text string"), messy):
+        data = [(r.doc_id, brute_fingerprint(r.text)) for r in df.select("doc_id", "text").collect()]
+        expected = Counter((k, f, c) for (k, f), c in zip(data, brute_components(data)))
+        assert Counter(tuple(r) for r in simhash.near_duplicates(df).collect()) == expected
+
+
+def test_one_of_each_component_stays(messy):
+    kept = simhash.one_of_each(messy)
+    assert kept.columns == messy.columns
+    linked = simhash.near_duplicates(messy).collect()
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in linked})
+
+
+def test_links_at_the_radius(ready):
+    rng = random.Random(8)
+    start = rng.getrandbits(64)
+    flip = lambda value, n: value ^ sum(1 << b for b in rng.sample(range(64), n))
+    values = {start, *(flip(start, n) for n in (1, 2, 3, 4, 5, 6) for _ in range(20))}
+    prints = [v - (v >> 63 << 64) for v in sorted(values)]
+    edges = {(r.a, r.b) for r in simhash.links(ready.createDataFrame([(p,) for p in prints], "fingerprint bigint")).collect()}
+    near = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 4
+    assert all(near(a, b) for a, b in edges)
+    got = {r.node: r.root for r in components(ready.createDataFrame(list(edges), "a bigint, b bigint")).collect()}
+    group = brute_components([(p, p) for p in prints])
+    assert [got.get(p, p) for p in prints] == group
+
+
+def test_components_of_random_graphs(ready):
+    rng = random.Random(9)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 470)] + [(5, 5)]
+    root = {n: n for e in edges for n in e}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    got = {r.node: r.root for r in components(ready.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {n: find(n) for n in root if find(n) != n}
+    assert components(ready.createDataFrame([], "a bigint, b bigint")).count() == 0
