@@ -10,6 +10,7 @@ from functools import partial
 from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from bazar import schemas
 from bazar.operators.sorting import ordered
@@ -28,7 +29,7 @@ class CsvTable(NamedTuple):
 
     name: str
     file: str
-    schema: str | None
+    schema: StructType | str | None
     multi_line: bool
 
 
@@ -134,7 +135,7 @@ def default_sources(folder: str, prefix: str = "", database: str = "leads.sqlite
     ]
 
 
-def extract_csv(lake: Lake, file: str, name: str, mode: str = "overwrite", schema: str | None = None, *, multi_line: bool) -> None:
+def extract_csv(lake: Lake, file: str, name: str, mode: str = "overwrite", schema: StructType | str | None = None, *, multi_line: bool) -> None:
     """Land a CSV file as a bronze table."""
     lake.write(read_csv(lake.spark, file, schema, multi_line=multi_line), "bronze", name, mode)
 

@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazar import schemas
@@ -26,6 +26,7 @@ from bazar.functions import (
     ladder,
     lifetime_label,
     lower_or,
+    mean_of,
     money_of,
     round_half_away,
     text_or,
@@ -51,7 +52,7 @@ from bazar.operators import (
     top_k,
 )
 from bazar.plans import analyses, gold, silver
-from bazar.plans.pipeline import MODELS, Outcome, outcome_table, run_pipeline
+from bazar.plans.pipeline import MODELS, CsvTable, outcome_table, run_bronze, run_model, run_pipeline, run_query, sorted_table
 from bazar.session import configure, scratch_root
 from bazar.sources import Lake, describe_csv, preview_csv, publish_layer, query, read_csv, read_sqlite, register_views
 from checks.oracle import mean, over_tables, payment_performance, risk_score, total
@@ -376,14 +377,16 @@ def _(t: TestTables) -> DataFrame:
 )
 def _(t: TestTables) -> DataFrame:
     large = F.col("l_quantity") > 25
-    return t.raw("lineitem").groupBy("l_returnflag").agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("l_linenumber").isin(1, 2)).alias("leading_rows"),
-        F.count_if(F.col("l_discount") > 0.05).alias("discounted"),
-        F.avg(F.when(large, 1).otherwise(0)).alias("large_share"),
-        F.max(F.when(large, F.col("l_shipdate"))).alias("last_large"),
-        F.min("l_shipdate").alias("first_shipped"),
+    flag = lambda c: F.when(c, 1).otherwise(0)
+    found = collapse(
+        t.raw("lineitem"),
+        ["l_returnflag"],
+        sums={"leading_rows": flag(F.col("l_linenumber").isin(1, 2)), "discounted": flag(F.col("l_discount") > 0.05), "large": flag(large)},
+        least={"first_shipped": F.col("l_shipdate")},
+        greatest={"last_large": F.when(large, F.col("l_shipdate"))},
+        copies="total_rows",
     )
+    return found.withColumn("large_share", mean_of("large", "total_rows")).drop("large")
 
 
 @register(
@@ -422,9 +425,7 @@ def _(t: TestTables) -> DataFrame:
 
 @register("agg_minmax_ts", "select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as seen from events group by user_id")
 def _(t: TestTables) -> DataFrame:
-    return t.raw("events").groupBy("user_id").agg(
-        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("seen")
-    )
+    return collapse(t.raw("events"), ["user_id"], least={"first_seen": F.col("ts")}, greatest={"last_seen": F.col("ts")}, copies="seen")
 
 
 @register(
@@ -638,6 +639,61 @@ def _(t: TestTables) -> DataFrame:
     return read_sqlite(t.spark, folder, "lineitem")
 
 
+@register("io_plain_preview", "select count(*) as n_rows from (select * from order_items_silver limit 7)")
+def _(t: TestTables) -> DataFrame:
+    lake = _lake(t)
+    lake.write(t[ITEMS], "silver", "order_items_silver")
+    return lake.preview("silver", "order_items_silver", 7).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("q_status_limit", "select count(*) as n_rows, min(o_orderstatus) as o_orderstatus from (select * from orders where o_orderstatus = 'F' limit 25)")
+def _(t: TestTables) -> DataFrame:
+    some = rows_where(t.raw("orders"), F.col("o_orderstatus") == "F", limit=25)
+    return some.agg(F.count(F.lit(1)).alias("n_rows"), F.min("o_orderstatus").alias("o_orderstatus"))
+
+
+@register(
+    "io_describe_lake",
+    """select column_name, case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double' when 'VARCHAR' then 'string'
+         when 'TIMESTAMP' then 'timestamp_ntz' when 'BOOLEAN' then 'boolean' when 'DATE' then 'date' end as column_type
+       from (describe select *, l_quantity > 1 as many, l_shipdate::date as day from lineitem)""",
+)
+def _(t: TestTables) -> DataFrame:
+    lake = _lake(t)
+    lines = t.raw("lineitem")
+    lake.write(lines.withColumn("many", F.col("l_quantity") > 1).withColumn("day", F.to_date("l_shipdate")), "bronze", "lines")
+    return lake.describe("bronze", "lines")
+
+
+@register("io_run_query", "select seller_state, count(*) as sellers, count(distinct seller_city) as cities from sellers_silver group by 1")
+def _(t: TestTables) -> DataFrame:
+    lake = _lake(t)
+    lake.write(t[SELLERS], "silver", "sellers_silver")
+    register_views(lake, ["silver"])
+    run_query(lake, "select seller_state, count(*) as sellers, count(distinct seller_city) as cities from sellers_silver group by seller_state", "gold", "states")
+    return lake.read("gold", "states")
+
+
+def _report(name: str, *keys: str) -> None:
+    """A sorted report, as the place of its rows: the first place of all rows that share the keys it is sorted by."""
+    terms = ", ".join(f"{k.lstrip('-')} {'desc' if k[0] == '-' else 'asc'} nulls last" for k in keys)
+    columns = [k.lstrip("-") for k in keys]
+
+    @register(f"sort_{name.removeprefix('gold_')}", f"select {', '.join(columns)}, rank() over (order by {terms}) as place from {name}")
+    def _(t: TestTables) -> DataFrame:
+        lake = _lake(t)
+        lake.write(t[f"gold/{name}"], "gold", name)
+        # ids ascend in the order of the rows
+        numbered = sorted_table(lake, name).select(*columns).withColumn("at", F.monotonically_increasing_id())
+        numbered = numbered.withColumn("nth", F.row_number().over(Window.orderBy("at")).cast("bigint"))
+        return numbered.withColumn("place", F.min("nth").over(Window.partitionBy(*columns))).drop("at", "nth")
+
+
+_report("agg_sellers_cancellation_rate", "-cancellation_rate", "-negative_review_rate")
+_report("gold_payment_performance", "-avg_order_value", "cancellation_rate")
+_report("regional_demand_supply_balance", "-total_orders")
+
+
 # Every table of the three layers, built in a lake and counted there.
 _STORED = [*((f"bronze/{name}") for name in BRONZE), *(f"{m.layer}/{m.name}" for m in MODELS)]
 
@@ -651,10 +707,27 @@ _STORED = [*((f"bronze/{name}") for name in BRONZE), *(f"{m.layer}/{m.name}" for
 )
 def _(t: TestTables) -> DataFrame:
     lake = _lake(t)
+    exports = f"{lake.root}/exports"
+    exact = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     with ThreadPoolExecutor(max_workers=8) as pool:
-        list(pool.map(lambda name: lake.write(t[f"bronze/{name}"], "bronze", name), BRONZE))
-    outcomes = [Outcome("bronze", name, "ok", "") for name in lake.tables("bronze")]
-    outcomes += run_pipeline(lake, "silver", run_at=RUN_AT, parallel=8) + run_pipeline(lake, "gold", parallel=8)
+        list(pool.map(lambda name: t[f"bronze/{name}"].write.options(**exact).csv(f"{exports}/{name}"), BRONZE))
+    # the texts of reviews may hold line breaks
+    sources = [CsvTable(name, f"{exports}/{name}", t[f"bronze/{name}"].schema, name == "reviews_bronze") for name in BRONZE]
+    outcomes = run_pipeline(lake, "full", sources, run_at=RUN_AT, parallel=8)
     counts = row_counts({f"{o.layer}/{o.table_name}": lake.read(o.layer, o.table_name) for o in outcomes})
     statuses = outcome_table(t.spark, outcomes).withColumn("path", F.concat_ws("/", "layer", "table_name"))
     return statuses.join(counts.withColumnRenamed("table_name", "path"), "path").select("layer", "table_name", "status", "total_rows")
+
+
+@register("layers_values", "select * from gold_payment_performance")
+def _(t: TestTables) -> DataFrame:
+    """A report whose inputs went through CSV files and all three layers of the lake."""
+    lake = _lake(t)
+    exact = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    names = ("order_items_bronze", "orders_bronze", "payments_bronze")
+    for name in names:
+        t[f"bronze/{name}"].write.options(**exact).csv(f"{lake.root}/exports/{name}")
+    run_bronze(lake, [CsvTable(name, f"{lake.root}/exports/{name}", t[f"bronze/{name}"].schema, False) for name in names])
+    for model in ("order_items_silver", "orders_full_data_silver", "payments_silver", "gold_payment_performance"):
+        run_model(lake, model)
+    return lake.read("gold", "gold_payment_performance")

@@ -206,3 +206,24 @@ def test_views(spark, lake):
     lake.write(spark.range(5), "silver", "seen")
     assert register_views(lake) == ["seen", "seen"]
     assert Counter(query(spark, "select count(*) as n from seen").first()) == Counter([5])
+
+
+def test_unfinished_and_later_writers(spark, lake):
+    lake.write(spark.range(3), "bronze", "t")
+    whole = lake.path("bronze", "t")
+    # a writer that was killed leaves a folder without its end mark
+    spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{lake.root}/bronze/t/99999999999999999999-killed")
+    assert lake.path("bronze", "t") == whole and lake.read("bronze", "t").count() == 3
+    # a reader of the table as it was goes on while another writer replaces it
+    reader = lake.read("bronze", "t")
+    Lake(spark, lake.root).write(spark.range(5), "bronze", "t")
+    assert reader.count() == 3 and lake.read("bronze", "t").count() == 5 and lake.tables("bronze") == ["t"]
+
+
+def test_failed_publish_leaves_the_old_table(spark, lake, tmp_path):
+    lake.write(spark.range(4), "gold", "t")
+    publish_table(lake, "gold", "t", "kept", location=str(tmp_path / "kept"))
+    broken = Lake(spark, str(tmp_path / "absent"))
+    with pytest.raises(Exception):
+        publish_table(broken, "gold", "t", "kept")
+    assert spark.table("kept.t").count() == 4
