@@ -1,6 +1,6 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-The states of the tree are contexts of up to two words. A context is a candidate if its words are frequent enough, and is
+The states of the tree are contexts of up to two words. A context is a candidate if it and its words are frequent enough, and is
 retained if it tells more about the next word than its own suffix does: the log-likelihood of what follows it in the training texts, each
 occurrence left out of its own estimate, must gain ``GAIN`` bits over the suffix. The next-word distribution of a state takes
 ``DISCOUNT`` off every count and gives that mass, and what belongs to rare next words, to the distribution of its suffix; the empty context has the
@@ -27,7 +27,9 @@ from bazar.llm.text import flat, mix, pieces, span_hashes, word_spans
 
 FOLDS = 10
 # Training occurrences every word of a sequence must have, by the length of its context.
-LEAST_COUNTS = {1: 30, 2: 300}
+LEAST_COUNTS = {1: 50, 2: 1000}
+# Training occurrences a context must have itself.
+LEAST_OCCURRENCES = 10
 DISCOUNT = 0.75
 GAIN = 8.0
 END = np.uint64(0x5E2D8A7C61F3B94D)
@@ -156,10 +158,22 @@ class Model:
             n = level.length
             if SEQUENCE + n in answers:
                 (self.seen[n],) = _heard(answers, SEQUENCE + n, len(level.sequences), np.int64)
-            if MASS + n in answers:
-                self.mass[n], self.types[n] = _heard(answers, MASS + n, len(level.contexts), np.int64, np.float64)
+            if MASS + n not in answers:
+                continue
+            able = np.flatnonzero(self.able(level))
+            self.mass[n], self.types[n] = (self._spread(v, able, level) for v in _heard(answers, MASS + n, len(able), np.int64, np.float64))
             if BENEFIT + n in answers:
-                (self.gain[n],) = _heard(answers, BENEFIT + n, len(level.contexts), np.float64)
+                self.gain[n] = self._spread(_heard(answers, BENEFIT + n, len(able), np.float64)[0], able, level)
+
+    @staticmethod
+    def _spread(values: np.ndarray, able: np.ndarray, level: Level) -> np.ndarray:
+        out = np.zeros(len(level.contexts), values.dtype)
+        out[able] = values
+        return out
+
+    def able(self, level: Level) -> np.ndarray:
+        """Contexts that occur often enough; the same in all chunks."""
+        return self.occurrences(level) >= LEAST_OCCURRENCES
 
     def occurrences(self, level: Level) -> np.ndarray:
         """Training occurrences of every context: of a word, or of a sequence one shorter."""
@@ -193,7 +207,7 @@ class Model:
         if level.length not in self.mass or not len(level.at):
             return suffix
         n, share = self.back_off(level)
-        usable = n > 0 if retained is None else (n > 0) & retained
+        usable = n >= LEAST_OCCURRENCES if retained is None else (n >= LEAST_OCCURRENCES) & retained
         seen = self._seen_at(level)[level.at]
         own = np.maximum(seen - DISCOUNT, 0) / np.maximum(n, 1)[level.context] + share[level.context] * suffix[level.at]
         out = suffix.copy()
@@ -277,12 +291,13 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         mass = np.bincount(context, weights=level.local, minlength=len(level.contexts)).astype(np.int64)
         # every sequence counts as one type, in the shares of the chunks that have it
         types = np.bincount(context, weights=level.local / np.maximum(seen, 1), minlength=len(level.contexts))
-        return _ask(chunk, MASS + level.length, slices, level.contexts, mass, types)
+        able = model.able(level)
+        return _ask(chunk, MASS + level.length, slices, level.contexts[able], mass[able], types[able])
 
     def benefits(chunk: int, model: Model, level: Level):
-        if not len(level.sequences):
-            return _ask(chunk, BENEFIT + level.length, slices, level.contexts, np.zeros(len(level.contexts)))
-        return _ask(chunk, BENEFIT + level.length, slices, level.contexts, model.gains(level))
+        able = model.able(level)
+        gains = model.gains(level) if len(level.sequences) else np.zeros(len(level.contexts))
+        return _ask(chunk, BENEFIT + level.length, slices, level.contexts[able], gains[able])
 
     for asking, kinds in ((sequences, [np.int64]), (masses, [np.int64, np.float64]), (benefits, [np.float64])):
         answers = answers.unionByName(turn(asking, kinds))

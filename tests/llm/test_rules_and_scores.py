@@ -298,6 +298,7 @@ def brute_lm(rows):
     for n in (1, 2):
         for (s, w), k in counts[n].items():
             kept[s].append((w, k))
+    after = Counter({s: n for s, n in after.items() if n >= suffix_tree_lm.LEAST_OCCURRENCES})
     share = {s: min(1.0, max(0.0, 1 - sum(k - discount for _, k in kept[s]) / n)) for s, n in after.items()}
 
     def prob(s, w, states):
