@@ -25,7 +25,7 @@ from pyspark.sql.types import BinaryType, BooleanType, LongType, StringType, Str
 
 from bazar.llm import bwt, exchange
 from bazar.llm.tables import stored
-from bazar.llm.text import BASES, byte_values, covered, flat, group_sums, pieces, ranges, sliding_argmin, span_hashes, window_hashes, window_starts
+from bazar.llm.text import BASES, byte_values, covered, flat, group_sums, mix, pieces, ranges, sliding_argmin, span_hashes, window_hashes, window_starts
 
 LENGTH = 50
 # From so many occurrences on the strings of an anchor are decided one by one.
@@ -113,8 +113,10 @@ class Segments:
     def sent(self, later: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
         """Segments to merge, those of each slice together, and where the slices begin."""
         mine = self.first[~later & ~self.alone[self.first]]
-        mine = mine[np.lexsort((mine, self.keys[mine]))]
-        return mine, exchange.slice_cuts(self.keys[mine], slices)
+        # anchors have small hashes, as the smallest of many: mixed again they are even
+        to = mix(self.keys[mine])
+        order = np.lexsort((mine, to))
+        return mine[order], exchange.slice_cuts(to[order], slices)
 
 
 def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
