@@ -148,16 +148,20 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     "op1_substring_dedup",
     rf"""
     with docs as (select doc_id, {WORDS_SQL} as words from documents),
-    starts as (select doc_id, words, unnest(generate_series(1, len(words) - 19)) as i from docs where len(words) >= 20),
-    later as (
-        select doc_id, i from (
-            select doc_id, i, row_number() over (partition by array_to_string(words[i:i + 19], ' ') order by doc_id, i) as nth from starts)
-        where nth > 1),
-    gone as (select distinct doc_id, unnest(generate_series(i, i + 19)) as p from later),
-    flat as (select doc_id, unnest(words) as word, unnest(generate_series(1, len(words))) as p from docs where len(words) > 0),
+    grams as (
+        select doc_id, i, array_to_string(words[i:i + 19], ' ') as gram
+        from (select doc_id, words, unnest(generate_series(1, len(words) - 19)) as i from docs where len(words) >= 20)),
+    lost as (select doc_id, i from (select doc_id, i, row_number() over (partition by gram order by doc_id, i) as nth from grams) where nth > 1),
+    marked as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i), 21) > 20 as opens from lost),
+    spans as (
+        select doc_id, min(i) as a, max(i) + 20 as b
+        from (select doc_id, i, count(*) filter (where opens) over (partition by doc_id order by i) as span from marked) group by doc_id, span),
+    gaps as (
+        select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 1) as first, a - 1 as last from spans
+        union all select docs.doc_id, coalesce(max(b), 1), any_value(len(words)) from docs left join spans using (doc_id) group by docs.doc_id),
     kept as (
-        select flat.doc_id, string_agg(word, ' ' order by flat.p) as body, count(*) as n
-        from flat left join gone on flat.doc_id = gone.doc_id and flat.p = gone.p where gone.p is null group by flat.doc_id)
+        select doc_id, string_agg(array_to_string(words[first:last], ' '), ' ' order by first) as body, sum(last - first + 1) as n
+        from gaps join docs using (doc_id) where last >= first group by doc_id)
     select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(body, '')) as kept_sha256
     from docs left join kept using (doc_id)""",
 )
@@ -176,17 +180,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     "op8_suffix_dedup",
     """
     with docs as (select doc_id, hex(encode(coalesce("text", ''))) as h from documents),
-    starts as (select doc_id, h, unnest(generate_series(0, length(h) // 2 - 50)) as i from docs where length(h) >= 100),
-    lost as (select doc_id, i from (select doc_id, i, min(doc_id) over (partition by substr(h, 2 * i + 1, 100)) as least from starts) where least < doc_id),
-    gone as (select distinct doc_id, unnest(generate_series(i, i + 49)) as p from lost),
-    runs as (select doc_id, count(*) as n from (select doc_id, p, lag(p) over (partition by doc_id order by p) as before from gone) where before is null or before < p - 1 group by doc_id),
-    flat as (select doc_id, h, unnest(generate_series(0, length(h) // 2 - 1)) as p from docs where length(h) > 0),
-    kept as (
-        select flat.doc_id, string_agg(substr(h, 2 * flat.p + 1, 2), '' order by flat.p) as body, count(*) as n
-        from flat left join gone on flat.doc_id = gone.doc_id and flat.p = gone.p where gone.p is null group by flat.doc_id)
-    select doc_id, (length(h) // 2)::bigint as n_bytes, (length(h) // 2 - coalesce(kept.n, 0))::bigint as n_removed, coalesce(runs.n, 0)::bigint as n_spans,
-        sha256(unhex(coalesce(body, ''))) as kept_sha256
-    from docs left join kept using (doc_id) left join runs using (doc_id)""",
+    blocks as (  -- the engine counts characters from the start of a string, so long ones are cut first
+        select doc_id, 1000 * j as base, substr(h, 2000 * j + 1, 2098) as block
+        from (select doc_id, h, unnest(generate_series(0, length(h) // 2000)) as j from docs)),
+    grams as (
+        select doc_id, base + i as i, substr(block, 2 * i + 1, 100) as gram
+        from (select doc_id, base, block, unnest(generate_series(0, length(block) // 2 - 50)) as i from blocks where length(block) >= 100)),
+    firsts as (select gram, min(doc_id) as least from grams group by gram having count(*) > 1),
+    lost as (select doc_id, i from grams join firsts using (gram) where least < doc_id),
+    marked as (select doc_id, i, coalesce(i - lag(i) over (partition by doc_id order by i), 51) > 50 as opens from lost),
+    spans as (
+        select doc_id, min(i) as a, max(i) + 50 as b
+        from (select doc_id, i, count(*) filter (where opens) over (partition by doc_id order by i) as span from marked) group by doc_id, span),
+    gaps as (
+        select doc_id, coalesce(lag(b) over (partition by doc_id order by a), 0) as a, a as b from spans
+        union all select docs.doc_id, coalesce(max(b), 0), any_value(length(h) // 2) from docs left join spans using (doc_id) group by docs.doc_id),
+    kept as (select doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' order by a) as body, count(*) - 1 as n_spans from gaps join docs using (doc_id) group by doc_id)
+    select doc_id, (length(h) // 2)::bigint as n_bytes, ((length(h) - length(body)) // 2)::bigint as n_removed, n_spans::bigint as n_spans, sha256(unhex(body)) as kept_sha256
+    from docs join kept using (doc_id)""",
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_dedup.suffix_dedup(table(spark, folder, "documents", "doc_id", "text"))
