@@ -75,7 +75,8 @@ def _rules() -> dict[str, Column]:
         "too_few_words": words < 20,
         "repeated_windows": 100 * F.col("n_repeat_words") > 30 * words,
         "symbols": 100 * F.col("n_symbols") > 10 * F.col("word_chars"),
-        "repeated_lines": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
+        # one line twice in a short text says little
+        "repeated_lines": (F.col("n_dup_lines") >= 3) & (100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
         "short_words": F.col("word_chars") < 2 * words,
         "long_words": F.col("word_chars") > 25 * words,
     }
