@@ -12,6 +12,7 @@ the key space for totals (``bazar.llm.exchange``), in four rounds: words, word s
 
 from __future__ import annotations
 
+import math
 import zlib
 from dataclasses import dataclass
 
@@ -26,8 +27,10 @@ from bazar.llm.tables import stored
 from bazar.llm.text import flat, mix, pieces, span_hashes, word_spans
 
 FOLDS = 10
-# Training occurrences every word of a sequence must have, by the length of its context.
-LEAST_COUNTS = {1: 50, 2: 1000}
+# Share of the training tokens every word of a sequence must have, by the length of its context, and the least number of occurrences. Shares
+# let the same part of a text take part at every size of the corpus.
+LEAST_SHARES = {1: 4e-7, 2: 8e-6}
+LEAST_COUNT = 20
 # Training occurrences a context must have itself.
 LEAST_OCCURRENCES = 10
 DISCOUNT = 0.75
@@ -48,6 +51,10 @@ def held_out(doc: int | None, folds: int = FOLDS) -> bool:
     return doc is not None and zlib.crc32(str(doc).encode()) % folds == 0
 
 
+def least_count(length: int, trained: int) -> int:
+    return max(LEAST_COUNT, math.ceil(LEAST_SHARES[length] * trained))
+
+
 @dataclass
 class Tokens:
     """The tokens of a chunk, each document followed by an end token."""
@@ -85,8 +92,8 @@ class Level:
     local: np.ndarray  # training occurrences in the chunk of each sequence
 
     @classmethod
-    def of(cls, tokens: Tokens, counts: np.ndarray, length: int) -> Level:
-        frequent = (counts >= LEAST_COUNTS[length])[tokens.place]
+    def of(cls, tokens: Tokens, counts: np.ndarray, length: int, trained: int) -> Level:
+        frequent = (counts >= least_count(length, trained))[tokens.place]
         at = np.arange(len(tokens.place))
         at = at[at - np.repeat(tokens.bounds[:-1], np.diff(tokens.bounds)) >= length]
         hashes = np.full(len(at), length, np.uint64)
@@ -109,18 +116,39 @@ class Level:
         return first
 
 
+def _small(values: np.ndarray) -> list[np.ndarray]:
+    """Counts as one byte each, those from 255 on listed behind; other values as they are."""
+    if values.dtype != np.int64:
+        return [values]
+    return [np.minimum(values, 255).astype(np.uint8), values[values >= 255]]
+
+
+def _values(payload: bytes, kinds: tuple[type, ...], keyed: bool = False) -> list[np.ndarray]:
+    """What ``_small`` made of the values of each kind, behind keys if there are any."""
+    types = [t for kind in kinds for t in ((np.uint8, np.int64) if kind is np.int64 else (kind,))]
+    parts = iter(exchange.unpack(payload, *([np.uint64] * keyed), *types))
+    out = [next(parts)] if keyed else []
+    for kind in kinds:
+        value = next(parts)
+        if kind is np.int64:
+            value, large = value.astype(np.int64), next(parts)
+            value[value == 255] = large
+        out.append(value)
+    return out
+
+
 def _ask(chunk: int, tag: int, slices: int, keys: np.ndarray, *values: np.ndarray):
     """Messages with sorted keys and a value of each kind per key."""
     cuts = exchange.slice_cuts(keys, slices)
     for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if b > a:
-            yield s, chunk, tag, exchange.pack(keys[a:b], *(v[a:b] for v in values))
+            yield s, chunk, tag, exchange.pack(keys[a:b], *(part for v in values for part in _small(v[a:b])))
 
 
 def _totals(asked: list[exchange.Message], kinds: list[type]):
     """Answers with the totals over all chunks, in the order of the keys; the values are summed in a fixed order."""
     for tag in sorted({m[2] for m in asked}):
-        mine = [(m, exchange.unpack(m[3], np.uint64, *kinds)) for m in asked if m[2] == tag]
+        mine = [(m, _values(m[3], tuple(kinds), keyed=True)) for m in asked if m[2] == tag]
         keys, place = np.unique(np.concatenate([part[0] for _, part in mine]), return_inverse=True)
         sums = []
         for i, kind in enumerate(kinds, 1):
@@ -132,13 +160,13 @@ def _totals(asked: list[exchange.Message], kinds: list[type]):
         for (s, chunk, _, _), part in mine:
             own = place[at : at + len(part[0])]
             at += len(own)
-            yield s, chunk, tag, exchange.pack(*(t[own] for t in sums))
+            yield s, chunk, tag, exchange.pack(*(part for t in sums for part in _small(t[own])))
         if tag == WORD:
             yield mine[0][0][0], -1, TOTAL, exchange.pack(np.array([(sums[0] > 0).sum(), sums[0].sum()], np.int64))
 
 
 def _heard(answers: dict[int, list[bytes]], tag: int, size: int, *kinds) -> list[np.ndarray]:
-    parts = [exchange.unpack(p, *kinds) for p in answers.get(tag, [])]
+    parts = [_values(p, kinds) for p in answers.get(tag, [])]
     out = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, k) for i, k in enumerate(kinds)]
     if any(len(o) != size for o in out):
         raise RuntimeError("the chunk was not read twice alike")
@@ -152,7 +180,7 @@ class Model:
         self.tokens = Tokens.of(chunk)
         (self.counts,) = _heard(answers, WORD, len(self.tokens.words), np.int64)
         self.root = ((self.counts + 0.1) / (trained + 0.1 * (known + 1)))[self.tokens.place]
-        self.levels = [Level.of(self.tokens, self.counts, n) for n in sorted(LEAST_COUNTS)]
+        self.levels = [Level.of(self.tokens, self.counts, n, trained) for n in sorted(LEAST_SHARES)]
         self.seen, self.mass, self.types, self.gain = {}, {}, {}, {}
         for level in self.levels:
             n = level.length

@@ -284,7 +284,7 @@ def brute_lm(rows):
     c = Counter(w for t in train for w in t)
     total, known = sum(c.values()), len(c)
     p0 = lambda w: (c[w] + 0.1) / (total + 0.1 * (known + 1))
-    least, discount = suffix_tree_lm.LEAST_COUNTS, suffix_tree_lm.DISCOUNT
+    least, discount = {n: suffix_tree_lm.least_count(n, total) for n in (1, 2)}, suffix_tree_lm.DISCOUNT
     counts, after, kept = {1: Counter(), 2: Counter()}, Counter(), defaultdict(list)
     for t in train:
         for i in range(1, len(t)):
