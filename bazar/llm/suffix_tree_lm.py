@@ -1,4 +1,4 @@
-"""Language-model scores from a probabilistic suffix tree over words.
+"""Language-model scores from a probabilistic suffix tree over words, A-Z as a-z.
 
 The states of the tree are contexts of up to two words. A context is a candidate if it and its words are frequent enough, and is
 retained if it tells more about the next word than its own suffix does: the log-likelihood of what follows it in the training texts, each
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from bazar.llm import exchange
+from bazar.llm.simhash import LOWER
 from bazar.llm.tables import stored
 from bazar.llm.text import flat, mix, pieces, span_hashes, word_spans
 
@@ -68,6 +69,7 @@ class Tokens:
     def of(cls, chunk: pa.Table) -> Tokens:
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for _, _, data, offsets in pieces(*flat(chunk["text"])):
+            data = LOWER[data]
             starts, ends, bounds = word_spans(data, offsets)
             hashes.append(span_hashes(data, starts, ends))
             counts.append(np.diff(bounds))

@@ -349,3 +349,13 @@ def test_language_model_is_brute_force(ready, messy, nothing, monkeypatch):
     odd = suffix_tree_lm.score(messy)
     assert odd.count() == messy.count() and set(odd.columns) == {*messy.columns, *(f.name for f in suffix_tree_lm.COLUMNS)}
     assert suffix_tree_lm.score(nothing).count() == 0
+
+
+def test_language_model_lower_cases(ready):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(["the", "The", "THE", "cat", "Cat", "É", "é"]) for _ in range(30))) for i in range(60)]
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    expected, _ = brute_lm([(k, t.translate(lower)) for k, t in rows])
+    got = suffix_tree_lm.score(ready.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = sorted((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got)
+    assert found == sorted((n, k, t, round(b, 6), round(s, 6)) for n, k, t, b, s in expected)
