@@ -1,18 +1,18 @@
 """Language-model scores from a probabilistic suffix tree over words, A-Z as a-z.
 
-The states of the tree are contexts of up to two words. A context is a candidate if it and its words are frequent enough, and is
+The states of the tree are contexts of up to two words. A context is a candidate if it occurs ``LEAST_OCCURRENCES`` times, however large the corpus, and is
 retained if it tells more about the next word than its own suffix does: the log-likelihood of what follows it in the training texts, each
 occurrence left out of its own estimate, must gain ``GAIN`` bits over the suffix. The next-word distribution of a state takes
-``DISCOUNT`` off every count and gives that mass, and what belongs to rare next words, to the distribution of its suffix; the empty context has the
+``DISCOUNT`` off every count and gives that mass to the distribution of its suffix; the empty context has the
 smoothed word frequencies. A word is scored in the state of the longest retained suffix of what precedes it in its text.
 
 All counts are over the whole training part. Words and contexts are known by 64 bits of hash. Chunks of documents ask slices of
-the key space for totals (``bazar.llm.exchange``), in four rounds: words, word sequences, the mass of contexts, their gain.
+the key space for totals (``bazar.llm.exchange``): words first, then for each length of context the sequences, the mass of contexts, and their gain. Each length starts a round
+after the one below, when the occurrences of its contexts are known.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from dataclasses import dataclass
 
@@ -28,10 +28,7 @@ from bazar.llm.tables import stored
 from bazar.llm.text import flat, mix, pieces, span_hashes, word_spans
 
 FOLDS = 10
-# Share of the training tokens every word of a sequence must have, by the length of its context, and the least number of occurrences. Shares
-# let the same part of a text take part at every size of the corpus.
-LEAST_SHARES = {1: 4e-7, 2: 8e-6}
-LEAST_COUNT = 20
+LENGTHS = (1, 2)
 # Training occurrences a context must have itself.
 LEAST_OCCURRENCES = 10
 DISCOUNT = 0.75
@@ -39,6 +36,8 @@ GAIN = 8.0
 END = np.uint64(0x5E2D8A7C61F3B94D)
 
 WORD, SEQUENCE, MASS, BENEFIT, TOTAL = 0, 10, 20, 30, 99
+# values per key, by kind of question
+KINDS = {WORD: (np.int64,), SEQUENCE: (np.int64,), MASS: (np.int64, np.float64), BENEFIT: (np.float64,)}
 COLUMNS = [
     StructField("held_out", BooleanType()),
     *(StructField(n, LongType()) for n in ("n_tokens", "n_known", "train_tokens")),
@@ -53,7 +52,8 @@ def held_out(doc: int | None, folds: int = FOLDS) -> bool:
 
 
 def least_count(length: int, trained: int) -> int:
-    return max(LEAST_COUNT, math.ceil(LEAST_SHARES[length] * trained))
+    """Training occurrences a word of a sequence must have: any known word takes part, at every length and size."""
+    return 1
 
 
 @dataclass
@@ -88,28 +88,29 @@ class Level:
     at: np.ndarray  # tokens whose context is a candidate
     context: np.ndarray  # for each of them its context
     contexts: np.ndarray  # hashes, distinct and sorted
-    full: np.ndarray  # which of them are frequent enough themselves
+    occurrences: np.ndarray  # training occurrences of each
+    full: np.ndarray  # which of the tokens are known words
     sequence: np.ndarray  # for those, their sequence
     sequences: np.ndarray  # hashes, distinct and sorted
     local: np.ndarray  # training occurrences in the chunk of each sequence
 
     @classmethod
-    def of(cls, tokens: Tokens, counts: np.ndarray, length: int, trained: int) -> Level:
-        frequent = (counts >= least_count(length, trained))[tokens.place]
+    def of(cls, tokens: Tokens, counts: np.ndarray, ending: np.ndarray, length: int, trained: int) -> Level:
+        """``ending`` has for every token the training occurrences of the ``length`` words that end there."""
+        known = (counts >= least_count(length, trained))[tokens.place]
         at = np.arange(len(tokens.place))
         at = at[at - np.repeat(tokens.bounds[:-1], np.diff(tokens.bounds)) >= length]
+        at = at[ending[at - 1] >= LEAST_OCCURRENCES]
         hashes = np.full(len(at), length, np.uint64)
-        good = np.ones(len(at), bool)
         for back in range(length, 0, -1):
-            good &= frequent[at - back]
             hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + tokens.words[tokens.place[at - back]])
-        at, hashes = at[good], hashes[good]
-        contexts, context = np.unique(hashes, return_inverse=True)
-        full = frequent[at]
+        contexts, first, context = np.unique(hashes, return_index=True, return_inverse=True)
+        occurrences = ending[at[first] - 1]
+        full = known[at]
         hashes = mix(hashes[full] * np.uint64(0xC2B2AE3D27D4EB4F) + tokens.words[tokens.place[at[full]]])
         sequences, sequence = np.unique(hashes, return_inverse=True)
         local = np.bincount(sequence, weights=tokens.trains[at[full]], minlength=len(sequences)).astype(np.int64)
-        return cls(length, at, context, contexts, full, sequence, sequences, local)
+        return cls(length, at, context, contexts, occurrences, full, sequence, sequences, local)
 
     def shorter(self) -> np.ndarray:
         """For every sequence one token that completes it."""
@@ -147,10 +148,11 @@ def _ask(chunk: int, tag: int, slices: int, keys: np.ndarray, *values: np.ndarra
             yield s, chunk, tag, exchange.pack(keys[a:b], *(part for v in values for part in _small(v[a:b])))
 
 
-def _totals(asked: list[exchange.Message], kinds: list[type]):
+def _totals(asked: list[exchange.Message]):
     """Answers with the totals over all chunks, in the order of the keys; the values are summed in a fixed order."""
     for tag in sorted({m[2] for m in asked}):
-        mine = [(m, _values(m[3], tuple(kinds), keyed=True)) for m in asked if m[2] == tag]
+        kinds = KINDS[tag // 10 * 10]
+        mine = [(m, _values(m[3], kinds, keyed=True)) for m in asked if m[2] == tag]
         keys, place = np.unique(np.concatenate([part[0] for _, part in mine]), return_inverse=True)
         sums = []
         for i, kind in enumerate(kinds, 1):
@@ -182,38 +184,19 @@ class Model:
         self.tokens = Tokens.of(chunk)
         (self.counts,) = _heard(answers, WORD, len(self.tokens.words), np.int64)
         self.root = ((self.counts + 0.1) / (trained + 0.1 * (known + 1)))[self.tokens.place]
-        self.levels = [Level.of(self.tokens, self.counts, n, trained) for n in sorted(LEAST_SHARES)]
-        self.seen, self.mass, self.types, self.gain = {}, {}, {}, {}
-        for level in self.levels:
-            n = level.length
-            if SEQUENCE + n in answers:
-                (self.seen[n],) = _heard(answers, SEQUENCE + n, len(level.sequences), np.int64)
-            if MASS + n not in answers:
-                continue
-            able = np.flatnonzero(self.able(level))
-            self.mass[n], self.types[n] = (self._spread(v, able, level) for v in _heard(answers, MASS + n, len(able), np.int64, np.float64))
+        self.levels, self.seen, self.mass, self.types, self.gain = [], {}, {}, {}, {}
+        ending = self.counts[self.tokens.place]
+        for n in LENGTHS:
+            level = Level.of(self.tokens, self.counts, ending, n, trained)
+            self.levels.append(level)
+            if len(level.sequences) and SEQUENCE + n not in answers:
+                break  # not asked yet, so no longer context is known
+            (self.seen[n],) = _heard(answers, SEQUENCE + n, len(level.sequences), np.int64)
+            ending = self._seen_at(level)
+            if MASS + n in answers:
+                self.mass[n], self.types[n] = _heard(answers, MASS + n, len(level.contexts), np.int64, np.float64)
             if BENEFIT + n in answers:
-                self.gain[n] = self._spread(_heard(answers, BENEFIT + n, len(able), np.float64)[0], able, level)
-
-    @staticmethod
-    def _spread(values: np.ndarray, able: np.ndarray, level: Level) -> np.ndarray:
-        out = np.zeros(len(level.contexts), values.dtype)
-        out[able] = values
-        return out
-
-    def able(self, level: Level) -> np.ndarray:
-        """Contexts that occur often enough; the same in all chunks."""
-        return self.occurrences(level) >= LEAST_OCCURRENCES
-
-    def occurrences(self, level: Level) -> np.ndarray:
-        """Training occurrences of every context: of a word, or of a sequence one shorter."""
-        n, tokens = level.length, self.tokens
-        last = np.zeros(len(level.contexts), np.int64)
-        last[level.context] = level.at - 1
-        if n == 1:
-            return self.counts[tokens.place[last]]
-        below = self.levels[n - 2]
-        return self._seen_at(below)[last]
+                (self.gain[n],) = _heard(answers, BENEFIT + n, len(level.contexts), np.float64)
 
     def _seen_at(self, level: Level) -> np.ndarray:
         """For every token the training occurrences of the sequence it completes, 0 if that is no candidate."""
@@ -224,7 +207,7 @@ class Model:
 
     def back_off(self, level: Level) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences of every context and the share of its mass that goes to its suffix."""
-        n = self.occurrences(level)
+        n = level.occurrences
         kept = self.mass[level.length] - DISCOUNT * self.types[level.length]
         return n, np.clip(1 - kept / np.maximum(n, 1), 0, 1)
 
@@ -237,7 +220,7 @@ class Model:
         if level.length not in self.mass or not len(level.at):
             return suffix
         n, share = self.back_off(level)
-        usable = n >= LEAST_OCCURRENCES if retained is None else (n >= LEAST_OCCURRENCES) & retained
+        usable = np.ones(len(n), bool) if retained is None else retained
         seen = self._seen_at(level)[level.at]
         own = np.maximum(seen - DISCOUNT, 0) / np.maximum(n, 1)[level.context] + share[level.context] * suffix[level.at]
         out = suffix.copy()
@@ -289,7 +272,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         counts = np.bincount(tokens.place, weights=tokens.trains, minlength=len(tokens.words)).astype(np.int64)
         return _ask(chunk, WORD, slices, tokens.words, counts)
 
-    answers = stored(exchange.answer(exchange.ask(plain, words), lambda asked: _totals(asked, [np.int64])))
+    answers = stored(exchange.answer(exchange.ask(plain, words), _totals))
 
     def parse(batches):
         for batch in batches:
@@ -299,16 +282,17 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     sums = answers.filter(F.col("tag") == TOTAL).select("payload").mapInArrow(parse, "known bigint, trained bigint")
     known, trained = (int(v or 0) for v in sums.agg(F.sum("known"), F.sum("trained")).first())
 
-    def turn(asking, kinds):
+    def turn(number: int):
         """One more round: what the chunks ask, given all answers so far."""
 
         def run(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:
             if chunk < 0:
                 return exchange.messages([])
             model = Model(exchange.in_order(table), exchange.by_tag(heard), known, trained)
-            return exchange.messages(m for level in model.levels for m in asking(chunk, model, level))
+            steps = ((number - level.length, level) for level in model.levels)
+            return exchange.messages(m for step, level in steps if 0 <= step < len(asking) for m in asking[step](chunk, model, level))
 
-        return stored(exchange.answer(exchange.hear(plain, answers, run, exchange.MESSAGE), lambda asked: _totals(asked, kinds)))
+        return stored(exchange.answer(exchange.hear(plain, answers, run, exchange.MESSAGE), _totals))
 
     def sequences(chunk: int, model: Model, level: Level):
         return _ask(chunk, SEQUENCE + level.length, slices, level.sequences, level.local)
@@ -321,16 +305,15 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         mass = np.bincount(context, weights=level.local, minlength=len(level.contexts)).astype(np.int64)
         # every sequence counts as one type, in the shares of the chunks that have it
         types = np.bincount(context, weights=level.local / np.maximum(seen, 1), minlength=len(level.contexts))
-        able = model.able(level)
-        return _ask(chunk, MASS + level.length, slices, level.contexts[able], mass[able], types[able])
+        return _ask(chunk, MASS + level.length, slices, level.contexts, mass, types)
 
     def benefits(chunk: int, model: Model, level: Level):
-        able = model.able(level)
         gains = model.gains(level) if len(level.sequences) else np.zeros(len(level.contexts))
-        return _ask(chunk, BENEFIT + level.length, slices, level.contexts[able], gains[able])
+        return _ask(chunk, BENEFIT + level.length, slices, level.contexts, gains)
 
-    for asking, kinds in ((sequences, [np.int64]), (masses, [np.int64, np.float64]), (benefits, [np.float64])):
-        answers = answers.unionByName(turn(asking, kinds))
+    asking = (sequences, masses, benefits)
+    for number in range(LENGTHS[0], LENGTHS[-1] + len(asking)):
+        answers = answers.unionByName(turn(number))
     schema = StructType([chunks.rows.schema["row"], *COLUMNS])
 
     def finish(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:

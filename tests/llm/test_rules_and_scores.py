@@ -359,3 +359,15 @@ def test_language_model_lower_cases(ready):
     got = suffix_tree_lm.score(ready.createDataFrame(rows, "doc_id bigint, text string")).collect()
     found = sorted((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got)
     assert found == sorted((n, k, t, round(b, 6), round(s, 6)) for n, k, t, b, s in expected)
+
+
+def test_language_model_keeps_contexts_of_rare_words(ready):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(40))) for i in range(80)]
+    rows += [(100 + i, f"a rare{i % 3} word{i % 3} thing b") for i in range(48)]
+    expected, retained = brute_lm(rows)
+    assert ("rare1",) in retained
+    assert suffix_tree_lm.least_count(2, 10**10) == suffix_tree_lm.least_count(2, 100)
+    got = suffix_tree_lm.score(ready.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = sorted((r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got)
+    assert found == sorted((n, k, t, round(b, 6), round(s, 6)) for n, k, t, b, s in expected)
