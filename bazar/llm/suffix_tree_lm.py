@@ -319,6 +319,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     def finish(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:
         if chunk < 0:
             return pa.table([table["row"], *(pa.array([], t) for t in (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names=["row", *names])
+        if "text" not in table.column_names:
+            table = table.append_column("text", table["row"].combine_chunks().field(text))
         table = exchange.in_order(table)
         model = Model(table, exchange.by_tag(heard), known, trained)
         tokens, first = model.tokens, model.tokens.bounds[:-1]
@@ -334,5 +336,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         ]
         return pa.table([table["row"], *made], names=["row", *names])
 
-    done = exchange.hear(chunks.rows, answers, finish, schema)
+    # the text is in the row already
+    whole = chunks.rows.drop("text") if text in kept else chunks.rows
+    done = exchange.hear(whole, answers, finish, schema)
     return done.select(*[F.col("row").getField(c).alias(c) for c in kept], *names)
