@@ -36,8 +36,8 @@ HITS = [StructField("n_words", LongType()), StructField("hit_words", ArrayType(L
 class NGrams:
     """The windows of some items: by length a sorted array of hashes, and what stands behind each."""
 
-    def __init__(self, items: Sequence[tuple[int, str]], window: int):
-        self.found: dict[int, dict[int, dict[bytes, set[int]]]] = defaultdict(lambda: defaultdict(dict))
+    def __init__(self, items: Sequence[tuple[int | None, str]], window: int):
+        self.found: dict[int, dict[int, dict[bytes, set[int | None]]]] = defaultdict(lambda: defaultdict(dict))
         texts = pa.array([t for _, t in items], pa.string())
         for first, _, data, offsets in pieces(*flat(texts)):
             data = LOWER[data]
@@ -84,6 +84,11 @@ def _ngrams(block: tuple[tuple[int, str], ...], window: int) -> NGrams:
     return NGrams(block, window)
 
 
+def _last(item: int | None) -> tuple[bool, int]:
+    """Order of items, those without an id behind all others."""
+    return item is None, item or 0
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -93,24 +98,25 @@ def find_leaks(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
     keep: Sequence[str] | None = None,
+    unnamed: bool = False,
 ) -> DataFrame:
     """Add ``n_words``, ``hit_words`` (numbers of the words hit, ascending) and ``items`` (ids found) to every row.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. A
-    word inside any occurrence of a window is hit. NULL and empty texts have no words; NULL and empty items, and
-    items without an id, no windows. Equal items are all reported. An empty benchmark hits nothing. Columns called like the new ones are
+    word inside any occurrence of a window is hit. NULL and empty texts have no words; NULL and empty items no windows. Items
+    without an id have none either, but if ``unnamed``: then they hit like others and are one NULL at the end of ``items``. Equal items are all reported. An empty benchmark hits nothing. Columns called like the new ones are
     replaced. Only the benchmark is broadcast, in blocks of at most about ``block_bytes``.
     """
     names = [f.name for f in HITS]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    entries = benchmark.select(F.col(item).cast("bigint").alias("item"), F.col(item_text).alias("words")).dropna()
+    entries = benchmark.select(F.col(item).cast("bigint").alias("item"), F.col(item_text).alias("words")).dropna(subset=["words"] if unnamed else None)
     size = entries.agg(F.sum(F.octet_length("words") + 16)).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     # the words each pass needs are in the text; what it found so far travels along
     found = docs.select(*kept, F.col(text).alias("__text"), F.lit(None).cast("array<bigint>").alias("__hits"), F.lit(None).cast("array<bigint>").alias("__items"), F.lit(0).cast("bigint").alias("__n"))
     for number in range(blocks):
         block = entries if blocks == 1 else entries.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == number)
-        shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted((r.item, r.words) for r in block.collect())))
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(((r.item, r.words) for r in block.collect()), key=lambda r: (_last(r[0]), r[1]))))
         found = found.mapInArrow(_scanner(shared, window, len(kept), found.columns), found.schema)
     return found.select(*kept, F.col("__n").alias("n_words"), F.col("__hits").alias("hit_words"), F.col("__items").alias("items"))
 
@@ -128,7 +134,7 @@ def _scanner(shared, window: int, kept: int, names: list[str]):
                     new = np.flatnonzero(hit[bounds[row] : bounds[row + 1]])
                     hits.append(np.union1d(old_hits, new).astype(np.int64) if old_hits else new)
                     items[row] |= set(old_items or ())
-                made = [pa.array(hits, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.int64())), pa.array(np.diff(bounds), pa.int64())]
+                made = [pa.array(hits, pa.list_(pa.int64())), pa.array([sorted(x, key=_last) for x in items], pa.list_(pa.int64())), pa.array(np.diff(bounds), pa.int64())]
                 yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in range(kept + 1)), *made], names=names)
 
     return run

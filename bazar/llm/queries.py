@@ -116,7 +116,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 )
 def _(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
-    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark", "item_id", "text"), keep=["doc_id"])
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark", "item_id", "text"), keep=["doc_id"], unnamed=True)
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select(
         "doc_id",
