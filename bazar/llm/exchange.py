@@ -20,10 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from bazar.llm.tables import stored
 from bazar.llm.text import mix
 
 CHUNK_BYTES = 8 << 20
 LEAST_CHUNK_BYTES = 1 << 20
+# What a row counts for besides its text.
+ROW_BYTES = 64
 
 MESSAGE = "slice int, chunk int, tag int, payload binary"
 MESSAGE_TYPES = [("slice", pa.int32()), ("chunk", pa.int32()), ("tag", pa.int32()), ("payload", pa.binary())]
@@ -33,7 +36,7 @@ Message = tuple[int, int, int, bytes]
 
 @dataclass(frozen=True)
 class Chunks:
-    """``rows`` has the columns chunk, doc (bigint), text, and row, the struct of what is carried along."""
+    """``rows`` has the columns chunk, doc (bigint), order (a hash of the text), text, and row, the struct of what is carried along."""
 
     rows: DataFrame
     count: int
@@ -41,25 +44,37 @@ class Chunks:
 
 
 def chunked(docs: DataFrame, key: str, text: str, carry: Sequence[str] = (), chunk_bytes: int = CHUNK_BYTES) -> Chunks:
-    """Deal documents out by a hash of their key into chunks of about ``chunk_bytes`` of text.
+    """Deal documents out by a hash of their key and text into chunks of about ``chunk_bytes`` of text.
 
     Smaller ones, of ``LEAST_CHUNK_BYTES``, are made as long as there are fewer of them than shuffle partitions.
+    Rows equal in key and text that would fill half a chunk are spread over all chunks; as nothing in them tells them apart, where each went is stored.
     """
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    size, n = docs.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    size = size or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = max(1, math.ceil(size / chunk_bytes), min(partitions, math.ceil(size / LEAST_CHUNK_BYTES)))
+    same = F.xxhash64(F.col(key).cast("bigint"), F.col(text))
+    weight = F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES)
+    equal = docs.groupBy(same.alias("same")).agg(weight.alias("weight"), F.count(F.lit(1)).alias("n"))
+    # at most two for each chunk
+    many = [r.same for r in equal.filter((F.col("n") > 1) & (F.col("weight") > (size + ROW_BYTES * n) / (2 * count))).select("same").collect()] if count > 1 else []
     rows = docs.select(
-        F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(count)).cast("int").alias("chunk"),
+        F.pmod(same, F.lit(count)).cast("int").alias("chunk"),
         F.col(key).cast("bigint").alias("doc"),
+        F.hash(F.col(text)).alias("order"),
         F.col(text).alias("text"),
         *([F.struct(*carry).alias("row")] if carry else []),
     )
+    if many:
+        own = F.xxhash64("doc", "text").isin(many)
+        spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(count)).cast("int")
+        rows = rows.filter(~own).unionByName(stored(rows.filter(own).withColumn("chunk", spread)))
     return Chunks(rows, count, size)
 
 
 def in_order(chunk: pa.Table) -> pa.Table:
-    """Rows by doc, NULL first; those that repeat a doc by their text."""
-    return chunk.take(pc.sort_indices(chunk, [("doc", "ascending"), ("text", "ascending")], null_placement="at_start"))
+    """Rows by doc, NULL first; those that repeat a doc by a hash of their text, which is the same order in all chunks."""
+    return chunk.take(pc.sort_indices(chunk, [("doc", "ascending"), ("order", "ascending"), ("text", "ascending")], null_placement="at_start"))
 
 
 def doc_numbers(chunk: pa.Table) -> np.ndarray:

@@ -32,6 +32,7 @@ class Words:
     """The words of a chunk, in document order."""
 
     docs: np.ndarray
+    orders: np.ndarray  # among rows of one doc
     hashes: np.ndarray
     bounds: np.ndarray
 
@@ -43,7 +44,7 @@ class Words:
             hashes.append(span_hashes(data, starts, ends))
             counts.append(np.diff(bounds))
         counts = np.concatenate(counts)
-        return cls(exchange.doc_numbers(chunk), np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)]))
+        return cls(exchange.doc_numbers(chunk), chunk["order"].to_numpy().astype(np.int32), np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)]))
 
     def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Window starts, and per run of windows with one anchor its key and length."""
@@ -76,8 +77,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     Earlier is a smaller ``key``, or the same document further ahead; windows are judged on the input. Adds ``n_words``, ``n_removed`` (long) and
     ``kept_text``, the words left joined by one space, to every row; columns called like them are replaced. NULL and empty texts have no words,
     and a text shorter than a window keeps all. A NULL key is smaller than all others. Rows that repeat a key count as one after the other, in the
-    order of their texts, so the second of two equal rows loses what the first has. An empty table stays empty. Keys should be unique but
-    for a few: rows that share one are handled by one task.
+    order of a hash of their texts, so the second of two equal rows loses what the first has. An empty table stays empty.
     """
     added = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
     kept = [c for c in docs.columns if c not in added.names]
@@ -96,15 +96,16 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             return exchange.messages([])
         words = Words.of(exchange.in_order(table))
         starts, high, low, first = _candidates(words, sketch, window, exchange.by_tag(heard))
-        owner = words.docs[np.searchsorted(words.bounds, starts[first], side="right") - 1]
+        row = np.searchsorted(words.bounds, starts[first], side="right") - 1
+        owner, among = words.docs[row], words.orders[row]
         cuts = exchange.slice_cuts(high, slices)
         sent = ((s, cuts[s], cuts[s + 1]) for s in range(slices))
-        return exchange.messages((s, chunk, WINDOWS_TAG, exchange.pack(high[a:b], low[a:b], owner[a:b])) for s, a, b in sent if b > a)
+        return exchange.messages((s, chunk, WINDOWS_TAG, exchange.pack(high[a:b], low[a:b], owner[a:b], among[a:b])) for s, a, b in sent if b > a)
 
     def judge(asked: list[exchange.Message]):
-        parts = [exchange.unpack(payload, np.uint64, np.uint32, np.int64) for _, _, _, payload in asked]
-        high, low, owner = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((owner, low, high))
+        parts = [exchange.unpack(payload, np.uint64, np.uint32, np.int64, np.int32) for _, _, _, payload in asked]
+        high, low, owner, among = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((among, owner, low, high))  # stable: then by chunk
         later = np.zeros(len(order), bool)
         later[order[1:]] = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
         at = 0

@@ -153,7 +153,10 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         high, low, owner = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((owner, low, high))
         later = np.zeros(len(order), bool)
-        later[order[1:]] = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
+        new = np.ones(len(order), bool)
+        new[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        # rows of one document may be in several chunks, and take nothing from each other
+        later[order] = owner[order] > owner[order[new]][np.cumsum(new) - 1]
         at = 0
         for (s, chunk, tag, _), part in zip(asked, parts):
             yield s, chunk, tag, exchange.bit_payload(later[at : at + len(part[0])])

@@ -260,7 +260,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     Rows with crc32(key as text) mod 10 = 0 are held out, all others are learned from; a NULL key is learned from. NULL and empty texts are one
     end token. Repeated rows count as often as they occur and score alike. With nothing to learn from all words are equally unknown. An empty table stays empty. Columns
-    called like the new ones are replaced. Keys should be unique but for a few: rows that share one are handled by one task.
+    called like the new ones are replaced.
     """
     names = [f.name for f in COLUMNS]
     kept = [c for c in docs.columns if c not in names]
