@@ -10,12 +10,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazar.llm import decontaminate, mixing, near_copies, quality_rules, suffix_dedup
+from bazar.llm import decontaminate, mixing, quality_rules, simhash, suffix_dedup
 from bazar.llm.tables import prepared
 from bazar.session import scratch_root
 
-# words per shingle in near-duplicate detection
-SHINGLE = 5
+# words per shingle and differing bits in near-duplicate detection
+SHINGLE = 4
+RADIUS = 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group with at least 0.8 of their shingles in common, the one with the smallest id."""
+    """One document of every group linked by fingerprints at most ``RADIUS`` bits apart, the one with the smallest id."""
     prepared(spark)
-    return near_copies.one_of_each(docs, shingle=SHINGLE)
+    return simhash.one_of_each(docs, shingle=SHINGLE, radius=RADIUS)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
