@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazar.llm import decontaminate, html_text, mixing, quality_rules, simhash, substring_dedup, suffix_dedup, suffix_tree_lm, token_counts, toxicity
+from bazar.llm import decontaminate, fill_in_middle, filter_audit, html_text, language_id, mixing, quality_rules, simhash, substring_dedup, suffix_dedup, suffix_tree_lm, token_counts, toxicity
 from bazar.llm.tables import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,3 +207,73 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @register("op2_suffix_tree_lm")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree_lm.score(table(spark, folder, "documents", "doc_id", "text")).drop("text")
+
+
+@register(
+    "op11_fill_in_middle",
+    r"""
+    with docs as (
+        select doc_id, coalesce("text", '') as body, sha256('7:' || coalesce(doc_id::varchar, '')) as digest,
+            coalesce(regexp_extract_all(coalesce("text", ''), '[^\n]*\n|[^\n]+'), []::varchar[]) as units
+        from documents),
+    drawn as (
+        select *, len(units) as n, ('0x' || substr(digest, 1, 8))::bigint % (len(units) + 1) as c1, ('0x' || substr(digest, 9, 8))::bigint % (len(units) + 1) as c2,
+            ('0x' || substr(digest, 17, 8))::bigint as h3, ('0x' || substr(digest, 25, 8))::bigint as h4
+        from docs),
+    parts as (
+        select doc_id, body, n, array_to_string(units[:least(c1, c2)], '') as prefix, array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') as middle,
+            array_to_string(units[greatest(c1, c2) + 1:], '') as suffix,
+            case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>') or h3 % 100 >= 100 then 'plain' when h4 % 100 < 50 then 'spm' else 'psm' end as form
+        from drawn)
+    select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end::bigint as prefix_chars, case when form <> 'plain' then length(middle) end::bigint as middle_chars,
+        sha256(case form when 'plain' then body when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+        sha256(body) as restored_sha256
+    from parts""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    done = fill_in_middle.fill_in_middle(table(spark, folder, "documents", "doc_id", "text"), keep=["doc_id"])
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(fill_in_middle.restored(), 256).alias("restored_sha256")
+    )
+
+
+@register(
+    "op12_filter_audit",
+    rf"""
+    with docs as (select doc_id, coalesce("source", '') as part, coalesce("text", '') as body, {WORDS_SQL} as words from documents),
+    flags as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+    failing as (
+        select part, (case when len(words) < 50 then 1 else 0 end + case when 100 * len(list_distinct(words)) < 65 * len(words) then 2 else 0 end
+            + case when 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body) then 4 else 0 end
+            + case when regexp_matches(body, '[#$%&*|]') then 8 else 0 end
+            + case when doc_id > min(doc_id) over (partition by body) then 16 else 0 end) as failed,
+            coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+        from docs left join flags using (doc_id)),
+    counted as (select part, failed, count(*) as n, sum(good) as good, sum(toxic) as toxic from failing group by all),
+    letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l, unnest([1, 2, 4, 8, 16]) as bit),
+    orders as (
+        select a.l || b.l || c.l || d.l || e.l as filter_order from letters a, letters b, letters c, letters d, letters e
+        where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+    steps as (
+        select filter_order, step, l, bit, (select coalesce(sum(o.bit), 0) from letters o where instr(filter_order, o.l) < step) as before
+        from orders, (select unnest([1, 2, 3, 4, 5])::int as step), letters where substr(filter_order, step, 1) = l),
+    audited as (
+        select part, filter_order, step, l, sum(n) filter (where failed & (before + bit) = 0) as kept, sum(n) filter (where failed & before = 0 and failed & bit <> 0) as removed,
+            sum(n) filter (where failed & before <> 0 and failed & bit <> 0) as redundant, sum(n) filter (where failed = bit) as unique_fails,
+            sum(good) filter (where failed & before = 0 and failed & bit <> 0) as good_lost, sum(toxic) filter (where failed & before = 0 and failed & bit <> 0) as toxic_lost
+        from counted, (select filter_order, step, l, bit::int as bit, before::int as before from steps) group by part, filter_order, step, l)
+    select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+        coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+        (sum(coalesce(removed, 0)) over (partition by part, l))::bigint as shapley
+    from audited""",
+)
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(table(spark, folder, "documents", "doc_id", "text", "source"), table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+
+
+@register("op13_language_id")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = language_id.fit(table(spark, folder, "documents", "doc_id", "text", "lang").filter(fold != 2))
+    done = language_id.predict(table(spark, folder, "documents", "doc_id", "text"), model, keep=["doc_id"])
+    return done.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
