@@ -6,6 +6,7 @@ from bazar.functions.numeric import (
     exact_decimal_mean,
     exact_mean,
     exact_sum,
+    exact_total,
     float_ratio,
     ieee_divide,
     mean_of,
@@ -32,6 +33,7 @@ __all__ = [
     "exact_decimal_mean",
     "exact_mean",
     "exact_sum",
+    "exact_total",
     "float_ratio",
     "ieee_divide",
     "ladder",

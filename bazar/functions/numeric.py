@@ -19,17 +19,39 @@ WHOLE = DecimalType(38, 0)
 UNITS_PER_MONEY = 10000.0
 
 
+# Up to this size every whole number is exact as a double and leaves room for its sums in two 64-bit limbs.
+SMALL = 2.0**53
+LIMB_BITS = 24
+
+
 def units(c: ColumnOrName) -> Column:
-    """Money as whole units, in decimal, which holds any amount up to 1e33.
+    """Money as whole units, a double without a fraction.
+
+    Infinities, NaN and amounts from 1e33 on are no money: they become NULL and are left out of sums.
+    """
+    whole_units = F.rint(as_double(c) * UNITS_PER_MONEY)
+    return F.when(F.abs(whole_units) < 1e37, whole_units)
+
+
+def exact_total(small: Column, wide: Column) -> Column:
+    """Aggregate: sum of whole numbers as decimal, whatever their order and size.
 
-    Infinities, NaN and larger amounts are no money: they become NULL and are left out of sums.
+    A row has its number in one of the two: ``small`` is a bigint below ``SMALL``, ``wide`` a decimal. Small ones are summed as bigint, lower bits and upper bits
+    apart, and carried once at the end, which costs little more than a sum of doubles; the sum of the wide ones, few if any, is decimal.
     """
-    return F.rint(as_double(c) * UNITS_PER_MONEY).try_cast(WHOLE)
+    low = F.sum(small.bitwiseAND(F.lit((1 << LIMB_BITS) - 1)))
+    high = F.sum(F.shiftright(small, LIMB_BITS))
+    fits = F.abs(high) < 1 << (61 - LIMB_BITS)
+    base = F.lit(1 << LIMB_BITS)
+    carried = F.when(fits, (high * base + low).cast(WHOLE)).otherwise(high.cast(WHOLE) * base.cast(WHOLE) + low.cast(WHOLE))
+    rest = F.sum(wide)
+    return F.when(rest.isNull(), carried).when(high.isNull(), rest).otherwise((carried + rest).cast(WHOLE))
 
 
 def sum_units(c: ColumnOrName) -> Column:
-    """Aggregate: sum of whole units."""
-    return F.sum(whole(c))
+    """Aggregate: sum of whole units, given as double, bigint or decimal."""
+    size = F.abs(as_double(c))
+    return exact_total(F.when(size < SMALL, _col(c).cast("bigint")), F.when(size >= SMALL, whole(c)))
 
 
 def money_of(c: ColumnOrName) -> Column:

@@ -1,9 +1,8 @@
 """Ranks over a whole table without sorting it in one task.
 
-Rows are dealt into ranges of the order, each sorted by itself, and shifted by the rows of the ranges before. The
-bounds of the ranges are a bounded sample, taken by a hash and picked in a scalar subquery of the same plan, so the
-range of a row is a plain expression: nothing is stored, every retried task sees the same split, and no job runs
-while the query is built.
+One range exchange deals the rows out in the order asked for; each range is numbered by itself and shifted by the rows of the ranges before, which are
+counted behind the same exchange. Nothing is stored and no job runs while the query is built. Both readers of the exchange must see the same ranges: a range
+with more rows than were counted stops the job.
 """
 
 from __future__ import annotations
@@ -13,87 +12,69 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazar.operators.joins import lookup_join
-
-# Sampled rows per range; ranges are as many as shuffle partitions.
-SAMPLED = 16
-
-
-def _precedes(a: Column, b: Column, width: int) -> Column:
-    """Whether struct ``a`` comes before ``b``: first field descending, the others ascending, NULL last."""
-    before = F.lit(False)
-    for i in reversed(range(width)):
-        x, y = a.getField(f"c{i}"), b.getField(f"c{i}")
-        smaller = x > y if i == 0 else x < y
-        before = F.when(x.eqNullSafe(y), before).otherwise(F.coalesce(smaller, y.isNull()))
-    return before
-
-
-def _in_ranges(df: DataFrame, value: str, tie: Sequence[str]) -> DataFrame:
-    """Add ``__range``: ranges follow the order by value descending, then ``tie``."""
-    columns = [value, *tie]
-    ranges = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    most = SAMPLED * ranges
-    place = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    keys = df.select(place.alias("place"), F.xxhash64(*columns).alias("at"))
-    total = df.agg(F.count(F.lit(1)).alias("n"))
-    # thinned to a few times the sample before it is sorted
-    steps = 1 << 30
-    share = total.select(F.least(F.lit(float(steps)), 8.0 * most * steps / F.greatest(F.col("n"), F.lit(1)) + 1).cast("bigint").alias("share")).scalar()
-    sample = keys.filter(F.pmod("at", F.lit(steps)) < share).orderBy("at").limit(most)
-    order = lambda a, b: F.when(_precedes(a, b, len(columns)), -1).when(_precedes(b, a, len(columns)), 1).otherwise(0)
-    ordered = sample.agg(F.array_sort(F.collect_list("place"), order).alias("sample"))
-    every = F.greatest(F.floor(F.size("sample") / ranges), F.lit(1)).cast("int")
-    # filter instead of sequence, which cannot be empty
-    bounds = ordered.select(F.filter("sample", lambda _, i: (i % every == 0) & (i > 0)).alias("bounds")).scalar()
-    known = df.withColumn("__bounds", bounds).withColumn("__place", place)
-    # binary search for the number of bounds that do not come after the row
-    halvings = F.sequence(F.lit(0), F.lit(most.bit_length()))
-    start = F.struct(F.lit(0).alias("lo"), F.size("__bounds").alias("hi"))
-
-    def halve(state: Column, _: Column) -> Column:
-        lo, hi = state.getField("lo"), state.getField("hi")
-        middle = F.floor((lo + hi) / 2).cast("int")
-        after = _precedes(F.col("__place"), F.get("__bounds", middle), len(columns))
-        narrowed = F.when(after, F.struct(lo.alias("lo"), middle.alias("hi"))).otherwise(F.struct((middle + 1).alias("lo"), hi.alias("hi")))
-        return F.when(lo < hi, narrowed).otherwise(state)
-
-    return known.withColumn("__range", F.aggregate(halvings, start, halve).getField("lo")).drop("__bounds", "__place")
-
-
-def _before(ranged: DataFrame, weight: Column) -> DataFrame:
-    """Weight of all earlier ranges per range: a row for each range, so one task is enough for the running total."""
+# monotonically_increasing_id is the number of the partition, then this many bits for the row in it.
+ROW_BITS = 33
+
+
+def _dealt(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """As many ranges as shuffle partitions; the number is given, so that it stays the same for every reader."""
+    return df.repartitionByRange(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *order)
+
+
+def _per_range(ranged: DataFrame, columns: Sequence[str], *by: str) -> DataFrame:
+    """Rows of each range, as ``__n``, counted behind the exchange that the rows go through.
+
+    An aggregate that needs few columns would get an exchange of its own, for which the input is evaluated again and dealt differently. ``seal`` depends on
+    every column, so both exchanges are the same one and the second reads what the first wrote.
+    """
+    sealed = ranged.groupBy("__range", *by).agg(F.count(F.lit(1)).alias("__n"), F.bit_xor(F.xxhash64(*columns)).alias("seal"))
+    return sealed.filter(F.col("seal").isNotNull()).drop("seal")
+
+
+def _before() -> Column:
+    """Rows of all earlier ranges; there is one row for each range, so one task is enough."""
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    per_range = ranged.groupBy("__range").agg(F.sum(weight).alias("__weight"))
-    return per_range.select("__range", F.coalesce(F.sum("__weight").over(earlier), F.lit(0)).alias("__before"))
+    return F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+
+
+def _counted(nth: Column, value: Column) -> Column:
+    return F.when(nth <= F.col("__n"), value).otherwise(F.raise_error(F.lit("rows were dealt out twice: ranks need spark.sql.exchange.reuse and input that does not change")))
 
 
 def global_row_number(df: DataFrame, value: str, tie: Sequence[str], name: str) -> DataFrame:
     """Row number by ``value`` descending; ``tie`` must make the order unique. Ties may span ranges."""
     order = [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]]
-    ranged = _in_ranges(df, value, tie)
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    return (
-        ranged.withColumn("__inside", inside)
-        .join(F.broadcast(_before(ranged, F.lit(1))), "__range")
-        .withColumn(name, F.col("__before") + F.col("__inside"))
-        .drop("__range", "__before", "__inside")
-    )
+    dealt = _dealt(df, order)
+    offsets = _per_range(dealt.withColumn("__range", F.spark_partition_id()), df.columns).select("__range", "__n", _before().alias("__before"))
+    numbered = dealt.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    numbered = numbered.withColumn("__range", F.shiftright("__at", ROW_BITS).cast("int"))
+    nth = F.col("__at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
+    return numbered.join(F.broadcast(offsets), "__range").select(*df.columns, _counted(nth, F.col("__before") + nth).alias(name))
 
 
 def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """``RANK() OVER (ORDER BY value DESC)``: ties share a rank and leave gaps.
+    """``RANK() OVER (ORDER BY value DESC)``: ties share a rank and leave gaps. NULL comes last.
 
-    The rank of a value is one more than the rows with a greater one, so distinct values are ranked by their counts and
-    looked up by every row. However many rows share a value, it is one row there. NULL comes last.
+    Rows of one value are told apart by a hash of the whole row, so a value that most rows share spans as many ranges as its rows need; only rows equal in
+    every column stay together. Such a value's rank is that of its first range, which the last value of each range and its count tell: where a range
+    begins with the value the one before ended with, its rank is carried over.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__rows"))
-    ranged = _in_ranges(counts, value, ())
-    earlier = Window.partitionBy("__range").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        ranged.withColumn("__inside", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
-        .join(F.broadcast(_before(ranged, F.col("__rows"))), "__range")
-        .select(value, (F.col("__before") + F.col("__inside") + 1).alias(name))
+    at, n = F.col(value), F.col("__n")
+    ranged = _dealt(df, [at.desc_nulls_last(), F.xxhash64(*df.columns)]).withColumn("__range", F.spark_partition_id())
+    inside = Window.partitionBy("__range").orderBy(at.desc_nulls_last())
+    none = F.coalesce(F.sum(F.when(at.isNull(), n)), F.lit(0))
+    per_range = _per_range(ranged, df.columns, value).groupBy("__range").agg(
+        F.sum(n).alias("__n"),
+        F.max(at).alias("first"),
+        F.when(none == 0, F.min(at)).alias("last"),
+        F.when(none > 0, none).otherwise(F.min_by(n, at)).alias("last_n"),
     )
-    last = counts.agg((F.coalesce(F.sum("__rows"), F.lit(0)) + 1).alias("last")).scalar()
-    return lookup_join(df, ranks, value).withColumn(name, F.coalesce(F.col(name), last)).select(*df.columns, name)
+    # where the rows of a range's last value begin
+    begins = per_range.select("__range", "__n", "first", "last", _before().alias("__before"), (_before() + n - F.col("last_n") + 1).alias("begin"))
+    begins = begins.withColumn("begin", F.min("begin").over(Window.partitionBy("last")))
+    previous = lambda c: F.lag(c).over(Window.orderBy("__range"))
+    goes_on = previous("begin").isNotNull() & previous("last").eqNullSafe(F.col("first"))
+    offsets = begins.select("__range", "__n", "__before", F.col("first").alias("__first"), F.when(goes_on, previous("begin")).alias("__carried"))
+    rank = F.when(F.col("__carried").isNotNull() & at.eqNullSafe(F.col("__first")), F.col("__carried")).otherwise(F.col("__before") + F.col("__inside"))
+    numbered = ranged.withColumn("__inside", F.rank().over(inside)).withColumn("__nth", F.row_number().over(inside))
+    return numbered.join(F.broadcast(offsets), "__range").select(*df.columns, _counted(F.col("__nth"), rank).alias(name))

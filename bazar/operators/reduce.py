@@ -16,7 +16,7 @@ from operator import mul
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazar.functions.numeric import sum_units, whole
+from bazar.functions.numeric import SMALL, as_double, exact_total, sum_units, whole
 from bazar.functions.text import ColumnOrName, _col
 
 Measures = Mapping[str, Column]
@@ -71,13 +71,15 @@ def stack_by_key(
 
 
 def sum_product(*factors: ColumnOrName) -> Column:
-    """Aggregate: sum of a product of counts, as decimal since fan-out may outgrow 64 bits."""
-    return F.sum(reduce(mul, [whole(f) for f in factors]))
+    """Aggregate: sum of a product of counts, as decimal since fan-out may outgrow 64 bits. A product that does not is formed as bigint."""
+    size = F.abs(reduce(mul, [as_double(f) for f in factors]))
+    small = reduce(mul, [_col(f).cast("bigint") for f in factors])
+    return exact_total(F.when(size < SMALL, small), F.when(size >= SMALL, reduce(mul, [whole(f) for f in factors])))
 
 
 def count_product(*factors: ColumnOrName) -> Column:
     """Aggregate: the same as a 64-bit count, like the number of joined rows it stands for."""
-    return sum_product(*factors).cast("bigint")
+    return F.sum(reduce(mul, [_col(f).cast("bigint") for f in factors]))
 
 
 def money_product(amount: ColumnOrName, *counts: ColumnOrName) -> Column:

@@ -185,6 +185,49 @@ def test_ranks_store_nothing_and_run_no_job_while_planned(spark):
     assert all(d.count() == 1000 for d in planned_only)
 
 
+def final_plan(df) -> str:
+    """The plan as it ran, each scan shown once however often its output was read."""
+    df.collect()
+    return planned(df).split("== Initial Plan ==")[0]
+
+
+def test_ranks_read_their_input_once(spark, folder):
+    """The counts per range are read from the exchange the rows went through."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+    for df in (global_row_number(orders, "o_totalprice", ["o_orderkey"], "place"), global_rank(orders, "o_custkey", "place")):
+        text = final_plan(df)
+        assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
+def test_a_value_most_rows_share_spans_ranges(spark):
+    """No task of a rank gets all rows of one value."""
+    df = spark.range(40000).select("id", F.when(F.col("id") % 3 > 0, 7.0).otherwise(F.col("id").cast("double")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked_rows = global_rank(df, "v", "place").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = Counter(r.task for r in ranked_rows)
+    assert max(sizes.values()) < 40000 / 2
+    assert {r.place for r in ranked_rows if r.v == 7.0} == {sum(1 for i in range(0, 40000, 3) if i > 7) + 1}
+
+
+def test_ranks_without_a_shared_exchange_stop(spark):
+    """Two readers that see different ranges must not give numbers."""
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(50000).select("id", F.hash("id").alias("v")).repartition(6)
+        got = global_row_number(df, "v", ["id"], "place")
+        try:
+            places = sorted(r.place for r in got.collect())
+        except Exception as error:
+            assert "dealt out twice" in str(error)
+        else:
+            assert places == list(range(1, 50001))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
 def test_hot_key_of_a_tiny_file_is_spread(spark, tmp_path):
     """A third of the rows on one key, in a file of a few kilobytes: every task of the join gets its share."""
     spark.range(60000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / "rows"))
