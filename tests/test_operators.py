@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazar.functions import sum_units, units
+from bazar.operators import joins
 from bazar.operators import (
     collapse,
     count_product,
@@ -243,3 +244,75 @@ def test_hot_key_of_a_tiny_file_is_spread(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sum(sizes) == 60000 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+@pytest.fixture()
+def no_help(spark):
+    """Neither broadcasts nor run-time splits: what is left is the operator's own doing."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def task_sizes(df):
+    return sorted(r["count"] for r in df.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect())
+
+
+def test_a_key_of_one_in_two_thousand_is_split(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") % 2000 == 0, 7).otherwise(F.col("id") + 10).alias("k"), F.col("id").alias("v"))
+    pieces = {r["__bucket"]: r["__pieces"] for r in joins.hot_buckets(df, "k").collect()}
+    assert len(pieces) == 1 and set(pieces.values()) == {-(-101 * joins.SHARES // 200_000)} == {3}
+    assert {(r.k, r["__pieces"]) for r in joins.hot_keys(df, "k").collect()} == {(7, 3)}
+    assert joins.hot_keys(df.filter("k > 10"), "k").count() == 0
+
+
+@pytest.fixture()
+def few_buckets(monkeypatch):
+    """Every bucket holds several keys, hot ones among them."""
+    monkeypatch.setattr(joins, "BUCKETS", 8)
+    monkeypatch.setattr(joins, "SHARES", 20)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_join_of_keys_in_hot_buckets(spark, facts, few_buckets, how):
+    df, data = facts
+    lookup = {k: k * 10 for k in range(0, 106, 2)} | {7: 70}
+    got = lookup_join(df, spark.createDataFrame(list(lookup.items()), "k bigint, w bigint"), "k", how)
+    assert rows(got.select("k", "v", "w")) == Counter((k, v, lookup.get(k)) for k, v in data if how == "left" or k in lookup)
+
+
+@pytest.mark.parametrize("seed", [6, 7, 8])
+def test_left_join_split_with_keys_hot_on_either_side(spark, few_buckets, seed):
+    rng = random.Random(seed)
+    # hot on both sides, on one side only, and on one side without a row on the other
+    keys = [7, 8, 9, 10, None, *range(20, 40)]
+    left = [(k, i) for i, k in enumerate(rng.choices(keys, [30, 20, 0, 25, 10] + [1] * 20, k=200))] + [(7, 0)] * 3
+    right = [(k, i) for i, k in enumerate(rng.choices(keys, [30, 0, 30, 1, 10] + [1] * 20, k=200))] + [(7, 0)] * 3
+    matches = defaultdict(list)
+    for k, w in right:
+        matches[k].append(w)
+    got = left_join_split(spark.createDataFrame(left, "k bigint, v bigint"), spark.createDataFrame(right, "k bigint, w bigint"), "k")
+    assert got.columns == ["k", "v", "w"]
+    assert rows(got) == Counter((k, v, w) for k, v in left for w in (matches[k] if k is not None and matches[k] else [None]))
+
+
+def test_no_task_of_a_split_join_outgrows_the_others(spark, no_help):
+    """A third of the rows of both sides on one key, with no help from the engine."""
+    left = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("w"))
+    joined = left_join_split(left, right, "k")
+    sizes = task_sizes(joined)
+    assert sum(sizes) == 2001 * 301 + 3999 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_split_join_reads_rows_once_and_keys_for_counts(spark, folder):
+    left = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey")
+    right = spark.read.parquet(f"{folder}/lineitem.parquet").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
+    text = planned(left_join_split(left, right, "o_orderkey"))
+    # all columns are read in one place only; the other scans are of the key
+    assert text.count("FileScan parquet [o_orderkey#") - text.count("ReadSchema: struct<o_orderkey:bigint>") == 1
+    assert text.count("ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>") == 1
