@@ -460,26 +460,29 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
     Sales repeat an order's payments for each of its item rows, once if it has none: that
     is the payment sum times the item rows, and item rows add up over the sellers.
     """
-    people = aggregated_customers.groupBy(*REGION).agg(F.count_distinct("customer_unique_id").alias("total_customers"))
     homes = _known(aggregated_customers, "customer_id").select("customer_id", *REGION)
-    placed = _known(_customer_orders(orders), "order_id").join(homes, "customer_id")
-    demand = placed.groupBy(*REGION).agg(F.count_distinct("order_id").alias("total_orders"))
     sold = collapse(_known(items, "order_id"), ["order_id", "seller_id"], copies="lines")
-    # one row per region and seller, so that sellers are counted without a distinct
-    supply = (
-        placed.join(_paid_per_order(payments), "order_id", "left")
+    placed = (
+        _known(_customer_orders(orders), "order_id")
+        .join(_paid_per_order(payments), "order_id", "left")
         .join(sold, "order_id", "left")
-        .groupBy(*REGION, "seller_id")
-        .agg(money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"))
-        .groupBy(*REGION)
-        .agg(F.count("seller_id").alias("distinct_sellers"), F.sum("sales").alias("sales"))
+        .join(homes, "customer_id")
     )
-    # the parts group by the same columns; stacking them also matches NULL regions
-    parts = people.unionByName(demand, allowMissingColumns=True).unionByName(supply, allowMissingColumns=True)
-    merged = parts.groupBy(*REGION).agg(
-        F.sum("total_customers").alias("total_customers"),
-        F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
-        F.coalesce(F.sum("distinct_sellers"), F.lit(0)).alias("distinct_sellers"),
+    # whatever is counted per region is a row of a kind, so that one pass tells customers, orders and sellers apart and also matches NULL regions
+    kind = F.col("kind")
+    people = aggregated_customers.select(*REGION, F.lit("customer").alias("kind"), F.col("customer_unique_id").alias("id"))
+    ordered = placed.withColumn("kind", F.explode(F.array(F.lit("order"), F.lit("seller")))).select(
+        *REGION,
+        "kind",
+        F.when(kind == "order", F.col("order_id")).otherwise(F.col("seller_id")).alias("id"),
+        F.when(kind == "seller", F.col("paid")).alias("paid"),
+        "copies",
+        F.coalesce("lines", F.lit(1)).alias("lines"),
+    )
+    each = people.unionByName(ordered, allowMissingColumns=True).groupBy(*REGION, "kind", "id").agg(money_product("paid", "copies", "lines").alias("sales"))
+    # a region of a customer without an id and no orders is there too
+    merged = each.groupBy(*REGION).agg(
+        *[F.count(F.when(kind == k, F.col("id"))).alias(name) for k, name in (("customer", "total_customers"), ("order", "total_orders"), ("seller", "distinct_sellers"))],
         money_of(F.sum("sales")).alias("total_sales_value"),
     )
     ratio = round_half_away(float_ratio("total_orders", F.nullif("distinct_sellers", F.lit(0))), 2)
