@@ -41,9 +41,9 @@ def _counted(nth: Column, value: Column) -> Column:
     return F.when(nth <= F.col("__n"), value).otherwise(F.raise_error(F.lit("rows were dealt out twice: ranks need spark.sql.exchange.reuse and input that does not change")))
 
 
-def global_row_number(df: DataFrame, value: str, tie: Sequence[str], name: str) -> DataFrame:
-    """Row number by ``value`` descending; ``tie`` must make the order unique. Ties may span ranges."""
-    order = [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]]
+def row_positions(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Number the rows from 1 in an order; rows equal in it are numbered in the order of a hash of the row, so ties may span ranges."""
+    order = [*order, F.xxhash64(*df.columns)]
     dealt = _dealt(df, order)
     offsets = _per_range(dealt.withColumn("__range", F.spark_partition_id()), df.columns).select("__range", "__n", _before().alias("__before"))
     numbered = dealt.sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
@@ -52,6 +52,11 @@ def global_row_number(df: DataFrame, value: str, tie: Sequence[str], name: str)
     return numbered.join(F.broadcast(offsets), "__range").select(*df.columns, _counted(nth, F.col("__before") + nth).alias(name))
 
 
+def global_row_number(df: DataFrame, value: str, tie: Sequence[str], name: str) -> DataFrame:
+    """Row number by ``value`` descending; ``tie`` must make the order unique."""
+    return row_positions(df, [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]], name)
+
+
 def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """``RANK() OVER (ORDER BY value DESC)``: ties share a rank and leave gaps. NULL comes last.
 

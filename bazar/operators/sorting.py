@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazar.operators.ranking import row_positions
+
 
 def _keys(order: Sequence[str | Column]) -> list[Column]:
     """'-name' is descending; NULLs are last either way."""
@@ -26,6 +28,11 @@ def ordered(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*_keys(order))
 
 
+def positions(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
+    """The same order as a number from 1 for every row, found range by range; no task sees the whole table."""
+    return row_positions(df, _keys(order), name)
+
+
 def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
     """First ``k`` rows of that order; each task keeps its own ``k`` before the merge.
 

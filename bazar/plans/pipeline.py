@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from bazar import schemas
-from bazar.operators.sorting import ordered
+from bazar.operators.sorting import ordered, positions
 from bazar.plans import gold, silver
 from bazar.sources.csv import read_csv
 from bazar.sources.lake import Lake
@@ -150,9 +150,11 @@ def table(lake: Lake, layer: str, name: str) -> DataFrame:
     return lake.read(layer, ALIASES[layer].get(name, name))
 
 
-def sorted_table(lake: Lake, name: str) -> DataFrame:
-    """A gold table in the order its report shows."""
+def sorted_table(lake: Lake, name: str, position: str | None = None) -> DataFrame:
+    """A gold table in the order its report shows. ``position`` names a column for the place of each row, for readers that do not keep the order."""
     df = table(lake, "gold", name)
+    if position is not None:
+        return positions(df, gold.ORDER.get(name, ()), position)
     return ordered(df, gold.ORDER[name]) if name in gold.ORDER else df
 
 

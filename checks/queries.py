@@ -683,10 +683,8 @@ def _report(name: str, *keys: str) -> None:
     def _(t: TestTables) -> DataFrame:
         lake = _lake(t)
         lake.write(t[f"gold/{name}"], "gold", name)
-        # ids ascend in the order of the rows
-        numbered = sorted_table(lake, name).select(*columns).withColumn("at", F.monotonically_increasing_id())
-        numbered = numbered.withColumn("nth", F.row_number().over(Window.orderBy("at")).cast("bigint"))
-        return numbered.withColumn("place", F.min("nth").over(Window.partitionBy(*columns))).drop("at", "nth")
+        numbered = sorted_table(lake, name, position="nth").select(*columns, "nth")
+        return numbered.withColumn("place", F.min("nth").over(Window.partitionBy(*columns))).drop("nth")
 
 
 _report("agg_sellers_cancellation_rate", "-cancellation_rate", "-negative_review_rate")

@@ -20,6 +20,7 @@ from bazar.operators import (
     money_product,
     null_counts,
     ordered,
+    positions,
     row_counts,
     rows_where,
     stack_by_key,
@@ -136,6 +137,21 @@ def test_orders_put_nulls_last(spark):
     assert [r.id for r in top_k(df, [F.col("v") * 2, "id"], 2).collect()] == [3, 2]
 
 
+def test_positions_number_a_sorted_table(spark):
+    rng = random.Random(9)
+    data = [(i, rng.choice([None, 1.0, 2.0, rng.uniform(0, 3)]), rng.choice(["a", "b", None])) for i in range(900)]
+    df = spark.createDataFrame(data, "id bigint, v double, g string").repartition(5)
+    got = positions(df, ["-v", "g"], "nth").collect()
+    assert sorted(r.nth for r in got) == list(range(1, 901))
+    order = lambda v, g: (v is None, -(v or 0), g is None, g or "")
+    by_place = [order(r.v, r.g) for r in sorted(got, key=lambda r: r.nth)]
+    assert by_place == sorted(by_place)
+    text = final_plan(positions(df, ["-v"], "nth"))
+    # only the counts per range come to one task
+    assert "SinglePartition" in text and text.count("Scan ExistingRDD") == 1
+    assert positions(df.limit(0), ["v"], "nth").count() == 0
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (None, 2)], "a string, b int")
     assert null_counts(df, ["a", "b"]).first().asDict() == {"a_nulls": 3, "b_nulls": 0}
