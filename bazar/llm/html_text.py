@@ -4,7 +4,7 @@ A page becomes a sequence of leaf blocks, the stretches of text between block-le
 ancestors. A conditional random field with two labels, main text or not, is trained on pages
 that label themselves: those with an ``article`` or ``main`` element, whose blocks are main text unless a nested menu, footer and
 the like holds them. Half of what is learned from is shown without those elements, so that the field also decides pages that have
-none. Viterbi then labels every block of every page.
+none. Where no page labels itself, fixed weights stand in for learned ones. Viterbi then labels every block of every page.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ TRAINING_PAGE_BYTES = 200_000
 EPOCHS = 6
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S)
-NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style title textarea template noscript iframe noembed noframes xmp".split())
 # never text of an article, whatever surrounds them
-SKIPPED = RAW | set("head svg select option button object canvas audio video math".split())
+SKIPPED = RAW | set("head svg select option button canvas audio video".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li"
     " main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
@@ -44,11 +44,23 @@ CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 MAIN = {"article", "main"}
 AROUND = set("nav footer aside header form menu dialog search address fieldset".split())
-AROUND_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|footer|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination"
-    r"|pager|popup|promo\w*|related|repl(?:y|ies)|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widgets?)(?=$|[-_ ])",
+# parts of class names and ids, and roles
+AROUND_PART = re.compile(
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|consent|cookies?|disqus|footer|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|pagination"
+    r"|pager|popup|promo\w*|related|repl(?:y|ies)|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|toolbar|widgets?)$",
     re.I,
 )
+# names that begin so tell what a page or wrapper has, not what it is
+STATES = set("has with without no is not show hide hidden".split())
+
+
+def says_around(names: str) -> bool:
+    """Whether a name of an element says that it surrounds the article: its first or last part does, and it names no state."""
+    for name in names.split():
+        parts = re.split(r"[-_]+", name.strip("-_"))
+        if parts[0].lower() not in STATES and (AROUND_PART.match(parts[0]) or AROUND_PART.match(parts[-1])):
+            return True
+    return False
 
 
 @dataclass
@@ -125,7 +137,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if tag in VOID or found[3].endswith("/") and tag not in BLOCKS:
             continue
         stack.append(tag)
-        names.append(" ".join(a or b or c for a, b, c in NAMES.findall(found[3])))
+        # the names of a whole page say nothing about its blocks
+        names.append("" if tag in ("html", "body") else " ".join(a or b or c for a, b, c in NAMES.findall(found[3])))
         skip += tag in SKIPPED
         links += tag == "a"
         if tag in RAW:
@@ -149,7 +162,7 @@ def features(block: Block) -> list[str]:
         found.append("around")
     if MAIN & set(path):
         found.append("inmain")
-    if any(AROUND_NAMES.search(n) for n in block.names):
+    if any(says_around(n) for n in block.names):
         found.append("aroundname")
     if text[-1] in ".!?…。\"”'":
         found.append("stop")
@@ -166,6 +179,11 @@ HIDDEN = {"inmain", "a=article", "a=main"}
 PRIOR = {"bias": 0.0, "around": -6.0, "aroundname": -6.0}
 
 
+# What decides where no page labels itself: text in the usual elements is main text unless it is around it or made of links.
+UNTAUGHT = {"bias": -1.0, "around": -6.0, "aroundname": -6.0, "copyright": -3.0, "link=4": -4.0, "link=3": -3.0}
+UNTAUGHT |= {f"tag={t}": 3.0 for t in "article blockquote body center dd div dl dt figcaption h1 h2 h3 h4 h5 h6 li main p pre section summary td th".split()}
+
+
 def own_labels(blocks: Sequence[Block]) -> list[int] | None:
     """1 for main text, as the page itself says; None if it does not say."""
     if not any(MAIN & set(b.path) for b in blocks):
@@ -174,7 +192,7 @@ def own_labels(blocks: Sequence[Block]) -> list[int] | None:
     for b in blocks:
         last = max((i for i, t in enumerate(b.path) if t in MAIN), default=-1)
         inner = set(b.path[last + 1 :]) if last >= 0 else set()
-        labels.append(int(last >= 0 and not inner & AROUND and not any(AROUND_NAMES.search(n) for n in b.names)))
+        labels.append(int(last >= 0 and not inner & AROUND and not any(says_around(n) for n in b.names)))
     return labels
 
 
@@ -215,11 +233,10 @@ class Field:
 
 
 def train(pages: Sequence[tuple[Sequence[Sequence[str]], Sequence[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4) -> Field:
-    """Maximum likelihood by AdaGrad, page by page in the given order; without pages no block is main text."""
-    field = Field(dict(PRIOR), [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
+    """Maximum likelihood by AdaGrad, page by page in the given order; without pages the weights are those of ``UNTAUGHT``."""
     if not pages:
-        field.weights["bias"] = -1.0
-        return field
+        return Field(dict(UNTAUGHT), [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
+    field = Field(dict(PRIOR), [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
     seen_w: dict[str, float] = {}
     seen_m = np.full((3, 2), 1e-8)
     for _ in range(epochs):
