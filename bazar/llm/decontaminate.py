@@ -2,8 +2,8 @@
 
 Every n-gram of the benchmark items goes into a sorted array of 64-bit hashes. Each text is scanned
 window by window against it; a hit is compared word by word with the item before it counts. A benchmark
-beyond ``BLOCK_BYTES`` of words is dealt into blocks of about that size, each with a hash set of its own, which
-are scanned one after the other in the same pass over the texts, so a broadcast stays bounded.
+beyond ``BLOCK_BYTES`` of words is dealt into blocks of about that size, each with a hash set of its own. Each block is a job of its own over the
+texts, stored with what was found so far, so only one broadcast and one hash set are alive at a time.
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from bazar.llm.text import covered, flat, pieces, span_hashes, window_hashes, window_starts, word_spans
+from bazar.llm.tables import stored
+from bazar.llm.text import covered, flat, pieces, ranges, span_hashes, window_hashes, window_starts, word_spans
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+# Words of the benchmark looked for at once; the arrays of one block take some ten times as much.
+BLOCK_BYTES = 8 << 20
 
 # Letters, digits and every byte of a non-ASCII character; upper case is gone before.
 WORDS = np.zeros(256, bool)
@@ -34,25 +36,55 @@ HITS = [StructField("n_words", LongType()), StructField("hit_words", ArrayType(L
 
 
 class NGrams:
-    """The windows of some items: by length a sorted array of hashes, and what stands behind each."""
+    """The windows of some items as flat arrays: the words of all items in one buffer, and by length the windows' hashes in order, each with
+    its place in the buffer and its item. They take some ten times the words; what hashes that hit stand for is remembered for ``REMEMBERED`` of them."""
+
+    REMEMBERED = 1 << 14
 
     def __init__(self, items: Sequence[tuple[int | None, str]], window: int):
-        self.found: dict[int, dict[int, dict[bytes, set[int | None]]]] = defaultdict(lambda: defaultdict(dict))
-        texts = pa.array([t for _, t in items], pa.string())
-        for first, _, data, offsets in pieces(*flat(texts)):
+        self.ids = [i for i, _ in items]
+        buffers: list[bytes] = []
+        parts: dict[int, list[tuple[np.ndarray, ...]]] = defaultdict(list)
+        base = 0
+        for first, _, data, offsets in pieces(*flat(pa.array([t for _, t in items], pa.string()))):
             data = LOWER[data]
             starts, ends, bounds = word_spans(data, offsets, WORDS)
             hashes = span_hashes(data, starts, ends)
-            for row in range(len(offsets) - 1):
-                lo, hi = bounds[row], bounds[row + 1]
-                size = min(window, int(hi - lo))
-                if not size:
-                    continue
-                words = [data[a:b].tobytes() for a, b in zip(starts[lo:hi], ends[lo:hi])]
-                for i, h in enumerate(window_hashes(hashes[lo:hi], size)):
-                    self.found[size][int(h)].setdefault(b" ".join(words[i : i + size]), set()).add(items[first + row][0])
-        self.found = {size: dict(by_hash) for size, by_hash in self.found.items()}
-        self.sorted = {size: np.sort(np.array(list(by_hash), np.uint64)) for size, by_hash in self.found.items()}
+            # words one after the other with a space between, so a window is a slice
+            to = base + np.cumsum(ends - starts + 1) - (ends - starts + 1)
+            buffers += [data[x:y].tobytes() + b" " for x, y in zip(starts.tolist(), ends.tolist())]
+            stop = to + (ends - starts)
+            sizes = np.minimum(window, np.diff(bounds))
+            for size in np.unique(sizes[sizes > 0]).tolist():
+                rows = np.flatnonzero(sizes == size)
+                counts = np.diff(bounds)[rows] - size + 1
+                at = ranges(bounds[rows], counts)
+                parts[size].append((window_hashes(hashes, size)[at], to[at], stop[at + size - 1], np.repeat(first + rows, counts)))
+            base = int(stop[-1]) + 1 if len(stop) else base
+        self.words = b"".join(buffers)
+        self.sorted: dict[int, tuple[np.ndarray, ...]] = {}
+        for size, found in parts.items():
+            columns = [np.concatenate(c) for c in zip(*found)]
+            order = np.argsort(columns[0], kind="stable")
+            self.sorted[size] = tuple(c[order] for c in columns)
+        self.memory: dict[tuple[int, int], dict[bytes, set[int | None]]] = {}
+
+    @property
+    def nbytes(self) -> int:
+        return len(self.words) + sum(c.nbytes for columns in self.sorted.values() for c in columns)
+
+    def owners(self, size: int, value: np.uint64) -> dict[bytes, set[int | None]]:
+        """The texts of the windows with a hash, and the items of each."""
+        found = self.memory.get((size, int(value)))
+        if found is None:
+            hashes, to, stop, item = self.sorted[size]
+            found = {}
+            for i in range(np.searchsorted(hashes, value), np.searchsorted(hashes, value, side="right")):
+                found.setdefault(self.words[to[i] : stop[i]], set()).add(self.ids[item[i]])
+            if len(self.memory) >= self.REMEMBERED:
+                self.memory.clear()
+            self.memory[size, int(value)] = found
+        return found
 
     def scan(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[set[int]]]:
         """First word of each row, hit words, and the items found in each row."""
@@ -61,7 +93,7 @@ class NGrams:
         words = span_hashes(data, starts, ends)
         hit = np.zeros(len(starts), bool)
         items: list[set[int]] = [set() for _ in range(len(offsets) - 1)]
-        for size, known in self.sorted.items():
+        for size, (known, *_) in self.sorted.items():
             at = window_starts(bounds, size)
             if not len(at):
                 continue
@@ -71,7 +103,7 @@ class NGrams:
             for j in likely:
                 i = at[j]
                 text = b" ".join(data[a:b].tobytes() for a, b in zip(starts[i : i + size], ends[i : i + size]))
-                owners = self.found[size][int(hashes[j])].get(text)
+                owners = self.owners(size, hashes[j]).get(text)
                 if owners:
                     verified.append(i)
                     items[int(np.searchsorted(bounds, i, side="right")) - 1] |= owners
@@ -79,7 +111,7 @@ class NGrams:
         return bounds, hit, items
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _ngrams(block: tuple[tuple[int, str], ...], window: int) -> NGrams:
     return NGrams(block, window)
 
@@ -105,7 +137,7 @@ def find_leaks(
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. A
     word inside any occurrence of a window is hit. NULL and empty texts have no words; NULL and empty items no windows. Items
     without an id have none either, but if ``unnamed``: then they hit like others and are one NULL at the end of ``items``. Equal items are all reported. An empty benchmark hits nothing. Columns called like the new ones are
-    replaced. Only the benchmark is broadcast, in blocks of at most about ``block_bytes``.
+    replaced. Item ids are whole numbers; others stop the job. Only the benchmark is broadcast, in blocks of at most about ``block_bytes``.
     """
     names = [f.name for f in HITS]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in names]
@@ -118,6 +150,9 @@ def find_leaks(
         block = entries if blocks == 1 else entries.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == number)
         shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(((r.item, r.words) for r in block.collect()), key=lambda r: (_last(r[0]), r[1]))))
         found = found.mapInArrow(_scanner(shared, window, len(kept), found.columns), found.schema)
+        if number < blocks - 1:
+            found = stored(found)
+            shared.unpersist()
     return found.select(*kept, F.col("__n").alias("n_words"), F.col("__hits").alias("hit_words"), F.col("__items").alias("items"))
 
 
