@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
 from bazar.llm.tables import with_text_columns
-from bazar.llm.text import WORD_BYTES, covered, group_sums, span_hashes, window_hashes, window_starts, word_spans
+from bazar.llm.text import WORD_BYTES, content_hashes, covered, group_sums, window_hashes, window_starts, word_spans
 
 REPEAT_WINDOW = 8
 
@@ -44,7 +44,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     worded = np.searchsorted(starts, closes) > np.searchsorted(starts, opens)
     opens, closes, owner = opens[worded], closes[worded], owner[worded]
     n_lines = np.bincount(owner, minlength=rows)
-    hashes = span_hashes(data, opens, closes)
+    hashes = content_hashes(data, opens, closes)
     order = np.lexsort((hashes, owner))
     again = np.zeros(len(order), bool)
     again[1:] = (hashes[order[1:]] == hashes[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
@@ -52,7 +52,7 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
     # words in windows that occur more than once in their text
     windows = window_starts(bounds, REPEAT_WINDOW)
-    hashes = window_hashes(span_hashes(data, starts, ends), REPEAT_WINDOW)
+    hashes = window_hashes(content_hashes(data, starts, ends), REPEAT_WINDOW)
     hashes = hashes[windows] if len(windows) else hashes[:0]
     owner = np.searchsorted(bounds, windows, side="right") - 1
     order = np.lexsort((hashes, owner))
@@ -63,22 +63,22 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return [n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines]
 
 
-
-
 # Bit i of failure_bits is rule i. Rules are only ever added at the end, so stored ledgers keep their meaning.
-RULE_NAMES = ["too_few_words", "repeated_windows", "symbols", "repeated_lines", "short_words", "long_words"]
+RULE_NAMES = ["too_few_words", "repeated_windows", "symbols", "repeated_lines", "short_words", "long_words", "many_repeated_lines"]
 
 
 def _rules() -> dict[str, Column]:
     words = F.col("n_words")
+    repeated_lines = 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")
     return {
         "too_few_words": words < 20,
         "repeated_windows": 100 * F.col("n_repeat_words") > 30 * words,
         "symbols": 100 * F.col("n_symbols") > 10 * F.col("word_chars"),
-        # one line twice in a short text says little
-        "repeated_lines": (F.col("n_dup_lines") >= 3) & (100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+        "repeated_lines": repeated_lines,
         "short_words": F.col("word_chars") < 2 * words,
         "long_words": F.col("word_chars") > 25 * words,
+        # one line twice in a short text says little
+        "many_repeated_lines": (F.col("n_dup_lines") >= 3) & repeated_lines,
     }
 
 
@@ -102,9 +102,10 @@ POLICIES = {
         Policy("base", ["too_few_words", "repeated_windows"]),
         Policy("2024-1", ["too_few_words", "repeated_windows", "symbols", "repeated_lines"]),
         Policy("2024-2", ["too_few_words", "repeated_windows", "symbols", "repeated_lines", "short_words", "long_words"]),
+        Policy("2024-3", ["too_few_words", "repeated_windows", "symbols", "many_repeated_lines", "short_words", "long_words"]),
     )
 }
-CURRENT = "2024-2"
+CURRENT = "2024-3"
 
 
 def ledger(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:

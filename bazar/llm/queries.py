@@ -65,10 +65,11 @@ WORDS_SQL = r"""
     judged as (
         select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
             (case when n_words < 20 then 1 else 0 end + case when 100 * n_repeat_words > 30 * n_words then 2 else 0 end
-             + case when 100 * n_symbols > 10 * word_chars then 4 else 0 end + case when n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines then 8 else 0 end
-             + case when word_chars < 2 * n_words then 16 else 0 end + case when word_chars > 25 * n_words then 32 else 0 end)::bigint as failure_bits
+             + case when 100 * n_symbols > 10 * word_chars then 4 else 0 end + case when 100 * n_dup_lines > 30 * n_lines then 8 else 0 end
+             + case when word_chars < 2 * n_words then 16 else 0 end + case when word_chars > 25 * n_words then 32 else 0 end
+             + case when n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines then 64 else 0 end)::bigint as failure_bits
         from measured)
-    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failure_bits = 0 as kept, failure_bits,
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failure_bits & ~8 = 0 as kept, failure_bits,
         '{quality_rules.CURRENT}' as policy_version
     from judged""",
 )

@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bazar.llm import fill_in_middle, filter_audit, language_id
+from bazar.llm import fill_in_middle, filter_audit, language_id, quality_rules
 from bazar.llm.text import mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -222,3 +222,21 @@ def test_held_out_languages_are_found(ready, folder):
     model = language_id.fit(ready.createDataFrame([r for r in docs if r not in held]))
     got = language_id.predict(ready.createDataFrame(held), model, keep=["lang"]).collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.95 * len(got) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_policies_keep_their_meaning_and_long_lines_are_told_apart(ready):
+    """Versions are fixed sets of rules; strings whose polynomial hashes agree are different lines."""
+    word = ["a"]
+    for _ in range(10):  # the Thue-Morse word and its complement
+        word += ["b" if c == "a" else "a" for c in word]
+    one = "".join(word)
+    two = one.translate(str.maketrans("ab", "ba"))
+    few = "\n".join(["same line here"] * 2 + [f"w{i} x{i} y{i} z{i}" for i in range(4)])
+    docs = ready.createDataFrame([(1, f"{one}\n{two}"), (2, f"{one}\n{one}"), (3, few)], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in quality_rules.ledger(docs).collect()}
+    assert [found[k].n_dup_lines for k in (1, 2, 3)] == [0, 1, 1]
+    three = "\n".join(["same line here"] * 2 + [" ".join(f"w{i}" for i in range(16))])
+    lines = ready.createDataFrame([(1, three)], "doc_id bigint, text string")
+    kept = {v: quality_rules.kept_documents(lines, quality_rules.POLICIES[v]).count() for v in ("2024-1", "2024-2", "2024-3")}
+    # one of three lines is repeated: too many for the older versions, too few for the newest
+    assert kept == {"2024-1": 0, "2024-2": 0, "2024-3": 1}
