@@ -86,6 +86,7 @@ def left_join_split(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     of their column, and each cell is joined by itself. A left row of a key that is split on the right has a match in some cell, so where it finds
     none it is dropped; all other left rows are in one column and stay, matched or not.
     """
+    right = right.filter(F.col(key).isNotNull())
     hot_left, hot_right = F.broadcast(hot_buckets(left, key, "__rows")), F.broadcast(hot_keys(right, key, "__columns"))
     row = F.when(F.col(key).isNull(), _bucket(left, left.columns)).otherwise(_piece(left, "__rows"))
     placed = left.withColumn("__bucket", _key_bucket(key)).join(hot_left, "__bucket", "left").join(hot_right, key, "left")

@@ -486,7 +486,7 @@ def _(t: TestTables) -> DataFrame:
        select l_partkey, lines, lines > (select avg(lines) from n) as above_mean from n""",
 )
 def _(t: TestTables) -> DataFrame:
-    parts = t.raw("lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("lines"))
+    parts = collapse(t.raw("lineitem"), ["l_partkey"], copies="lines")
     return parts.withColumn("above_mean", F.col("lines") > parts.agg(F.avg("lines")).scalar())
 
 
