@@ -1,10 +1,11 @@
 """Burrows-Wheeler transforms of collections of byte strings, and their merge by interleave refinement.
 
 Every string of a shard gets a terminator that sorts before all bytes. The transform of a shard lists, for its rotations in sorted
-order, the symbol before each. To merge shards nothing is sorted anew: start from an interleave of all suffixes in which nothing is told apart, and walk it in
-order; each suffix hands its place to the one that starts ``STEP`` symbols earlier, which goes to the bucket of those symbols. After round t the
-interleave is right for the first t * STEP symbols, and two neighbours are in one block if they agree in all of these. A suffix alone in
-its block is settled, as are all that would follow from it, and leaves the walk.
+order, the symbol before each. The merge works on the transforms alone: no string is rebuilt and no suffix compared. It starts from an interleave that
+lists the rows of one shard after the other, in one block, and walks it in order; each row hands its place to the row of the suffix ``STEP`` symbols longer in the same
+transform, which goes to the bucket of the symbols passed. Rows of one shard never overtake each other in a bucket, as each transform is sorted already. After round t the
+interleave is right for the first t * STEP symbols; neighbours are in one block if they agree in all of these, so a boundary that is new in round t stands between suffixes
+whose common prefix has t * STEP - STEP symbols or more, but not t * STEP. A suffix alone in its block is settled, as are all that would follow from it, and leaves the walk.
 """
 
 from __future__ import annotations
@@ -102,29 +103,39 @@ def _transforms(data: np.ndarray, lengths: np.ndarray, shard: np.ndarray) -> lis
 
 @dataclass
 class Texts:
-    """Strings of several shards after inversion: each with its bytes and a terminator, one after the other."""
+    """Rows of several transforms, shard after shard, and the strings they stand for, each with a terminator, one after the other."""
 
-    data: np.ndarray
+    symbols: np.ndarray  # before the suffix of each row, one more than the byte; 0 for a terminator
+    back: np.ndarray  # the row of the suffix one symbol longer
     firsts: np.ndarray
     lengths: np.ndarray
-    suffixes: np.ndarray  # positions in ``data``, shard after shard, each shard sorted
+    suffixes: np.ndarray  # where the suffix of each row begins
+
+    @property
+    def data(self) -> np.ndarray:
+        """The strings themselves, which the merge does without."""
+        out = np.zeros(len(self.symbols), np.uint8)
+        real = self.symbols != 0
+        out[self.suffixes[real] - 1] = self.symbols[real] - 1
+        return out
 
 
 def invert(shards: list[Shard]) -> Texts:
-    """The strings of all shards, in their sorted order within each, and the sorted suffixes of each shard."""
+    """The rows of all shards; their strings are in sorted order within each."""
     sizes = np.array([len(s.symbols) for s in shards], np.int64)
     bases = np.cumsum(sizes) - sizes
     total = int(sizes.sum())
-    symbol = np.zeros(total, np.uint16)
+    number = np.int32 if total < 1 << 31 else np.int64
+    symbols = np.zeros(total, np.uint16)
     if total:
-        symbol += np.concatenate([s.symbols for s in shards])
-        symbol += 1
-        symbol[np.concatenate([s.ends.astype(np.int64) + base for s, base in zip(shards, bases)])] = 0
-    # the rotation one symbol longer: stable by symbol within each shard
-    order = np.argsort(symbol, kind="stable")
+        symbols += np.concatenate([s.symbols for s in shards])
+        symbols += 1
+        symbols[np.concatenate([s.ends.astype(np.int64) + base for s, base in zip(shards, bases)])] = 0
+    # stable by symbol within each shard
+    order = np.argsort(symbols, kind="stable")
     order = order[_in_buckets(np.repeat(np.arange(len(shards)), sizes)[order])]
-    back = np.empty(total, np.int64)
-    back[order] = np.arange(total)
+    back = np.empty(total, number)
+    back[order] = np.arange(total, dtype=number)
     starts = [base + np.arange(len(s.ends)) for s, base in zip(shards, bases)]
     at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     # from every terminator backwards to the start of its string, all strings at once
@@ -133,7 +144,7 @@ def invert(shards: list[Shard]) -> Texts:
     alive, place = np.arange(count), at
     walked = [(alive, place)]
     while len(alive):
-        going = symbol[place] != 0
+        going = symbols[place] != 0
         alive, place = alive[going], back[place[going]]
         lengths[alive] += 1
         if len(alive):
@@ -143,10 +154,7 @@ def invert(shards: list[Shard]) -> Texts:
     where = np.empty(total, np.int64)
     for step, (alive, place) in enumerate(walked):
         where[place] = firsts[alive] + lengths[alive] - step
-    data = np.zeros(total, np.uint8)
-    real = symbol != 0
-    data[where[real] - 1] = symbol[real] - 1
-    return Texts(data, firsts, lengths, where)
+    return Texts(symbols, back, firsts, lengths, where)
 
 
 def _in_buckets(codes: np.ndarray) -> np.ndarray:
@@ -169,26 +177,27 @@ def _stable(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_intervals(texts: Texts, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes that share their first ``depth`` bytes (a multiple of ``STEP``) with another, and the bounds of the
-    intervals of equal ones among them."""
-    if not len(texts.data):
+    """Suffixes that share their first ``depth`` bytes with another, and the bounds of the intervals of equal ones among them."""
+    if not len(texts.symbols):
         return np.zeros(0, np.int64), np.zeros(1, np.int64)
-    sizes = texts.lengths + 1
-    offset = (np.arange(len(texts.data)) - np.repeat(texts.firsts, sizes)).astype(np.int32)
-    ahead = np.append(texts.data, np.zeros(STEP, np.uint8)).astype(np.uint64)
-    step = ahead[:-STEP].copy()
-    for i in range(1, STEP):
-        step = step << np.uint64(8) | ahead[i : i - STEP]
-    order, block = texts.suffixes.astype(np.int32 if len(texts.data) < 1 << 31 else np.int64), np.zeros(len(texts.suffixes), np.int32)
-    for _ in range(depth // STEP):
-        # places whose string reaches back far enough hand over to the suffix STEP symbols earlier
-        going = offset[order] >= STEP
-        order, block = order[going] - STEP, block[going]
-        place, symbols = _stable(step[order])
-        order, block = order[place], block[place]
+    # from every row one symbol back: the row, the symbol passed, and whether it is one of the string
+    one = texts.back, np.maximum(texts.symbols, 1).astype(np.uint64) - np.uint64(1), texts.symbols != 0
+    two = _joined(one, one, 8)
+    five = _joined(_joined(two, two, 16), one, 32)
+    order, block = np.arange(len(texts.symbols), dtype=texts.back.dtype), np.zeros(len(texts.symbols), np.int32)
+    for back, passed, inside in [one] * (depth % STEP) + [five] * (depth // STEP):
+        order, block = order[inside[order]], block[inside[order]]
+        place, symbols = _stable(passed[order])
+        order, block = back[order[place]], block[place]
         new = np.ones(len(order) + 1, bool)
         new[1:-1] = (symbols[1:] != symbols[:-1]) | (block[1:] != block[:-1])
         kept = ~(new[:-1] & new[1:])
         order, block = order[kept], np.cumsum(new[:-1][kept], dtype=np.int32)
     begin = np.flatnonzero(np.diff(block, prepend=-1))
-    return order, np.append(begin, len(order))
+    return texts.suffixes[order], np.append(begin, len(order))
+
+
+def _joined(first: tuple[np.ndarray, ...], then: tuple[np.ndarray, ...], bits: int) -> tuple[np.ndarray, ...]:
+    """Two walks as one; the symbols of the second come before those of the first, which have so many bits."""
+    (at, passed, inside), (further, more, still) = first, then
+    return further[at], passed | more[at] << np.uint64(bits), inside & still[at]

@@ -122,7 +122,7 @@ class Segments:
 def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts in a row with a smaller ``key``.
 
-    Texts are UTF-8 bytes; strings never cross documents, overlaps count, and strings are judged on the input. ``length`` is a multiple of 10. Adds
+    Texts are UTF-8 bytes; strings never cross documents, overlaps count, and strings are judged on the input. Adds
     ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) as long and ``kept_bytes`` (binary, the rest) to every row; columns called like them are
     replaced. NULL and empty texts have no bytes. A NULL key is smaller than all others. Rows that repeat a key are the same document as far as the rule goes, so
     they take nothing from each other. An empty table stays empty.
@@ -183,10 +183,10 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     def merge(asked: list[exchange.Message]):
         parts = [exchange.unpack(payload, np.uint8, np.uint32, np.uint32, np.int64) for _, _, _, payload in asked]
         texts = bwt.invert([bwt.Shard(symbols, ends, strings) for symbols, ends, strings, _ in parts])
-        # an inversion finds the strings of a shard in sorted order
+        # the strings of a shard are in sorted order
         doc = np.repeat(np.concatenate([docs_of[strings] for _, _, strings, docs_of in parts]), texts.lengths + 1)
         order, bounds = bwt.repeated_intervals(texts, length)
-        lost = np.zeros(len(texts.data), bool)
+        lost = np.zeros(len(texts.suffixes), bool)
         if len(order):
             least = np.minimum.reduceat(doc[order], bounds[:-1])
             lost[order] = doc[order] > np.repeat(least, np.diff(bounds))
