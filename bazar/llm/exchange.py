@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bazar.llm.tables import stored
-from bazar.llm.text import mix
+from bazar.llm.text import distinct, mix
 
 CHUNK_BYTES = 8 << 20
 LEAST_CHUNK_BYTES = 1 << 20
@@ -234,7 +234,7 @@ class Sketch:
     def _both(self, answers: dict[int, list[bytes]], keys: np.ndarray, tag: int) -> np.ndarray:
         flags = np.ones(len(keys), bool)
         for row in range(self.depth):
-            cells, place = np.unique(self.cells(keys, row), return_inverse=True)
+            cells, place = distinct(self.cells(keys, row), self.bits)
             flags &= bits_of(answers.get(tag + row, []), len(cells))[place]
         return flags
 

@@ -134,16 +134,50 @@ def ranges(firsts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(np.asarray(firsts) - before, lengths)
 
 
+# A hash without so many lower bits and a place in an array fit one sort key.
+PLACE_BITS = 24
+_PLACE = np.uint64((1 << PLACE_BITS) - 1)
+# Windows compared at once, so that a step stays in the cache.
+_BLOCK = 1 << 16
+
+
 def sliding_argmin(values: np.ndarray, size: int) -> np.ndarray:
-    """Position of the smallest of ``values[i:i + size]``, the leftmost of equals, for every i."""
-    best, at, have = values, np.arange(len(values)), 1
-    while have < size:
-        step = min(have, size - have)
-        right = best[step:] < best[:-step]
-        at = np.where(right, at[step:], at[:-step])
-        best = np.where(right, best[step:], best[:-step])
-        have += step
-    return at
+    """Position of the smallest of ``values[i:i + size]`` by the upper 40 bits, the leftmost of equals, for every i.
+
+    ``size`` is below half of 2 ** ``PLACE_BITS``.
+    """
+    total = len(values) - size + 1
+    out = np.zeros(max(0, total), np.int64)
+    for first in range(0, total, _BLOCK):
+        part = values[first : first + _BLOCK + size - 1]
+        best, have = (part & ~_PLACE) | np.arange(len(part), dtype=np.uint64), 1
+        while have < size:
+            step = min(have, size - have)
+            best = np.minimum(best[:-step], best[step:])
+            have += step
+        out[first : first + _BLOCK] = (best & _PLACE).astype(np.int64) + first
+    return out
+
+
+def distinct(hashes: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct of some evenly spread values of so many bits, sorted, and the place of every value among them."""
+    if len(hashes) >> PLACE_BITS or not len(hashes):
+        return np.unique(hashes, return_inverse=True)
+    both = (hashes << np.uint64(64 - bits) & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    both.sort()
+    order = (both & _PLACE).astype(np.int64)
+    values = hashes[order]
+    if (values[1:] < values[:-1]).any():  # some values differ in their lower bits alone
+        run = np.cumsum(np.diff(both >> np.uint64(PLACE_BITS), prepend=both[0] >> np.uint64(PLACE_BITS)) != 0)
+        mixed = np.zeros(run[-1] + 1, bool)
+        mixed[run[1:][values[1:] < values[:-1]]] = True
+        some = np.flatnonzero(mixed[run])
+        within = np.argsort(values[some], kind="stable")
+        order[some], values[some] = order[some][within], values[some][within]
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    place = np.empty(len(hashes), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return values[new], place
 
 
 def covered(starts: np.ndarray, size: int, total: int) -> np.ndarray:
