@@ -25,7 +25,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 from bazar.llm import exchange
 from bazar.llm.simhash import LOWER
 from bazar.llm.tables import stored
-from bazar.llm.text import flat, mix, pieces, span_hashes, word_spans
+from bazar.llm.text import content_hashes, distinct, flat, mix, pieces, word_spans
 
 FOLDS = 10
 LENGTHS = (1, 2)
@@ -71,11 +71,11 @@ class Tokens:
         for _, _, data, offsets in pieces(*flat(chunk["text"])):
             data = LOWER[data]
             starts, ends, bounds = word_spans(data, offsets)
-            hashes.append(span_hashes(data, starts, ends))
+            hashes.append(content_hashes(data, starts, ends))
             counts.append(np.diff(bounds))
         counts = np.concatenate(counts)
         tokens = np.insert(np.concatenate(hashes), np.cumsum(counts), END)
-        words, place = np.unique(tokens, return_inverse=True)
+        words, place = distinct(tokens)
         trains = ~np.array([held_out(d) for d in chunk["doc"].to_pylist()], bool)
         return cls(words, place, np.concatenate([[0], np.cumsum(counts + 1)]), np.repeat(trains, counts + 1))
 
@@ -95,23 +95,32 @@ class Level:
     local: np.ndarray  # training occurrences in the chunk of each sequence
 
     @classmethod
-    def of(cls, tokens: Tokens, counts: np.ndarray, ending: np.ndarray, length: int, trained: int) -> Level:
-        """``ending`` has for every token the training occurrences of the ``length`` words that end there."""
+    def of(cls, tokens: Tokens, counts: np.ndarray, ending: np.ndarray, below: Level | None, trained: int) -> Level:
+        """``ending`` has for every token the training occurrences of the context that ends there: a sequence of the level ``below``, or a word."""
+        length = below.length + 1 if below else 1
         known = (counts >= least_count(length, trained))[tokens.place]
         at = np.arange(len(tokens.place))
         at = at[at - np.repeat(tokens.bounds[:-1], np.diff(tokens.bounds)) >= length]
         at = at[ending[at - 1] >= LEAST_OCCURRENCES]
-        hashes = np.full(len(at), length, np.uint64)
-        for back in range(length, 0, -1):
-            hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + tokens.words[tokens.place[at - back]])
-        contexts, first, context = np.unique(hashes, return_index=True, return_inverse=True)
-        occurrences = ending[at[first] - 1]
+        # contexts are distinct and sorted already, where they are counted
+        found, place = (below.sequences, below.completed(len(tokens.place))) if below else (tokens.words, tokens.place)
+        place = place[at - 1]
+        often = np.zeros(len(found), np.int64)
+        often[place] = ending[at - 1]
+        used = often > 0
+        contexts, occurrences, context = found[used], often[used], (np.cumsum(used) - 1)[place]
         full = known[at]
-        hashes = mix(hashes[full] * np.uint64(0xC2B2AE3D27D4EB4F) + tokens.words[tokens.place[at[full]]])
-        sequences, sequence = np.unique(hashes, return_inverse=True)
+        hashes = mix(contexts[context[full]] * np.uint64(0xC2B2AE3D27D4EB4F) + tokens.words[tokens.place[at[full]]])
+        sequences, sequence = distinct(hashes)
         local = np.bincount(sequence, weights=tokens.trains[at[full]], minlength=len(sequences)).astype(np.int64)
         return cls(length, at, context, contexts, occurrences, full, sequence, sequences, local)
 
+    def completed(self, tokens: int) -> np.ndarray:
+        """For every token the sequence it completes; 0 where there is none."""
+        out = np.zeros(tokens, np.int64)
+        out[self.at[self.full]] = self.sequence
+        return out
+
     def shorter(self) -> np.ndarray:
         """For every sequence one token that completes it."""
         first = np.zeros(len(self.sequences), np.int64)
@@ -153,12 +162,11 @@ def _totals(asked: list[exchange.Message]):
     for tag in sorted({m[2] for m in asked}):
         kinds = KINDS[tag // 10 * 10]
         mine = [(m, _values(m[3], kinds, keyed=True)) for m in asked if m[2] == tag]
-        keys, place = np.unique(np.concatenate([part[0] for _, part in mine]), return_inverse=True)
+        keys, place = distinct(np.concatenate([part[0] for _, part in mine]))
         sums = []
         for i, kind in enumerate(kinds, 1):
-            values = np.concatenate([part[i] for _, part in mine])
             total = np.zeros(len(keys), kind)
-            np.add.at(total, place, values)
+            np.add.at(total, place, np.concatenate([part[i] for _, part in mine]))
             sums.append(total)
         at = 0
         for (s, chunk, _, _), part in mine:
@@ -187,7 +195,7 @@ class Model:
         self.levels, self.seen, self.mass, self.types, self.gain = [], {}, {}, {}, {}
         ending = self.counts[self.tokens.place]
         for n in LENGTHS:
-            level = Level.of(self.tokens, self.counts, ending, n, trained)
+            level = Level.of(self.tokens, self.counts, ending, self.levels[-1] if self.levels else None, trained)
             self.levels.append(level)
             if len(level.sequences) and SEQUENCE + n not in answers:
                 break  # not asked yet, so no longer context is known
