@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from bazar.llm import exchange
 from bazar.llm.tables import stored
-from bazar.llm.text import BASES, covered, flat, group_sums, pieces, ranges, sliding_argmin, span_hashes, window_hashes, window_starts, word_spans
+from bazar.llm.text import BASES, content_hashes, covered, flat, group_sums, pieces, ranges, sliding_argmin, window_hashes, window_starts, word_spans
 
 WINDOW = 20
 WINDOWS_TAG = 8
@@ -41,7 +41,7 @@ class Words:
         hashes, counts = [], [np.zeros(0, np.int64)]
         for _, _, data, offsets in pieces(*flat(chunk["text"])):
             starts, ends, bounds = word_spans(data, offsets)
-            hashes.append(span_hashes(data, starts, ends))
+            hashes.append(content_hashes(data, starts, ends))
             counts.append(np.diff(bounds))
         counts = np.concatenate(counts)
         return cls(exchange.doc_numbers(chunk), chunk["order"].to_numpy().astype(np.int32), np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)]))
