@@ -36,7 +36,7 @@ GAIN = 8.0
 END = np.uint64(0x5E2D8A7C61F3B94D)
 
 WORD, SEQUENCE, MASS, BENEFIT, TOTAL = 0, 10, 20, 30, 99
-# values per key, by kind of question
+# values per key, by kind of question; answers have the same but for the types of a context, which are whole in all
 KINDS = {WORD: (np.int64,), SEQUENCE: (np.int64,), MASS: (np.int64, np.float64), BENEFIT: (np.float64,)}
 COLUMNS = [
     StructField("held_out", BooleanType()),
@@ -168,6 +168,8 @@ def _totals(asked: list[exchange.Message]):
             total = np.zeros(len(keys), kind)
             np.add.at(total, place, np.concatenate([part[i] for _, part in mine]))
             sums.append(total)
+        if tag // 10 * 10 == MASS:  # the shares of a type add up to one
+            sums[1] = np.rint(sums[1]).astype(np.int64)
         at = 0
         for (s, chunk, _, _), part in mine:
             own = place[at : at + len(part[0])]
@@ -202,7 +204,7 @@ class Model:
             (self.seen[n],) = _heard(answers, SEQUENCE + n, len(level.sequences), np.int64)
             ending = self._seen_at(level)
             if MASS + n in answers:
-                self.mass[n], self.types[n] = _heard(answers, MASS + n, len(level.contexts), np.int64, np.float64)
+                self.mass[n], self.types[n] = _heard(answers, MASS + n, len(level.contexts), np.int64, np.int64)
             if BENEFIT + n in answers:
                 (self.gain[n],) = _heard(answers, BENEFIT + n, len(level.contexts), np.float64)
 
