@@ -7,6 +7,10 @@ keeps every source less than one block away from its share at any time.
 
 The schedule repeats after T slots, so one period is laid out on the driver, from a table with a row per source, and everything
 else is arithmetic on the rows. When a source is used up the others share its tickets: a new phase begins.
+
+More sources than one period can be laid out for are held in classes of equal weight. A class holds the tickets of all its members and is
+scheduled like a source; within it blocks go round the members, which is earliest deadline first where all have equal tickets. Members that are used
+up are left out of later rounds. That order is a sort of the rows, so neither the sources nor their number pass through the driver.
 """
 
 from __future__ import annotations
@@ -18,9 +22,15 @@ from heapq import heappop, heappush
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bounds on what is planned on the driver and broadcast: at most MAX_SOURCES * TICKETS rows.
+from bazar.operators.ranking import row_positions
+
+# Bounds on what is planned on the driver and broadcast: at most MAX_SOURCES * TICKETS rows. More sources are planned as classes.
 MAX_SOURCES = 256
 TICKETS = 1024
+# Power by which sources are tempered unless tickets are given.
+POWER = 0.5
+# Without given tickets, sizes of a class differ by less than a factor of 2 ** (1 / SIZES_PER_DOUBLING).
+SIZES_PER_DOUBLING = 4
 BLOCK_ROWS = 16
 # Rows of a source are numbered in this many buckets per shuffle partition, so no source is one task.
 BUCKETS_PER_PARTITION = 4
@@ -89,13 +99,25 @@ def plan(blocks: Mapping[str, int], tickets: Mapping[str, int]) -> list[Phase]:
     return phases
 
 
-def tempered_tickets(rows: Mapping[str, int], power: float = 0.5, total: int = TICKETS) -> dict[str, int]:
+def tempered_tickets(rows: Mapping[str, int], power: float = POWER, total: int = TICKETS) -> dict[str, int]:
     """Tickets in proportion to rows ** power: 1 keeps the natural mix, 0 makes all sources equal."""
-    weights = {s: n**power for s, n in rows.items() if n}
+    return _in_proportion({s: n**power for s, n in rows.items() if n}, total)
+
+
+def _in_proportion(weights: Mapping[str, float], total: int = TICKETS) -> dict[str, int]:
     whole = sum(weights.values())
     return {s: max(1, round(total * w / whole)) for s, w in weights.items()}
 
 
+def _held(sources: DataFrame, given: DataFrame | None) -> DataFrame:
+    """Add ``__holder``, the class of a source (column __total: its rows), and ``__weight``, its own weight in it."""
+    if given is None:
+        at = F.floor(F.log2("__total") * SIZES_PER_DOUBLING)
+        return sources.withColumn("__holder", F.format_string("%06d", at)).withColumn("__weight", F.pow(F.col("__total").cast("double"), F.lit(POWER)))
+    weight = F.coalesce("__given", F.lit(0))
+    return sources.join(F.broadcast(given), "__source", "left").withColumn("__weight", weight).withColumn("__holder", F.format_string("%06d", weight)).drop("__given")
+
+
 def mix_sources(
     docs: DataFrame,
     tickets: Mapping[str, int] | None = None,
@@ -108,8 +130,12 @@ def mix_sources(
     ``tickets`` gives whole weights per source, by default ``tempered_tickets``. Every row gets a position: a source that is
     used up leaves its share to the others. A NULL source is a source of its own, without a name; one without tickets follows after all others. Rows of a
     source come in an order that depends on ``key`` alone; rows that repeat a key, NULL included, stand beside each other in the
-    order of their other columns. An empty table stays empty. Columns called like the new ones are replaced. More than
-    ``MAX_SOURCES`` sources, or tickets of more than ``MAX_SOURCES * TICKETS`` in all, are refused.
+    order of their other columns. An empty table stays empty. Columns called like the new ones are replaced.
+
+    ``slot`` and ``phase`` are those of what is scheduled: a source, or, with more than ``MAX_SOURCES`` of them, a class of sources with equal tickets
+    (by default, of nearly equal size). A member of a class is less than one block from its turn in the class, hence less than two from its share; the tickets of a
+    used up member stay with its class. Given tickets of more than ``MAX_SOURCES * TICKETS`` in all are refused, and more than ``MAX_SOURCES`` different
+    numbers of them where there are that many sources: these bound the parameter, not the data.
     """
     spark = docs.sparkSession
     added = ["block", "slot", "phase", "position"]
@@ -122,12 +148,20 @@ def mix_sources(
     named = named.withColumn("__at", at).withColumn("__bucket", F.pmod("__at", F.lit(buckets)))
 
     sizes = named.groupBy("__source", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    totals = {r[0]: r[1] for r in sizes.groupBy("__source").agg(F.sum("__n")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group the small ones first")
+    by_source = sizes.groupBy("__source").agg(F.sum("__n").alias("__total"))
+    totals = {r[0]: r[1] for r in by_source.limit(MAX_SOURCES + 1).collect()}
     weights = tempered_tickets(totals) if tickets is None else {("" if s is None else f"={s}"): a for s, a in tickets.items() if a > 0}
-    if sum(weights.values()) > MAX_SOURCES * TICKETS:
+    if tickets is not None and sum(weights.values()) > MAX_SOURCES * TICKETS:
         raise ValueError(f"more than {MAX_SOURCES * TICKETS} tickets: divide them")
+    classes, given = len(totals) > MAX_SOURCES, None
+    if classes:
+        if tickets is not None:
+            if len(set(weights.values())) > MAX_SOURCES:
+                raise ValueError(f"more than {MAX_SOURCES} different numbers of tickets: round them")
+            given = spark.createDataFrame(list(weights.items()), "__source string, __given int")
+        held = _held(by_source, given).groupBy("__holder").agg(F.sum("__total"), F.sum("__weight")).collect()
+        totals = {r[0]: r[1] for r in held}
+        weights = _in_proportion({r[0]: r[2] for r in held}) if tickets is None else {r[0]: r[2] for r in held if r[2]}
     blocks = {s: -(-n // block_rows) for s, n in totals.items()}
     phases = plan(blocks, weights)
 
@@ -137,18 +171,31 @@ def mix_sources(
             later = min((q.first[s] for q in phases[number + 1 :] if s in q.first), default=blocks[s])
             starts.append((s, number, p.start, p.period, a, p.first[s], later))
             places += [(s, number, j, place) for j, place in enumerate(p.places[s])]
-    starts = spark.createDataFrame(starts, "__source string, phase bigint, __start bigint, __period bigint, __tickets bigint, __first bigint, __later bigint")
-    places = spark.createDataFrame(places, "__source string, phase bigint, __turn bigint, __place bigint")
+    starts = spark.createDataFrame(starts, "__holder string, phase bigint, __start bigint, __period bigint, __tickets bigint, __first bigint, __later bigint")
+    places = spark.createDataFrame(places, "__holder string, phase bigint, __turn bigint, __place bigint")
 
     before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    if classes:
+        offsets = _held(offsets.withColumn("__total", F.sum("__n").over(Window.partitionBy("__source"))), given).drop("__weight")
     inside = Window.partitionBy("__source", "__bucket").orderBy("__at", *[f"__c{i}" for i in where], *([F.xxhash64(*[f"__c{i}" for i in range(len(kept))])] if where else []))
-    ranked = named.withColumn("__inside", F.row_number().over(inside).cast("bigint") - 1).join(offsets, ["__source", "__bucket"])
+    ranked = named.withColumn("__inside", F.row_number().over(inside).cast("bigint") - 1).join(offsets.drop("__n"), ["__source", "__bucket"])
     ranked = ranked.withColumn("__rank", F.col("__before") + F.col("__inside")).withColumn("block", F.floor(F.col("__rank") / block_rows).cast("bigint"))
-
-    place = ranked.join(F.broadcast(starts), "__source").filter((F.col("block") >= F.col("__first")) & (F.col("block") < F.col("__later")))
-    nth = F.col("block") - F.col("__first")
-    place = place.withColumn("__turn", nth % F.col("__tickets")).join(F.broadcast(places), ["__source", "phase", "__turn"])
+    if classes:
+        rounds = [F.col("__holder"), F.col("block"), F.ceil(F.col("__total") / block_rows).desc(), F.col("__source"), F.col("__rank")]
+        earlier, n = [], 0
+        for s, rows in sorted(totals.items()):
+            earlier.append((s, n))
+            n += rows
+        earlier = spark.createDataFrame(earlier, "__holder string, __earlier bigint")
+        ranked = row_positions(ranked.drop("__at", "__bucket", "__before", "__inside"), rounds, "__row").join(F.broadcast(earlier), "__holder").withColumn("__rank", F.col("__row") - 1 - F.col("__earlier"))
+    else:
+        ranked = ranked.withColumn("__holder", F.col("__source"))
+    ranked = ranked.withColumn("__block", F.floor(F.col("__rank") / block_rows).cast("bigint"))
+
+    place = ranked.join(F.broadcast(starts), "__holder").filter((F.col("__block") >= F.col("__first")) & (F.col("__block") < F.col("__later")))
+    nth = F.col("__block") - F.col("__first")
+    place = place.withColumn("__turn", nth % F.col("__tickets")).join(F.broadcast(places), ["__holder", "phase", "__turn"])
     place = place.withColumn("slot", F.col("__start") + F.floor(nth / F.col("__tickets")).cast("bigint") * F.col("__period") + F.col("__place"))
 
     # all blocks are full but the last of each source, whose slots and gaps are known

@@ -172,6 +172,55 @@ def test_mixed_rows_follow_the_plan(ready, messy, nothing, tickets):
     assert mixing.mix_sources(messy).count() == messy.count() and mixing.mix_sources(nothing).count() == 0
 
 
+def brute_mix(order, tickets, block):
+    """The source at every place of the mix, from the rows of each source, by walking rounds and slots one by one."""
+    sizes = {s: len(rows) for s, rows in order.items()}
+    weight = {s: sizes[s] ** 0.5 if tickets is None else tickets.get(s, 0) for s in sizes}
+    holder = {s: f"{math.floor(math.log2(n) * 4) if tickets is None else weight[s]:06d}" for s, n in sizes.items()}
+    streams, total = defaultdict(list), defaultdict(float)
+    for h in sorted(set(holder.values())):
+        members = sorted((s for s in sizes if holder[s] == h), key=lambda s: (-(-(-sizes[s] // block)), "" if s is None else f"={s}"))
+        for turn in range(max(-(-sizes[s] // block) for s in members)):
+            for s in members:
+                streams[h] += [(s, r) for r in range(turn * block, min(sizes[s], (turn + 1) * block))]
+        total[h] = sum(weight[s] for s in members)
+    shares = {h: max(1, round(1024 * w / sum(total.values()))) for h, w in total.items()} if tickets is None else {h: int(w) for h, w in total.items() if w}
+    blocks = {h: -(-len(rows) // block) for h, rows in streams.items()}
+    phases = mixing.plan(blocks, shares)
+    slots = sorted((mixing.slot_of(phases, h, i), h, i) for h, n in blocks.items() for i in range(n))
+    return [place for _, h, i in slots for place in streams[h][i * block : (i + 1) * block]]
+
+
+@pytest.mark.parametrize("given", [False, True])
+def test_any_number_of_sources(ready, given):
+    rng = random.Random(9)
+    names = [None, "", *(f"s{i}" for i in range(400))]
+    rows = [(i, names[i]) for i in range(len(names))] + [(1000 + i, names[min(len(names) - 1, int(rng.expovariate(0.02)))]) for i in range(5000)]
+    rows += [(2000 + i, "s0") for i in range(2500)] + [(7, "s0"), (None, "s3"), (None, "s3")]
+    tickets = {s: 1 + i % 3 for i, s in enumerate(names) if i % 7} if given else None
+    got = mixing.mix_sources(ready.createDataFrame(rows, "doc_id bigint, source string").repartition(5), tickets, block_rows=4).collect()
+    assert Counter((r.doc_id, r.source) for r in got) == Counter(rows)
+    by_place = sorted(got, key=lambda r: r.position)
+    assert [r.position for r in by_place] == list(range(len(rows)))
+    assert [r.slot for r in by_place] == sorted(r.slot for r in got)
+    order, ranks = defaultdict(list), []
+    for r in by_place:
+        ranks.append((r.source, len(order[r.source])))
+        order[r.source].append(r)
+    assert ranks == brute_mix(order, tickets, 4)
+    assert all(r.block == rank // 4 for r, (_, rank) in zip(by_place, ranks))
+    # a source has its rows in the same order as where it is one of few
+    few = mixing.mix_sources(ready.createDataFrame([r for r in rows if r[1] in ("s0", "s3")], "doc_id bigint, source string"), block_rows=4).collect()
+    for s in ("s0", "s3"):
+        assert [r.doc_id for r in sorted(few, key=lambda r: r.position) if r.source == s] == [r.doc_id for r in order[s]]
+
+
+def test_too_many_different_tickets_are_refused(ready):
+    rows = [(i, f"s{i}") for i in range(300)]
+    with pytest.raises(ValueError, match="different numbers"):
+        mixing.mix_sources(ready.createDataFrame(rows, "doc_id bigint, source string"), {f"s{i}": i + 1 for i in range(300)})
+
+
 def test_leaf_blocks():
     page = "<html><head><title>T</title><style>p{}</style></head><body>top<!-- c --><p>a <b>b<br>c &amp; d<p>e&nbsp; f<ul><li>x<li>y</ul><script>var t='</p>'</script><textarea><p>no</textarea>z < 3<![CDATA[<q>]]></body>"
     assert [b.text for b in html_text.leaf_blocks(page)] == ["top", "a b c & d", "e f", "x", "y", "z < 3<q>"]
