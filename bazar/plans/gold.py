@@ -10,9 +10,10 @@ Models return unsorted tables. ``ORDER`` holds the order each is read in.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 from operator import and_
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,13 +94,21 @@ def _mean_money(total: ColumnOrName, n: ColumnOrName, digits: int = 2) -> Column
     return round_half_away(mean_of(money_of(total), n), digits)
 
 
-def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFrame, canceled_status: str, by: str) -> DataFrame:
-    """Order and review totals per seller, in one pass over the items.
+def _or(part: DataFrame | None, build: Callable[..., DataFrame], *inputs: Any) -> DataFrame:
+    """A part of several models that was computed for all of them, or the same computed here."""
+    return build(*inputs) if part is None else part
 
-    Orders and reviews are stacked into one row per order, joined once to the item counts
-    per (order, seller), and aggregated once by seller.
+
+def seller_totals(items: DataFrame, orders: DataFrame, order_reviews: DataFrame, canceled_status: str = CANCELED, by: str = "seller_id") -> DataFrame:
+    """What the seller models sum over the item rows of a seller, in one pass over the items.
+
+    Orders and reviews are stacked into one row per order, which every item row meets in one join; a hot order is
+    split there. Totals without a partner are NULL.
     """
+    delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
+    late = delivered > estimated
     late_by = elapsed("order_estimated_delivery_date", "order_delivered_customer_date")
+    given = F.col("review_score")
     per_order = stack_by_key(
         "order_id",
         [
@@ -109,42 +118,59 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
                 _flag(F.col("order_status") == canceled_status).alias("canceled"),
                 late_by.alias("late_by"),
                 _filled(late_by).alias("timed"),
+                _flag(late).alias("late"),
+                F.when(late, calendar_days(estimated, delivered)).otherwise(0).alias("late_days"),
                 F.col("order_purchase_timestamp").alias("first_purchase"),
                 F.col("order_purchase_timestamp").alias("last_purchase"),
+                F.when(late, delivered).alias("last_late"),
             ),
             order_reviews.select(
                 "order_id",
                 F.lit(1).alias("reviews"),
-                _flag(F.col("review_score").isin(*NEGATIVE_SCORES)).alias("negatives"),
+                _flag(given.isin(*NEGATIVE_SCORES)).alias("negatives"),
+                given.alias("score"),
+                _filled(given).alias("scored"),
             ),
         ],
-        sums=("orders", "canceled", "late_by", "timed", "reviews", "negatives"),
+        sums=("orders", "canceled", "late_by", "timed", "late", "late_days", "reviews", "negatives", "score", "scored"),
         least=("first_purchase",),
-        greatest=("last_purchase",),
+        greatest=("last_purchase", "last_late"),
     )
-    lines = collapse(_known(items, "order_id"), ["order_id", by], copies="lines")
-    totals = (
-        lines.join(per_order, "order_id")
+    counts = {
+        "total_orders": "orders",
+        "canceled_orders": "canceled",
+        "total_reviews": "reviews",
+        "negative_reviews": "negatives",
+        "timed": "timed",
+        "late": "late",
+        "late_days": "late_days",
+        "score": "score",
+        "scored": "scored",
+    }
+    return (
+        _known(items, "order_id")
+        .select("order_id", by)
+        .join(per_order, "order_id")
         .groupBy(by)
         .agg(
-            count_product("lines", "orders").alias("total_orders"),
-            count_product("lines", "canceled").alias("canceled_orders"),
-            count_product("lines", "reviews").alias("total_reviews"),
-            count_product("lines", "negatives").alias("negative_reviews"),
-            F.sum(seconds_of("late_by") * whole("lines")).alias("late_seconds"),
-            count_product("lines", "timed").alias("timed"),
+            *[count_product(c).alias(name) for name, c in counts.items()],
+            F.sum(seconds_of("late_by")).alias("late_seconds"),
             F.min("first_purchase").alias("first_purchase"),
             F.max("last_purchase").alias("last_purchase"),
+            F.max("last_late").alias("last_late"),
         )
-        .filter(F.col("total_orders") > 0)
     )
 
+
+def _seller_metrics(totals: DataFrame, by: str) -> DataFrame:
+    """Order and review rates per seller."""
+
     def matched(c: str) -> Column:
         # a NULL seller has order totals but finds no partner for anything else
         return F.when(F.col(by).isNotNull(), F.col(c))
 
     lifetime = days_of(seconds_of(elapsed(matched("first_purchase"), matched("last_purchase"))))
-    return totals.select(
+    return totals.filter(F.col("total_orders") > 0).select(
         by,
         "total_orders",
         "canceled_orders",
@@ -158,10 +184,16 @@ def _seller_metrics(items: DataFrame, orders: DataFrame, order_reviews: DataFram
 
 
 def agg_sellers_cancellation_rate(
-    items: DataFrame, orders: DataFrame, order_reviews: DataFrame, canceled_status: str = CANCELED, by: str = "seller_id"
+    items: DataFrame,
+    orders: DataFrame,
+    order_reviews: DataFrame,
+    canceled_status: str = CANCELED,
+    by: str = "seller_id",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """Cancellation and negative-review rate per seller."""
-    return _seller_metrics(items, orders, order_reviews, canceled_status, by).drop("avg_delivery_delay", "seller_lifetime_days")
+    """Cancellation and negative-review rate per seller. ``totals`` are those of the same tables and parameters, if they are there already."""
+    totals = _or(totals, seller_totals, items, orders, order_reviews, canceled_status, by)
+    return _seller_metrics(totals, by).drop("avg_delivery_delay", "seller_lifetime_days")
 
 
 def agg_sellers_cancellation_rate_v2(
@@ -171,13 +203,15 @@ def agg_sellers_cancellation_rate_v2(
     canceled_status: str = CANCELED,
     thresholds: RiskThresholds = RiskThresholds(),
     by: str = "seller_id",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Risk score per seller: three metrics score 1 to 3, a short lifetime adds 1."""
+    totals = _or(totals, seller_totals, items, orders, order_reviews, canceled_status, by)
 
     def three_two_one(metric: str, levels: tuple[float, float]) -> Column:
         return ladder(metric, [Band(levels[0], 3), Band(levels[1], 2)], otherwise=1)
 
-    scored = _seller_metrics(items, orders, order_reviews, canceled_status, by).select(
+    scored = _seller_metrics(totals, by).select(
         "*",
         three_two_one("cancellation_rate", thresholds.cancellation).alias("score_cancellation"),
         three_two_one("negative_review_rate", thresholds.negative_reviews).alias("score_reviews"),
@@ -232,9 +266,10 @@ def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFra
 
 
 def _customer_orders(orders: DataFrame, dated: bool = False) -> DataFrame:
+    """Orders as they are: reducing them by (order, customer) would be a shuffle more before the join by order, and they repeat little."""
     bought = F.col("order_purchase_timestamp")
-    dates = {"least": {"first_purchase": bought}, "greatest": {"last_purchase": bought}} if dated else {}
-    return collapse(_known(orders, "customer_id"), ["order_id", "customer_id"], **dates)
+    dates = [bought.alias("first_purchase"), bought.alias("last_purchase")] if dated else []
+    return _known(orders, "customer_id").select("order_id", "customer_id", F.lit(1).alias("copies"), *dates)
 
 
 def geo_sales(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:
@@ -389,21 +424,27 @@ def _seller_places(sellers: DataFrame) -> DataFrame:
 
 
 def _order_sellers(items: DataFrame) -> DataFrame:
-    return collapse(_known(items, "order_id", "seller_id"), ["order_id", "seller_id"], copies="lines")
+    """Item rows as they are, for the same reason; joins by order split a hot one."""
+    return _known(items, "order_id", "seller_id").select("order_id", "seller_id", F.lit(1).alias("lines"))
 
 
-def gold_sellers_order_reviews_score(sellers: DataFrame, items: DataFrame, order_reviews: DataFrame, below: float = 3.0) -> DataFrame:
-    """Sellers whose mean review, weighted by item rows, is below 3."""
+def _scores_per_seller(items: DataFrame, order_reviews: DataFrame) -> DataFrame:
     given = F.col("review_score")
     per_order = collapse(_known(order_reviews, "order_id"), ["order_id"], sums={"score": given, "scored": _filled(given)})
-    score = mean_of("score", "scored")
-    poor = (
+    return (
         _order_sellers(items)
         .join(per_order, "order_id")
         .groupBy("seller_id")
         .agg(count_product("score", "lines").alias("score"), count_product("scored", "lines").alias("scored"))
-        .filter(score < below)
     )
+
+
+def gold_sellers_order_reviews_score(
+    sellers: DataFrame, items: DataFrame, order_reviews: DataFrame, below: float = 3.0, totals: DataFrame | None = None
+) -> DataFrame:
+    """Sellers whose mean review, weighted by item rows, is below 3."""
+    score = mean_of("score", "scored")
+    poor = _or(totals, _scores_per_seller, items, order_reviews).select("seller_id", "score", "scored").filter(score < below)
     return (
         _seller_places(sellers)
         .join(poor, "seller_id")
@@ -436,11 +477,15 @@ def late_rows_per_seller(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def gold_sellers_shipment_metrics(orders: DataFrame, items: DataFrame, sellers: DataFrame) -> DataFrame:
+def gold_sellers_shipment_metrics(orders: DataFrame, items: DataFrame, sellers: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Delays per seller; the mean counts punctual rows as 0 days."""
+    if totals is None:
+        late = late_rows_per_seller(orders, items)
+    else:
+        late = totals.filter(F.col("late") > 0).select("seller_id", F.col("total_orders").alias("orders"), "late", "late_days", "last_late")
     return (
         _seller_places(sellers)
-        .join(late_rows_per_seller(orders, items), "seller_id")
+        .join(late, "seller_id")
         .select(
             "seller_id",
             "seller_city",
@@ -461,28 +506,29 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
     is the payment sum times the item rows, and item rows add up over the sellers.
     """
     homes = _known(aggregated_customers, "customer_id").select("customer_id", *REGION)
-    sold = collapse(_known(items, "order_id"), ["order_id", "seller_id"], copies="lines")
-    placed = (
-        _known(_customer_orders(orders), "order_id")
+    placed = _known(orders, "order_id", "customer_id").select("order_id", "customer_id").join(homes, "customer_id").select("order_id", *REGION)
+    people = aggregated_customers.groupBy(*REGION, "customer_unique_id").agg(_filled("customer_unique_id").alias("known"))
+    # orders meet one row each for their items and payments, and only the sellers of a region meet the items themselves
+    sales = (
+        placed.join(collapse(_known(items, "order_id"), ["order_id"], copies="lines"), "order_id", "left")
         .join(_paid_per_order(payments), "order_id", "left")
-        .join(sold, "order_id", "left")
-        .join(homes, "customer_id")
-    )
-    # whatever is counted per region is a row of a kind, so that one pass tells customers, orders and sellers apart and also matches NULL regions
-    kind = F.col("kind")
-    people = aggregated_customers.select(*REGION, F.lit("customer").alias("kind"), F.col("customer_unique_id").alias("id"))
-    ordered = placed.withColumn("kind", F.explode(F.array(F.lit("order"), F.lit("seller")))).select(
-        *REGION,
-        "kind",
-        F.when(kind == "order", F.col("order_id")).otherwise(F.col("seller_id")).alias("id"),
-        F.when(kind == "seller", F.col("paid")).alias("paid"),
-        "copies",
-        F.coalesce("lines", F.lit(1)).alias("lines"),
+        .groupBy("order_id", *REGION, "lines", "paid")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy(*REGION)
+        .agg(
+            F.count(F.lit(1)).alias("total_orders"),
+            money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
+        )
     )
-    each = people.unionByName(ordered, allowMissingColumns=True).groupBy(*REGION, "kind", "id").agg(money_product("paid", "copies", "lines").alias("sales"))
-    # a region of a customer without an id and no orders is there too
-    merged = each.groupBy(*REGION).agg(
-        *[F.count(F.when(kind == k, F.col("id"))).alias(name) for k, name in (("customer", "total_customers"), ("order", "total_orders"), ("seller", "distinct_sellers"))],
+    sellers = placed.join(_order_sellers(items), "order_id").select(*REGION, "seller_id").distinct()
+    # stacked, so that NULL regions match; a region of a customer without an id and no orders is there too
+    counted = [
+        people.groupBy(*REGION).agg(F.sum("known").alias("total_customers")),
+        sales,
+        sellers.groupBy(*REGION).agg(F.count(F.lit(1)).alias("distinct_sellers")),
+    ]
+    merged = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), counted).groupBy(*REGION).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total_customers", "total_orders", "distinct_sellers")],
         money_of(F.sum("sales")).alias("total_sales_value"),
     )
     ratio = round_half_away(float_ratio("total_orders", F.nullif("distinct_sellers", F.lit(0))), 2)

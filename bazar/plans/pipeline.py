@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import partial
 from typing import Any, NamedTuple
 
@@ -104,6 +105,30 @@ MODELS: tuple[Model, ...] = (
 
 BY_NAME = {model.name: model for model in MODELS}
 
+
+class Shared(NamedTuple):
+    """A small part that several models of a layer can take as ``parameter`` instead of computing it each.
+
+    Not for models that rank: a rank reads one exchange twice, which Spark does not reuse above a cached table.
+    """
+
+    parameter: str
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+    models: tuple[str, ...]
+
+
+SHARED: dict[str, tuple[Shared, ...]] = {
+    "gold": (
+        Shared(
+            "totals",
+            (ITEMS, ORDERS, REVIEWS),
+            gold.seller_totals,
+            ("agg_sellers_cancellation_rate", "agg_sellers_cancellation_rate_v2", "gold_sellers_order_reviews_score", "gold_sellers_shipment_metrics"),
+        ),
+    ),
+}
+
 # Other names tables are known by, per layer.
 ALIASES = {
     "bronze": {"order_reviews": "reviews_bronze", "orders": "orders_bronze", "products": "products_bronze"},
@@ -200,6 +225,41 @@ def run_bronze(
     return _run_all([("bronze", source.name, partial(land, source)) for source in sources], on_error, parallel)
 
 
+@contextmanager
+def _computed_once(
+    lake: Lake, layer: str, parallel: int, parameters: Mapping[str, Mapping[str, Any]]
+) -> Iterator[Mapping[str, Mapping[str, Any]]]:
+    """The parameters of a layer with its shared parts added, cached until the layer is done.
+
+    A model with parameters of its own computes its part itself, as do all where a part fails: then each fails, or not, by itself.
+    """
+
+    def cached(part: Shared) -> DataFrame | None:
+        df = None
+        try:
+            df = part.build(*[lake.read(*source.split("/")) for source in part.inputs]).persist()
+            df.count()
+        except Exception:
+            log.exception("%s: %s is not shared", layer, part.parameter)
+            if df is not None:
+                df.unpersist()
+            return None
+        return df
+
+    parts = SHARED.get(layer, ())
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        tables = list(pool.map(cached, parts))
+    given = dict(parameters)
+    for part, df in zip(parts, tables):
+        given.update({name: {part.parameter: df} for name in part.models if df is not None and not parameters.get(name)})
+    try:
+        yield given
+    finally:
+        for df in tables:
+            if df is not None:
+                df.unpersist()
+
+
 def _run_layer(
     lake: Lake, layer: str, mode: str, on_error: str, parallel: int, parameters: Mapping[str, Mapping[str, Any]]
 ) -> list[Outcome]:
@@ -207,9 +267,10 @@ def _run_layer(
     # models that read their own layer come after all others
     later = [model for model in models if any(source.startswith(f"{layer}/") for source in model.inputs)]
     outcomes = []
-    for wave in ([model for model in models if model not in later], later):
-        jobs = [(layer, m.name, partial(run_model, lake, m, mode, **parameters.get(m.name, {}))) for m in wave]
-        outcomes += _run_all(jobs, on_error, parallel)
+    with _computed_once(lake, layer, parallel, parameters) as given:
+        for wave in ([model for model in models if model not in later], later):
+            jobs = [(layer, m.name, partial(run_model, lake, m, mode, **given.get(m.name, {}))) for m in wave]
+            outcomes += _run_all(jobs, on_error, parallel)
     return outcomes
 
 

@@ -19,6 +19,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # broadcast decisions compare memory, not compressed file bytes
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    # the lake stores every table twice or more, and reads cost less than writes
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 

@@ -519,11 +519,16 @@ def _lake(t: TestTables) -> Lake:
     return Lake(t.spark, f"{scratch_root(t.spark)}/lake-{uuid.uuid4().hex}")
 
 
+def _export(df: DataFrame, folder: str) -> None:
+    """CSV files that keep every value, packed; as packed files are read one task each, none has more than a million rows."""
+    exact = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', compression="gzip", maxRecordsPerFile=1_000_000, **exact).csv(folder)
+
+
 @register("io_csv_roundtrip", "select * from reviews_bronze")
 def _(t: TestTables) -> DataFrame:
     folder = f"{scratch_root(t.spark)}/csv-{uuid.uuid4().hex}"
-    exact = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    t["bronze/reviews_bronze"].write.options(header=True, escape='"', **exact).csv(folder)
+    _export(t["bronze/reviews_bronze"], folder)
     return read_csv(t.spark, folder, schemas.REVIEWS, multi_line=True)
 
 
@@ -706,9 +711,8 @@ _STORED = [*((f"bronze/{name}") for name in BRONZE), *(f"{m.layer}/{m.name}" for
 def _(t: TestTables) -> DataFrame:
     lake = _lake(t)
     exports = f"{lake.root}/exports"
-    exact = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     with ThreadPoolExecutor(max_workers=8) as pool:
-        list(pool.map(lambda name: t[f"bronze/{name}"].write.options(**exact).csv(f"{exports}/{name}"), BRONZE))
+        list(pool.map(lambda name: _export(t[f"bronze/{name}"], f"{exports}/{name}"), BRONZE))
     # the texts of reviews may hold line breaks
     sources = [CsvTable(name, f"{exports}/{name}", t[f"bronze/{name}"].schema, name == "reviews_bronze") for name in BRONZE]
     outcomes = run_pipeline(lake, "full", sources, run_at=RUN_AT, parallel=8)
@@ -721,10 +725,9 @@ def _(t: TestTables) -> DataFrame:
 def _(t: TestTables) -> DataFrame:
     """A report whose inputs went through CSV files and all three layers of the lake."""
     lake = _lake(t)
-    exact = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     names = ("order_items_bronze", "orders_bronze", "payments_bronze")
     for name in names:
-        t[f"bronze/{name}"].write.options(**exact).csv(f"{lake.root}/exports/{name}")
+        _export(t[f"bronze/{name}"], f"{lake.root}/exports/{name}")
     run_bronze(lake, [CsvTable(name, f"{lake.root}/exports/{name}", t[f"bronze/{name}"].schema, False) for name in names])
     for model in ("order_items_silver", "orders_full_data_silver", "payments_silver", "gold_payment_performance"):
         run_model(lake, model)

@@ -232,3 +232,13 @@ def test_results_do_not_depend_on_partitioning(tables):
     first = Counter(map(tuple, model.build(*inputs(frames, model)).collect()))
     shuffled = [df.repartition(7) for df in inputs(frames, model)]
     assert Counter(map(tuple, model.build(*shuffled).collect())) == first
+
+
+SELLER_MODELS = ("agg_sellers_cancellation_rate", "agg_sellers_cancellation_rate_v2", "gold_sellers_order_reviews_score", "gold_sellers_shipment_metrics")
+
+
+@pytest.mark.parametrize("name", SELLER_MODELS)
+def test_seller_models_agree_on_shared_totals(tables, name):
+    frames, con = tables
+    totals = gold.seller_totals(frames["order_items_silver"], frames["orders_full_data_silver"], frames["order_reviews"])
+    check(BY_NAME[name].build(*inputs(frames, BY_NAME[name]), totals=totals), con, GOLD[name])

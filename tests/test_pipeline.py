@@ -249,3 +249,15 @@ def test_gold_parameters(lake):
     run_gold(lake, gold_payment_performance={"canceled_status": "canceled"})
     got = lake.read("gold", "gold_payment_performance").agg(F.sum("cancelled_orders")).first()[0]
     assert got == 1
+
+
+def test_seller_totals_are_computed_once(lake, monkeypatch):
+    from bazar.plans import pipeline
+
+    built = []
+    part = pipeline.SHARED["gold"][0]
+    monkeypatch.setitem(pipeline.SHARED, "gold", (part._replace(build=lambda *tables: built.append(1) or part.build(*tables)),))
+    monkeypatch.setattr(pipeline.gold, "seller_totals", lambda *_: pytest.fail("computed again"))
+    pipeline.run_gold(lake)
+    assert built == [1]
+    assert lake.spark.sparkContext._jsc.getPersistentRDDs().isEmpty()

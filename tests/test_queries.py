@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
 
 import __spark_entry__ as registered
 from checks.compare import connect, differences
-from checks.queries import ORACLE, QUERIES
+from checks.queries import ORACLE, QUERIES, _export, _lake
 from checks.testdata import TestTables
 
 SLOW = {"layers_full"}
@@ -71,3 +72,25 @@ def test_risk_score_reads_items_once(spark, folder, name, scans, shuffles):
     text = plan(QUERIES[name](spark, folder))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", text)) == scans
     assert len(re.findall(r"Exchange hashpartitioning", text)) <= shuffles
+
+
+@pytest.mark.parametrize("name", ["gd_agg_sellers_cancellation_rate", "gd_sellers_order_reviews_score", "gd_sellers_shipment_metrics", "gd_regional_demand_supply_balance"])
+def test_items_are_dealt_by_order_only(spark, folder, name):
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(QUERIES[name](spark, folder)))
+    assert dealt and not any("order_id" in keys and "seller_id" in keys for keys in dealt)
+
+
+@pytest.mark.parametrize("name", ["gd_geo_sales", "gd_customers_segmented"])
+def test_orders_are_not_dealt_by_customer_before_they_meet_their_items(spark, folder, name):
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(QUERIES[name](spark, folder)))
+    assert dealt and not any("order_id" in keys and "customer_id" in keys for keys in dealt)
+
+
+def test_exports_and_the_lake_are_packed(spark, folder):
+    tables = TestTables(spark, folder)
+    lake = _lake(tables)
+    _export(tables["bronze/orders_bronze"], f"{lake.root}/exports")
+    lake.write(tables["bronze/orders_bronze"], "bronze", "orders_bronze")
+    for path, ending in ((f"{lake.root}/exports", ".csv.gz"), (lake.path("bronze", "orders_bronze"), ".zstd.parquet")):
+        names = [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("part-")]
+        assert names and all(name.endswith(ending) for name in names)
