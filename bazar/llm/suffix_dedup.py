@@ -2,8 +2,10 @@
 
 1. Every ``length``-byte string has an anchor, its half-length shingle of the smallest hash. A count-min sketch over the anchors of all
    chunks tells which may occur twice. Consecutive strings with one such anchor form a segment; the rest of the text takes no further part.
-2. Equal segments are counted once: a slice tells each chunk which of its segments some smaller document of another chunk has whole.
-3. The first owner of each segment sends it to the slice of its anchor, as part of a shard: the transform of all segments a chunk has for that
+2. Equal segments are counted once: the slice of their anchor tells each chunk which of its segments some smaller document of another chunk has whole,
+   and whether the anchor has different segments. Where all are equal the first document keeps its own whole and there is nothing to merge.
+   The chunk notes its segments, so later steps need no hashes.
+3. The first owner of each other segment sends it to the slice of its anchor, as part of a shard: the transform of all segments a chunk has for that
    slice. The slice merges the transforms and finds the intervals of suffixes that agree in ``length`` bytes. In an interval the
    smallest document keeps its string and all others lose theirs. Equal strings have equal anchors, so all copies of a string meet in one slice.
 4. Each chunk cuts out what its documents lost.
@@ -34,89 +36,108 @@ HOT_ANCHOR = 2000
 PIECE = 1 << 18
 CHUNK_BYTES = 4 << 20
 SLICES_PER_CHUNK = 2
-SEGMENT_TAG, STRING_TAG = 8, 9
+SEGMENT_TAG, STRING_TAG, NOTE_TAG = 8, 9, 10
 
 
 @dataclass
 class Bytes:
-    """A chunk as bytes, in document order, with its runs of strings that share an anchor."""
+    """A chunk as bytes, in document order."""
 
     docs: np.ndarray
     data: np.ndarray
     offsets: np.ndarray
-    keys: np.ndarray  # of the runs: hash of the anchor
-    starts: np.ndarray  # first string
-    counts: np.ndarray  # number of strings
 
     @classmethod
-    def of(cls, chunk: pa.Table, length: int) -> Bytes:
-        data, offsets = flat(chunk["text"])
+    def of(cls, chunk: pa.Table) -> Bytes:
+        return cls(exchange.doc_numbers(chunk), *flat(chunk["text"]))
+
+    def runs(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of strings that share an anchor: hash of the anchor, first string, number of strings."""
         size = length // 2
         found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for first, _, part, bounds in pieces(data, offsets, PIECE):
+        for first, _, part, bounds in pieces(self.data, self.offsets, PIECE):
             starts = window_starts(bounds, length)
             if len(starts):
                 shingles = window_hashes(byte_values(part), size)
                 place = sliding_argmin(shingles, length - size + 1)[starts]
                 run = np.flatnonzero(np.diff(place, prepend=-1))
-                found.append((shingles[place[run]], starts[run] + offsets[first], np.diff(run, append=len(place))))
-        return cls(exchange.doc_numbers(chunk), data, offsets, *(np.concatenate(c) for c in zip(*found)))
+                found.append((shingles[place[run]], starts[run] + self.offsets[first], np.diff(run, append=len(place))))
+        keys, starts, counts = (np.concatenate(c) for c in zip(*found))
+        return keys, starts, counts
 
     def owners(self, starts: np.ndarray) -> np.ndarray:
         return self.docs[np.searchsorted(self.offsets, starts, side="right") - 1]
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """96 bits of hash of spans in ascending order of their starts."""
-        high, low = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint32)
+        """Two hashes of spans in ascending order of their starts."""
+        one, other = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
         for first, end, part, _ in pieces(self.data, self.offsets, PIECE):
             base = self.offsets[first]
             a, b = np.searchsorted(starts, [base, self.offsets[end]])
             if b > a:
-                high[a:b] = span_hashes(part, starts[a:b] - base, ends[a:b] - base)
-                low[a:b] = span_hashes(part, starts[a:b] - base, ends[a:b] - base, BASES[3]) >> np.uint64(32)
-        return high, low
+                one[a:b] = span_hashes(part, starts[a:b] - base, ends[a:b] - base)
+                other[a:b] = span_hashes(part, starts[a:b] - base, ends[a:b] - base, BASES[3])
+        return one, other
+
+
+def _changes(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where any of some arrays differs from the entry before."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return new
 
 
 @dataclass
 class Segments:
-    """Segments of a chunk that may hold something repeated, and the distinct ones among them."""
+    """Segments of a chunk that may hold something repeated, and the distinct ones among them, those of each slice together."""
 
-    keys: np.ndarray
     starts: np.ndarray
     counts: np.ndarray
-    alone: np.ndarray  # strings of very frequent anchors
-    high: np.ndarray  # of the distinct segments, sorted
-    low: np.ndarray
-    first: np.ndarray  # their first place
     kind: np.ndarray  # for every segment its distinct one
+    first: np.ndarray  # of the distinct segments, their first place
+    routes: np.ndarray  # of the distinct segments, ascending: upper half of a hash of the anchor, for strings of very frequent anchors of the string
+
+    TYPES = (np.uint32, np.uint32, np.uint32, np.uint32, np.uint32)
 
     @classmethod
-    def of(cls, text: Bytes, sketch: exchange.Sketch, length: int, answers: dict[int, list[bytes]]) -> Segments:
-        repeated, hot = sketch.repeated(answers, text.keys), sketch.hot(answers, text.keys)
+    def of(cls, text: Bytes, sketch: exchange.Sketch, length: int, answers: dict[int, list[bytes]]) -> tuple[Segments, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """The segments, and what tells the distinct ones apart: whole route and 96 bits of hash."""
+        keys, starts, counts = text.runs(length)
+        repeated, hot = sketch.repeated(answers, keys), sketch.hot(answers, keys)
         normal, split = repeated & ~hot, repeated & hot
-        singles = ranges(text.starts[split], text.counts[split])
-        keys = np.concatenate([text.keys[normal], np.repeat(text.keys[split], text.counts[split])])
-        starts = np.concatenate([text.starts[normal], singles])
-        counts = np.concatenate([text.counts[normal], np.ones(len(singles), np.int64)])
-        alone = np.concatenate([np.zeros(int(normal.sum()), bool), np.ones(len(singles), bool)])
-        order = np.argsort(starts, kind="stable")
-        keys, starts, counts, alone = keys[order], starts[order], counts[order], alone[order]
+        singles = ranges(starts[split], counts[split])
+        # anchors have small hashes, as the smallest of many: mixed again they are even
+        routes = np.concatenate([mix(keys[normal]), np.zeros(len(singles), np.uint64)])
+        alone = np.arange(len(routes)) >= len(routes) - len(singles)
+        starts = np.concatenate([starts[normal], singles])
+        counts = np.concatenate([counts[normal], np.ones(len(singles), np.int64)])
+        if len(singles):
+            order = np.argsort(starts, kind="stable")
+            routes, alone, starts, counts = routes[order], alone[order], starts[order], counts[order]
         high, low = text.hashes(starts, starts + counts + length - 1)
-        order = np.lexsort((low, high))
-        new = np.ones(len(order), bool)
-        new[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        routes = np.where(alone, low, routes)
+        low = (low >> np.uint64(32)).astype(np.uint32)
+        order = np.lexsort((low, high, routes))
+        new = _changes(routes[order], high[order], low[order])
         kind = np.empty(len(order), np.int64)
         kind[order] = np.cumsum(new) - 1
         first = order[new]
-        return cls(keys, starts, counts, alone, high[first], low[first], first, kind)
+        return cls(starts, counts, kind, first, routes[first] >> np.uint64(32)), (routes[first], high[first], low[first])
 
-    def sent(self, later: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
-        """Segments to merge, those of each slice together, and where the slices begin."""
-        mine = self.first[~later & ~self.alone[self.first]]
-        # anchors have small hashes, as the smallest of many: mixed again they are even
-        to = mix(self.keys[mine])
-        order = np.lexsort((mine, to))
-        return mine[order], exchange.slice_cuts(to[order], slices)
+    def note(self) -> bytes:
+        return exchange.pack(*(a.astype(t) for a, t in zip((self.starts, self.counts, self.kind, self.first, self.routes), self.TYPES)))
+
+    @classmethod
+    def noted(cls, answers: dict[int, list[bytes]]) -> Segments:
+        """The segments as the chunk found them; a chunk without rows has no note."""
+        notes = [exchange.unpack(payload, *cls.TYPES) for payload in answers.get(NOTE_TAG, [])] or [[np.zeros(0)] * len(cls.TYPES)]
+        return cls(*(a.astype(np.int64) for a in notes[0]))
+
+    def sent(self, answers: dict[int, list[bytes]], slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which distinct segments a smaller document has; the segments to merge, those of each slice together, and where the slices begin."""
+        later, mixed = exchange.bits_of(answers.get(SEGMENT_TAG, []), 2 * len(self.first)).reshape(-1, 2).T
+        mine = mixed & ~later
+        return later, self.first[mine], exchange.slice_cuts(self.routes[mine].astype(np.uint64) << np.uint64(32), slices)
 
 
 def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -135,31 +156,38 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     sketch = exchange.Sketch.for_keys(chunks.size // (length // 4) + 1, slices, often=HOT_ANCHOR)
 
     def count(chunk: int, table: pa.Table):
-        return sketch.ask(chunk, Bytes.of(exchange.in_order(table), length).keys)
+        return sketch.ask(chunk, Bytes.of(exchange.in_order(table)).runs(length)[0])
 
     estimates = stored(exchange.answer(exchange.ask(plain, count), sketch.reply))
 
     def segments(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:
         if chunk < 0:
             return exchange.messages([])
-        data = Bytes.of(exchange.in_order(table), length)
-        own = Segments.of(data, sketch, length, exchange.by_tag(heard))
+        data = Bytes.of(exchange.in_order(table))
+        own, (routes, high, low) = Segments.of(data, sketch, length, exchange.by_tag(heard))
         docs_of = data.owners(own.starts[own.first])
-        cuts = exchange.slice_cuts(own.high, slices)
-        return exchange.messages((s, chunk, SEGMENT_TAG, exchange.pack(own.high[a:b], own.low[a:b], docs_of[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
+        cuts = exchange.slice_cuts(routes, slices)
+        asked = [(s, chunk, SEGMENT_TAG, exchange.pack(routes[a:b], high[a:b], low[a:b], docs_of[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        # no slice has this number, so the note comes back as it is
+        return exchange.messages([*asked, (slices + chunk, chunk, NOTE_TAG, own.note())])
 
     def first_owner(asked: list[exchange.Message]):
-        parts = [exchange.unpack(payload, np.uint64, np.uint32, np.int64) for _, _, _, payload in asked]
-        high, low, owner = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((owner, low, high))
-        later = np.zeros(len(order), bool)
-        new = np.ones(len(order), bool)
-        new[1:] = (high[order[1:]] != high[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        if asked[0][2] == NOTE_TAG:
+            yield from asked
+            return
+        parts = [exchange.unpack(payload, np.uint64, np.uint64, np.uint32, np.int64) for _, _, _, payload in asked]
+        route, high, low, owner = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((owner, low, high, route))
+        # of every segment whether a smaller document has it, and whether its anchor has others
+        told = np.zeros((len(order), 2), bool)
+        new, anchor = _changes(route[order], high[order], low[order]), _changes(route[order])
         # rows of one document may be in several chunks, and take nothing from each other
-        later[order] = owner[order] > owner[order[new]][np.cumsum(new) - 1]
+        told[order, 0] = owner[order] > owner[order[new]][np.cumsum(new) - 1]
+        of = np.cumsum(anchor) - 1
+        told[order, 1] = (np.bincount(of[new]) > 1)[of]
         at = 0
         for (s, chunk, tag, _), part in zip(asked, parts):
-            yield s, chunk, tag, exchange.bit_payload(later[at : at + len(part[0])])
+            yield s, chunk, tag, exchange.bit_payload(told[at : at + len(part[0])].ravel())
             at += len(part[0])
 
     owners = stored(exchange.answer(exchange.hear(plain, estimates, segments, exchange.MESSAGE), first_owner))
@@ -168,9 +196,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         if chunk < 0:
             return exchange.messages([])
         answers = exchange.by_tag(heard)
-        data = Bytes.of(exchange.in_order(table), length)
-        own = Segments.of(data, sketch, length, answers)
-        mine, cuts = own.sent(exchange.bits_of(answers.get(SEGMENT_TAG, []), len(own.first)), slices)
+        data, own = Bytes.of(exchange.in_order(table)), Segments.noted(answers)
+        _, mine, cuts = own.sent(answers, slices)
         sizes = own.counts[mine] + length - 1
         used = np.flatnonzero(np.diff(cuts))
         shard = np.repeat(np.arange(len(used)), np.diff(cuts)[used])
@@ -196,17 +223,14 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
             at += len(strings)
             yield s, chunk, tag, exchange.bit_payload(lost[ranges(texts.firsts[mine], texts.lengths[mine] - length + 1)])
 
-    heard_so_far = estimates.unionByName(owners)
-    losses = stored(exchange.answer(exchange.hear(plain, heard_so_far, shards, exchange.MESSAGE), merge))
+    losses = stored(exchange.answer(exchange.hear(plain, owners, shards, exchange.MESSAGE), merge))
     schema = StructType([chunks.rows.schema["row"], *added])
 
     def cut(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:
         table = exchange.in_order(table) if table.num_rows else table
         answers = exchange.by_tag(heard)
-        data = Bytes.of(table, length)
-        own = Segments.of(data, sketch, length, answers)
-        later = exchange.bits_of(answers.get(SEGMENT_TAG, []), len(own.first))
-        mine, _ = own.sent(later, slices)
+        data, own = Bytes.of(table), Segments.noted(answers)
+        later, mine, _ = own.sent(answers, slices)
         sizes = own.counts[mine]
         bits = exchange.bits_of(answers.get(STRING_TAG, []), int(sizes.sum()))
         # whole segments a smaller document has, in another chunk or in this one
@@ -236,7 +260,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         ]
         return pa.table([table["row"], *made], names=["row", *added.names])
 
-    done = exchange.hear(chunks.rows, heard_so_far.unionByName(losses), cut, schema)
+    done = exchange.hear(chunks.rows, owners.unionByName(losses), cut, schema)
     return done.select(*[F.col("row").getField(c).alias(c) for c in kept], *added.names)
 
 

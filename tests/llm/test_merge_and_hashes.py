@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from bazar.llm import bwt, substring_dedup, suffix_dedup, suffix_tree_lm
+from bazar.llm import bwt, exchange, substring_dedup, suffix_dedup, suffix_tree_lm
 from bazar.llm.text import PLACE_BITS, content_hashes, distinct, sliding_argmin, span_hashes
+from test_dedup import brute_bytes
 
 PARITY = [bin(i).count("1") % 2 for i in range(1024)]
 ONE, OTHER = ("".join("ab"[p ^ flip] for p in PARITY) for flip in (0, 1))
@@ -78,3 +79,21 @@ def test_suffix_dedup_at_an_odd_length(ready):
     rows = [(0, passage[:52] + "!"), (1, "?" + passage[:52]), (2, passage[:51])]
     got = suffix_dedup.suffix_dedup(ready.createDataFrame(rows, "doc_id bigint, text string"), length=52).collect()
     assert {r.doc_id: r.n_removed for r in got} == {0: 0, 1: 52, 2: 0}
+
+
+@pytest.mark.parametrize("variants", [0, 8])
+def test_only_anchors_with_different_segments_are_merged(ready, variants, monkeypatch):
+    monkeypatch.setattr(exchange, "LEAST_CHUNK_BYTES", 1000)
+    kept = []
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, stored=suffix_dedup.stored: kept.append(stored(df)) or kept[-1])
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(400)) for _ in range(10)]
+    rows = [(i, texts[i % 10]) for i in range(40)] + [(100 + i, texts[i][60:200] + "?" + texts[i][250:]) for i in range(variants)]
+    got = suffix_dedup.suffix_dedup(ready.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got) == brute_bytes(rows, 50)
+    assert sum(r.n_removed for r in got) > 30 * 400 - 1
+    # the last step that is stored holds the answers of the slices that merged something
+    assert bool(kept[-1].count()) == bool(variants)
+    # what the sketch answered is read once: the chunks note their segments, one message each
+    notes = kept[-2].filter(kept[-2].tag == suffix_dedup.NOTE_TAG)
+    assert notes.count() == notes.select("chunk").distinct().count() > 1
