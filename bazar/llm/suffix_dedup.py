@@ -37,6 +37,8 @@ PIECE = 1 << 18
 CHUNK_BYTES = 4 << 20
 SLICES_PER_CHUNK = 2
 SEGMENT_TAG, STRING_TAG, NOTE_TAG = 8, 9, 10
+# Bits of an anchor's hash that are sent; anchors that agree in them are merged together, which changes no result.
+ROUTE_BITS = 48
 
 
 @dataclass
@@ -87,21 +89,32 @@ def _changes(*sorted_keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _planes(values: np.ndarray) -> np.ndarray:
+    """The lowest bytes of all values, then the next: bytes that are the same throughout take no room once compressed."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.ravel()
+
+
+def _from_planes(planes: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 @dataclass
 class Segments:
-    """Segments of a chunk that may hold something repeated, and the distinct ones among them, those of each slice together."""
+    """Segments of a chunk that may hold something repeated. The distinct ones among them are sorted by route, so those of each slice are together."""
 
     starts: np.ndarray
     counts: np.ndarray
-    kind: np.ndarray  # for every segment its distinct one
-    first: np.ndarray  # of the distinct segments, their first place
-    routes: np.ndarray  # of the distinct segments, ascending: upper half of a hash of the anchor, for strings of very frequent anchors of the string
+    order: np.ndarray  # equal ones one after the other
+    new: np.ndarray  # where in this order another one begins
 
-    TYPES = (np.uint32, np.uint32, np.uint32, np.uint32, np.uint32)
+    def __post_init__(self):
+        self.first = self.order[self.new]  # first places of the distinct ones
+        self.kind = np.empty(len(self.order), np.int64)  # for every segment its distinct one
+        self.kind[self.order] = np.cumsum(self.new) - 1
 
     @classmethod
     def of(cls, text: Bytes, sketch: exchange.Sketch, length: int, answers: dict[int, list[bytes]]) -> tuple[Segments, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """The segments, and what tells the distinct ones apart: whole route and 96 bits of hash."""
+        """The segments, and of the distinct ones the route, a hash of the anchor or for strings of very frequent anchors of the string, and 96 bits of hash."""
         keys, starts, counts = text.runs(length)
         repeated, hot = sketch.repeated(answers, keys), sketch.hot(answers, keys)
         normal, split = repeated & ~hot, repeated & hot
@@ -115,29 +128,34 @@ class Segments:
             order = np.argsort(starts, kind="stable")
             routes, alone, starts, counts = routes[order], alone[order], starts[order], counts[order]
         high, low = text.hashes(starts, starts + counts + length - 1)
-        routes = np.where(alone, low, routes)
+        routes = np.where(alone, low, routes) >> np.uint64(64 - ROUTE_BITS) << np.uint64(64 - ROUTE_BITS)
         low = (low >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((low, high, routes))
-        new = _changes(routes[order], high[order], low[order])
-        kind = np.empty(len(order), np.int64)
-        kind[order] = np.cumsum(new) - 1
-        first = order[new]
-        return cls(starts, counts, kind, first, routes[first] >> np.uint64(32)), (routes[first], high[first], low[first])
+        own = cls(starts, counts, order, _changes(routes[order], high[order], low[order]))
+        return own, (routes[own.first], high[own.first], low[own.first])
 
     def note(self) -> bytes:
-        return exchange.pack(*(a.astype(t) for a, t in zip((self.starts, self.counts, self.kind, self.first, self.routes), self.TYPES)))
+        numbers = np.diff(self.starts, prepend=0), self.counts, self.order
+        return exchange.pack(*(_planes(a.astype(np.uint32)) for a in numbers), np.packbits(self.new))
 
     @classmethod
-    def noted(cls, answers: dict[int, list[bytes]]) -> Segments:
+    def noted(cls, heard: list[exchange.Message]) -> Segments:
         """The segments as the chunk found them; a chunk without rows has no note."""
-        notes = [exchange.unpack(payload, *cls.TYPES) for payload in answers.get(NOTE_TAG, [])] or [[np.zeros(0)] * len(cls.TYPES)]
-        return cls(*(a.astype(np.int64) for a in notes[0]))
-
-    def sent(self, answers: dict[int, list[bytes]], slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        for _, _, tag, payload in heard:
+            if tag == NOTE_TAG:
+                *numbers, new = exchange.unpack(payload, *[np.uint8] * 4)
+                steps, counts, order = (_from_planes(a, np.uint32).astype(np.int64) for a in numbers)
+                return cls(np.cumsum(steps), counts, order, np.unpackbits(new, count=len(order)).astype(bool))
+        return cls(*[np.zeros(0, np.int64)] * 3, np.zeros(0, bool))
+
+    def sent(self, heard: list[exchange.Message], slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Which distinct segments a smaller document has; the segments to merge, those of each slice together, and where the slices begin."""
-        later, mixed = exchange.bits_of(answers.get(SEGMENT_TAG, []), 2 * len(self.first)).reshape(-1, 2).T
+        told = [(s, payload) for s, _, tag, payload in heard if tag == SEGMENT_TAG]
+        later, mixed = exchange.bits_of([payload for _, payload in told], 2 * len(self.first)).reshape(-1, 2).T
         mine = mixed & ~later
-        return later, self.first[mine], exchange.slice_cuts(self.routes[mine].astype(np.uint64) << np.uint64(32), slices)
+        # each slice answers as many as it was asked
+        of = np.repeat(np.array([s for s, _ in told], np.int64), [int(exchange.unpack(payload, np.int64)[0][0]) // 2 for _, payload in told])
+        return later, self.first[mine], np.searchsorted(of[mine], np.arange(slices + 1))
 
 
 def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -167,7 +185,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         own, (routes, high, low) = Segments.of(data, sketch, length, exchange.by_tag(heard))
         docs_of = data.owners(own.starts[own.first])
         cuts = exchange.slice_cuts(routes, slices)
-        asked = [(s, chunk, SEGMENT_TAG, exchange.pack(routes[a:b], high[a:b], low[a:b], docs_of[a:b])) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        asked = [(s, chunk, SEGMENT_TAG, exchange.pack(_planes(routes[a:b]), high[a:b], low[a:b], _planes(docs_of[a:b]))) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
         # no slice has this number, so the note comes back as it is
         return exchange.messages([*asked, (slices + chunk, chunk, NOTE_TAG, own.note())])
 
@@ -175,7 +193,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
         if asked[0][2] == NOTE_TAG:
             yield from asked
             return
-        parts = [exchange.unpack(payload, np.uint64, np.uint64, np.uint32, np.int64) for _, _, _, payload in asked]
+        parts = [exchange.unpack(payload, np.uint8, np.uint64, np.uint32, np.uint8) for _, _, _, payload in asked]
+        parts = [(_from_planes(route, np.uint64), high, low, _from_planes(owner, np.int64)) for route, high, low, owner in parts]
         route, high, low, owner = (np.concatenate(c) for c in zip(*parts))
         order = np.lexsort((owner, low, high, route))
         # of every segment whether a smaller document has it, and whether its anchor has others
@@ -195,9 +214,8 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     def shards(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:
         if chunk < 0:
             return exchange.messages([])
-        answers = exchange.by_tag(heard)
-        data, own = Bytes.of(exchange.in_order(table)), Segments.noted(answers)
-        _, mine, cuts = own.sent(answers, slices)
+        data, own = Bytes.of(exchange.in_order(table)), Segments.noted(heard)
+        _, mine, cuts = own.sent(heard, slices)
         sizes = own.counts[mine] + length - 1
         used = np.flatnonzero(np.diff(cuts))
         shard = np.repeat(np.arange(len(used)), np.diff(cuts)[used])
@@ -228,11 +246,10 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
     def cut(chunk: int, table: pa.Table, heard: list[exchange.Message]) -> pa.Table:
         table = exchange.in_order(table) if table.num_rows else table
-        answers = exchange.by_tag(heard)
-        data, own = Bytes.of(table), Segments.noted(answers)
-        later, mine, _ = own.sent(answers, slices)
+        data, own = Bytes.of(table), Segments.noted(heard)
+        later, mine, _ = own.sent(heard, slices)
         sizes = own.counts[mine]
-        bits = exchange.bits_of(answers.get(STRING_TAG, []), int(sizes.sum()))
+        bits = exchange.bits_of([payload for _, _, tag, payload in heard if tag == STRING_TAG], int(sizes.sum()))
         # whole segments a smaller document has, in another chunk or in this one
         docs_of = data.owners(own.starts)
         whole = later[own.kind] | (docs_of > docs_of[own.first][own.kind])
