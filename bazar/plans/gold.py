@@ -223,8 +223,8 @@ def agg_sellers_cancellation_rate_v2(
     return scored.withColumn("total_risk_score", total).withColumn("risk_level", ladder("total_risk_score", level, otherwise="LOW"))
 
 
-def _sales_per_product(items: DataFrame) -> DataFrame:
-    """One row per product; joins on product_id after this meet no hot key."""
+def product_sales(items: DataFrame) -> DataFrame:
+    """What the product models sum over the item rows of a product, one row per product; joins on product_id after this meet no hot key."""
     return collapse(
         _known(items, "product_id"),
         ["product_id"],
@@ -238,11 +238,11 @@ def _weight() -> dict[str, Column]:
     return {"weight": F.col("product_weight_g"), "weighed": _filled("product_weight_g")}
 
 
-def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
-    """Revenue, freight and weight per category that has a translation."""
+def freight_analysis(items: DataFrame, products: DataFrame, translation: DataFrame, sales: DataFrame | None = None) -> DataFrame:
+    """Revenue, freight and weight per category that has a translation. ``sales`` are those of the same items, if they are there already, as in all product models."""
     described = collapse(_known(products, "product_id", "product_category"), ["product_id", "product_category"], sums=_weight())
     per_category = (
-        described.join(_sales_per_product(items), "product_id")
+        described.join(_or(sales, product_sales, items), "product_id")
         .groupBy(F.col("product_category").alias("product_category_name"))
         .agg(
             money_product("revenue", "copies").alias("revenue"),
@@ -378,10 +378,10 @@ def gold_payment_performance(payments: DataFrame, orders: DataFrame, items: Data
     )
 
 
-def gold_product_inventory_priority(products: DataFrame, items: DataFrame) -> DataFrame:
+def gold_product_inventory_priority(products: DataFrame, items: DataFrame, sales: DataFrame | None = None) -> DataFrame:
     """Sales per product and their rank over all products."""
     listed = collapse(_known(products, "product_id"), ["product_id", "product_category"])
-    totals = listed.join(_sales_per_product(items), "product_id").select(
+    totals = listed.join(_or(sales, product_sales, items), "product_id").select(
         "product_id",
         "product_category",
         money_of(F.col("revenue") * whole("copies")).alias("total_sales"),
@@ -391,12 +391,14 @@ def gold_product_inventory_priority(products: DataFrame, items: DataFrame) -> Da
     return global_rank(totals, "total_sales", "sales_priority")
 
 
-def gold_product_profitability_analysis(items: DataFrame, products: DataFrame, critical_percent: float = 30.0) -> DataFrame:
+def gold_product_profitability_analysis(
+    items: DataFrame, products: DataFrame, critical_percent: float = 30.0, sales: DataFrame | None = None
+) -> DataFrame:
     """Mean price and freight per product; freight from 30 % of the price is critical."""
     listed = collapse(_known(products, "product_id"), ["product_id", "product_category"], sums=_weight())
     price, freight = mean_of(money_of("revenue"), "priced"), mean_of(money_of("freight"), "freighted")
     percent = ieee_divide(freight, price) * 100.0
-    return listed.join(_sales_per_product(items), "product_id").select(
+    return listed.join(_or(sales, product_sales, items), "product_id").select(
         "product_id",
         "product_category",
         round_half_away(price, 2).alias("avg_price"),
@@ -535,11 +537,11 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
     return merged.withColumn("demand_supply_ratio", ratio.cast("float"))
 
 
-def sales_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
+def sales_by_category(items: DataFrame, products: DataFrame, sales: DataFrame | None = None) -> DataFrame:
     """Revenue, item rows and mean price per category."""
     return (
         collapse(_known(products, "product_id"), ["product_id", "product_category"])
-        .join(_sales_per_product(items), "product_id")
+        .join(_or(sales, product_sales, items), "product_id")
         .groupBy("product_category")
         .agg(
             money_product("revenue", "copies").alias("revenue"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -107,9 +108,8 @@ BY_NAME = {model.name: model for model in MODELS}
 
 
 class Shared(NamedTuple):
-    """A small part that several models of a layer can take as ``parameter`` instead of computing it each.
-
-    Not for models that rank: a rank reads one exchange twice, which Spark does not reuse above a cached table.
+    """A part that several models of a layer can take as ``parameter`` instead of computing it each. It is stored, not cached: a rank reads one
+    exchange twice, which Spark does not reuse above a cached table.
     """
 
     parameter: str
@@ -126,6 +126,12 @@ SHARED: dict[str, tuple[Shared, ...]] = {
             gold.seller_totals,
             ("agg_sellers_cancellation_rate", "agg_sellers_cancellation_rate_v2", "gold_sellers_order_reviews_score", "gold_sellers_shipment_metrics"),
         ),
+        Shared(
+            "sales",
+            (ITEMS,),
+            gold.product_sales,
+            ("freight_analysis", "gold_product_inventory_priority", "gold_product_profitability_analysis", "sales_by_category"),
+        ),
     ),
 }
 
@@ -229,35 +235,33 @@ def run_bronze(
 def _computed_once(
     lake: Lake, layer: str, parallel: int, parameters: Mapping[str, Mapping[str, Any]]
 ) -> Iterator[Mapping[str, Mapping[str, Any]]]:
-    """The parameters of a layer with its shared parts added, cached until the layer is done.
+    """The parameters of a layer with its shared parts added, stored beside the layers until this one is done.
 
     A model with parameters of its own computes its part itself, as do all where a part fails: then each fails, or not, by itself.
     """
+    folder = f"{lake.root}/_shared/{uuid.uuid4().hex}"
 
-    def cached(part: Shared) -> DataFrame | None:
-        df = None
+    def stored(part: Shared) -> DataFrame | None:
+        path = f"{folder}/{part.parameter}"
         try:
-            df = part.build(*[lake.read(*source.split("/")) for source in part.inputs]).persist()
-            df.count()
+            df = part.build(*[lake.read(*source.split("/")) for source in part.inputs])
+            df.write.parquet(path)
+            return lake.spark.read.schema(df.schema).parquet(path)
         except Exception:
             log.exception("%s: %s is not shared", layer, part.parameter)
-            if df is not None:
-                df.unpersist()
             return None
-        return df
 
     parts = SHARED.get(layer, ())
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        tables = list(pool.map(cached, parts))
-    given = dict(parameters)
-    for part, df in zip(parts, tables):
-        given.update({name: {part.parameter: df} for name in part.models if df is not None and not parameters.get(name)})
     try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            tables = list(pool.map(stored, parts))
+        given = dict(parameters)
+        for part, df in zip(parts, tables):
+            given.update({name: {part.parameter: df} for name in part.models if df is not None and not parameters.get(name)})
         yield given
     finally:
-        for df in tables:
-            if df is not None:
-                df.unpersist()
+        if parts:
+            lake.remove(folder)
 
 
 def _run_layer(

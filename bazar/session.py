@@ -21,6 +21,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "4.0",
     # the lake stores every table twice or more, and reads cost less than writes
     "spark.sql.parquet.compression.codec": "zstd",
+    # the shuffle files of a query are of no use to the next; else they stay until the driver happens to collect its garbage
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 

@@ -70,6 +70,11 @@ class Lake:
         for old in versions[: -self.KEPT + 1]:
             fs.delete(at(old), True)
 
+    def remove(self, path: str) -> None:
+        """Delete a folder or file on the storage of the lake."""
+        fs, at = self._fs()
+        fs.delete(at(path), True)
+
     def exists(self, layer: str, name: str) -> bool:
         if self.fmt == "delta":
             fs, at = self._fs()

@@ -242,3 +242,10 @@ def test_seller_models_agree_on_shared_totals(tables, name):
     frames, con = tables
     totals = gold.seller_totals(frames["order_items_silver"], frames["orders_full_data_silver"], frames["order_reviews"])
     check(BY_NAME[name].build(*inputs(frames, BY_NAME[name]), totals=totals), con, GOLD[name])
+
+
+@pytest.mark.parametrize("name", ["freight_analysis", "gold_product_inventory_priority", "gold_product_profitability_analysis", "sales_by_category"])
+def test_product_models_agree_on_shared_sales(tables, name):
+    frames, con = tables
+    sales = gold.product_sales(frames["order_items_silver"])
+    check(BY_NAME[name].build(*inputs(frames, BY_NAME[name]), sales=sales), con, GOLD[name])

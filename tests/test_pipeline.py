@@ -261,3 +261,32 @@ def test_seller_totals_are_computed_once(lake, monkeypatch):
     pipeline.run_gold(lake)
     assert built == [1]
     assert lake.spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_product_sales_are_computed_once_and_stored(lake, monkeypatch):
+    from bazar.plans import pipeline
+
+    built = []
+    seller, product = pipeline.SHARED["gold"]
+    counted = product._replace(build=lambda *tables: built.append(1) or product.build(*tables))
+    monkeypatch.setitem(pipeline.SHARED, "gold", (seller, counted))
+    monkeypatch.setattr(pipeline.gold, "product_sales", lambda *_: pytest.fail("computed again"))
+    before = {name: all_rows(lake.read("gold", name)) for name in product.models}
+    pipeline.run_gold(lake, parallel=4)
+    assert built == [1]
+    assert {name: all_rows(lake.read("gold", name)) for name in product.models} == before
+    assert lake._folders(f"{lake.root}/_shared") == []
+
+
+def test_shuffle_files_are_gone_when_a_table_is_stored(lake):
+    from bazar.plans import pipeline
+
+    def kept() -> int:
+        manager = lake.spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return sum("shuffle_" in name for name in manager.getAllFiles().mkString("\n").splitlines())
+
+    lake.spark._jvm.System.gc()
+    before = kept()
+    for model in ("gold_customers_segmented", "gold_product_inventory_priority", "regional_demand_supply_balance"):
+        pipeline.run_model(lake, model)
+    assert kept() <= before
