@@ -53,6 +53,7 @@ CANCELLED = "cancelled"
 NEGATIVE_SCORES = (1, 2)
 
 REGION = ("customer_cep", "customer_city", "customer_state", "avg_latitude", "avg_longitude")
+REGION_ID = ("region", "region_check")
 
 ORDER = {
     "agg_sellers_cancellation_rate": ("-cancellation_rate", "-negative_review_rate"),
@@ -501,38 +502,47 @@ def gold_sellers_shipment_metrics(orders: DataFrame, items: DataFrame, sellers:
     )
 
 
+def _region_id() -> list[Column]:
+    """A region in 16 bytes instead of five columns; beside each column is whether it is NULL, which a hash passes over."""
+    columns = [c for name in REGION for c in (F.col(name), F.col(name).isNull())]
+    return [F.xxhash64(F.lit(seed), *columns).alias(name) for seed, name in enumerate(REGION_ID)]
+
+
 def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
     """Customers, orders, sellers and sales per region.
 
     Sales repeat an order's payments for each of its item rows, once if it has none: that
     is the payment sum times the item rows, and item rows add up over the sellers.
+
+    Orders and pairs of region and seller, of which there may be as many as item rows, carry a region as 128 bits of hash; two regions of one hash stop the job.
     """
-    homes = _known(aggregated_customers, "customer_id").select("customer_id", *REGION)
-    placed = _known(orders, "order_id", "customer_id").select("order_id", "customer_id").join(homes, "customer_id").select("order_id", *REGION)
+    homes = _known(aggregated_customers, "customer_id").select("customer_id", *_region_id())
+    placed = _known(orders, "order_id", "customer_id").select("order_id", "customer_id").join(homes, "customer_id").select("order_id", *REGION_ID)
     people = aggregated_customers.groupBy(*REGION, "customer_unique_id").agg(_filled("customer_unique_id").alias("known"))
+    regions = people.groupBy(*REGION).agg(F.sum("known").alias("total_customers")).select("*", *_region_id(), F.lit(1).alias("regions"))
     # orders meet one row each for their items and payments, and only the sellers of a region meet the items themselves
     sales = (
         placed.join(collapse(_known(items, "order_id"), ["order_id"], copies="lines"), "order_id", "left")
         .join(_paid_per_order(payments), "order_id", "left")
-        .groupBy("order_id", *REGION, "lines", "paid")
+        .groupBy("order_id", *REGION_ID, "lines", "paid")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .groupBy(*REGION)
+        .groupBy(*REGION_ID)
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
             money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
         )
     )
-    sellers = placed.join(_order_sellers(items), "order_id").select(*REGION, "seller_id").distinct()
-    # stacked, so that NULL regions match; a region of a customer without an id and no orders is there too
-    counted = [
-        people.groupBy(*REGION).agg(F.sum("known").alias("total_customers")),
-        sales,
-        sellers.groupBy(*REGION).agg(F.count(F.lit(1)).alias("distinct_sellers")),
-    ]
-    merged = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), counted).groupBy(*REGION).agg(
+    sellers = placed.join(_order_sellers(items), "order_id").select(*REGION_ID, "seller_id").distinct()
+    # stacked; a region of a customer without an id and no orders is there too
+    counted = [regions, sales, sellers.groupBy(*REGION_ID).agg(F.count(F.lit(1)).alias("distinct_sellers"))]
+    merged = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), counted).groupBy(*REGION_ID).agg(
+        F.sum("regions").alias("regions"),
+        *[F.max(c).alias(c) for c in REGION],
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total_customers", "total_orders", "distinct_sellers")],
         money_of(F.sum("sales")).alias("total_sales_value"),
     )
+    known = F.when(F.col("regions") == 1, F.col("total_customers")).otherwise(F.raise_error(F.lit("two regions have the same hash")))
+    merged = merged.withColumn("total_customers", known).drop("regions", *REGION_ID)
     ratio = round_half_away(float_ratio("total_orders", F.nullif("distinct_sellers", F.lit(0))), 2)
     return merged.withColumn("demand_supply_ratio", ratio.cast("float"))
 

@@ -220,13 +220,22 @@ def _run_all(jobs: Iterable[tuple[str, str, Callable[[], None]]], on_error: str,
 
 
 def run_bronze(
-    lake: Lake, sources: Iterable[CsvTable | SqliteTable], mode: str = "overwrite", on_error: str = "raise", parallel: int = 1
+    lake: Lake,
+    sources: Iterable[CsvTable | SqliteTable],
+    mode: str = "overwrite",
+    on_error: str = "raise",
+    parallel: int = 1,
+    landed: Callable[[CsvTable | SqliteTable], None] | None = None,
 ) -> list[Outcome]:
+    """``landed`` is called with each source whose table is stored, to archive or remove its file."""
+
     def land(source: CsvTable | SqliteTable) -> None:
         if isinstance(source, CsvTable):
             extract_csv(lake, source.file, source.name, mode, source.schema, multi_line=source.multi_line)
         else:
             extract_sqlite(lake, source.file, source.table, source.name, mode)
+        if landed is not None:
+            landed(source)
 
     return _run_all([("bronze", source.name, partial(land, source)) for source in sources], on_error, parallel)
 
@@ -299,8 +308,9 @@ def run_pipeline(
     on_error: str = "raise",
     parallel: int = 1,
     run_at: dt.datetime | None = None,
+    landed: Callable[[CsvTable | SqliteTable], None] | None = None,
 ) -> list[Outcome]:
-    """Run one layer, or all three for ``full``.
+    """Run one layer, or all three for ``full``. ``landed`` is that of ``run_bronze``.
 
     The first failure stops the run; with ``on_error="skip"`` the failing table keeps its
     previous content, the rest is built, and the outcome list says which is which.
@@ -309,7 +319,7 @@ def run_pipeline(
         raise ValueError(f"unknown stage {stage!r}")
     outcomes: list[Outcome] = []
     if stage in ("full", "bronze"):
-        outcomes += run_bronze(lake, sources, mode, on_error, parallel)
+        outcomes += run_bronze(lake, sources, mode, on_error, parallel, landed)
     if stage in ("full", "silver"):
         outcomes += run_silver(lake, mode, on_error, parallel, run_at)
     if stage in ("full", "gold"):

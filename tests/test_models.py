@@ -249,3 +249,27 @@ def test_product_models_agree_on_shared_sales(tables, name):
     frames, con = tables
     sales = gold.product_sales(frames["order_items_silver"])
     check(BY_NAME[name].build(*inputs(frames, BY_NAME[name]), sales=sales), con, GOLD[name])
+
+
+def test_regions_that_differ_in_missing_parts_only(spark):
+    """A hash passes over NULLs and tells 0.0 from -0.0 or not; groups do as before."""
+    region = [("x", None, "s", 1.0, None), (None, "x", "s", 1.0, None), (None, None, "s", None, 1.0), (None, None, "s", 1.0, None), ("z", "c", "s", 0.0, float("nan")), ("z", "c", "s", -0.0, float("nan"))]
+    places = [(f"c{i}", f"u{i}", *r) for i, r in enumerate(region)]
+    customers = spark.createDataFrame(places, "customer_id string, customer_unique_id string, customer_cep string, customer_city string, customer_state string, avg_latitude double, avg_longitude double")
+    orders = spark.createDataFrame([(f"o{i}", f"c{i}") for i in range(6)], "order_id string, customer_id string")
+    items = spark.createDataFrame([(f"o{i}", f"s{i % 4}") for i in range(6)] + [("o0", "s9")], "order_id string, seller_id string")
+    payments = spark.createDataFrame([(f"o{i}", float(i)) for i in range(6)], "order_id string, payment_value double")
+    got = gold.regional_demand_supply_balance(customers, orders, items, payments)
+    assert got.columns == [*gold.REGION, "total_customers", "total_orders", "distinct_sellers", "total_sales_value", "demand_supply_ratio"]
+    found = sorted(([r.customer_cep, r.customer_city, r.avg_latitude, r.total_customers, r.total_orders, r.distinct_sellers, r.total_sales_value] for r in got.collect()), key=repr)
+    expected = [["x", None, 1.0, 1, 1, 2, 0.0], [None, "x", 1.0, 1, 1, 1, 1.0], [None, None, None, 1, 1, 1, 2.0], [None, None, 1.0, 1, 1, 1, 3.0], ["z", "c", 0.0, 2, 2, 2, 9.0]]
+    assert found == sorted(expected, key=repr)
+
+
+def test_regions_of_one_hash_stop_the_job(spark, monkeypatch):
+    monkeypatch.setattr(gold, "_region_id", lambda: [gold.F.lit(0).cast("bigint").alias(c) for c in gold.REGION_ID])
+    customers = spark.createDataFrame([("c1", "u1", "1", "a", "s", 1.0, 1.0), ("c2", "u2", "2", "b", "s", 1.0, 1.0)], "customer_id string, customer_unique_id string, customer_cep string, customer_city string, customer_state string, avg_latitude double, avg_longitude double")
+    orders, items = spark.createDataFrame([("o1", "c1")], "order_id string, customer_id string"), spark.createDataFrame([("o1", "s1")], "order_id string, seller_id string")
+    payments = spark.createDataFrame([("o1", 1.0)], "order_id string, payment_value double")
+    with pytest.raises(Exception, match="same hash"):
+        gold.regional_demand_supply_balance(customers, orders, items, payments).collect()

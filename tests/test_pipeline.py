@@ -290,3 +290,12 @@ def test_shuffle_files_are_gone_when_a_table_is_stored(lake):
     for model in ("gold_customers_segmented", "gold_product_inventory_priority", "regional_demand_supply_balance"):
         pipeline.run_model(lake, model)
     assert kept() <= before
+
+
+def test_landed_sources_are_handed_back(spark, export, tmp_path):
+    from bazar.plans.pipeline import run_bronze
+
+    lake, landed = Lake(spark, str(tmp_path / "lake")), []
+    sources = default_sources(export)[:2] + [CsvTable("absent", f"{export}/absent.csv", None, False)]
+    run_bronze(lake, sources, on_error="skip", landed=lambda source: landed.append((source.name, lake.exists("bronze", source.name))))
+    assert landed == [("customers_bronze", True), ("geolocation_bronze", True)]

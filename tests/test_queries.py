@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as registered
+from bazar.session import scratch_root
 from checks.compare import connect, differences
 from checks.queries import ORACLE, QUERIES, _export, _lake
 from checks.testdata import TestTables
@@ -94,3 +95,17 @@ def test_exports_and_the_lake_are_packed(spark, folder):
     for path, ending in ((f"{lake.root}/exports", ".csv.gz"), (lake.path("bronze", "orders_bronze"), ".zstd.parquet")):
         names = [name for name in os.listdir(path.removeprefix("file:")) if name.startswith("part-")]
         assert names and all(name.endswith(ending) for name in names)
+
+
+def test_sellers_of_a_region_are_dealt_by_a_short_region(spark, folder):
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(QUERIES["gd_regional_demand_supply_balance"](spark, folder)))
+    assert any("seller_id" in keys for keys in dealt) and not any("seller_id" in keys and "customer_city" in keys for keys in dealt)
+
+
+def test_exports_do_not_outlive_their_landing(spark, folder):
+    tables = TestTables(spark, folder)
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    QUERIES["layers_full"](spark, tables.folder)
+    (lake,) = [name for name in set(os.listdir(root)) - before if name.startswith("lake-")]
+    assert os.listdir(f"{root}/{lake}/exports") == [] and len(os.listdir(f"{root}/{lake}/bronze")) == 11
