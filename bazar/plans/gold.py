@@ -95,6 +95,11 @@ def _mean_money(total: ColumnOrName, n: ColumnOrName, digits: int = 2) -> Column
     return round_half_away(mean_of(money_of(total), n), digits)
 
 
+def _item_rows(items: DataFrame, by: str = "seller_id") -> DataFrame:
+    """The one form in which item rows are dealt by order, so that joins of one query share the exchange; a NULL seller is left to what comes after the join."""
+    return _known(items, "order_id").select("order_id", by)
+
+
 def _or(part: DataFrame | None, build: Callable[..., DataFrame], *inputs: Any) -> DataFrame:
     """A part of several models that was computed for all of them, or the same computed here."""
     return build(*inputs) if part is None else part
@@ -106,6 +111,10 @@ def seller_totals(items: DataFrame, orders: DataFrame, order_reviews: DataFrame,
     Orders and reviews are stacked into one row per order, which every item row meets in one join; a hot order is
     split there. Totals without a partner are NULL.
     """
+    return _totals(items, orders, order_reviews, canceled_status, by)
+
+
+def _totals(items: DataFrame, orders: DataFrame, order_reviews: DataFrame, canceled_status: str = CANCELED, by: str = "seller_id") -> DataFrame:
     delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     late = delivered > estimated
     late_by = elapsed("order_estimated_delivery_date", "order_delivered_customer_date")
@@ -149,8 +158,7 @@ def seller_totals(items: DataFrame, orders: DataFrame, order_reviews: DataFrame,
         "scored": "scored",
     }
     return (
-        _known(items, "order_id")
-        .select("order_id", by)
+        _item_rows(items, by)
         .join(per_order, "order_id")
         .groupBy(by)
         .agg(
@@ -502,22 +510,51 @@ def gold_sellers_shipment_metrics(orders: DataFrame, items: DataFrame, sellers:
     )
 
 
+def _placed(aggregated_customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """``order_id`` and region of each order."""
+    homes = _known(aggregated_customers, "customer_id").select("customer_id", *_region_id())
+    return _known(orders, "order_id", "customer_id").select("order_id", "customer_id").join(homes, "customer_id").select("order_id", *REGION_ID)
+
+
+def region_sellers(aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+    """``distinct_sellers`` per region of the orders."""
+    pairs = _placed(aggregated_customers, orders).join(_item_rows(items), "order_id").select(*REGION_ID, "seller_id").distinct()
+    return pairs.groupBy(*REGION_ID).agg(F.count("seller_id").alias("distinct_sellers"))
+
+
+def totals_and_region_sellers(items: DataFrame, orders: DataFrame, order_reviews: DataFrame, aggregated_customers: DataFrame) -> DataFrame:
+    """``seller_totals`` and ``region_sellers`` in one table, told apart by ``kind``; the item rows are dealt by order once for both."""
+    totals = _totals(items, orders, order_reviews).withColumn("kind", F.lit("totals"))
+    sellers = region_sellers(aggregated_customers, orders, items).withColumn("kind", F.lit("sellers"))
+    return totals.unionByName(sellers, allowMissingColumns=True)
+
+
+def totals_in(both: DataFrame) -> DataFrame:
+    return both.filter(F.col("kind") == "totals").drop("kind", *REGION_ID, "distinct_sellers")
+
+
+def region_sellers_in(both: DataFrame) -> DataFrame:
+    return both.filter(F.col("kind") == "sellers").select(*REGION_ID, "distinct_sellers")
+
+
 def _region_id() -> list[Column]:
     """A region in 16 bytes instead of five columns; beside each column is whether it is NULL, which a hash passes over."""
     columns = [c for name in REGION for c in (F.col(name), F.col(name).isNull())]
     return [F.xxhash64(F.lit(seed), *columns).alias(name) for seed, name in enumerate(REGION_ID)]
 
 
-def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
+def regional_demand_supply_balance(
+    aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame, payments: DataFrame, sellers: DataFrame | None = None
+) -> DataFrame:
     """Customers, orders, sellers and sales per region.
 
     Sales repeat an order's payments for each of its item rows, once if it has none: that
     is the payment sum times the item rows, and item rows add up over the sellers.
 
     Orders and pairs of region and seller, of which there may be as many as item rows, carry a region as 128 bits of hash; two regions of one hash stop the job.
+    ``sellers`` are the ``region_sellers`` of the same tables, if they are there already.
     """
-    homes = _known(aggregated_customers, "customer_id").select("customer_id", *_region_id())
-    placed = _known(orders, "order_id", "customer_id").select("order_id", "customer_id").join(homes, "customer_id").select("order_id", *REGION_ID)
+    placed = _placed(aggregated_customers, orders)
     people = aggregated_customers.groupBy(*REGION, "customer_unique_id").agg(_filled("customer_unique_id").alias("known"))
     regions = people.groupBy(*REGION).agg(F.sum("known").alias("total_customers")).select("*", *_region_id(), F.lit(1).alias("regions"))
     # orders meet one row each for their items and payments, and only the sellers of a region meet the items themselves
@@ -532,9 +569,8 @@ def regional_demand_supply_balance(aggregated_customers: DataFrame, orders: Data
             money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
         )
     )
-    sellers = placed.join(_order_sellers(items), "order_id").select(*REGION_ID, "seller_id").distinct()
     # stacked; a region of a customer without an id and no orders is there too
-    counted = [regions, sales, sellers.groupBy(*REGION_ID).agg(F.count(F.lit(1)).alias("distinct_sellers"))]
+    counted = [regions, sales, _or(sellers, region_sellers, aggregated_customers, orders, items)]
     merged = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), counted).groupBy(*REGION_ID).agg(
         F.sum("regions").alias("regions"),
         *[F.max(c).alias(c) for c in REGION],

@@ -107,30 +107,42 @@ MODELS: tuple[Model, ...] = (
 BY_NAME = {model.name: model for model in MODELS}
 
 
+class Given(NamedTuple):
+    """What of a shared part the models take as ``parameter``."""
+
+    parameter: str
+    models: tuple[str, ...]
+    read: Callable[[DataFrame], DataFrame] = lambda df: df
+
+
 class Shared(NamedTuple):
-    """A part that several models of a layer can take as ``parameter`` instead of computing it each. It is stored, not cached: a rank reads one
+    """A part that several models of a layer are given instead of computing it each. It is stored, not cached: a rank reads one
     exchange twice, which Spark does not reuse above a cached table.
     """
 
-    parameter: str
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
-    models: tuple[str, ...]
+    given: tuple[Given, ...]
 
 
 SHARED: dict[str, tuple[Shared, ...]] = {
     "gold": (
         Shared(
-            "totals",
-            (ITEMS, ORDERS, REVIEWS),
-            gold.seller_totals,
-            ("agg_sellers_cancellation_rate", "agg_sellers_cancellation_rate_v2", "gold_sellers_order_reviews_score", "gold_sellers_shipment_metrics"),
+            (ITEMS, ORDERS, REVIEWS, LOCATED_CUSTOMERS),
+            gold.totals_and_region_sellers,
+            (
+                Given(
+                    "totals",
+                    ("agg_sellers_cancellation_rate", "agg_sellers_cancellation_rate_v2", "gold_sellers_order_reviews_score", "gold_sellers_shipment_metrics"),
+                    gold.totals_in,
+                ),
+                Given("sellers", ("regional_demand_supply_balance",), gold.region_sellers_in),
+            ),
         ),
         Shared(
-            "sales",
             (ITEMS,),
             gold.product_sales,
-            ("freight_analysis", "gold_product_inventory_priority", "gold_product_profitability_analysis", "sales_by_category"),
+            (Given("sales", ("freight_analysis", "gold_product_inventory_priority", "gold_product_profitability_analysis", "sales_by_category")),),
         ),
     ),
 }
@@ -250,24 +262,22 @@ def _computed_once(
     """
     folder = f"{lake.root}/_shared/{uuid.uuid4().hex}"
 
-    def stored(part: Shared) -> DataFrame | None:
-        path = f"{folder}/{part.parameter}"
+    def stored(number: int, part: Shared) -> DataFrame | None:
+        path = f"{folder}/{number}"
         try:
             df = part.build(*[lake.read(*source.split("/")) for source in part.inputs])
             df.write.parquet(path)
             return lake.spark.read.schema(df.schema).parquet(path)
         except Exception:
-            log.exception("%s: %s is not shared", layer, part.parameter)
+            log.exception("%s: %s not shared", layer, ", ".join(given.parameter for given in part.given))
             return None
 
     parts = SHARED.get(layer, ())
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            tables = list(pool.map(stored, parts))
-        given = dict(parameters)
-        for part, df in zip(parts, tables):
-            given.update({name: {part.parameter: df} for name in part.models if df is not None and not parameters.get(name)})
-        yield given
+            tables = list(pool.map(stored, range(len(parts)), parts))
+        taken = [(given, df) for part, df in zip(parts, tables) if df is not None for given in part.given]
+        yield {**parameters, **{name: {given.parameter: given.read(df)} for given, df in taken for name in given.models if not parameters.get(name)}}
     finally:
         if parts:
             lake.remove(folder)

@@ -273,3 +273,14 @@ def test_regions_of_one_hash_stop_the_job(spark, monkeypatch):
     payments = spark.createDataFrame([("o1", 1.0)], "order_id string, payment_value double")
     with pytest.raises(Exception, match="same hash"):
         gold.regional_demand_supply_balance(customers, orders, items, payments).collect()
+
+
+def test_regional_balance_agrees_on_shared_sellers(tables):
+    frames, con = tables
+    model = BY_NAME["regional_demand_supply_balance"]
+    items, orders, reviews = frames["order_items_silver"], frames["orders_full_data_silver"], frames["order_reviews"]
+    both = gold.totals_and_region_sellers(items, orders, reviews, located(frames))
+    df = model.build(*inputs(frames, model), sellers=gold.region_sellers_in(both))
+    df = df.withColumn("demand_supply_ratio", df["demand_supply_ratio"].cast("double"))
+    check(df.drop("avg_latitude", "avg_longitude"), con, f"select * exclude (avg_latitude, avg_longitude) from ({GOLD[model.name]})")
+    check(BY_NAME["gold_sellers_shipment_metrics"].build(orders, items, frames["sellers_silver"], totals=gold.totals_in(both)), con, GOLD["gold_sellers_shipment_metrics"])

@@ -271,10 +271,11 @@ def test_product_sales_are_computed_once_and_stored(lake, monkeypatch):
     counted = product._replace(build=lambda *tables: built.append(1) or product.build(*tables))
     monkeypatch.setitem(pipeline.SHARED, "gold", (seller, counted))
     monkeypatch.setattr(pipeline.gold, "product_sales", lambda *_: pytest.fail("computed again"))
-    before = {name: all_rows(lake.read("gold", name)) for name in product.models}
+    (given,) = product.given
+    before = {name: all_rows(lake.read("gold", name)) for name in given.models}
     pipeline.run_gold(lake, parallel=4)
     assert built == [1]
-    assert {name: all_rows(lake.read("gold", name)) for name in product.models} == before
+    assert {name: all_rows(lake.read("gold", name)) for name in given.models} == before
     assert lake._folders(f"{lake.root}/_shared") == []
 
 
@@ -299,3 +300,26 @@ def test_landed_sources_are_handed_back(spark, export, tmp_path):
     sources = default_sources(export)[:2] + [CsvTable("absent", f"{export}/absent.csv", None, False)]
     run_bronze(lake, sources, on_error="skip", landed=lambda source: landed.append((source.name, lake.exists("bronze", source.name))))
     assert landed == [("customers_bronze", True), ("geolocation_bronze", True)]
+
+
+def test_item_rows_are_dealt_by_order_once_for_sellers_and_regions(lake, monkeypatch):
+    from bazar.plans import pipeline
+
+    part = pipeline.SHARED["gold"][0]
+    both = part.build(*[lake.read(*source.split("/")) for source in part.inputs])
+    before = {k: lake.spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(before, ("false", "-1")):
+        lake.spark.conf.set(k, v)
+    try:
+        text = part.build(*[lake.read(*source.split("/")) for source in part.inputs])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            lake.spark.conf.set(k, v)
+    assert text.count("ReadSchema: struct<order_id:string,seller_id:string>") == 1 and "ReusedExchange" in text
+    # with both parts given, neither is computed again
+    monkeypatch.setattr(pipeline.gold, "region_sellers", lambda *_: pytest.fail("computed again"))
+    counted = part._replace(build=lambda *_: both)
+    monkeypatch.setitem(pipeline.SHARED, "gold", (counted,))
+    rows = all_rows(lake.read("gold", "regional_demand_supply_balance"))
+    pipeline.run_gold(lake, parallel=4)
+    assert all_rows(lake.read("gold", "regional_demand_supply_balance")) == rows
