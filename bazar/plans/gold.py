@@ -35,6 +35,7 @@ from bazar.functions import (
     whole,
 )
 from bazar.functions.text import ColumnOrName, _col
+from bazar.operators import joins
 from bazar.operators import (
     collapse,
     count_product,
@@ -420,12 +421,19 @@ def gold_product_profitability_analysis(
 
 
 def gold_qualified_leads_priority(leads: DataFrame) -> DataFrame:
-    """Every lead with the size of its origin and how that compares to the mean origin."""
+    """Every lead with the size of its origin and how that compares to the mean origin.
+
+    Origins above a share of the leads are broadcast, at most ``SHARES`` rows; only the leads of all others are dealt out.
+    """
     origins = leads.groupBy("came_from").agg(F.count("mql_id").alias("total_leads"))
     mean_size = origins.agg(F.avg("total_leads").alias("mean_size")).scalar()
+    all_leads = origins.agg(F.sum("total_leads").alias("all_leads")).scalar()
     size = F.col("total_leads")
     priority = F.when(size > mean_size, "high").when(size == mean_size, "median").otherwise("low")
-    return lookup_join(leads, origins.withColumn("priority", priority), "came_from", "inner").select(
+    rated = origins.withColumn("priority", priority)
+    common = F.broadcast(rated.filter(size * joins.SHARES > all_leads))
+    others = lookup_join(leads.join(common, "came_from", "left_anti"), rated.filter(size * joins.SHARES <= all_leads), "came_from", "inner")
+    return leads.join(common, "came_from").unionByName(others).select(
         "mql_id", "first_contact_date", "landing_page_id", "came_from", "total_leads", "priority"
     )
 
@@ -516,25 +524,42 @@ def _placed(aggregated_customers: DataFrame, orders: DataFrame) -> DataFrame:
     return _known(orders, "order_id", "customer_id").select("order_id", "customer_id").join(homes, "customer_id").select("order_id", *REGION_ID)
 
 
-def region_sellers(aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
-    """``distinct_sellers`` per region of the orders."""
-    pairs = _placed(aggregated_customers, orders).join(_item_rows(items), "order_id").select(*REGION_ID, "seller_id").distinct()
-    return pairs.groupBy(*REGION_ID).agg(F.count("seller_id").alias("distinct_sellers"))
+def region_activity(aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
+    """``total_orders`` and ``sales``, and in other rows ``distinct_sellers``, per region of the orders."""
+    placed = _placed(aggregated_customers, orders)
+    # orders meet one row each for their items and payments, and only the sellers of a region meet the items themselves
+    sales = (
+        placed.join(collapse(_known(items, "order_id"), ["order_id"], copies="lines"), "order_id", "left")
+        .join(_paid_per_order(payments), "order_id", "left")
+        .groupBy("order_id", *REGION_ID, "lines", "paid")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy(*REGION_ID)
+        .agg(
+            F.count(F.lit(1)).alias("total_orders"),
+            money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
+        )
+    )
+    pairs = placed.join(_item_rows(items), "order_id").select(*REGION_ID, "seller_id").distinct()
+    sellers = pairs.groupBy(*REGION_ID).agg(F.count("seller_id").alias("distinct_sellers"))
+    return sales.unionByName(sellers, allowMissingColumns=True)
 
 
-def totals_and_region_sellers(items: DataFrame, orders: DataFrame, order_reviews: DataFrame, aggregated_customers: DataFrame) -> DataFrame:
-    """``seller_totals`` and ``region_sellers`` in one table, told apart by ``kind``; the item rows are dealt by order once for both."""
+def totals_and_activity(
+    items: DataFrame, orders: DataFrame, order_reviews: DataFrame, aggregated_customers: DataFrame, payments: DataFrame
+) -> DataFrame:
+    """``seller_totals`` and ``region_activity`` in one table, told apart by ``kind``; the item rows are dealt by order once for both."""
     totals = _totals(items, orders, order_reviews).withColumn("kind", F.lit("totals"))
-    sellers = region_sellers(aggregated_customers, orders, items).withColumn("kind", F.lit("sellers"))
-    return totals.unionByName(sellers, allowMissingColumns=True)
+    activity = region_activity(aggregated_customers, orders, items, payments).withColumn("kind", F.lit("activity"))
+    return totals.withColumnRenamed("total_orders", "seller_orders").unionByName(activity, allowMissingColumns=True)
 
 
 def totals_in(both: DataFrame) -> DataFrame:
-    return both.filter(F.col("kind") == "totals").drop("kind", *REGION_ID, "distinct_sellers")
+    found = both.filter(F.col("kind") == "totals").drop("kind", *REGION_ID, "total_orders", "sales", "distinct_sellers")
+    return found.withColumnRenamed("seller_orders", "total_orders")
 
 
-def region_sellers_in(both: DataFrame) -> DataFrame:
-    return both.filter(F.col("kind") == "sellers").select(*REGION_ID, "distinct_sellers")
+def activity_in(both: DataFrame) -> DataFrame:
+    return both.filter(F.col("kind") == "activity").select(*REGION_ID, "total_orders", "sales", "distinct_sellers")
 
 
 def _region_id() -> list[Column]:
@@ -544,7 +569,7 @@ def _region_id() -> list[Column]:
 
 
 def regional_demand_supply_balance(
-    aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame, payments: DataFrame, sellers: DataFrame | None = None
+    aggregated_customers: DataFrame, orders: DataFrame, items: DataFrame, payments: DataFrame, activity: DataFrame | None = None
 ) -> DataFrame:
     """Customers, orders, sellers and sales per region.
 
@@ -552,25 +577,12 @@ def regional_demand_supply_balance(
     is the payment sum times the item rows, and item rows add up over the sellers.
 
     Orders and pairs of region and seller, of which there may be as many as item rows, carry a region as 128 bits of hash; two regions of one hash stop the job.
-    ``sellers`` are the ``region_sellers`` of the same tables, if they are there already.
+    ``activity`` is the ``region_activity`` of the same tables, if it is there already.
     """
-    placed = _placed(aggregated_customers, orders)
     people = aggregated_customers.groupBy(*REGION, "customer_unique_id").agg(_filled("customer_unique_id").alias("known"))
     regions = people.groupBy(*REGION).agg(F.sum("known").alias("total_customers")).select("*", *_region_id(), F.lit(1).alias("regions"))
-    # orders meet one row each for their items and payments, and only the sellers of a region meet the items themselves
-    sales = (
-        placed.join(collapse(_known(items, "order_id"), ["order_id"], copies="lines"), "order_id", "left")
-        .join(_paid_per_order(payments), "order_id", "left")
-        .groupBy("order_id", *REGION_ID, "lines", "paid")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .groupBy(*REGION_ID)
-        .agg(
-            F.count(F.lit(1)).alias("total_orders"),
-            money_product("paid", "copies", F.coalesce("lines", F.lit(1))).alias("sales"),
-        )
-    )
     # stacked; a region of a customer without an id and no orders is there too
-    counted = [regions, sales, _or(sellers, region_sellers, aggregated_customers, orders, items)]
+    counted = [regions, _or(activity, region_activity, aggregated_customers, orders, items, payments)]
     merged = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), counted).groupBy(*REGION_ID).agg(
         F.sum("regions").alias("regions"),
         *[F.max(c).alias(c) for c in REGION],

@@ -128,15 +128,15 @@ class Shared(NamedTuple):
 SHARED: dict[str, tuple[Shared, ...]] = {
     "gold": (
         Shared(
-            (ITEMS, ORDERS, REVIEWS, LOCATED_CUSTOMERS),
-            gold.totals_and_region_sellers,
+            (ITEMS, ORDERS, REVIEWS, LOCATED_CUSTOMERS, PAYMENTS),
+            gold.totals_and_activity,
             (
                 Given(
                     "totals",
                     ("agg_sellers_cancellation_rate", "agg_sellers_cancellation_rate_v2", "gold_sellers_order_reviews_score", "gold_sellers_shipment_metrics"),
                     gold.totals_in,
                 ),
-                Given("sellers", ("regional_demand_supply_balance",), gold.region_sellers_in),
+                Given("activity", ("regional_demand_supply_balance",), gold.activity_in),
             ),
         ),
         Shared(

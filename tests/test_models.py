@@ -275,12 +275,23 @@ def test_regions_of_one_hash_stop_the_job(spark, monkeypatch):
         gold.regional_demand_supply_balance(customers, orders, items, payments).collect()
 
 
-def test_regional_balance_agrees_on_shared_sellers(tables):
+def test_regional_balance_agrees_on_shared_activity(tables):
     frames, con = tables
     model = BY_NAME["regional_demand_supply_balance"]
     items, orders, reviews = frames["order_items_silver"], frames["orders_full_data_silver"], frames["order_reviews"]
-    both = gold.totals_and_region_sellers(items, orders, reviews, located(frames))
-    df = model.build(*inputs(frames, model), sellers=gold.region_sellers_in(both))
+    both = gold.totals_and_activity(items, orders, reviews, located(frames), frames["payments_silver"])
+    df = model.build(*inputs(frames, model), activity=gold.activity_in(both))
     df = df.withColumn("demand_supply_ratio", df["demand_supply_ratio"].cast("double"))
     check(df.drop("avg_latitude", "avg_longitude"), con, f"select * exclude (avg_latitude, avg_longitude) from ({GOLD[model.name]})")
     check(BY_NAME["gold_sellers_shipment_metrics"].build(orders, items, frames["sellers_silver"], totals=gold.totals_in(both)), con, GOLD["gold_sellers_shipment_metrics"])
+
+
+@pytest.mark.parametrize("shares", [1, 3, 4096])
+def test_leads_of_common_and_rare_origins(tables, monkeypatch, shares):
+    frames, con = tables
+    monkeypatch.setattr(gold.joins, "SHARES", shares)
+    model = BY_NAME["gold_qualified_leads_priority"]
+    df = model.build(*inputs(frames, model))
+    check(df, con, GOLD[model.name])
+    # leads of common origins are not dealt out
+    assert "LeftAnti" in df._jdf.queryExecution().executedPlan().toString()

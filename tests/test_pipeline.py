@@ -302,7 +302,7 @@ def test_landed_sources_are_handed_back(spark, export, tmp_path):
     assert landed == [("customers_bronze", True), ("geolocation_bronze", True)]
 
 
-def test_item_rows_are_dealt_by_order_once_for_sellers_and_regions(lake, monkeypatch):
+def test_item_rows_are_and_orders_are_dealt_by_order_once_for_sellers_and_regions(lake, monkeypatch):
     from bazar.plans import pipeline
 
     part = pipeline.SHARED["gold"][0]
@@ -315,9 +315,9 @@ def test_item_rows_are_dealt_by_order_once_for_sellers_and_regions(lake, monkeyp
     finally:
         for k, v in before.items():
             lake.spark.conf.set(k, v)
-    assert text.count("ReadSchema: struct<order_id:string,seller_id:string>") == 1 and "ReusedExchange" in text
+    assert text.count("ReadSchema: struct<order_id:string,seller_id:string>") == 1 and text.count("ReadSchema: struct<order_id:string,customer_id:string>") == 1
     # with both parts given, neither is computed again
-    monkeypatch.setattr(pipeline.gold, "region_sellers", lambda *_: pytest.fail("computed again"))
+    monkeypatch.setattr(pipeline.gold, "region_activity", lambda *_: pytest.fail("computed again"))
     counted = part._replace(build=lambda *_: both)
     monkeypatch.setitem(pipeline.SHARED, "gold", (counted,))
     rows = all_rows(lake.read("gold", "regional_demand_supply_balance"))
